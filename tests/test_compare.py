@@ -1,0 +1,173 @@
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from concord import AlignmentError, compare, diff_counts, diff_rows, distinct_count_check, row_count_check
+from concord.operators.compare import except_all
+from conftest import one, rows
+
+
+def test_identical_tables_pass(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
+    r = one(compare(df, df))
+    assert r == {
+        "gen1_count": 3, "gen2_count": 3, "gen1_distinct_count": 2, "gen2_distinct_count": 2,
+        "gen1_except_gen2": 0, "gen2_except_gen1": 0, "count_validation": "Passed",
+        "dis_count_validation": "Passed", "except_validation": "Passed",
+    }
+
+
+def test_multiset_semantics_duplicates(spark):
+    a = spark.createDataFrame([(1,), (1,), (1,), (2,)], "k int")
+    b = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")
+    r = one(compare(a, b))
+    assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (2, 2)
+    assert (r["gen1_distinct_count"], r["gen2_distinct_count"]) == (2, 3)
+    assert rows(except_all(a, b)) == [(1,), (1,)]
+    assert rows(except_all(b, a)) == [(2,), (3,)]
+
+
+def test_null_nan_negative_zero_compare_equal(spark):
+    a = spark.createDataFrame([(None, float("nan"), -0.0)], "a int, b double, c double")
+    b = spark.createDataFrame([(None, float("nan"), 0.0)], "a int, b double, c double")
+    r = one(compare(a, b))
+    assert r["except_validation"] == "Passed"
+    assert r["gen1_distinct_count"] == 1
+
+
+def test_nested_types(spark):
+    schema = "s struct<x:int,y:string>, a array<int>, m map<string,int>"
+    a = spark.createDataFrame([((1, "p"), [1, 2], {"a": 1, "b": 2})], schema)
+    b = spark.createDataFrame([((1, "p"), [1, 2], {"b": 2, "a": 1})], schema)
+    c = spark.createDataFrame([((1, "q"), [2, 1], {"a": 1})], schema)
+    assert one(compare(a, b))["except_validation"] == "Passed"
+    r = one(compare(a, c))
+    assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (1, 1)
+    d = diff_rows(a, c)
+    assert sorted(x["_side"] for x in d.collect()) == ["left", "right"]
+
+
+def test_name_alignment_is_case_insensitive_and_order_free(spark):
+    a = spark.createDataFrame([(1, "x")], "ID int, Name string")
+    b = spark.createDataFrame([("x", 1)], "name string, id int")
+    assert one(compare(a, b))["except_validation"] == "Passed"
+
+
+def test_different_column_sets_raise_with_names(spark):
+    a = spark.createDataFrame([(1, 2)], "a int, b int")
+    b = spark.createDataFrame([(1, 2)], "a int, c int")
+    with pytest.raises(AlignmentError, match=r"left only \['b'\], right only \['c'\]"):
+        compare(a, b)
+
+
+def test_case_collision_raises(spark):
+    a = spark.createDataFrame([(1, 2)], "a int, b int").withColumnRenamed("b", "A")
+    b = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(AlignmentError):
+        compare(a, b, ignore=())
+
+
+def test_positional_alignment(spark):
+    a = spark.createDataFrame([(1, 2), (3, 4)], "x int, y int")
+    b = spark.createDataFrame([(1, 2), (4, 3)], "p int, q int")
+    r = one(diff_counts(a, b, align_by="position"))
+    assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (1, 1)
+    with pytest.raises(AlignmentError):
+        diff_counts(a, b.select("p"), align_by="position")
+
+
+def test_int_bigint_widen(spark):
+    a = spark.createDataFrame([(1,)], "k int")
+    b = spark.createDataFrame([(1,)], "k bigint")
+    assert one(compare(a, b))["except_validation"] == "Passed"
+
+
+def test_empty_sides(spark):
+    a = spark.createDataFrame([], "k int")
+    b = spark.createDataFrame([(1,)], "k int")
+    r = one(compare(a, b))
+    assert (r["gen1_count"], r["gen2_count"], r["gen1_except_gen2"], r["gen2_except_gen1"]) == (0, 1, 0, 1)
+    r = one(compare(a, a))
+    assert r["gen1_count"] == 0 and r["except_validation"] == "Passed"
+    assert one(row_count_check(a, a))["gen1_count"] == 0
+
+
+def test_ignore_missing_and_case_insensitive(spark):
+    a = spark.createDataFrame([(1, "2024-01-01")], "k int, Load_Date string")
+    b = spark.createDataFrame([(1, "2024-01-02")], "k int, load_date string")
+    r = one(compare(a, b, ignore=["LOAD_DATE", "not_there"]))
+    assert r["except_validation"] == "Passed"
+
+
+def test_distinct_check_compares_left_with_right(spark):
+    a = spark.createDataFrame([(1,), (2,)], "k int")
+    b = spark.createDataFrame([(1,), (1,)], "k int")
+    r = one(distinct_count_check(a, b))
+    assert (r["gen1_distinct_count"], r["gen2_distinct_count"], r["dis_count_validation"]) == (2, 1, "Failed")
+
+
+def test_two_drop_lists_one_pass(spark):
+    a = spark.createDataFrame([(1, "x", "d1"), (1, "x", "d2")], "k int, v string, load_date string")
+    b = spark.createDataFrame([(1, "x", "d9")], "k int, v string, load_date string")
+    r = one(compare(a, b, ignore=["load_date"], ignore_distinct=[]))
+    assert (r["gen1_distinct_count"], r["gen2_distinct_count"]) == (2, 1)
+    assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (1, 0)
+    # unrelated lists take the union-and-max path
+    r2 = one(compare(a, b, ignore=["load_date"], ignore_distinct=["v"]))
+    assert (r2["gen1_distinct_count"], r2["gen2_distinct_count"]) == (2, 1)
+    assert (r2["gen1_except_gen2"], r2["gen2_except_gen1"]) == (1, 0)
+
+
+def test_grouped_compare(spark):
+    a = spark.createDataFrame([("p", 1), ("p", 2), ("q", 1)], "g string, v int")
+    b = spark.createDataFrame([("p", 1), ("q", 1), ("q", 1), ("r", 5)], "g string, v int")
+    got = {r["g"]: (r["gen1_count"], r["gen2_count"], r["gen1_except_gen2"], r["gen2_except_gen1"])
+           for r in compare(a, b, by="g").collect()}
+    assert got == {"p": (2, 1, 1, 0), "q": (1, 2, 0, 1), "r": (0, 1, 0, 1)}
+
+
+def test_hot_duplicate_is_spread_and_exact(spark):
+    # one row value holding most of the table, more copies than one chunk
+    a = spark.range(0, 5000).select(F.lit(7).alias("k"))
+    b = spark.range(0, 10).select(F.lit(7).alias("k"))
+    d = diff_rows(a, b, chunk=64)
+    assert d.count() == 4990
+    assert one(diff_counts(a, b))["gen1_except_gen2"] == 4990
+
+
+def test_reserved_names_rejected(spark):
+    a = spark.createDataFrame([(1,)], "__concord_n1 int")
+    with pytest.raises(AlignmentError):
+        compare(a, a)
+
+
+small_rows = st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=small_rows, right=small_rows)
+def test_fused_equals_six_actions(spark, left, right):
+    schema = "k int, v string"
+    a = spark.createDataFrame(left, schema)
+    b = spark.createDataFrame(right, schema)
+    r = one(compare(a, b))
+    expect = (
+        a.count(), b.count(), a.distinct().count(), b.distinct().count(),
+        a.exceptAll(b).count(), b.exceptAll(a).count(),
+    )
+    got = tuple(r[c] for c in (
+        "gen1_count", "gen2_count", "gen1_distinct_count", "gen2_distinct_count",
+        "gen1_except_gen2", "gen2_except_gen1"))
+    assert got == expect
+    # |l - r| - |r - l| = |l| - |r|
+    assert got[4] - got[5] == got[0] - got[1]
+    assert rows(except_all(a, b)) == rows(a.exceptAll(b))
+
+
+def test_self_diff_empty_and_partitioning_irrelevant(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert one(diff_counts(li, li.repartition(7)))["except_validation"] == "Passed"
+    assert not math.isnan(one(compare(li, li.orderBy("l_partkey")))["gen1_count"])
