@@ -56,6 +56,24 @@ C_LINEITEM = """c_lineitem as (
          l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
   from lineitem where l_orderkey % 101 <> 0)"""
 
+DOCS_COLS = "doc_id, text, lang, source, n_chars"
+B_DOCS = f"""b_docs as (
+  select doc_id, case when doc_id % 13 = 0 then text || '.' else text end as text, lang, source, n_chars
+  from documents where doc_id % 11 <> 0
+  union all
+  select {DOCS_COLS} from documents where doc_id % 17 = 0)"""
+
+EMB_COLS = "vec_id, embedding, label"
+B_EMB = """b_emb as (
+  select vec_id, embedding, case when vec_id % 9 = 0 then label + 1 else label end as label
+  from embeddings where vec_id % 10 <> 0)"""
+
+CONV_COLS = "conv_id, turn, role, text"
+B_CONV = """b_conv as (
+  select conv_id, turn, role,
+    case when conv_id % 5 = 0 and turn % 3 = 0 then substring(text, 1, length(text) - 1) else text end as text
+  from conversations where not (conv_id % 7 = 0 and turn = 0))"""
+
 B_EVENTS = f"b_events as (select {EVENTS_COLS} from events where ts < timestamp '2024-01-05 00:00:00')"
 
 
@@ -227,6 +245,16 @@ from (select
         "compare_by_day": f"""with e as (select {EVENTS_COLS}, cast(ts as date) as day from events),
 b as (select * from e where ts < timestamp '2024-01-05 00:00:00'),
 {_six_by('e', 'b', 'day', EVENTS_COLS + ', day')}
+select * from verdicts""",
+        "compare_documents": f"with {B_DOCS} {_six('documents', 'b_docs', DOCS_COLS)}",
+        "compare_documents_digest": f"with {B_DOCS} {_six('documents', 'b_docs', DOCS_COLS)}",
+        "diff_documents_digest": f"""with {B_DOCS}
+select {DOCS_COLS}, 'left' as _side from (select {DOCS_COLS} from documents except all select {DOCS_COLS} from b_docs) l
+union all
+select {DOCS_COLS}, 'right' as _side from (select {DOCS_COLS} from b_docs except all select {DOCS_COLS} from documents) r""",
+        "compare_embeddings": f"with {B_EMB} {_six('embeddings', 'b_emb', EMB_COLS)}",
+        "compare_conversations_by_conv": f"""with {B_CONV},
+{_six_by('conversations', 'b_conv', 'conv_id', CONV_COLS)}
 select * from verdicts""",
         "schema_diff": """select * from (values
   ('o_comment', cast(null as varchar), cast(null as boolean), 'string', false),

@@ -40,6 +40,11 @@ HEADLINE = {
     "compare_fused_two_lists": workload.q_compare_fused_two_lists,
     "diff_left_only": workload.q_diff_left_only,
     "compare_by_day": workload.q_compare_by_day,
+    "compare_documents": workload.q_compare_documents,
+    "compare_documents_digest": workload.q_compare_documents_digest,
+    "diff_documents_digest": workload.q_diff_documents_digest,
+    "compare_embeddings": workload.q_compare_embeddings,
+    "compare_conversations_by_conv": workload.q_compare_conversations_by_conv,
     "latest_partition_compare": workload.q_latest_partition_compare,
     "schema_diff": workload.q_schema_diff,
     "latest_partition_path": workload.q_latest_partition_path,

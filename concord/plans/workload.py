@@ -68,6 +68,30 @@ def events_b(events: DataFrame) -> DataFrame:
     return events.where(F.col("ts") < F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
 
 
+def documents_b(documents: DataFrame) -> DataFrame:
+    """Whole-text edits at the end of the text (id % 13), missing (id % 11), duplicated (id % 17)."""
+    k = F.col("doc_id")
+    kept = documents.where(k % 11 != 0).withColumn(
+        "text", F.when(k % 13 == 0, F.concat(F.col("text"), F.lit("."))).otherwise(F.col("text"))
+    )
+    return kept.unionByName(documents.where(k % 17 == 0))
+
+
+def embeddings_b(embeddings: DataFrame) -> DataFrame:
+    """Relabelled vectors (id % 9) and missing vectors (id % 10)."""
+    k = F.col("vec_id")
+    return embeddings.where(k % 10 != 0).withColumn(
+        "label", F.when(k % 9 == 0, F.col("label") + 1).otherwise(F.col("label"))
+    )
+
+
+def conversations_b(conversations: DataFrame) -> DataFrame:
+    """Last character of every third turn of every fifth conversation dropped; turn 0 of id % 7 missing."""
+    drop_last = (F.col("conv_id") % 5 == 0) & (F.col("turn") % 3 == 0)
+    text = F.when(drop_last, F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text"))
+    return conversations.where(~((F.col("conv_id") % 7 == 0) & (F.col("turn") == 0))).withColumn("text", text)
+
+
 # ---------------------------------------------------------------- derived manifest / ledgers
 
 
@@ -167,6 +191,31 @@ def q_compare_by_day(spark, sf):
     return compare(e, events_b(e), by="day")
 
 
+def q_compare_documents(spark, sf):
+    d = table(spark, sf, "documents")
+    return compare(d, documents_b(d))
+
+
+def q_compare_documents_digest(spark, sf):
+    d = table(spark, sf, "documents")
+    return compare(d, documents_b(d), method="digest")
+
+
+def q_diff_documents_digest(spark, sf):
+    d = table(spark, sf, "documents")
+    return diff_rows(d, documents_b(d), method="digest")
+
+
+def q_compare_embeddings(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return compare(e, embeddings_b(e))
+
+
+def q_compare_conversations_by_conv(spark, sf):
+    c = table(spark, sf, "conversations")
+    return compare(c, conversations_b(c), by="conv_id")
+
+
 def q_schema_diff(spark, sf):
     o = table(spark, sf, "orders")
     changed = (
@@ -343,6 +392,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_fused": q_compare_fused,
     "compare_fused_two_lists": q_compare_fused_two_lists,
     "compare_by_day": q_compare_by_day,
+    "compare_documents": q_compare_documents,
+    "compare_documents_digest": q_compare_documents_digest,
+    "diff_documents_digest": q_diff_documents_digest,
+    "compare_embeddings": q_compare_embeddings,
+    "compare_conversations_by_conv": q_compare_conversations_by_conv,
     "schema_diff": q_schema_diff,
     "latest_partition_rows": q_latest_partition_rows,
     "latest_partition_compare": q_latest_partition_compare,
