@@ -138,24 +138,49 @@ def baseline_path_text(env: str | None, path: str) -> str:
 
 
 class _Side:
-    """One loaded side, restricted to its latest partition when the profile asks."""
+    """One loaded side, restricted to its latest partition when the profile asks.
+
+    Parquet: a single listing (partition discovery on) gives the data-file
+    count, the partition columns, the latest partition value and the
+    directories holding it; the data is then read from those directories
+    only (``basePath`` keeps the partition column), so a large table is
+    listed once and its old partitions are never even listed again.
+    Delta: partition columns come from the commit log and the latest value
+    from a scalar subquery (a runtime partition filter).
+    """
 
-    def __init__(self, spark: SparkSession, path: str, fmt: str, part: str | None, profile: Profile):
-        self.df = load_table(spark, path, fmt)
+    def __init__(self, spark: SparkSession, path: str, fmt: str, part: str | None, profile: Profile,
+                 discover: bool = False):
         self.partition: Column | None = None
-        if part and profile.latest_partition:
-            value = None
-            if fmt == PARQUET:
-                # latest value from the listing: pruning at planning time
-                listing = file_src.list_files(spark, path, glob=None)
-                value = file_src.latest_partition_value(listing, part) if listing is not None else None
-                self.partition = F.lit(value)
-                self.df = latest_partition(self.df, part, value)
+        self.files = None
+        self.part = part
+        if fmt == PARQUET:
+            listing = file_src.list_files(spark, path, glob=None)
+            if listing is None:
+                raise FileNotFoundError(f"path does not exist: {path}")
+            if discover:
+                found = file_src.partition_columns(listing)
+                self.part = found[0] if found else None
+            restrict = bool(self.part) and profile.latest_partition
+            info = file_src.listing_summary(listing, self.part if restrict else None)
+            self.files = info["files"]
+            if restrict and info["dirs"]:
+                reader = spark.read.format(fmt).option("basePath", info["root"])
+                self.df = latest_partition(reader.load(info["dirs"]), self.part, info["latest"])
+                self.partition = F.lit(info["latest"])
             else:
-                self.partition = latest_value(self.df, part)
-                self.df = latest_partition(self.df, part)
-            if profile.drop_partition_column:
-                self.df = drop_columns(self.df, [part])
+                self.df = load_table(spark, path, fmt)
+                if restrict:  # partitioned layout, but no non-NULL partition value
+                    self.df = self.df.where(F.lit(False))
+        else:
+            self.df = load_table(spark, path, fmt)
+            if discover:
+                self.part = first_partition_column(spark, path, fmt)
+            if self.part and profile.latest_partition:
+                self.partition = latest_value(self.df, self.part)
+                self.df = latest_partition(self.df, self.part)
+        if self.part and profile.latest_partition and profile.drop_partition_column:
+            self.df = drop_columns(self.df, [self.part])
 
 
 def pair_verdicts(
@@ -166,7 +191,9 @@ def pair_verdicts(
 ) -> list[tuple[str, DataFrame, str]]:
     """Lazy verdicts for one manifest row: ``[(scope, frame, format), ...]``.
 
-    Raises on unreadable input; the runner turns that into an error row.
+    The old side's format and first partition column apply to every input
+    of the row. Raises on unreadable input; the runner turns that into an
+    error row.
     """
     env, dag_id = row.get("env"), row.get("dag_id")
     scopes = [("current", row["gen1_path"], row["gen2_path"])]
@@ -176,16 +203,18 @@ def pair_verdicts(
     out = []
     for scope, p1, p2 in scopes:
         base_path = baseline_path_text(env, p1) if scope == "current" else p1.replace(BASELINE_MARKER, "")
-        part = first_partition_column(spark, p1, fmt) if profile.latest_partition else None
-        gen1 = _Side(spark, p1, fmt, part, profile)
+        gen1 = _Side(spark, p1, fmt, None, profile, discover=True)
+        part = gen1.part
         gen2 = _Side(spark, p2, fmt, part, profile)
-        # the baseline is read for its schema only: never scanned, never restricted
-        base = load_table(spark, base_path, fmt)
-        if part and profile.drop_partition_column:
-            base = drop_columns(base, [part])
+        # the baseline is read for its schema only: restricted like the old
+        # side, so only its latest partition is listed; never scanned
+        base = gen1.df if base_path == p1 else _Side(spark, base_path, fmt, part, profile).df
         files_status = NA
         if profile.check_files:
-            files_status = file_src.files_check(spark, p1, p2).first()["files_validation"]
+            if fmt == PARQUET:
+                files_status = PASSED if (gen1.files or 0) > 0 and (gen2.files or 0) > 0 else FAILED
+            else:
+                files_status = file_src.files_check(spark, p1, p2).first()["files_validation"]
         data_check = True
         if scope == "history" and profile.history_data_check == "if_partitioned":
             data_check = part is not None

@@ -11,6 +11,8 @@ one data file.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +75,39 @@ def files_check(spark: SparkSession, gen1_path: str, gen2_path: str, glob: str =
     )
 
 
+def listing_summary(listing: DataFrame, column: str | None) -> dict:
+    """One job over a listing: data-file count, latest value of ``column`` and its directories.
+
+    Returns ``files`` (``*.parquet`` files), ``latest`` (max partition value,
+    NULL partitions ignored), ``dirs`` (the first-level ``column=value``
+    directories holding that value — normally one) and ``root`` (the table
+    directory, for ``basePath``). The result is one row however large the
+    table is; per-value rows exist only inside the aggregate.
+    """
+    is_data = F.col("path").endswith(".parquet")
+    if column is None:
+        row = listing.agg(F.count_if(is_data).alias("files")).first()
+        return {"files": row["files"], "latest": None, "dirs": [], "root": None}
+    seg = re.escape(column)
+    dir_ = F.regexp_extract(F.col("path"), rf"^(.*?/{seg}=[^/]*)/", 1)
+    root = F.regexp_extract(F.col("path"), rf"^(.*?)/{seg}=", 1)
+    per_value = listing.groupBy(quoted(column)).agg(
+        F.collect_set(dir_).alias("dirs"), F.first(root).alias("root"), F.count_if(is_data).alias("files")
+    )
+    row = per_value.agg(
+        F.sum("files").alias("files"),
+        F.max(quoted(column)).alias("latest"),
+        F.max_by("dirs", quoted(column)).alias("dirs"),
+        F.max_by("root", quoted(column)).alias("root"),
+    ).first()
+    return {
+        "files": row["files"] or 0,
+        "latest": row["latest"],
+        "dirs": sorted(row["dirs"] or []),
+        "root": row["root"],
+    }
+
+
 def latest_partition_value(listing: DataFrame, column: str):
     """``max(column)`` over a listing: the latest partition value, read from metadata only."""
     return listing.agg(F.max(quoted(column))).first()[0]

@@ -89,3 +89,16 @@ def test_manifest_lines(spark):
     lines = spark.createDataFrame([("prod,d,/a,/b",), ("no comma here",), ("dev,e, /c ,/d",)], "value string")
     got = [tuple(r) for r in parse_manifest_lines(lines).collect()]
     assert got == [("prod", "d", "/a", "/b"), ("dev", "e", " /c ", "/d")]
+
+
+def test_side_lists_only_latest_partition(spark, tmp_path):
+    from concord.plans.verdict import _Side
+
+    root = str(tmp_path)
+    _lake(spark, root)
+    side = _Side(spark, f"{root}/lake1/orders", "parquet", None, FINAL, discover=True)
+    assert side.part == "load_date" and side.files >= 2
+    files = side.df.inputFiles()
+    assert files and all("load_date=2024-01-02" in f for f in files)
+    assert "load_date" in side.df.columns
+    assert side.df.count() == 750
