@@ -244,8 +244,8 @@ def distinct_count_check(
 ) -> DataFrame:
     """Distinct-row counts of both sides after dropping ``ignore``.
 
-    The verdict compares left with right (the reference compared the left
-    count with itself and so always passed).
+    The verdict compares the left count with the right one (the historical
+    check compared the left count with itself and so always passed).
     """
     _check_method(method)
     by = _by_names(by)

@@ -1,6 +1,6 @@
 """Restricting a table to its latest partition.
 
-Each side is restricted by its *own* maximum, as the reference does; rows
+Each side is restricted by its *own* maximum, as the original sweep did; rows
 whose partition value is NULL drop out. Two forms:
 
 * ``value=None``: ``WHERE p = (SELECT max(p) FROM t)`` as a scalar subquery.

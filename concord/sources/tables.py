@@ -2,7 +2,7 @@
 
 A table is Delta iff ``<path>/_delta_log/`` holds commit files; otherwise
 Parquet. The format found for the old side is used for every input of a
-manifest row, as in the reference. Delta data is read through
+manifest row, as in the original sweep. Delta data is read through
 ``format("delta")`` when the connector is on the classpath; without it the
 load raises and the pair gets an error verdict.
 
