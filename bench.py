@@ -54,6 +54,7 @@ HEADLINE = {
     "failure_report": workload.q_failure_report,
     "writer_jobs": workload.q_writer_jobs,
     "pair_verdict": workload.q_pair_verdict,
+    "reconcile_tables": workload.q_reconcile_tables,
     "pair_verdict_history": workload.q_pair_verdict_history,
 }
 

@@ -27,10 +27,12 @@ from concord.operators.compare import (
 from concord.operators.partition import latest_partition
 from concord.operators.schema import schema_diff
 from concord.plans import sweep
-from concord.plans.profiles import CURRENT_HISTORY, FINAL, Profile
+from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, Profile
+from concord.plans.reconcile import reconcile
 from concord.plans.verdict import verdict_frame
 from concord.sources import commit_log, files
 from concord.sources.ledger import conform
+from concord.sources.manifest import manifest_frame, manifest_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -291,6 +293,25 @@ def q_job_id_normalize_literal(spark, sf):
     return m.select("dag_id", normalize_job_id("dag_id", "literal").alias("job_id"))
 
 
+def q_manifest_text(spark, sf):
+    m = order_manifest(table(spark, sf, "orders")).drop("o_orderkey", "ts")
+    return manifest_text(m)
+
+
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
+def q_reconcile_tables(spark, sf):
+    """The path-level runner over every given table (each against itself), without paths in the output."""
+    base = sf.rstrip("/")
+    rows = [("prod", f"{t}_daily", f"{base}/{t}.parquet", f"{base}/{t}.parquet") for t in TABLES]
+    verdicts = reconcile(spark, manifest_frame(spark, rows), PHASE2, concurrency=4)
+    return verdicts.drop("gen1_path", "gen2_path")
+
+
 def q_order_ledger(spark, sf):
     return order_ledger(spark, sf, 1).drop("ts")
 
@@ -407,6 +428,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_name": q_table_name,
     "job_id_normalize": q_job_id_normalize,
     "job_id_normalize_literal": q_job_id_normalize_literal,
+    "manifest_text": q_manifest_text,
+    "reconcile_tables": q_reconcile_tables,
     "order_ledger": q_order_ledger,
     "sweep_manifest": q_sweep_manifest,
     "sweep_manifest_literal": q_sweep_manifest_literal,
