@@ -349,11 +349,24 @@ def diff_rows(
         for f in d.schema.fields
         if f.name in pair.names and not _contains_map(f.dataType)
     ]
-    d = d.repartition(F.xxhash64(*hashable, F.col("__concord_c"), F.col(side_col)))
+    # An explicit partition count: adaptive execution never coalesces such a
+    # shuffle, which it would otherwise do from the (tiny) pre-expansion size.
+    d = d.repartition(_spread_partitions(d), F.xxhash64(*hashable, F.col("__concord_c"), F.col(side_col)))
     d = d.withColumn("__concord_r", F.explode(F.sequence(F.lit(1), F.col("__concord_k"))))
     return d.select(*[quoted(n) for n in pair.names], F.col(side_col))
 
 
+def _spread_partitions(df: DataFrame) -> int:
+    """One partition per task slot of the cluster (at least the shuffle partition count)."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        n = max(n, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote session
+        pass
+    return n
+
+
 def _contains_map(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.MapType):
         return True
