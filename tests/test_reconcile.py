@@ -102,3 +102,30 @@ def test_side_lists_only_latest_partition(spark, tmp_path):
     assert files and all("load_date=2024-01-02" in f for f in files)
     assert "load_date" in side.df.columns
     assert side.df.count() == 750
+
+
+def test_command_line_round_trip(spark):
+    import pathlib
+    import tempfile
+
+    from concord.__main__ import main
+
+    # the sweep drops every path containing "test", so no pytest tmp_path here
+    root = tempfile.mkdtemp(prefix="concord-cli-")
+    _lake(spark, root)
+    pathlib.Path(root, "m.csv").write_text(
+        f"prod,orders_daily,{root}/lake1/orders,{root}/lake2/orders\n"
+        f"prod,cust_weekly,{root}/lake1/cust,{root}/lake2/cust\n"
+        "a line without the separator\n"
+    )
+    led = f"{root}/ledger"
+    assert main(["run", "--manifest", f"{root}/m.csv", "--ledger", led, "--concurrency", "2"]) == 0
+    assert ledger.read(spark, led).count() == 2
+    assert main(["failures", "--ledger", led, "--out", f"{root}/failed"]) == 0
+    assert [r[0] for r in spark.read.csv(f"{root}/failed").collect()] == [f"{root}/lake2/orders"]
+    assert main(["sweep", "--ledger", led, "--second-ledger", led, "--out", f"{root}/next"]) == 0
+    got = sorted(tuple(r) for r in spark.read.csv(f"{root}/next").collect())
+    assert got == sorted([
+        ("prod", "cust_weekly", f"{root}/lake1/cust", f"{root}/lake2/cust"),
+        ("prod", "orders_daily", f"{root}/lake1/orders", f"{root}/lake2/orders"),
+    ])
