@@ -35,7 +35,10 @@ def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history
     """Verdict rows (as ``Row``) for one manifest row; errors become error rows, never raise."""
     scopes = ["current", "history"] if history else ["current"]
     # names this thread's jobs after the pair, so stages are found in the event log
-    spark.sparkContext.setJobDescription(f"concord {profile.name}: {row.get('dag_id')} {row.get('gen2_path')}")
+    try:
+        spark.sparkContext.setJobDescription(f"concord {profile.name}: {row.get('dag_id')} {row.get('gen2_path')}")
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        pass
     try:
         frames = pair_verdicts(spark, row, profile, history)
     except Exception as e:  # noqa: BLE001 - any failure of one pair is recorded, the sweep goes on
