@@ -41,6 +41,8 @@ NA = "NA"
 
 _L = "__concord_n1"
 _R = "__concord_n2"
+_H = ("__concord_h1", "__concord_h2")
+_C = ("__concord_c1", "__concord_c2")
 
 # Result column names: they are the ledger's names (left = gen1, right = gen2).
 COUNT_COLUMNS = ("gen1_count", "gen2_count")
@@ -67,7 +69,7 @@ def _tagged(left: DataFrame, right: DataFrame, names) -> DataFrame:
 
 
 def _check_internal(names) -> None:
-    clash = {_L, _R} & set(names)
+    clash = {_L, _R, *_H, *_C} & set(names)
     if clash:
         raise AlignmentError(f"column names reserved by concord: {sorted(clash)}")
 
@@ -96,10 +98,6 @@ def _group_sizes(u: DataFrame, keys: list[Column]) -> DataFrame:
     return u.groupBy(*keys).agg(F.sum(_L).alias("n1"), F.sum(_R).alias("n2"))
 
 
-_H = ("__concord_h1", "__concord_h2")
-_C = ("__concord_c1", "__concord_c2")
-
-
 def _hashable(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return F.when(col == 0, F.lit(0).cast(dtype)).otherwise(col)  # -0.0 -> 0.0
