@@ -129,3 +129,22 @@ def test_command_line_round_trip(spark):
         ("prod", "cust_weekly", f"{root}/lake1/cust", f"{root}/lake2/cust"),
         ("prod", "orders_daily", f"{root}/lake1/orders", f"{root}/lake2/orders"),
     ])
+
+
+def test_runtime_cast_error_becomes_error_row(spark, tmp_path):
+    root = str(tmp_path)
+    spark.createDataFrame([(1, 10), (2, 20)], "k int, v int").write.parquet(f"{root}/lake1/num")
+    spark.createDataFrame([(1, "10"), (2, "twenty")], "k int, v string").write.parquet(f"{root}/lake2/num")
+    spark.createDataFrame([(1,)], "k int").write.parquet(f"{root}/lake1/ok")
+    spark.createDataFrame([(1,)], "k int").write.parquet(f"{root}/lake2/ok")
+    manifest = manifest_frame(spark, [
+        ("prod", "num_daily", f"{root}/lake1/num", f"{root}/lake2/num"),
+        ("prod", "ok_daily", f"{root}/lake1/ok", f"{root}/lake2/ok"),
+    ])
+    out = {r["dag_id"]: r.asDict() for r in reconcile(spark, manifest, FINAL, concurrency=1).collect()}
+    bad = out["num_daily"]
+    if bad["error_msg"]:  # ANSI on: 'twenty' cannot be read as a number
+        assert (bad["gen1_except_gen2"], bad["except_validation"]) == (-1, "Failed")
+    else:  # ANSI off: the value becomes NULL and the rows differ
+        assert bad["except_validation"] == "Failed"
+    assert out["ok_daily"]["except_validation"] == "Passed"
