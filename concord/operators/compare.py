@@ -98,9 +98,16 @@ def _group_sizes(u: DataFrame, keys: list[Column]) -> DataFrame:
     return u.groupBy(*keys).agg(F.sum(_L).alias("n1"), F.sum(_R).alias("n2"))
 
 
+def _normalised(col: Column, dtype: T.DataType) -> Column:
+    """``-0.0`` as ``0.0``, as ``GROUP BY`` outputs it (other types as they are)."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(col == 0, F.lit(0).cast(dtype)).otherwise(col)
+    return col
+
+
 def _hashable(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.when(col == 0, F.lit(0).cast(dtype)).otherwise(col)  # -0.0 -> 0.0
+        return _normalised(col, dtype)
     if isinstance(dtype, T.MapType):
         if _contains_map(dtype.keyType) or _contains_map(dtype.valueType):
             raise AlignmentError("digest compare cannot hash nested maps; use method='exact'")
@@ -324,12 +331,13 @@ def diff_rows(
     if method == "exact":
         g = _group_sizes(u, names).where(F.col("n1") != F.col("n2"))
     else:
+        types = {f.name: f.dataType for f in u.schema.fields}
         hu = u.select(*names, *_digest(u, pair.names, _H), _L, _R)
         counts = _group_sizes(hu.select(*_H, _L, _R), [F.col(h) for h in _H]).where(F.col("n1") != F.col("n2"))
         reps = (
             hu.join(counts.select(*_H), list(_H), "left_semi")
             .groupBy(*_H)
-            .agg(*[F.any_value(quoted(n)).alias(n) for n in pair.names])
+            .agg(*[F.any_value(_normalised(quoted(n), types[n])).alias(n) for n in pair.names])
         )
         g = reps.join(counts, list(_H)).drop(*_H)
     n = F.abs(F.col("n1") - F.col("n2"))

@@ -83,3 +83,8 @@ def typed_counts(ledger: DataFrame) -> DataFrame:
         if c in ledger.columns:
             out = out.withColumn(c, F.col(c).try_cast("bigint"))
     return out
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """A ledger registered in the catalog (``db.table``), e.g. one kept by an older sweep."""
+    return spark.table(name)
