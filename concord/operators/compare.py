@@ -317,9 +317,10 @@ def diff_rows(
     expanded, so one hot duplicated value never lands in a single task.
 
     With ``method="digest"`` the differing row values are found by digest
-    first (a shuffle of ~24 bytes per row value); only rows whose digest
-    differs are then fetched (a semi join that adaptive execution broadcasts
-    when the differing set is small) and reduced to one row per value.
+    first (a shuffle of ~24 bytes per row value); a second pass fetches only
+    rows whose digest differs (a join with the differing digests, which
+    adaptive execution broadcasts when that set is small) and reduces them
+    to one row per value. Two scans per side instead of one full shuffle.
     """
     _check_method(method)
     pair = align(left, right, ignore, align_by)
@@ -334,12 +335,20 @@ def diff_rows(
         types = {f.name: f.dataType for f in u.schema.fields}
         hu = u.select(*names, *_digest(u, pair.names, _H), _L, _R)
         counts = _group_sizes(hu.select(*_H, _L, _R), [F.col(h) for h in _H]).where(F.col("n1") != F.col("n2"))
-        reps = (
-            hu.join(counts.select(*_H), list(_H), "left_semi")
+        # second pass: rows whose digest differs, carrying their counts, reduced
+        # to one row per digest (partial aggregation first, so a hot value
+        # collapses on the map side)
+        g = (
+            hu.drop(_L, _R)
+            .join(counts, list(_H), "inner")
             .groupBy(*_H)
-            .agg(*[F.any_value(_normalised(quoted(n), types[n])).alias(n) for n in pair.names])
+            .agg(
+                *[F.any_value(_normalised(quoted(n), types[n])).alias(n) for n in pair.names],
+                F.first("n1").alias("n1"),
+                F.first("n2").alias("n2"),
+            )
+            .drop(*_H)
         )
-        g = reps.join(counts, list(_H)).drop(*_H)
     n = F.abs(F.col("n1") - F.col("n2"))
     d = (
         g.withColumn(side_col, F.when(F.col("n1") > F.col("n2"), F.lit("left")).otherwise(F.lit("right")))
