@@ -38,7 +38,31 @@ def drop_columns(df: DataFrame, names) -> DataFrame:
     if not names:
         return df
     gone = {n.lower() for n in names}
-    return df.select(*[quoted(c) for c in df.columns if c.lower() not in gone])
+    keep = [c for c in df.columns if c.lower() not in gone]
+    if len(keep) == len(df.columns):
+        return df
+    return df.select(*[quoted(c) for c in keep])
+
+
+def aligned_names(left: DataFrame, right: DataFrame, ignore=(), how: str = "name") -> tuple[str, ...]:
+    """The names :func:`align` would give, from the schemas alone (no plan is built)."""
+    gone = {n.lower() for n in (ignore or ())}
+    lcols = [c for c in left.columns if c.lower() not in gone]
+    rcols = [c for c in right.columns if c.lower() not in gone]
+    if how == "name":
+        lset, rset = {c.lower() for c in lcols}, {c.lower() for c in rcols}
+        if len(lset) != len(lcols) or len(rset) != len(rcols):
+            raise AlignmentError("a side has columns that differ only in case")
+        if lset != rset:
+            raise AlignmentError(
+                f"column sets differ: left only {sorted(lset - rset)}, right only {sorted(rset - lset)}"
+            )
+        return tuple(sorted(lset))
+    if how == "position":
+        if len(lcols) != len(rcols):
+            raise AlignmentError(f"column counts differ: left {len(lcols)}, right {len(rcols)}")
+        return tuple(lcols)
+    raise ValueError(f"unknown alignment {how!r}; use 'name' or 'position'")
 
 
 def _comparable(col: Column, dtype: T.DataType) -> Column:
