@@ -23,7 +23,9 @@ bytes per distinct row value instead of the whole row, which is what
 matters for wide tables at scale. Row counts stay exact; distinct counts and
 differences are exact unless two different row values share all 128 bits
 (for 10^12 distinct values the chance is about 10^-15). ``-0.0`` and ``0.0``
-hash alike, map keys are sorted before hashing; maps nested inside arrays or
+hash alike at the top level (inside arrays and structs values are hashed
+through their JSON text, where they differ); NULL positions are part of the
+digest; map keys are sorted before hashing; maps nested inside arrays or
 structs need ``method="exact"``. The default is ``"exact"``.
 """
 
@@ -102,22 +104,34 @@ def _normalised(col: Column, dtype: T.DataType) -> Column:
 
 
 def _hashable(col: Column, dtype: T.DataType) -> Column:
+    """A column value as fed to the row digest.
+
+    ``xxhash64`` skips NULL inputs, also inside arrays and structs, so
+    nested values are hashed through their JSON text, which keeps NULL
+    positions; top-level NULLs are told apart by the row's null bitmap (see
+    :func:`_digest`). Map entries are sorted first, so key order does not
+    matter.
+    """
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return _normalised(col, dtype)
     if isinstance(dtype, T.MapType):
         if _contains_map(dtype.keyType) or _contains_map(dtype.valueType):
             raise AlignmentError("digest compare cannot hash nested maps; use method='exact'")
-        return F.array_sort(F.map_entries(col))
-    if _contains_map(dtype):
-        raise AlignmentError("digest compare cannot hash maps nested in arrays or structs; use method='exact'")
+        return F.to_json(F.array_sort(F.map_entries(col)))
+    if isinstance(dtype, (T.ArrayType, T.StructType)):
+        if _contains_map(dtype):
+            raise AlignmentError("digest compare cannot hash maps nested in arrays or structs; use method='exact'")
+        return F.to_json(col)
     return col
 
 
 def _digest(u: DataFrame, names, out: tuple[str, str]) -> list[Column]:
+    """Two seeded 64-bit hashes of the row: null bitmap first, then every value."""
     types = {f.name: f.dataType for f in u.schema.fields}
-    cols = [_hashable(quoted(n), types[n]) for n in names]
-    if not cols:
+    if not names:
         return [F.lit(0).cast("bigint").alias(out[0]), F.lit(0).cast("bigint").alias(out[1])]
+    nulls = F.concat(*[F.when(quoted(n).isNull(), F.lit("1")).otherwise(F.lit("0")) for n in names])
+    cols = [nulls] + [_hashable(quoted(n), types[n]) for n in names]
     return [F.xxhash64(*cols).alias(out[0]), F.xxhash64(F.lit("concord"), *cols).alias(out[1])]
 
 

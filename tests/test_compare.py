@@ -228,3 +228,18 @@ def test_sql_table_ledger(spark):
 
     spark.createDataFrame([("p", 1)], "gen2_path string, gen1_count bigint").createOrReplaceTempView("old_ledger")
     assert read_table(spark, "old_ledger").count() == 1
+
+
+def test_digest_tells_null_positions_apart(spark):
+    a = spark.createDataFrame([(None, "a")], "x string, y string")
+    b = spark.createDataFrame([("a", None)], "x string, y string")
+    assert one(compare(a, b, method="digest"))["except_validation"] == "Failed"
+    arr_a = spark.createDataFrame([([None, 1],)], "v array<int>")
+    arr_b = spark.createDataFrame([([1, None],)], "v array<int>")
+    assert one(compare(arr_a, arr_b, method="digest"))["except_validation"] == "Failed"
+    st_a = spark.createDataFrame([((None, 1),)], "s struct<p:int,q:int>")
+    st_b = spark.createDataFrame([((1, None),)], "s struct<p:int,q:int>")
+    assert one(compare(st_a, st_b, method="digest"))["except_validation"] == "Failed"
+    m_a = spark.createDataFrame([({"k": None, "j": 1},)], "m map<string,int>")
+    m_b = spark.createDataFrame([({"k": 1, "j": None},)], "m map<string,int>")
+    assert one(compare(m_a, m_b, method="digest"))["except_validation"] == "Failed"
