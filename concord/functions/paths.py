@@ -29,5 +29,5 @@ def history_baseline_path(path) -> Column:
 
 
 def table_name(path) -> Column:
-    """Last path segment, e.g. ``/lake/db/orders`` -> ``orders``."""
-    return F.substring_index(_c(path), "/", -1)
+    """Last non-empty path segment: ``/lake/db/orders`` and ``/lake/db/orders/`` -> ``orders``."""
+    return F.substring_index(F.regexp_replace(_c(path), "/+$", ""), "/", -1)

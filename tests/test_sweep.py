@@ -92,6 +92,8 @@ def test_baseline_path_and_table_name(spark):
     got = [r[0] for r in m.select(baseline_path("env", "gen1_path")).collect()]
     assert got == ["/lk/a", "/lk/a", "/lk/b"]
     assert [r[0] for r in m.select(table_name("gen1_path")).collect()] == ["a", "a", "b"]
+    slashes = spark.createDataFrame([("/lake/db/orders/",), ("/lake//db/x",), ("y",)], "p string")
+    assert [r[0] for r in slashes.select(table_name("p")).collect()] == ["orders", "x", "y"]
 
 
 def test_typed_counts_for_text_ledgers(spark):
