@@ -52,6 +52,9 @@ class Profile:
     # "always" or "if_partitioned" (history pairs: NA when the table is not partitioned)
     history_data_check: str = "always"
     check_files: bool = True
+    # "by_env": env 'dev' removes the dev pattern, others the marker text;
+    # "marker": always the marker text
+    baseline_rule: str = "by_env"
 
     def with_(self, **kw) -> "Profile":
         return replace(self, **kw)
@@ -66,6 +69,7 @@ CURRENT_HISTORY = Profile(
     align_by="position",
     drop_partition_column=True,
     history_data_check="if_partitioned",
+    baseline_rule="marker",
 )
 
 PROFILES = {p.name: p for p in (FINAL, PHASE2, PHASE4, CURRENT_HISTORY)}

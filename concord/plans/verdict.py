@@ -202,7 +202,10 @@ def pair_verdicts(
     fmt = detect_format(spark, row["gen1_path"])
     out = []
     for scope, p1, p2 in scopes:
-        base_path = baseline_path_text(env, p1) if scope == "current" else p1.replace(BASELINE_MARKER, "")
+        if scope == "current" and profile.baseline_rule == "by_env":
+            base_path = baseline_path_text(env, p1)
+        else:
+            base_path = p1.replace(BASELINE_MARKER, "")
         gen1 = _Side(spark, p1, fmt, None, profile, discover=True)
         part = gen1.part
         gen2 = _Side(spark, p2, fmt, part, profile)

@@ -148,3 +148,21 @@ def test_runtime_cast_error_becomes_error_row(spark, tmp_path):
     else:  # ANSI off: the value becomes NULL and the rows differ
         assert bad["except_validation"] == "Failed"
     assert out["ok_daily"]["except_validation"] == "Passed"
+
+
+def test_baseline_rules_per_profile(spark, tmp_path):
+    from concord.plans.verdict import pair_verdicts
+
+    root = str(tmp_path)
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    o.write.parquet(f"{root}/lk_test/priority2/123/t")   # the dev copy
+    o.write.parquet(f"{root}/lk/t")                       # baseline by the dev pattern
+    o.withColumn("extra", F.lit(1)).write.parquet(f"{root}/lk/priority2/123/t")  # by the marker
+    row = {"env": "dev", "dag_id": "t_daily", "gen1_path": f"{root}/lk_test/priority2/123/t",
+           "gen2_path": f"{root}/lk_test/priority2/123/t",
+           "gen1_hist_path": f"{root}/lk_test/priority2/123/t", "gen2_hist_path": f"{root}/lk_test/priority2/123/t"}
+    final = pair_verdicts(spark, row, FINAL)[0][1].first()
+    assert final["schema_validation"] == "Passed"          # compared with lk/t
+    hist = pair_verdicts(spark, row, CURRENT_HISTORY)[0][1].first()
+    assert hist["schema_validation"] == "Failed"           # compared with lk/priority2/123/t
+    assert "extra" in hist["schema_diff"]
