@@ -16,12 +16,18 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from concord.operators.compare import compare  # noqa: E402
 from concord.plans import workload  # noqa: E402
+from concord.plans.profiles import FINAL  # noqa: E402
+from concord.plans.reconcile import reconcile  # noqa: E402
+from concord.sources.manifest import manifest_frame  # noqa: E402
 from concord.session import local_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -59,6 +65,15 @@ HEADLINE = {
 }
 
 
+def partitioned_pair(spark, sf):
+    """events and its lagging copy written per day (setup, not timed); returns the two paths."""
+    root = tempfile.mkdtemp(prefix="concord-bench-")
+    ev = workload.table(spark, sf, "events").withColumn("load_date", F.to_date("ts"))
+    ev.write.partitionBy("load_date").parquet(f"{root}/lake1/events")
+    workload.events_b(ev).write.partitionBy("load_date").parquet(f"{root}/lake2/events")
+    return f"{root}/lake1/events", f"{root}/lake2/events"
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -90,6 +105,10 @@ def main() -> None:
     times = {}
     for name, q in HEADLINE.items():
         times[name] = round(timed(lambda q=q: run(q(spark, SF_DIR))), 3)
+    # path-level check of the latest day partition (listing-based, old partitions never read)
+    p1, p2 = partitioned_pair(spark, SF_DIR)
+    m = manifest_frame(spark, [("prod", "events_daily", p1, p2)])
+    times["reconcile_latest_partition"] = round(timed(lambda: reconcile(spark, m, FINAL).collect()), 3)
     ref = round(timed(lambda: reference_form(spark, SF_DIR)), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     print(
