@@ -11,9 +11,12 @@ ledger for a date, so a rerun after a lost driver continues where it was.
 
 from __future__ import annotations
 
+import uuid
+from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from concord.plans.profiles import FINAL, Profile
 from concord.plans.sweep import resume_manifest
@@ -70,30 +73,56 @@ def reconcile(
     concurrency: int = 4,
     batch_size: int = 32,
     resume_on: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Check every pair of ``manifest``; return the verdicts (and append them to ``ledger_path``).
 
+    The manifest is streamed to the driver partition by partition
+    (``toLocalIterator``) with at most ``2 * concurrency`` pairs in flight,
+    so the driver never holds it whole. With a ledger, verdicts go there in
+    batches and the result is read back by ``run_id``; without one, the
+    verdict rows are kept in memory (small manifests).
     ``resume_on='YYYY-MM-DD'`` first removes pairs already in the ledger on that date.
     """
+    run_id = run_id or uuid.uuid4().hex
     if resume_on is not None and ledger_path is not None:
         try:
             manifest = resume_manifest(manifest, ledger.read(spark, ledger_path), resume_on)
         except Exception:  # noqa: BLE001 - no ledger yet: nothing to skip
             pass
-    pairs = [r.asDict() for r in manifest.collect()]
-    done: list[tuple] = []
+    kept: list[tuple] = []
     pending: list[tuple] = []
+    run_col = LEDGER_COLUMNS.index("run_id")
+
+    def collect(rows):
+        for r in rows:
+            r = list(r)
+            r[run_col] = run_id
+            pending.append(tuple(r))
+        if len(pending) >= batch_size:
+            flush()
 
     def flush():
         if ledger_path is not None and pending:
             ledger.append(spark.createDataFrame(pending, LEDGER), ledger_path)
-        done.extend(pending)
+        else:
+            kept.extend(pending)
         pending.clear()
 
-    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        for rows in pool.map(lambda r: check_pair(spark, r, profile, history), pairs):
-            pending.extend(rows)
-            if len(pending) >= batch_size:
-                flush()
+    width = max(1, concurrency)
+    in_flight: deque = deque()
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        for r in manifest.toLocalIterator():
+            in_flight.append(pool.submit(check_pair, spark, r.asDict(), profile, history))
+            while len(in_flight) >= 2 * width:
+                collect(in_flight.popleft().result())
+        while in_flight:
+            collect(in_flight.popleft().result())
     flush()
-    return spark.createDataFrame(done, LEDGER)
+    if ledger_path is not None:
+        try:
+            out = ledger.read(spark, ledger_path)
+        except Exception:  # noqa: BLE001 - empty manifest: no ledger file yet
+            return spark.createDataFrame([], LEDGER)
+        return out.where(F.col("run_id") == run_id).select(*LEDGER_COLUMNS)
+    return spark.createDataFrame(kept, LEDGER)

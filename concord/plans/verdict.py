@@ -89,6 +89,7 @@ def verdict_frame(
         _lit(scope).alias("scope"),
         (gen1_partition if gen1_partition is not None else _lit(None)).cast("string").alias("gen1_partition"),
         (gen2_partition if gen2_partition is not None else _lit(None)).cast("string").alias("gen2_partition"),
+        _lit(None).alias("run_id"),  # stamped by the runner
     )
     return out
 

@@ -309,7 +309,7 @@ def q_reconcile_tables(spark, sf):
     base = sf.rstrip("/")
     rows = [("prod", f"{t}_daily", f"{base}/{t}.parquet", f"{base}/{t}.parquet") for t in TABLES]
     verdicts = reconcile(spark, manifest_frame(spark, rows), PHASE2, concurrency=4)
-    return verdicts.drop("gen1_path", "gen2_path")
+    return verdicts.drop("gen1_path", "gen2_path", "run_id")
 
 
 def q_order_ledger(spark, sf):
