@@ -152,7 +152,7 @@ def _ledger_ctes() -> str:
     v.except_validation, cast(null as varchar) as schema_validation, cast(null as varchar) as schema_diff,
     cast(null as varchar) as error_msg, cast(null as varchar) as source_job, cast(null as varchar) as scope,
     cast(null as varchar) as gen1_partition, cast(null as varchar) as gen2_partition,
-    cast(null as varchar) as run_id,
+    cast(null as varchar) as partition_validation, cast(null as varchar) as run_id,
     m.ts
   from m join verdicts_{run} v on m.o_orderkey = v.l_orderkey)"""
         )
@@ -202,7 +202,7 @@ def _verdict_row(six: str, *, env, dag, p1, p2, schema, scope, e_override=None)
   'NA' as files_validation, count_validation, dis_count_validation, {ev} as except_validation,
   '{schema}' as schema_validation, cast(null as varchar) as schema_diff, cast(null as varchar) as error_msg,
   'NA' as source_job, '{scope}' as scope, cast(null as varchar) as gen1_partition,
-  cast(null as varchar) as gen2_partition, cast(null as varchar) as run_id
+  cast(null as varchar) as gen2_partition, 'NA' as partition_validation, cast(null as varchar) as run_id
 from ({six}) s"""
 
 
@@ -217,7 +217,8 @@ def _reconcile_tables_sql() -> str:
   'Passed' as files_validation, 'Passed' as count_validation, 'Passed' as dis_count_validation,
   'Passed' as except_validation, 'Passed' as schema_validation, cast(null as varchar) as schema_diff,
   cast(null as varchar) as error_msg, 'NA' as source_job, 'current' as scope,
-  cast(null as varchar) as gen1_partition, cast(null as varchar) as gen2_partition
+  cast(null as varchar) as gen1_partition, cast(null as varchar) as gen2_partition,
+  'NA' as partition_validation
 from (select (select count(*) from {t}) as c, (select count(*) from (select distinct * from {t})) as d) s""")
     return "\nunion all\n".join(parts)
 

@@ -63,6 +63,14 @@ def verdict_frame(
         schema_status, schema_text = NA, None
     else:
         schema_status, schema_text = schema_check(left, baseline)
+    p1 = (gen1_partition if gen1_partition is not None else _lit(None)).cast("string")
+    p2 = (gen2_partition if gen2_partition is not None else _lit(None)).cast("string")
+    # both sides restricted to their own latest partition: flag when those differ
+    partition_status = (
+        F.when(p1.isNull() & p2.isNull(), F.lit(NA))
+        .when(p1.eqNullSafe(p2), F.lit(PASSED))
+        .otherwise(F.lit(FAILED))
+    )
     if data_check:
         e1, e2, ev = F.col("gen1_except_gen2"), F.col("gen2_except_gen1"), F.col("except_validation")
     else:
@@ -87,8 +95,9 @@ def verdict_frame(
         _lit(None).alias("error_msg"),
         _lit(source_job).alias("source_job"),
         _lit(scope).alias("scope"),
-        (gen1_partition if gen1_partition is not None else _lit(None)).cast("string").alias("gen1_partition"),
-        (gen2_partition if gen2_partition is not None else _lit(None)).cast("string").alias("gen2_partition"),
+        p1.alias("gen1_partition"),
+        p2.alias("gen2_partition"),
+        partition_status.alias("partition_validation"),
         _lit(None).alias("run_id"),  # stamped by the runner
     )
     return out

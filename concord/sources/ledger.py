@@ -37,6 +37,7 @@ LEDGER_FIELDS = (
     ("scope", _S),
     ("gen1_partition", _S),
     ("gen2_partition", _S),
+    ("partition_validation", _S),
     ("run_id", _S),
 )
 LEDGER = T.StructType([T.StructField(n, t, True) for n, t in LEDGER_FIELDS])

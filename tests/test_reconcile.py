@@ -42,6 +42,8 @@ def test_reconcile_end_to_end(spark, tmp_path):
     o = out["orders_daily"]
     # latest partition (2024-01-02: odd keys) of each side; key 1 changed there
     assert o["gen1_partition"] == "2024-01-02" and o["gen2_partition"] == "2024-01-02"
+    assert o["partition_validation"] == "Passed"
+    assert out["cust_daily"]["partition_validation"] == "NA"
     assert o["gen1_count"] == o["gen2_count"] == 750
     assert (o["gen1_except_gen2"], o["gen2_except_gen1"], o["except_validation"]) == (1, 1, "Failed")
     assert o["schema_validation"] == "Passed" and o["files_validation"] == "Passed"
@@ -166,3 +168,15 @@ def test_baseline_rules_per_profile(spark, tmp_path):
     hist = pair_verdicts(spark, row, CURRENT_HISTORY)[0][1].first()
     assert hist["schema_validation"] == "Failed"           # compared with lk/priority2/123/t
     assert "extra" in hist["schema_diff"]
+
+
+def test_lagging_partition_is_flagged(spark, tmp_path):
+    root = str(tmp_path)
+    o = spark.read.parquet(f"{SF001}/orders.parquet").withColumn("load_date", F.lit("2024-01-02").cast("date"))
+    o.write.partitionBy("load_date").parquet(f"{root}/lake1/t")
+    o.withColumn("load_date", F.lit("2024-01-01").cast("date")).write.partitionBy("load_date").parquet(f"{root}/lake2/t")
+    manifest = manifest_frame(spark, [("prod", "t_daily", f"{root}/lake1/t", f"{root}/lake2/t")])
+    r = reconcile(spark, manifest, FINAL).first()
+    # load_date is an ignored audit column, so the data check passes on two different days
+    assert r["except_validation"] == "Passed"
+    assert (r["gen1_partition"], r["gen2_partition"], r["partition_validation"]) == ("2024-01-02", "2024-01-01", "Failed")
