@@ -70,3 +70,18 @@ def test_grouped_compare_second_level_is_pre_aggregated(spark):
     # the per-day level runs partial sums before its shuffle on `day` alone
     assert re.search(r"hashpartitioning\(day#\d+, \d+\)", p)
     assert p.count("partial_sum(n1") >= 1
+
+
+def test_hot_path_runs_in_whole_stage_codegen(spark):
+    """Every operator of the compare and difference plans, scans aside, is in a codegen stage."""
+    o = workload.table(spark, SF001, "orders")
+    e = workload.table(spark, SF001, "embeddings")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan shows the stage boundaries
+    try:
+        for df in (compare(o, workload.orders_b(o)), diff_rows(o, workload.orders_b(o)),
+                   compare(e, workload.embeddings_b(e), method="digest")):
+            nodes = re.findall(r"^\((\d+)\) (\w+)( \[codegen id : \d+\])?", plan(df), re.M)
+            outside = {n[1] for n in nodes if not n[2]} - {"Exchange", "Union", "Scan", "ColumnarToRow"}
+            assert not outside, outside
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
