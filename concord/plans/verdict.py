@@ -22,7 +22,7 @@ from concord.operators.schema import schema_check
 from concord.functions.paths import BASELINE_MARKER, DEV_BASELINE_PATTERN
 from concord.plans.profiles import FINAL, Profile
 from concord.sources import files as file_src
-from concord.sources.ledger import LEDGER_FIELDS, conform
+from concord.sources.ledger import LEDGER_FIELDS
 from concord.sources.tables import DELTA, PARQUET, detect_format, first_partition_column, load_table
 
 
@@ -147,50 +147,34 @@ def baseline_path_text(env: str | None, path: str) -> str:
     return path.replace(BASELINE_MARKER, "")
 
 
-class _Side:
-    """One loaded side, restricted to its latest partition when the profile asks.
+def _restricted(spark: SparkSession, path: str, fmt: str, part: str | None, info: dict | None,
+                profile: Profile) -> tuple[DataFrame, Column | None]:
+    """One side's frame, restricted to its latest partition when the profile asks.
 
-    Parquet: a single listing (partition discovery on) gives the data-file
-    count, the partition columns, the latest partition value and the
-    directories holding it; the data is then read from those directories
-    only (``basePath`` keeps the partition column), so a large table is
-    listed once and its old partitions are never even listed again.
-    Delta: partition columns come from the commit log and the latest value
-    from a scalar subquery (a runtime partition filter).
+    Parquet: ``info`` is the side's listing summary; the data is read from
+    the latest partition directories only (``basePath`` keeps the partition
+    column), so old partitions are never listed again. Delta: the latest
+    value is a scalar subquery (a runtime partition filter).
     """
-
-    def __init__(self, spark: SparkSession, path: str, fmt: str, part: str | None, profile: Profile,
-                 discover: bool = False):
-        self.partition: Column | None = None
-        self.files = None
-        self.part = part
-        if fmt == PARQUET:
-            listing = file_src.list_files(spark, path, glob=None)
-            if listing is None:
-                raise FileNotFoundError(f"path does not exist: {path}")
-            if discover:
-                found = file_src.partition_columns(listing)
-                self.part = found[0] if found else None
-            restrict = bool(self.part) and profile.latest_partition
-            info = file_src.listing_summary(listing, self.part if restrict else None)
-            self.files = info["files"]
-            if restrict and info["dirs"]:
-                reader = spark.read.format(fmt).option("basePath", info["root"])
-                self.df = latest_partition(reader.load(info["dirs"]), self.part, info["latest"])
-                self.partition = F.lit(info["latest"])
-            else:
-                self.df = load_table(spark, path, fmt)
-                if restrict:  # partitioned layout, but no non-NULL partition value
-                    self.df = self.df.where(F.lit(False))
+    restrict = bool(part) and profile.latest_partition
+    partition = None
+    if fmt == PARQUET:
+        if restrict and info["dirs"]:
+            reader = spark.read.format(fmt).option("basePath", info["root"])
+            df = latest_partition(reader.load(info["dirs"]), part, info["latest"])
+            partition = F.lit(info["latest"])
         else:
-            self.df = load_table(spark, path, fmt)
-            if discover:
-                self.part = first_partition_column(spark, path, fmt)
-            if self.part and profile.latest_partition:
-                self.partition = latest_value(self.df, self.part)
-                self.df = latest_partition(self.df, self.part)
-        if self.part and profile.latest_partition and profile.drop_partition_column:
-            self.df = drop_columns(self.df, [self.part])
+            df = load_table(spark, path, fmt)
+            if restrict:  # partitioned layout, but no non-NULL partition value
+                df = df.where(F.lit(False))
+    else:
+        df = load_table(spark, path, fmt)
+        if restrict:
+            partition = latest_value(df, part)
+            df = latest_partition(df, part)
+    if restrict and profile.drop_partition_column:
+        df = drop_columns(df, [part])
+    return df, partition
 
 
 def pair_verdicts(
@@ -202,8 +186,10 @@ def pair_verdicts(
     """Lazy verdicts for one manifest row: ``[(scope, frame, format), ...]``.
 
     The old side's format and first partition column apply to every input
-    of the row. Raises on unreadable input; the runner turns that into an
-    error row.
+    of the row. For Parquet, one listing per input and one metadata job over
+    all of them give the file counts, the partition column and the latest
+    partition directories. Raises on unreadable input; the runner turns
+    that into an error row.
     """
     env, dag_id = row.get("env"), row.get("dag_id")
     scopes = [("current", row["gen1_path"], row["gen2_path"])]
@@ -216,24 +202,41 @@ def pair_verdicts(
             base_path = baseline_path_text(env, p1)
         else:
             base_path = p1.replace(BASELINE_MARKER, "")
-        gen1 = _Side(spark, p1, fmt, None, profile, discover=True)
-        part = gen1.part
-        gen2 = _Side(spark, p2, fmt, part, profile)
-        # the baseline is read for its schema only: restricted like the old
-        # side, so only its latest partition is listed; never scanned
-        base = gen1.df if base_path == p1 else _Side(spark, base_path, fmt, part, profile).df
+        paths = {"gen1": p1, "gen2": p2, "base": base_path}
+        infos = {k: None for k in paths}
+        if fmt == PARQUET:
+            listings = {}
+            for k, p in paths.items():
+                if k == "base" and p == p1:
+                    continue
+                listing = file_src.list_files(spark, p, glob=None)
+                if listing is None:
+                    raise FileNotFoundError(f"path does not exist: {p}")
+                listings[k] = listing
+            found = file_src.partition_columns(listings["gen1"])
+            part = found[0] if found else None
+            restrict = bool(part) and profile.latest_partition
+            infos.update(file_src.listing_summaries(listings, part if restrict else None))
+        else:
+            part = first_partition_column(spark, p1, fmt)
+        gen1_df, gen1_part = _restricted(spark, p1, fmt, part, infos["gen1"], profile)
+        gen2_df, gen2_part = _restricted(spark, p2, fmt, part, infos["gen2"], profile)
+        # the baseline is read for its schema only (restricted like the old
+        # side, so only its latest partition is listed); never scanned
+        base = gen1_df if base_path == p1 else _restricted(spark, base_path, fmt, part, infos["base"], profile)[0]
         files_status = NA
         if profile.check_files:
             if fmt == PARQUET:
-                files_status = PASSED if (gen1.files or 0) > 0 and (gen2.files or 0) > 0 else FAILED
+                both = infos["gen1"]["files"] > 0 and infos["gen2"]["files"] > 0
+                files_status = PASSED if both else FAILED
             else:
                 files_status = file_src.files_check(spark, p1, p2).first()["files_validation"]
         data_check = True
         if scope == "history" and profile.history_data_check == "if_partitioned":
             data_check = part is not None
         frame = verdict_frame(
-            gen1.df,
-            gen2.df,
+            gen1_df,
+            gen2_df,
             profile=profile,
             env=env,
             dag_id=dag_id,
@@ -243,10 +246,10 @@ def pair_verdicts(
             files_validation=files_status,
             data_check=data_check,
             scope=scope,
-            gen1_partition=gen1.partition,
-            gen2_partition=gen2.partition,
+            gen1_partition=gen1_part,
+            gen2_partition=gen2_part,
         )
-        out.append((scope, conform(frame), fmt))
+        out.append((scope, frame, fmt))  # already in ledger columns and types
     return out
 
 

@@ -108,6 +108,53 @@ def listing_summary(listing: DataFrame, column: str | None) -> dict:
     }
 
 
+def listing_summaries(listings: dict, column: str | None) -> dict:
+    """:func:`listing_summary` of several listings (``{label: listing}``) in one job.
+
+    Returns ``{label: {files, latest, dirs, root}}``; a label whose listing
+    holds no file gets zero files and no latest value.
+    """
+    is_data = F.col("path").endswith(".parquet").cast("int")
+    empty = {"files": 0, "latest": None, "dirs": [], "root": None}
+    if not listings:
+        return {}
+    if column is None:
+        parts = [lst.select(F.lit(label).alias("side"), is_data.alias("d")) for label, lst in listings.items()]
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        got = {r["side"]: r["files"] for r in u.groupBy("side").agg(F.sum("d").alias("files")).collect()}
+        return {label: dict(empty, files=got.get(label) or 0) for label in listings}
+    seg = re.escape(column)
+    parts = [
+        lst.select(
+            F.lit(label).alias("side"),
+            quoted(column).alias("value"),
+            F.regexp_extract(F.col("path"), rf"^(.*?/{seg}=[^/]*)/", 1).alias("dir"),
+            F.regexp_extract(F.col("path"), rf"^(.*?)/{seg}=", 1).alias("root"),
+            is_data.alias("d"),
+        )
+        for label, lst in listings.items()
+    ]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    per_value = u.groupBy("side", "value").agg(
+        F.collect_set("dir").alias("dirs"), F.first("root").alias("root"), F.sum("d").alias("files")
+    )
+    rows = per_value.groupBy("side").agg(
+        F.sum("files").alias("files"),
+        F.max("value").alias("latest"),
+        F.max_by("dirs", "value").alias("dirs"),
+        F.max_by("root", "value").alias("root"),
+    ).collect()
+    got = {
+        r["side"]: {"files": r["files"] or 0, "latest": r["latest"], "dirs": sorted(r["dirs"] or []), "root": r["root"]}
+        for r in rows
+    }
+    return {label: got.get(label, dict(empty)) for label in listings}
+
+
 def latest_partition_value(listing: DataFrame, column: str):
     """``max(column)`` over a listing: the latest partition value, read from metadata only."""
     return listing.agg(F.max(quoted(column))).first()[0]
