@@ -1,7 +1,7 @@
 """Command line: run a sweep, build the next manifest, report failures.
 
     python -m concord run      --manifest m.csv --ledger LEDGER [--profile final] [--history]
-                               [--concurrency 8] [--resume-on YYYY-MM-DD]
+                               [--concurrency 8] [--resume-on YYYY-MM-DD] [--method digest]
     python -m concord sweep    --ledger LEDGER --second-ledger LEDGER2 --out next.csv [--rules literal]
     python -m concord failures --ledger LEDGER --out failed.csv [--equal-sizes]
     python -m concord retry    --ledger LEDGER --out retry.csv
@@ -43,6 +43,7 @@ def main(argv=None) -> int:
     r.add_argument("--history", action="store_true")
     r.add_argument("--concurrency", type=int, default=4)
     r.add_argument("--resume-on")
+    r.add_argument("--method", default="exact", choices=["exact", "digest"])
     s = sub.add_parser("sweep")
     s.add_argument("--ledger", required=True)
     s.add_argument("--second-ledger", required=True)
@@ -60,8 +61,9 @@ def main(argv=None) -> int:
     spark = _session()
     if a.cmd == "run":
         manifest = read_manifest(spark, a.manifest, history=a.history)
+        profile = PROFILES[a.profile].with_(method=a.method)
         out = reconcile(
-            spark, manifest, PROFILES[a.profile], ledger_path=a.ledger, history=a.history,
+            spark, manifest, profile, ledger_path=a.ledger, history=a.history,
             concurrency=a.concurrency, resume_on=a.resume_on,
         )
         failed = out.where("except_validation = 'Failed' or count_validation = 'Failed'").count()

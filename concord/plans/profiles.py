@@ -55,6 +55,8 @@ class Profile:
     # "by_env": env 'dev' removes the dev pattern, others the marker text;
     # "marker": always the marker text
     baseline_rule: str = "by_env"
+    # "exact" (group by row values) or "digest" (group by a 128-bit row digest; for wide rows)
+    method: str = "exact"
 
     def with_(self, **kw) -> "Profile":
         return replace(self, **kw)

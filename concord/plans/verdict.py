@@ -58,6 +58,7 @@ def verdict_frame(
         ignore=profile.ignore_data,
         ignore_distinct=profile.ignore_distinct,
         align_by=profile.align_by,
+        method=profile.method,
     )
     if baseline is None:
         schema_status, schema_text = NA, None
