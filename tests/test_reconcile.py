@@ -131,6 +131,8 @@ def test_command_line_round_trip(spark):
     assert main(["failures", "--ledger", led, "--out", f"{root}/failed"]) == 0
     assert [r[0] for r in spark.read.csv(f"{root}/failed").collect()] == [f"{root}/lake2/orders"]
     assert main(["sweep", "--ledger", led, "--second-ledger", led, "--out", f"{root}/next"]) == 0
+    assert main(["retry", "--ledger", led, "--out", f"{root}/retry"]) == 0
+    assert [r[2] for r in spark.read.csv(f"{root}/retry").collect()] == [f"{root}/lake1/orders"]
     got = sorted(tuple(r) for r in spark.read.csv(f"{root}/next").collect())
     assert got == sorted([
         ("prod", "cust_weekly", f"{root}/lake1/cust", f"{root}/lake2/cust"),
