@@ -382,14 +382,16 @@ def diff_rows(
 
 
 def _spread_partitions(df: DataFrame) -> int:
-    """One partition per task slot of the cluster (at least the shuffle partition count)."""
+    """One partition per task slot of the cluster: a single wave of tasks.
+
+    Not the shuffle partition count, which is sized for whole tables and
+    would launch that many mostly empty tasks for a small difference.
+    """
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
-        n = max(n, spark.sparkContext.defaultParallelism)
+        return max(1, spark.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 - no SparkContext on a remote session
-        pass
-    return n
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def _contains_map(dtype: T.DataType) -> bool:
