@@ -217,7 +217,8 @@ def pair_verdicts(
             found = file_src.partition_columns(listings["gen1"])
             part = found[0] if found else None
             restrict = bool(part) and profile.latest_partition
-            infos.update(file_src.listing_summaries(listings, part if restrict else None))
+            if restrict or profile.check_files:  # otherwise no metadata job is needed
+                infos.update(file_src.listing_summaries(listings, part if restrict else None))
         else:
             part = first_partition_column(spark, p1, fmt)
         gen1_df, gen1_part = _restricted(spark, p1, fmt, part, infos["gen1"], profile)

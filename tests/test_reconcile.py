@@ -187,3 +187,13 @@ def test_lagging_partition_is_flagged(spark, tmp_path):
     # load_date is an ignored audit column, so the data check passes on two different days
     assert r["except_validation"] == "Passed"
     assert (r["gen1_partition"], r["gen2_partition"], r["partition_validation"]) == ("2024-01-02", "2024-01-01", "Failed")
+
+
+def test_whole_table_profile_without_file_check(spark, tmp_path):
+    root = str(tmp_path)
+    _lake(spark, root)
+    profile = FINAL.with_(latest_partition=False, check_files=False)
+    manifest = manifest_frame(spark, [("prod", "orders_daily", f"{root}/lake1/orders", f"{root}/lake2/orders")])
+    r = reconcile(spark, manifest, profile).first()
+    assert (r["gen1_count"], r["files_validation"], r["gen1_partition"]) == (1500, "NA", None)
+    assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (1, 1)
