@@ -24,9 +24,17 @@ from concord.operators.compare import (
 )
 from concord.operators.partition import latest_partition
 from concord.operators.schema import schema_check, schema_diff, schema_frame
+from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, PHASE4, Profile
+from concord.plans.reconcile import reconcile
 
 __all__ = [
+    "CURRENT_HISTORY",
+    "FINAL",
+    "PHASE2",
+    "PHASE4",
     "AlignmentError",
+    "Profile",
+    "reconcile",
     "align",
     "compare",
     "diff_counts",
