@@ -197,3 +197,32 @@ def test_whole_table_profile_without_file_check(spark, tmp_path):
     r = reconcile(spark, manifest, profile).first()
     assert (r["gen1_count"], r["files_validation"], r["gen1_partition"]) == (1500, "NA", None)
     assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (1, 1)
+
+
+def test_lineage_on_failed_delta_pair(spark, tmp_path, monkeypatch):
+    import json
+
+    from concord.plans import reconcile as runner
+    from concord.plans.verdict import verdict_frame
+
+    gen2 = tmp_path / "lake2" / "t"
+    (gen2 / "_delta_log").mkdir(parents=True)
+    commits = [{"commitInfo": {"timestamp": 1, "job": {"jobName": "load_t"}}},
+               {"commitInfo": {"timestamp": 2, "job": {"jobName": "Cloud Migration"}}}]
+    for v, c in enumerate(commits):
+        (gen2 / "_delta_log" / f"{v:020d}.json").write_text(json.dumps(c) + "\n")
+    a = spark.createDataFrame([(1,), (2,)], "k int")
+    b = spark.createDataFrame([(1,)], "k int")
+
+    def fake_pair_verdicts(spark_, row, profile, history):
+        frame = verdict_frame(a, b, profile=profile, env=row["env"], dag_id=row["dag_id"],
+                              gen1_path=row["gen1_path"], gen2_path=row["gen2_path"])
+        return [("current", frame, "delta")]
+
+    monkeypatch.setattr(runner, "pair_verdicts", fake_pair_verdicts)
+    row = {"env": "prod", "dag_id": "t_daily", "gen1_path": str(tmp_path / "lake1" / "t"), "gen2_path": str(gen2)}
+    (r,) = runner.check_pair(spark, row, FINAL)
+    got = dict(zip(ledger.LEDGER_COLUMNS, r))
+    assert got["except_validation"] == "Failed" and got["source_job"] == "[load_t]"
+    (r,) = runner.check_pair(spark, row, FINAL.with_(lineage=False))
+    assert dict(zip(ledger.LEDGER_COLUMNS, r))["source_job"] == "NA"
