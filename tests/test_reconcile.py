@@ -226,3 +226,15 @@ def test_lineage_on_failed_delta_pair(spark, tmp_path, monkeypatch):
     assert got["except_validation"] == "Failed" and got["source_job"] == "[load_t]"
     (r,) = runner.check_pair(spark, row, FINAL.with_(lineage=False))
     assert dict(zip(ledger.LEDGER_COLUMNS, r))["source_job"] == "NA"
+
+
+def test_read_manifest_file_with_history_fields(spark, tmp_path):
+    from concord.sources.manifest import manifest_text, read_manifest
+
+    p = tmp_path / "m.csv"
+    p.write_text("prod,a_daily,/l1/a,/l2/a,/l1/a_hist,/l2/a_hist\nnot a manifest line\ndev,b_daily,/l1/b,/l2/b,,\n")
+    m = read_manifest(spark, str(p), history=True)
+    got = sorted(tuple(r) for r in m.collect())
+    assert got == [("dev", "b_daily", "/l1/b", "/l2/b", "", ""),
+                   ("prod", "a_daily", "/l1/a", "/l2/a", "/l1/a_hist", "/l2/a_hist")]
+    assert sorted(r[0] for r in manifest_text(m).collect())[1] == "prod,a_daily,/l1/a,/l2/a,/l1/a_hist,/l2/a_hist"
