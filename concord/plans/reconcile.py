@@ -112,7 +112,7 @@ def reconcile(
     width = max(1, concurrency)
     in_flight: deque = deque()
     with ThreadPoolExecutor(max_workers=width) as pool:
-        for r in manifest.toLocalIterator():
+        for r in manifest.toLocalIterator(prefetchPartitions=True):
             in_flight.append(pool.submit(check_pair, spark, r.asDict(), profile, history))
             while len(in_flight) >= 2 * width:
                 collect(in_flight.popleft().result())
