@@ -60,9 +60,10 @@ def conform(df: DataFrame, keep=()) -> DataFrame:
 def append(verdicts: DataFrame, path: str) -> None:
     """Stamp ``ts`` and append to the ledger directory (Parquet).
 
-    Appending is a file-level add: a failed job leaves no partial files in
-    the ledger (Spark's commit protocol), so a rerun of the same batch is
-    the only repair needed, and the resume query makes reruns cheap.
+    Appending is a file-level add: with Spark's default commit protocol a
+    failed job leaves no partial files in the ledger, so a rerun of the
+    same batch is the only repair needed, and the resume query makes reruns
+    cheap. (Object stores need a committer with the same guarantee.)
     """
     (
         conform(verdicts)
