@@ -68,6 +68,11 @@ B_EMB = """b_emb as (
   select vec_id, embedding, case when vec_id % 9 = 0 then label + 1 else label end as label
   from embeddings where vec_id % 10 <> 0)"""
 
+PAGES_COLS = "page_id, url, html"
+B_PAGES = """b_pages as (
+  select page_id, url, case when page_id % 9 = 0 then html || chr(10) else html end as html
+  from pages where page_id % 13 <> 0)"""
+
 CONV_COLS = "conv_id, turn, role, text"
 B_CONV = """b_conv as (
   select conv_id, turn, role,
@@ -270,6 +275,10 @@ select * from verdicts""",
 select {DOCS_COLS}, 'left' as _side from (select {DOCS_COLS} from documents except all select {DOCS_COLS} from b_docs) l
 union all
 select {DOCS_COLS}, 'right' as _side from (select {DOCS_COLS} from b_docs except all select {DOCS_COLS} from documents) r""",
+        "compare_pages_digest": f"with {B_PAGES} {_six('pages', 'b_pages', PAGES_COLS)}",
+        "compare_documents_by_source_digest": f"""with {B_DOCS},
+{_six_by('documents', 'b_docs', 'source', DOCS_COLS)}
+select * from verdicts""",
         "compare_embeddings": f"with {B_EMB} {_six('embeddings', 'b_emb', EMB_COLS)}",
         "compare_conversations_by_conv": f"""with {B_CONV},
 {_six_by('conversations', 'b_conv', 'conv_id', CONV_COLS)}

@@ -87,6 +87,14 @@ def embeddings_b(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def pages_b(pages: DataFrame) -> DataFrame:
+    """Whole-page edits: a trailing newline on pages with id % 9 = 0, pages with id % 13 = 0 missing."""
+    k = F.col("page_id")
+    return pages.where(k % 13 != 0).withColumn(
+        "html", F.when(k % 9 == 0, F.concat(F.col("html"), F.lit("\n"))).otherwise(F.col("html"))
+    )
+
+
 def conversations_b(conversations: DataFrame) -> DataFrame:
     """Last character of every third turn of every fifth conversation dropped; turn 0 of id % 7 missing."""
     drop_last = (F.col("conv_id") % 5 == 0) & (F.col("turn") % 3 == 0)
@@ -208,6 +216,16 @@ def q_diff_documents_digest(spark, sf):
     return diff_rows(d, documents_b(d), method="digest")
 
 
+def q_compare_pages_digest(spark, sf):
+    p = table(spark, sf, "pages")
+    return compare(p, pages_b(p), method="digest")
+
+
+def q_compare_documents_by_source_digest(spark, sf):
+    d = table(spark, sf, "documents")
+    return compare(d, documents_b(d), by="source", method="digest")
+
+
 def q_compare_embeddings(spark, sf):
     e = table(spark, sf, "embeddings")
     return compare(e, embeddings_b(e))
@@ -416,6 +434,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_documents": q_compare_documents,
     "compare_documents_digest": q_compare_documents_digest,
     "diff_documents_digest": q_diff_documents_digest,
+    "compare_pages_digest": q_compare_pages_digest,
+    "compare_documents_by_source_digest": q_compare_documents_by_source_digest,
     "compare_embeddings": q_compare_embeddings,
     "compare_conversations_by_conv": q_compare_conversations_by_conv,
     "schema_diff": q_schema_diff,
