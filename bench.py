@@ -49,6 +49,7 @@ HEADLINE = {
     "compare_documents": workload.q_compare_documents,
     "compare_documents_digest": workload.q_compare_documents_digest,
     "diff_documents_digest": workload.q_diff_documents_digest,
+    "compare_pages_digest": workload.q_compare_pages_digest,
     "compare_embeddings": workload.q_compare_embeddings,
     "compare_conversations_by_conv": workload.q_compare_conversations_by_conv,
     "latest_partition_compare": workload.q_latest_partition_compare,
