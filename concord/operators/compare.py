@@ -62,6 +62,15 @@ def _by_names(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def _check_by(left: DataFrame, right: DataFrame, by: list[str]) -> None:
+    """Group keys must exist on both sides (case-insensitive)."""
+    for side, df in (("left", left), ("right", right)):
+        have = {c.lower() for c in df.columns}
+        missing = [b for b in by if b.lower() not in have]
+        if missing:
+            raise AlignmentError(f"group keys missing on the {side} side: {missing}")
+
+
 def _tagged(left: DataFrame, right: DataFrame, names) -> DataFrame:
     """Both sides in one frame, each row carrying (1, 0) or (0, 1)."""
     cols = [quoted(n) for n in names]
@@ -200,6 +209,7 @@ def compare(
     """
     _check_method(method)
     by = _by_names(by)
+    _check_by(left, right, by)
     lower_by = {b.lower() for b in by}
     ignore = [c for c in (ignore or ()) if c.lower() not in lower_by]
     ignore_distinct = ignore if ignore_distinct is None else [
@@ -264,6 +274,7 @@ def distinct_count_check(
     """
     _check_method(method)
     by = _by_names(by)
+    _check_by(left, right, by)
     pair = align(left, right, ignore, align_by)
     _check_internal(pair.names)
     group = [b.lower() if align_by == "name" else b for b in by]
@@ -287,6 +298,7 @@ def diff_counts(
     """Sizes of both multiset differences: ``gen1_except_gen2, gen2_except_gen1, except_validation``."""
     _check_method(method)
     by = _by_names(by)
+    _check_by(left, right, by)
     pair = align(left, right, ignore, align_by)
     _check_internal(pair.names)
     group = [b.lower() if align_by == "name" else b for b in by]

@@ -243,3 +243,10 @@ def test_digest_tells_null_positions_apart(spark):
     m_a = spark.createDataFrame([({"k": None, "j": 1},)], "m map<string,int>")
     m_b = spark.createDataFrame([({"k": 1, "j": None},)], "m map<string,int>")
     assert one(compare(m_a, m_b, method="digest"))["except_validation"] == "Failed"
+
+
+def test_missing_group_key_is_a_clear_error(spark):
+    a = spark.createDataFrame([(1, 2)], "g int, v int")
+    b = spark.createDataFrame([(2,)], "v int")
+    with pytest.raises(AlignmentError, match="group keys missing on the right side"):
+        compare(a, b, by="G")
