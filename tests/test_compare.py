@@ -250,3 +250,33 @@ def test_missing_group_key_is_a_clear_error(spark):
     b = spark.createDataFrame([(2,)], "v int")
     with pytest.raises(AlignmentError, match="group keys missing on the right side"):
         compare(a, b, by="G")
+
+
+def test_variant_columns_compare_through_json(spark):
+    a = spark.createDataFrame([(1, '{"x": 1, "y": [1, 2]}')], "k int, j string").selectExpr("k", "parse_json(j) as v")
+    b = spark.createDataFrame([(1, '{"x": 1, "y": [1, 2]}')], "k int, j string").selectExpr("k", "parse_json(j) as v")
+    c = spark.createDataFrame([(1, '{"x": 2}')], "k int, j string").selectExpr("k", "parse_json(j) as v")
+    assert one(compare(a, b))["except_validation"] == "Passed"
+    r = one(compare(a, c))
+    assert (r["gen1_except_gen2"], r["gen2_except_gen1"]) == (1, 1)
+
+
+grouped_rows = st.lists(st.tuples(st.sampled_from(["p", "q", None]), st.integers(0, 2)), max_size=12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=grouped_rows, right=grouped_rows)
+def test_grouped_compare_equals_per_group_actions(spark, left, right):
+    schema = "g string, v int"
+    a = spark.createDataFrame(left, schema)
+    b = spark.createDataFrame(right, schema)
+    got = {r["g"]: (r["gen1_count"], r["gen2_count"], r["gen1_distinct_count"], r["gen2_distinct_count"],
+                    r["gen1_except_gen2"], r["gen2_except_gen1"]) for r in compare(a, b, by="g").collect()}
+    keys = {x[0] for x in left} | {x[0] for x in right}
+    want = {}
+    for k in keys:
+        sel = F.col("g").isNull() if k is None else (F.col("g") == k)
+        x, y = a.where(sel), b.where(sel)
+        want[k] = (x.count(), y.count(), x.distinct().count(), y.distinct().count(),
+                   x.exceptAll(y).count(), y.exceptAll(x).count())
+    assert got == want
