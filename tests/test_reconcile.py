@@ -238,3 +238,14 @@ def test_read_manifest_file_with_history_fields(spark, tmp_path):
     assert got == [("dev", "b_daily", "/l1/b", "/l2/b", "", ""),
                    ("prod", "a_daily", "/l1/a", "/l2/a", "/l1/a_hist", "/l2/a_hist")]
     assert sorted(r[0] for r in manifest_text(m).collect())[1] == "prod,a_daily,/l1/a,/l2/a,/l1/a_hist,/l2/a_hist"
+
+
+def test_integer_partition_column(spark, tmp_path):
+    root = str(tmp_path)
+    o = spark.read.parquet(f"{SF001}/orders.parquet").withColumn("bucket", (F.col("o_orderkey") % 12).cast("int"))
+    o.write.partitionBy("bucket").parquet(f"{root}/lake1/b")
+    o.write.partitionBy("bucket").parquet(f"{root}/lake2/b")
+    manifest = manifest_frame(spark, [("prod", "b_daily", f"{root}/lake1/b", f"{root}/lake2/b")])
+    r = reconcile(spark, manifest, FINAL).first()
+    # numeric maximum (11), not the text maximum ("9")
+    assert (r["gen1_partition"], r["gen1_count"], r["except_validation"]) == ("11", 125, "Passed")

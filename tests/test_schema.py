@@ -31,3 +31,9 @@ def test_nullability_counts(spark):
     a = spark.createDataFrame([(1,)], "k int not null")
     b = spark.createDataFrame([(1,)], "k int")
     assert schema_check(a, b)[0] == "Failed"
+
+
+def test_nested_type_change_is_reported(spark):
+    a = spark.createDataFrame([((1, "x"),)], "s struct<p:int,q:string>")
+    b = spark.createDataFrame([((1, "x"),)], "s struct<p:bigint,q:string>")
+    assert rows(schema_diff(a, b)) == [("s", "struct<p:int,q:string>", True, "struct<p:bigint,q:string>", True)]
