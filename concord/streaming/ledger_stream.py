@@ -12,6 +12,7 @@ one; progress lives in a checkpoint under the cluster's shared
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,9 @@ def run_failure_report(
 ) -> None:
     """Append newly failing pairs to ``report_path`` (Parquet), processing all ledger files available now."""
     if checkpoint is None:
-        checkpoint = posixpath.join(ensure_checkpoint_dir(spark), "concord-failure-report")
+        # one checkpoint per report, under the cluster's shared checkpoint folder
+        key = hashlib.sha1(report_path.encode()).hexdigest()[:16]
+        checkpoint = posixpath.join(ensure_checkpoint_dir(spark), f"concord-failure-report-{key}")
     query = (
         failure_stream(spark, ledger_path, equal_sizes)
         .writeStream.format("parquet")
