@@ -9,6 +9,7 @@ one-pass compare rather than restating it.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -27,8 +28,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return workload.q_pair_verdict(spark, SMOKE_DIR)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage and the pipeline; empty where they are not installed."""
+    spec = importlib.util.find_spec("concord.llm")
+    if spec is None or spec.origin is None:
+        return {}, {}
+    import corpus_pipeline
+    from concord.llm import queries as llm
+
+    sql = dict(llm.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(workload.QUERIES)
+    return {**workload.QUERIES, **_llm()[0]}
 
 
 # ---------------------------------------------------------------- oracle SQL helpers
@@ -339,4 +354,4 @@ select 'Cloud Migration' as job_name union select job as job_name from commits w
 union all
 {_verdict_row(_six('lineitem', 'b_lineitem', LINEITEM_COLS), env='prod', dag='orders_daily', p1='/lake1/lineitem_hist', p2='/lake2/lineitem_hist', schema='Passed', scope='history', e_override=True)}""",
     }
-    return sql
+    return {**sql, **_llm()[1]}
