@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe
+from concord.llm import bpe, simhash
 from concord.llm.store import import_path
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -32,8 +32,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_simhash": op4_simhash,
 }
 
 ORACLES: dict[str, str] = {}
