@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, simhash
+from concord.llm import bpe, embedding_dedup, simhash, topk
 from concord.llm.store import import_path
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -37,9 +37,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.expr("id % 50 = 0"), k=5, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
+    "op10_topk": op10_topk,
 }
 
 ORACLES: dict[str, str] = {}
