@@ -187,19 +187,39 @@ class MergeAutomaton:
                 arc, seek = shorter[arc], False
 
 
-class Codec:
+def _spec(vocabulary: str) -> tuple[dict, dict[str, int], dict[int, bytes]]:
+    """The vocabulary file, its special strings, and the labels of its other tokens."""
+    spec, back = json.loads(vocabulary), byte_alphabet()
+    model = spec["model"]
+    if model["type"] != "BPE" or spec.get("normalizer") or spec["pre_tokenizer"]["type"] != "ByteLevel":
+        raise ValueError("a byte-level BPE vocabulary without a normalizer is needed")
+    special = {x["content"]: x["id"] for x in spec.get("added_tokens") or ()}
+    return spec, special, {i: bytes(back[c] for c in s) for s, i in model["vocab"].items() if s not in special}
+
+
+class Decoder:
+    """The arc labels by id; all that decoding needs."""
+
+    def __init__(self, vocabulary: str):
+        _, special, labels = _spec(vocabulary)
+        self.labels = [b""] * (max([*labels, *special.values()]) + 1)
+        for i, label in [*labels.items(), *((i, s.encode()) for s, i in special.items())]:
+            self.labels[i] = label
+
+    def decode(self, ids) -> str:
+        """The text of ``ids``: their labels in turn; bytes that are no UTF-8 become U+FFFD."""
+        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
+
+
+class Codec(Decoder):
     """Vocabulary file, pre-splitting, special strings and the automaton together."""
 
     def __init__(self, vocabulary: str):
         import regex
 
-        spec = json.loads(vocabulary)
-        model, back = spec["model"], byte_alphabet()
-        if model["type"] != "BPE" or spec.get("normalizer") or spec["pre_tokenizer"]["type"] != "ByteLevel":
-            raise ValueError("a byte-level BPE vocabulary without a normalizer is needed")
-        vocab = model["vocab"]
-        special = {x["content"]: x["id"] for x in spec.get("added_tokens") or ()}
-        labels = {i: bytes(back[c] for c in s) for s, i in vocab.items() if s not in special}
+        super().__init__(vocabulary)
+        spec, special, labels = _spec(vocabulary)
+        model, vocab = spec["model"], spec["model"]["vocab"]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.automaton = MergeAutomaton(labels, merges)
@@ -213,11 +233,6 @@ class Codec:
             .replace(r" ?\p{L}", rf" ?[\p{{L}}--[{newer}]]").replace(r" ?\p{N}", rf" ?[\p{{N}}--[{newer}]]")
         ).findall
         self._joint = regex.compile(r"\s (?!\S)").search
-        self.labels = [b""] * (max([*labels, *special.values()]) + 1)
-        for i, label in labels.items():
-            self.labels[i] = label
-        for s, i in special.items():
-            self.labels[i] = s.encode()
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -267,22 +282,22 @@ class Codec:
         out += [get(c) or piece(c) for c in [" " + c for c in rest]]
         return b"".join(out)
 
-    def decode(self, ids) -> str:
-        """The text of ``ids``: their labels in turn; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
+_MADE: dict[tuple[type, str], Decoder] = {}
 
-_CODECS: dict[str, Codec] = {}
 
-
-def codec(vocabulary: str) -> Codec:
+def _once(kind: type, vocabulary: str):
     """The compiled vocabulary, once per Python worker."""
-    key = hashlib.sha256(vocabulary.encode()).hexdigest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(vocabulary)
+    key = kind, hashlib.sha256(vocabulary.encode()).hexdigest()
+    if key not in _MADE:
+        _MADE.clear()
+        _MADE[key] = kind(vocabulary)
         gc.freeze()  # the tables stay; without this each full collection walks them
-    return _CODECS[key]
+    return _MADE[key]
+
+
+def codec(vocabulary: str) -> Codec:
+    return _once(Codec, vocabulary)
 
 
 def read_vocabulary(path: str) -> str:
@@ -349,7 +364,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", out_col: s
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = codec(vocabulary.value)
+        book = _once(Decoder, vocabulary.value)
         size = len(book.labels)
         for batch in batches:
             for part in _slices(batch, ids_col):

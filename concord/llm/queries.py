@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, simhash, topk
+from concord.llm import bpe, embedding_dedup, mixing, simhash, topk, url_filter
 from concord.llm.store import import_path
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -42,6 +42,35 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+# Host, path and verdict of the rules that op7 applies.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+OP7_SQL = f"""with rules(host, path, verdict) as (values {", ".join(str(r) for r in URL_RULES)}),
+p as (
+  select page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{url_filter.UPPER}', '{url_filter.LOWER}') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+fits as (
+  select p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) as rule,
+    arg_max(r.verdict, length(r.host || r.path)) as verdict
+  from p join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+  group by p.page_id)
+select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdict
+from p left join fits f on f.page_id = p.page_id"""
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", *mixing.COLUMNS)
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.expr("id % 50 = 0"), k=5, scale=256)
 
@@ -50,7 +79,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
+    "op7_url_filter": op7_url_filter,
+    "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_url_filter": OP7_SQL,
+}
