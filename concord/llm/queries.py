@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, simhash, topk, url_filter
+from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, topk, url_filter
 from concord.llm.store import import_path
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -66,6 +66,13 @@ select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdic
 from p left join fits f on f.page_id = p.page_id"""
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = simple8b.by_id(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    files = simple8b.write(simple8b.library_ids(docs, BYTE_BPE, end_id=0))
+    read = simple8b.read(files)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", *mixing.COLUMNS)
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
     "op7_url_filter": op7_url_filter,
+    "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
