@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, topk, url_filter
+from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, topk, url_filter, warc
 from concord.llm.store import import_path
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -42,6 +42,22 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(warc.chunks(warc.records(_table(spark, sf_dir, "pages"), min_bytes=1000)))
+    return warc.read(files).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest,
+    coalesce(html, '') as payload
+  from pages),
+g as (select payload, max(page_id) as first from p where payload_bytes >= 1000 group by payload)
+select p.page_id, cast(p.payload_bytes as bigint) as payload_bytes, p.payload_digest,
+  case when g.first <> p.page_id then 'revisit' else 'response' end as record_type,
+  case when g.first <> p.page_id then g.first end as refers_to
+from p left join g on g.payload = p.payload and p.payload_bytes >= 1000"""
+
+
 # Host, path and verdict of the rules that op7 applies.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -86,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
+    "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
@@ -93,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_warc": OP6_SQL,
     "op7_url_filter": OP7_SQL,
 }

@@ -329,7 +329,7 @@ def write(ordered: DataFrame) -> DataFrame:
             for doc_id, ids in zip(batch.column("id").to_pylist(), batch.column("ids"), strict=True):
                 if writer is None:
                     fs.create_dir(base, recursive=True)
-                    stream = fs.open_output_stream(f"{base}/{name}")
+                    stream = fs.open_output_stream(f"{base}/{name}", compression=None)
                     writer = Writer(stream)
                 data = ids.as_buffer()
                 writer.add(doc_id, np.frombuffer(data, "<u4") if data is not None else np.empty(0, "<u4"))
