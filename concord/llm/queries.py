@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, topk, url_filter, warc
-from concord.llm.store import import_path
+from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, token_rollup, topk, url_filter, warc
+from concord.llm.store import import_path, new_folder
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -42,6 +42,43 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all documents, delete some, revise some, move one language to a new tokenizer version, replay."""
+    docs, count = _table(spark, sf_dir, "documents"), token_rollup.TOKENIZERS
+    text, rows = F.col("text"), token_rollup.signed
+    state = token_rollup.Rollup(spark, new_folder(spark, "token-rollup"))
+    load = rows(docs, 1, "words-1", count["words-1"](text)).unionByName(rows(docs, 1, "bytes-1", count["bytes-1"](text)))
+    state.apply("load", load)
+    gone = docs.where("doc_id % 17 = 3")
+    retire = rows(gone, -1, "words-1", count["words-1"](text)).unionByName(rows(gone, -1, "bytes-1", count["bytes-1"](text)))
+    state.apply("retire", retire)
+    there = docs.where("coalesce(doc_id % 17 <> 3, true)")
+    revised, now = there.where("doc_id % 7 = 1"), F.concat(text, F.lit(" as revised, twice: "), text)
+    for name, tokens in (("words-1", count["words-1"]), ("bytes-1", count["bytes-1"])):
+        state.apply(f"revise-{name}", rows(revised, -1, name, tokens(text)).unionByName(rows(revised, 1, name, tokens(now))))
+    german = there.where("lang = 'de'").withColumn("text", F.when(F.col("doc_id") % 7 == 1, now).otherwise(text))
+    upgrade = rows(german, -1, "words-1", count["words-1"](text)).unionByName(rows(german, 1, "words-2", count["words-2"](text)))
+    state.apply("upgrade-de", upgrade)
+    state.apply("retire", retire)  # replayed: no effect
+    state.compact()
+    state.apply("upgrade-de", upgrade)
+    return state.totals()
+
+
+OP5_SQL = f"""with d as (select source, lang, doc_id, coalesce(text, '') as text from documents where coalesce(doc_id % 17 <> 3, true)),
+r as (
+  select source, lang,
+    case when doc_id % 7 = 1 then text || ' as revised, twice: ' || text else text end as text from d),
+t as (
+  select source, lang, 'bytes-1' as tokenizer, octet_length(encode(text)) as n from r
+  union all
+  select source, lang, 'words-1', len(regexp_extract_all(text, '{token_rollup.WORDS_1}')) from r where coalesce(lang <> 'de', true)
+  union all
+  select source, lang, 'words-2', len(regexp_extract_all(text, '{token_rollup.WORDS_2}')) from r where lang = 'de')
+select source, lang, tokenizer, count(*) as n_docs, cast(sum(n) as bigint) as n_tokens
+from t group by source, lang, tokenizer"""
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write(warc.chunks(warc.records(_table(spark, sf_dir, "pages"), min_bytes=1000)))
     return warc.read(files).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -102,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
+    "op5_token_rollup": op5_token_rollup,
     "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_token_ids": op8_token_ids,
@@ -110,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_token_rollup": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op7_url_filter": OP7_SQL,
 }
