@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, token_rollup, topk, url_filter, warc
+from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
 from concord.llm.store import import_path, new_folder
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -32,6 +32,20 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOXIC_FROM = 0.7
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, out_col="score").select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
@@ -138,6 +152,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_token_rollup": op5_token_rollup,
     "op6_warc": op6_warc,
