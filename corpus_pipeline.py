@@ -1,12 +1,79 @@
-"""The corpus pipeline: toxicity filter, near-duplicates, mixing, tokenisation."""
+"""The corpus pipeline: ``documents`` to token ids, in four stages.
+
+``STAGES`` are (name, function) pairs; each function takes (spark, docs,
+sf_dir) and returns a DataFrame that is written as Parquet and read again as
+the next one's ``docs``. All but the last return the columns of ``documents``.
+
+1. ``toxicity``: documents with a score of ``TOXIC_FROM`` or more go. The model
+   is trained on the labelled documents of the stage's input.
+2. ``simhash``: of each group of near-duplicates the smallest doc_id stays.
+3. ``mixing``: every document stays; the files hold them in the order that
+   gives each source its target weight.
+4. ``bpe``: token ids of whole texts, and the digest of what they decode to.
+   ``mix_file`` and ``mix_row`` are a document's place in the order that stage 3
+   left (null where the input is no Parquet table).
+
+Null and empty texts pass all stages; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from concord.llm import bpe, mixing, simhash, toxicity
+from concord.llm.queries import BYTE_BPE, TOXIC_FROM
+from concord.llm.store import import_path, new_folder
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, model, out_col="__toxicity")
+    return scored.where(F.col("__toxicity") < TOXIC_FROM).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs, shingle=4, max_bits=4).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.in_order(mixing.mix(docs)).select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = ["doc_id", "lang", "source"]
+    try:
+        placed = docs.select(
+            *kept,
+            "text",
+            F.concat_ws("-", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1), F.regexp_extract("_metadata.file_name", r"-(c\d+)\.", 1)).alias("mix_file"),
+            F.col("_metadata.row_index").alias("mix_row"),
+        )
+    except AnalysisException:
+        placed = docs.select(*kept, "text", F.lit(None).cast("string").alias("mix_file"), F.lit(None).cast("long").alias("mix_row"))
+    decoded = bpe.decode(bpe.encode(placed, BYTE_BPE, keep_text=False), BYTE_BPE)
+    digest = F.sha2("decoded", 256).alias("decoded_sha256")
+    return decoded.select(*kept, "mix_file", "mix_row", F.size("ids").cast("long").alias("n_tokens"), "ids", digest)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("bpe", tokenize),
+]
 
-STAGES: list = []
+#: No SQL for a trained model, xxHash fingerprints and BPE: tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; each but the last is written to the shared folder and read again."""
+    import_path(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = new_folder(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
