@@ -135,7 +135,7 @@ from p left join fits f on f.page_id = p.page_id"""
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = simple8b.by_id(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    files = simple8b.write(simple8b.library_ids(docs, BYTE_BPE, end_id=0))
+    files = simple8b.write(docs, simple8b.library(spark, BYTE_BPE, end_id=0))
     read = simple8b.read(files)
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

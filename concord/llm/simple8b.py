@@ -23,14 +23,16 @@ one document's ids may span blocks and segments.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concord.llm.bpe import read_vocabulary
+from concord.llm.bpe import _slices, read_vocabulary
 from concord.llm.store import import_path, new_folder, open_folder, written
 
 MAGIC = b"CNCRD8B\x01"
@@ -39,59 +41,75 @@ COUNTS = tuple(60 // w for w in WIDTHS)
 ESCAPE = 15
 BLOCK = 1024
 SEGMENT = 1 << 19  # ids
+_STEP = np.array([*COUNTS, 0, 1])
+_LENGTH = np.array([x.bit_length() for x in range(1 << 16)], np.int8)
 _PLACE = np.dtype([("at", "<u8"), ("first", "<u8"), ("blocks", "<u4"), ("zero", "<u4")])
 _DOC = np.dtype([("id", "<i8"), ("n", "<u8"), ("null", "u1")])
 
 
 def _bits(ids: np.ndarray) -> np.ndarray:
-    """Bit lengths, at least 1; 61 stands for all above 60."""
-    out = np.ones(ids.shape, np.int8)
-    for w in (*WIDTHS, 61):
-        lower = WIDTHS[WIDTHS.index(w) - 1] if w in WIDTHS and w > 1 else (60 if w == 61 else 0)
-        if w > 1:
-            out[ids >= np.uint64(1 << lower)] = w
+    """Bit lengths (0 for id 0); 61 stands for all above 60."""
+    high = int(ids.max()) if ids.size else 0
+    if high < len(_LENGTH):
+        return _LENGTH[ids]
+    out = np.zeros(ids.shape, np.int8)
+    for w in range(min(61, high.bit_length())):
+        out += ids >= np.uint64(1 << w)
     return out
 
 
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """For each place the selector with most ids, all of which fit. Places behind the end fit everywhere."""
+    selector = np.full(bits.shape, ESCAPE, np.uint8)
+    widest, have = bits.copy(), 1  # the longest of the next ``have`` ids
+    for s in range(len(WIDTHS) - 1, -1, -1):
+        if (shift := COUNTS[s] - have) > 0:
+            np.maximum(widest[:, :-shift], widest[:, shift:], out=widest[:, :-shift])
+            have = COUNTS[s]
+        selector[widest <= WIDTHS[s]] = s
+    return selector
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(block table, words, escapes) of unsigned 64-bit ``ids``; escapes stand block after block."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    grid = np.zeros((blocks, BLOCK), "<u8")
-    grid.reshape(-1)[:n] = ids
+    row = BLOCK + COUNTS[0]  # a block and zeros behind it
+    grid = np.zeros((blocks, row), "<u8")
+    whole = n // BLOCK
+    grid[:whole, :BLOCK] = ids[: whole * BLOCK].reshape(whole, BLOCK)
+    grid[whole:, : n - whole * BLOCK] = ids[whole * BLOCK :]
     size = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
-    bits = _bits(grid)
-    # places behind the last id count as zeros, which fit everywhere
-    at = np.arange(BLOCK, dtype=np.int16)
-    selector = np.full((blocks, BLOCK), ESCAPE, np.uint8)
-    for s in range(len(WIDTHS) - 1, -1, -1):
-        misfit = np.where(bits > WIDTHS[s], at, np.int16(2 * BLOCK))
-        ahead = np.minimum.accumulate(misfit[:, ::-1], axis=1)[:, ::-1] - at
-        selector[ahead >= COUNTS[s]] = s
-    step = np.array([*COUNTS, 0, 1])[selector]
-    taken = np.zeros((blocks, BLOCK), bool)
-    here, live = np.zeros(blocks, np.int64), np.arange(blocks)
-    while len(live):
-        taken[live, here[live]] = True
-        here[live] += step[live, here[live]]
-        live = live[here[live] < size[live]]
-    block, place = np.nonzero(taken)
-    kinds = selector[block, place]
+    selector = _selectors(_bits(grid)).reshape(-1)
+    step = _STEP[selector]
+    taken = np.zeros(blocks * row, bool)
+    here = np.arange(blocks) * row
+    end = here + size
+    while len(here):
+        taken[here] = True
+        here = here + step[here]
+        live = here < end
+        here, end = here[live], end[live]
+    place = np.flatnonzero(taken)
+    kinds, values = selector[place], grid.reshape(-1)
     words = kinds.astype("<u8") << np.uint64(60)
-    padded = np.concatenate([grid, np.zeros((blocks, 60), "<u8")], axis=1)
-    for s in np.unique(kinds):
-        rows = np.flatnonzero(kinds == s)
+    for s in np.unique(kinds).tolist():
         if s == ESCAPE:
             continue
-        for k in range(COUNTS[s]):
-            words[rows] |= padded[block[rows], place[rows] + k] << np.uint64(k * WIDTHS[s])
+        rows = np.flatnonzero(kinds == s)
+        at = place[rows]
+        packed = values[at]
+        for k in range(1, COUNTS[s]):
+            packed |= values[at + k] << np.uint64(k * WIDTHS[s])
+        words[rows] |= packed
+    block = place // row
     escaped = kinds == ESCAPE
     per_block = np.bincount(block[escaped], minlength=blocks)
     if escaped.any():
         own = np.arange(escaped.sum()) - np.repeat(np.cumsum(per_block) - per_block, per_block)
         words[escaped] |= own.astype("<u8")
     table = np.stack([size, np.bincount(block, minlength=blocks), per_block], axis=1).astype("<u4")
-    return table, words, grid[block[escaped], place[escaped]]
+    return table, words, values[place[escaped]]
 
 
 def unpack(table: np.ndarray, words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
@@ -99,7 +117,7 @@ def unpack(table: np.ndarray, words: np.ndarray, escapes: np.ndarray) -> np.ndar
     size, n_words, n_escapes = (table[:, k].astype(np.int64) for k in range(3))
     block = np.repeat(np.arange(len(table)), n_words)
     kinds = (words >> np.uint64(60)).astype(np.int64)
-    counts = np.array([*COUNTS, 0, 1])[kinds]
+    counts = _STEP[kinds]
     first = np.cumsum(counts) - counts
     first -= np.repeat(first[np.cumsum(n_words) - n_words], n_words)  # place inside the block
     left = size[block] - first
@@ -226,7 +244,7 @@ class LibraryCodec:
     and gives the same ids.
     """
 
-    KEPT, LONGEST = 1 << 18, 48
+    KEPT, LONGEST = 1 << 19, 48
 
     def __init__(self, vocabulary: str):
         import os
@@ -241,83 +259,94 @@ class LibraryCodec:
         if any(" " in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
             raise ValueError("a special token that holds a space could be cut")
         self._joint = re.compile(r"\s (?!\S)").search
-        self._apart = re.compile(r"(?<=\S)(?= \S)").split
-        self.known: dict[str, bytes] = {}
+        self._apart = re.compile(r"(?<=\S) (?=\S)").split
+        self.known: dict[str, bytes] = {}  # pieces as they stand after a space
         self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        if self._joint(text):
-            return self._apart(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + r for r in rest]
+    def _library(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 1 << 14):
+            some = self.tokenizer.encode_batch_fast(texts[at : at + (1 << 14)], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in some]
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of ``" " + piece``; a mark behind a letter is a word of its own and is cut off first."""
+        bare, marked = [], []
+        for p in pieces:
+            if p[-1:] in _MARKS and p[-2:-1].isalpha():
+                marked.append(p)
+            else:
+                bare.append(p)
+        stems = {p[:-1] for p in marked} - self.known.keys()
+        stems.difference_update(bare)
+        asked = []
+        for p in [*bare, *stems]:
+            if (ids := self.older.get(p)) is None:
+                asked.append(p)
+            else:
+                self.known[p] = ids
+        self.known.update(zip(asked, self._library([" " + p for p in asked]), strict=True))
+        if len(self.marks) < len(_MARKS):
+            self.marks = dict(zip(_MARKS, self._library([*_MARKS]), strict=True))
+        for p in marked:
+            self.known[p] = self.known[p[:-1]] + self.marks[p[-1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as packed little-endian 32-bit numbers."""
-        cut = [self.pieces(t) if t else [] for t in texts]
-        here: dict[str, bytes] = {}
-        known, older = self.known, self.older
-        wanted = {p for c in cut for p in c if p not in known}
-        missing = []
-        for p in wanted:
-            if (ids := older.get(p)) is not None:
-                here[p] = ids
-            else:
-                missing.append(p)
-        for at in range(0, len(missing), 1 << 14):
-            some = missing[at : at + (1 << 14)]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                here[p] = np.array(e.ids, "<u4").tobytes()
-        get = here.get
-        out = [b"".join([known[p] if p in known else get(p) for p in c]) for c in cut]
-        if len(known) >= self.KEPT:
-            self.known, self.older = {}, known
-        self.known.update((p, ids) for p, ids in here.items() if len(p) <= self.LONGEST)
+        cut = [(self._apart(t) if self._joint(t) else t.split(" ")) if t else [""] for t in texts]
+        first = self._library([c[0] for c in cut])
+        rest = [c[1:] for c in cut]
+        if len(self.known) >= self.KEPT:
+            self.known, self.older = {}, self.known
+        new = set(chain.from_iterable(rest)) - self.known.keys()
+        self._learn([*new])
+        long = [p for p in new if len(p) > self.LONGEST]
+        get = self.known.__getitem__
+        out = [a + b"".join(map(get, c)) for a, c in zip(first, rest, strict=True)]
+        for p in long:
+            del self.known[p]
         return out
 
 
+_MARKS = ".,;:!?"
 _LIBRARY: dict[str, LibraryCodec] = {}
+Encoder = Callable[[list[str | None]], list[bytes]]
 
 
-def library_ids(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = 0) -> DataFrame:
-    """``(id, ids binary)``: the whole texts' ids by the tokenizers library, as 32-bit numbers.
-
-    ``end_id`` is appended to each document (None: nothing). A null text counts as empty.
-    """
-    from concord.llm.bpe import _slices
-
-    spark = docs.sparkSession
-    import_path(spark)
+def library(spark: SparkSession, vocabulary_path: str, end_id: int | None = 0) -> Callable[[], Encoder]:
+    """For :func:`write`: the tokenizers library's ids, with ``end_id`` (None: nothing) behind each document."""
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make() -> Encoder:
         if vocabulary.value not in _LIBRARY:
             _LIBRARY.clear()
             _LIBRARY[vocabulary.value] = LibraryCodec(vocabulary.value)
         encode = _LIBRARY[vocabulary.value].encode
-        for batch in batches:
-            for part in _slices(batch, "text", 1 << 22):
-                ids = [x + end for x in encode(part.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
+        return lambda texts: [ids + end for ids in encode(texts)]
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "id long, ids binary")
+    return make
 
 
 # ------------------------------------------------------------------ files
 
 
-def write(ordered: DataFrame) -> DataFrame:
-    """Write ``ordered(id, ids binary of 32-bit numbers)``, one file per partition; returns the manifest.
+def write(ordered: DataFrame, encoder: Callable[[], Encoder] | None = None, id_col: str = "doc_id", value_col: str = "text") -> DataFrame:
+    """Write ``ordered``, one file per partition; returns the manifest.
 
-    ``ordered``: ascending ids over the partitions in order (see
-    :func:`by_id`). The manifest ``(part, file, n_docs, n_ids, first_id)`` is a
-    table in the shared folder: a task that is run again writes a file of
-    another name, and only the files that the manifest names are read.
+    ``value_col`` holds texts for ``encoder`` (see :func:`library`; null counts
+    as empty) or, without one, binary ids as 32-bit little-endian numbers.
+    ``ordered``: ascending ids over the partitions in order (see :func:`by_id`).
+    The manifest ``(part, file, n_docs, n_ids, first_id)`` is a table in the
+    shared folder: a task that is run again writes a file of another name, and
+    only the files that the manifest names are read.
     """
     spark = ordered.sparkSession
     import_path(spark)
     folder = new_folder(spark, "token-ids")
+    narrow = ordered.select(F.col(id_col).cast("long").alias("id"), F.col(value_col).cast("string" if encoder else "binary").alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -325,14 +354,15 @@ def write(ordered: DataFrame) -> DataFrame:
         part, writer, stream = TaskContext.get().partitionId(), None, None
         fs, base = open_folder(folder)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.s8b"
+        encode = encoder() if encoder else (lambda values: [v or b"" for v in values])
         for batch in batches:
-            for doc_id, ids in zip(batch.column("id").to_pylist(), batch.column("ids"), strict=True):
+            for some in _slices(batch, "value", 1 << 22):
                 if writer is None:
                     fs.create_dir(base, recursive=True)
                     stream = fs.open_output_stream(f"{base}/{name}", compression=None)
                     writer = Writer(stream)
-                data = ids.as_buffer()
-                writer.add(doc_id, np.frombuffer(data, "<u4") if data is not None else np.empty(0, "<u4"))
+                for doc_id, ids in zip(some.column("id").to_pylist(), encode(some.column("value").to_pylist()), strict=True):
+                    writer.add(doc_id, np.frombuffer(ids, "<u4"))
         if writer is not None:
             writer.close()
             stream.close()
@@ -340,7 +370,7 @@ def write(ordered: DataFrame) -> DataFrame:
                 {"part": pa.array([part], pa.int32()), "file": [f"{folder}/{name}"], "n_docs": [len(writer.docs)], "n_ids": [writer.total]}
             )
 
-    files = written(ordered.mapInArrow(run, "part int, file string, n_docs long, n_ids long"), "token-files")
+    files = written(narrow.mapInArrow(run, "part int, file string, n_docs long, n_ids long"), "token-files")
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return files.withColumn("first_id", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).cast("long"))
 

@@ -78,14 +78,16 @@ def test_files_of_odd_rows(spark, monkeypatch):
     texts = [None, "", "a  b \n c", " x", "the <|endoftext|> end  ", "word " * 9000, "é漢😀 \x85 z", "tie", "tie"]
     rows = [(k if k < 8 else 7, t, "x") for k, t in enumerate(texts)] + [(None, "no id", "y")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
-    files = simple8b.write(simple8b.library_ids(simple8b.by_id(df), BYTE_BPE))
+    files = simple8b.write(simple8b.by_id(df), simple8b.library(spark, BYTE_BPE))
     got = sorted(simple8b.read(files).collect(), key=lambda r: r.start)
     at = 0
     for r, (i, t, _) in zip(got, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)), strict=True):
         want = np.array(library.encode(t or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
         assert (r.id, r.start, r.n_tokens, zlib.crc32(r.ids)) == (i, at, len(want) // 4, zlib.crc32(want))
         at += len(want) // 4
-    assert simple8b.read(simple8b.write(simple8b.library_ids(simple8b.by_id(df.limit(0)), BYTE_BPE))).collect() == []
+    assert simple8b.read(simple8b.write(simple8b.by_id(df.limit(0)), simple8b.library(spark, BYTE_BPE))).collect() == []
+    raw = spark.createDataFrame([(2, b"\x01\x00\x00\x00"), (3, None)], "k long, v binary").coalesce(1)
+    assert [tuple(r) for r in simple8b.read(simple8b.write(raw, None, "k", "v")).orderBy("id").collect()] == [(2, 0, 1, b"\x01\x00\x00\x00"), (3, 1, 0, b"")]
 
 
 def test_pieces_give_the_ids_of_whole_texts():
@@ -94,7 +96,9 @@ def test_pieces_give_the_ids_of_whole_texts():
     library = Tokenizer.from_file(BYTE_BPE)
     codec = simple8b.LibraryCodec(library.to_str())
     rng = random.Random(4)
-    parts = ["a", "the", " ", "  ", "\n", "\t", "'s", "é", "!!", "1", "漢", "<|endoftext|>", " ", "\x1c", "\x85"]
+    parts = ["a", "the", "it's", ".", ",", "?!", "é,", "1.", " ", " ", "  ", "\n", "\t", "'s", "é", "!!", "1", "漢", "<|endoftext|>", " ", "\x1c", "\x85"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
-    for t, ids in zip(texts, codec.encode(texts), strict=True):
+    codec.KEPT = 500  # older generations are looked up as well
+    packed = [ids for at in range(0, len(texts), 100) for ids in codec.encode(texts[at : at + 100])]
+    for t, ids in zip(texts, packed, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
