@@ -44,8 +44,8 @@ def drop_columns(df: DataFrame, names) -> DataFrame:
     return df.select(*[quoted(c) for c in keep])
 
 
-def aligned_names(left: DataFrame, right: DataFrame, ignore=(), how: str = "name") -> tuple[str, ...]:
-    """The names :func:`align` would give, from the schemas alone (no plan is built)."""
+def aligned_pairs(left: DataFrame, right: DataFrame, ignore=(), how: str = "name") -> tuple[tuple[str, str], ...]:
+    """(result name, right column) of every pair :func:`align` would make, from the schemas alone."""
     gone = {n.lower() for n in (ignore or ())}
     lcols = [c for c in left.columns if c.lower() not in gone]
     rcols = [c for c in right.columns if c.lower() not in gone]
@@ -57,19 +57,42 @@ def aligned_names(left: DataFrame, right: DataFrame, ignore=(), how: str = "name
             raise AlignmentError(
                 f"column sets differ: left only {sorted(lset - rset)}, right only {sorted(rset - lset)}"
             )
-        return tuple(sorted(lset))
+        return tuple((n, n) for n in sorted(lset))
     if how == "position":
         if len(lcols) != len(rcols):
             raise AlignmentError(f"column counts differ: left {len(lcols)}, right {len(rcols)}")
-        return tuple(lcols)
+        return tuple(zip(lcols, rcols))
     raise ValueError(f"unknown alignment {how!r}; use 'name' or 'position'")
 
 
+def contains(dtype: T.DataType, kind: type) -> bool:
+    """Whether ``dtype`` is of ``kind`` or holds such values, at any depth."""
+    if isinstance(dtype, kind):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return contains(dtype.elementType, kind)
+    if isinstance(dtype, T.MapType):
+        return contains(dtype.keyType, kind) or contains(dtype.valueType, kind)
+    if isinstance(dtype, T.StructType):
+        return any(contains(f.dataType, kind) for f in dtype.fields)
+    return False
+
+
 def _comparable(col: Column, dtype: T.DataType) -> Column:
-    # VARIANT cannot be grouped on; its JSON text is a faithful stand-in.
+    """VARIANT values, which cannot be grouped on, as text: their types, then their JSON.
+
+    The JSON alone is not enough: a date and a string look alike in it.
+    """
+    if not contains(dtype, T.VariantType):
+        return col
     if isinstance(dtype, T.VariantType):
-        return F.to_json(col)
-    return col
+        return F.concat(F.schema_of_variant(col), F.lit(" "), F.to_json(col))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda x: _comparable(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(col, lambda _, v: _comparable(v, dtype.valueType))
+    fields = [_comparable(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+    return F.when(col.isNotNull(), F.struct(*fields))
 
 
 @dataclass(frozen=True)

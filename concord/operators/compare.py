@@ -22,11 +22,10 @@ partition value, or per logical table of a multi-table dataset).
 bytes per distinct row value instead of the whole row, which is what
 matters for wide tables at scale. Row counts stay exact; distinct counts and
 differences are exact unless two different row values share all 128 bits
-(for 10^12 distinct values the chance is about 10^-15). ``-0.0`` and ``0.0``
-hash alike at the top level (inside arrays and structs values are hashed
-through their JSON text, where they differ); NULL positions are part of the
-digest; map keys are sorted before hashing; maps nested inside arrays or
-structs need ``method="exact"``. The default is ``"exact"``.
+(for 10^12 distinct values the chance is about 10^-15). Nested values are
+hashed by their typed leaves at any depth, with NULL flags and lengths, so
+nothing is lost to a text form; ``-0.0`` and ``0.0`` hash alike, and the order
+of map entries does not count. The default is ``"exact"``.
 """
 
 from __future__ import annotations
@@ -35,14 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concord.operators.align import AlignmentError, align, aligned_names, drop_columns, quoted
+from concord.operators.align import AlignmentError, align, aligned_pairs, contains, drop_columns, quoted
 
 PASSED = "Passed"
 FAILED = "Failed"
 NA = "NA"
 
-_L = "__concord_n1"
-_R = "__concord_n2"
+# Every name of an intermediate column has this beginning; data columns must not.
+_OWN = "__concord_"
+_L, _R = "__concord_l", "__concord_r"
+_N1, _N2 = "__concord_n1", "__concord_n2"
+_M1, _M2 = "__concord_m1", "__concord_m2"
+_K1, _K2 = "__concord_k1", "__concord_k2"
+_E1, _E2 = "__concord_e1", "__concord_e2"
 _H = ("__concord_h1", "__concord_h2")
 _C = ("__concord_c1", "__concord_c2")
 
@@ -80,9 +84,9 @@ def _tagged(left: DataFrame, right: DataFrame, names) -> DataFrame:
 
 
 def _check_internal(names) -> None:
-    clash = {_L, _R, *_H, *_C} & set(names)
+    clash = sorted(n for n in names if n.lower().startswith(_OWN))
     if clash:
-        raise AlignmentError(f"column names reserved by concord: {sorted(clash)}")
+        raise AlignmentError(f"column names reserved by concord: {clash}")
 
 
 def _finish(stats: DataFrame, by: list[str], wanted: tuple[str, ...]) -> DataFrame:
@@ -102,7 +106,7 @@ def _finish(stats: DataFrame, by: list[str], wanted: tuple[str, ...]) -> DataFra
 
 
 def _group_sizes(u: DataFrame, keys: list[Column]) -> DataFrame:
-    return u.groupBy(*keys).agg(F.sum(_L).alias("n1"), F.sum(_R).alias("n2"))
+    return u.groupBy(*keys).agg(F.sum(_L).alias(_N1), F.sum(_R).alias(_N2))
 
 
 def _normalised(col: Column, dtype: T.DataType) -> Column:
@@ -112,36 +116,46 @@ def _normalised(col: Column, dtype: T.DataType) -> Column:
     return col
 
 
-def _hashable(col: Column, dtype: T.DataType) -> Column:
-    """A column value as fed to the row digest.
+def _value_hash(col: Column, dtype: T.DataType, seed: Column) -> Column:
+    """64-bit hash of one value of any type: typed leaves, NULL flags and lengths, never a text form.
 
-    ``xxhash64`` skips NULL inputs, also inside arrays and structs, so
-    nested values are hashed through their JSON text, which keeps NULL
-    positions; top-level NULLs are told apart by the row's null bitmap (see
-    :func:`_digest`). Map entries are sorted first, so key order does not
-    matter.
+    ``xxhash64`` skips NULL inputs, so each level hashes whether it is NULL.
+    Arrays are folded in order; map entries are folded in the order of their
+    key hashes, so the order of entries does not count.
     """
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return _normalised(col, dtype)
+    if isinstance(dtype, T.ArrayType):
+        fold = F.aggregate(col, seed, lambda acc, x: F.xxhash64(acc, _value_hash(x, dtype.elementType, seed)))
+        return F.xxhash64(seed, col.isNull(), F.size(col), fold)
     if isinstance(dtype, T.MapType):
-        if _contains_map(dtype.keyType) or _contains_map(dtype.valueType):
-            raise AlignmentError("digest compare cannot hash nested maps; use method='exact'")
-        return F.to_json(F.array_sort(F.map_entries(col)))
-    if isinstance(dtype, (T.ArrayType, T.StructType)):
-        if _contains_map(dtype):
-            raise AlignmentError("digest compare cannot hash maps nested in arrays or structs; use method='exact'")
-        return F.to_json(col)
-    return col
+        entries = F.transform(
+            F.map_entries(col),
+            lambda e: F.struct(
+                _value_hash(e["key"], dtype.keyType, seed).alias("k"), _value_hash(e["value"], dtype.valueType, seed).alias("v")
+            ),
+        )
+        fold = F.aggregate(F.array_sort(entries), seed, lambda acc, e: F.xxhash64(acc, e["k"], e["v"]))
+        return F.xxhash64(seed, col.isNull(), F.size(col), fold)
+    if isinstance(dtype, T.StructType):
+        return F.xxhash64(seed, col.isNull(), *[_value_hash(col.getField(f.name), f.dataType, seed) for f in dtype.fields])
+    return F.xxhash64(seed, col.isNull(), _normalised(col, dtype))
 
 
 def _digest(u: DataFrame, names, out: tuple[str, str]) -> list[Column]:
-    """Two seeded 64-bit hashes of the row: null bitmap first, then every value."""
+    """Two seeded 64-bit hashes of the row: null bitmap first, then every value (nested ones by :func:`_value_hash`)."""
     types = {f.name: f.dataType for f in u.schema.fields}
     if not names:
         return [F.lit(0).cast("bigint").alias(out[0]), F.lit(0).cast("bigint").alias(out[1])]
     nulls = F.concat(*[F.when(quoted(n).isNull(), F.lit("1")).otherwise(F.lit("0")) for n in names])
-    cols = [nulls] + [_hashable(quoted(n), types[n]) for n in names]
-    return [F.xxhash64(*cols).alias(out[0]), F.xxhash64(F.lit("concord"), *cols).alias(out[1])]
+    nested = (T.ArrayType, T.MapType, T.StructType)
+
+    def values(seed: int) -> list[Column]:
+        start = F.lit(seed).cast("bigint")
+        return [
+            _value_hash(quoted(n), types[n], start) if isinstance(types[n], nested) else _normalised(quoted(n), types[n])
+            for n in names
+        ]
+
+    return [F.xxhash64(nulls, *values(1)).alias(out[0]), F.xxhash64(F.lit("concord"), nulls, *values(2)).alias(out[1])]
 
 
 def _check_method(method: str) -> None:
@@ -149,39 +163,48 @@ def _check_method(method: str) -> None:
         raise ValueError(f"unknown method {method!r}; use 'exact' or 'digest'")
 
 
-def _stats(u: DataFrame, group: list[str], fine_keys: list[Column], coarse_keys: list[Column] | None) -> DataFrame:
+def _surplus(a: str, b: str) -> Column:
+    return F.greatest(F.col(a) - F.col(b), F.lit(0))
+
+
+def _stats(
+    u: DataFrame, group: list[str], fine_keys: list[Column], coarse_keys: list[Column] | None, coarse_is_data: bool = True
+) -> DataFrame:
     """The six numbers per ``group`` from the tagged union ``u``.
 
-    ``fine_keys`` identify a row value for the distinct count; ``coarse_keys``
-    (None when equal to ``fine_keys``) for the difference, and must be a
-    function of ``fine_keys``.
+    ``fine_keys`` identify a row value of the check that looks at more
+    columns, ``coarse_keys`` of the other one (None when both look at the
+    same): the data check (``coarse_is_data``) or the distinct count. The
+    coarse keys must be a function of the fine ones; one chain of two
+    aggregates then gives both.
     """
     g1 = _group_sizes(u, [quoted(b) for b in group] + fine_keys)
     gkeys = [quoted(b) for b in group]
     if coarse_keys is None:
         return g1.groupBy(*gkeys).agg(
-            F.sum("n1").alias("gen1_count"),
-            F.sum("n2").alias("gen2_count"),
-            F.count_if(F.col("n1") > 0).alias("gen1_distinct_count"),
-            F.count_if(F.col("n2") > 0).alias("gen2_distinct_count"),
-            F.sum(F.greatest(F.col("n1") - F.col("n2"), F.lit(0))).alias("gen1_except_gen2"),
-            F.sum(F.greatest(F.col("n2") - F.col("n1"), F.lit(0))).alias("gen2_except_gen1"),
+            F.sum(_N1).alias("gen1_count"),
+            F.sum(_N2).alias("gen2_count"),
+            F.count_if(F.col(_N1) > 0).alias("gen1_distinct_count"),
+            F.count_if(F.col(_N2) > 0).alias("gen2_distinct_count"),
+            F.sum(_surplus(_N1, _N2)).alias("gen1_except_gen2"),
+            F.sum(_surplus(_N2, _N1)).alias("gen2_except_gen1"),
         )
-    # Coarser second level: the data columns are a subset of the distinct
-    # columns, so one chain of two aggregates gives both.
     g2 = g1.groupBy(*gkeys, *coarse_keys).agg(
-        F.sum("n1").alias("m1"),
-        F.sum("n2").alias("m2"),
-        F.count_if(F.col("n1") > 0).alias("k1"),
-        F.count_if(F.col("n2") > 0).alias("k2"),
+        F.sum(_N1).alias(_M1),
+        F.sum(_N2).alias(_M2),
+        F.count_if(F.col(_N1) > 0).alias(_K1),
+        F.count_if(F.col(_N2) > 0).alias(_K2),
+        F.sum(_surplus(_N1, _N2)).alias(_E1),
+        F.sum(_surplus(_N2, _N1)).alias(_E2),
     )
+    if coarse_is_data:
+        distinct, rest = [F.sum(_K1), F.sum(_K2)], [F.sum(_surplus(_M1, _M2)), F.sum(_surplus(_M2, _M1))]
+    else:
+        distinct, rest = [F.count_if(F.col(_M1) > 0), F.count_if(F.col(_M2) > 0)], [F.sum(_E1), F.sum(_E2)]
     return g2.groupBy(*gkeys).agg(
-        F.sum("m1").alias("gen1_count"),
-        F.sum("m2").alias("gen2_count"),
-        F.sum("k1").alias("gen1_distinct_count"),
-        F.sum("k2").alias("gen2_distinct_count"),
-        F.sum(F.greatest(F.col("m1") - F.col("m2"), F.lit(0))).alias("gen1_except_gen2"),
-        F.sum(F.greatest(F.col("m2") - F.col("m1"), F.lit(0))).alias("gen2_except_gen1"),
+        F.sum(_M1).alias("gen1_count"),
+        F.sum(_M2).alias("gen2_count"),
+        *[c.alias(n) for c, n in zip(distinct + rest, DISTINCT_COLUMNS + EXCEPT_COLUMNS)],
     )
 
 
@@ -217,16 +240,16 @@ def compare(
     ]
     wanted = COUNT_COLUMNS + DISTINCT_COLUMNS + EXCEPT_COLUMNS
 
-    # Distinct rows are counted over the columns kept by the distinct list;
-    # the multiset difference over the columns kept by the data list.
-    fine = align(left, right, ignore_distinct, align_by)
-    coarse_names = aligned_names(left, right, ignore, align_by)
-    _check_internal(fine.names)
+    # Distinct rows are counted over the columns kept by the distinct list, the
+    # multiset difference over those kept by the data list. One list's pairs of
+    # columns must hold the other's; by position, two lists may pair columns
+    # differently, even if the names on the left are the same.
+    distinct_pairs = aligned_pairs(left, right, ignore_distinct, align_by)
+    data_pairs = aligned_pairs(left, right, ignore, align_by)
     group = [b.lower() if align_by == "name" else b for b in by]
-    fine_names = [n for n in fine.names if n not in group]
-    coarse_only = [n for n in coarse_names if n not in group]
 
-    if not set(coarse_names) <= set(fine.names):
+    coarse_is_data = set(data_pairs) <= set(distinct_pairs)
+    if not coarse_is_data and not set(distinct_pairs) <= set(data_pairs):
         # Unrelated lists: two aggregates, merged by a union and a max per
         # group (one row each side of the union per group, no join).
         cnt = compare(left, right, ignore=ignore, align_by=align_by, by=by, method=method).select(
@@ -239,8 +262,12 @@ def compare(
         stats = merged.groupBy(*[quoted(b) for b in group]).agg(*[F.max(c).alias(c) for c in wanted])
         return _finish(stats, group, wanted)
 
+    fine = align(left, right, ignore_distinct if coarse_is_data else ignore, align_by)
+    _check_internal(fine.names)
+    fine_names = [n for n in fine.names if n not in group]
+    coarse_only = [n for n, _ in (data_pairs if coarse_is_data else distinct_pairs) if n not in group]
     u = _tagged(fine.left, fine.right, fine.names)
-    same = set(coarse_names) == set(fine.names)
+    same = set(data_pairs) == set(distinct_pairs)
     if method == "exact":
         fine_keys = [quoted(n) for n in fine_names]
         coarse_keys = None if same else [quoted(n) for n in coarse_only]
@@ -249,7 +276,7 @@ def compare(
         u = u.select(*[quoted(b) for b in group], *digests, _L, _R)
         fine_keys = [F.col(h) for h in _H] + ([] if same else [F.col(c) for c in _C])
         coarse_keys = None if same else [F.col(c) for c in _C]
-    return _finish(_stats(u, group, fine_keys, coarse_keys), group, wanted)
+    return _finish(_stats(u, group, fine_keys, coarse_keys, coarse_is_data), group, wanted)
 
 
 def row_count_check(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -285,9 +312,9 @@ def distinct_count_check(
     else:
         u = u.select(*[quoted(b) for b in group], *_digest(u, names, _H), _L, _R)
         keys = [F.col(h) for h in _H]
-    per_value = u.groupBy(*[quoted(b) for b in group], *keys).agg(F.max(_L).alias("h1"), F.max(_R).alias("h2"))
+    per_value = u.groupBy(*[quoted(b) for b in group], *keys).agg(F.max(_L).alias(_N1), F.max(_R).alias(_N2))
     stats = per_value.groupBy(*[quoted(b) for b in group]).agg(
-        F.sum("h1").alias("gen1_distinct_count"), F.sum("h2").alias("gen2_distinct_count")
+        F.sum(_N1).alias("gen1_distinct_count"), F.sum(_N2).alias("gen2_distinct_count")
     )
     return _finish(stats, group, DISTINCT_COLUMNS)
 
@@ -311,8 +338,8 @@ def diff_counts(
         keys = [F.col(h) for h in _H]
     g = _group_sizes(u, [quoted(b) for b in group] + keys)
     stats = g.groupBy(*[quoted(b) for b in group]).agg(
-        F.sum(F.greatest(F.col("n1") - F.col("n2"), F.lit(0))).alias("gen1_except_gen2"),
-        F.sum(F.greatest(F.col("n2") - F.col("n1"), F.lit(0))).alias("gen2_except_gen1"),
+        F.sum(_surplus(_N1, _N2)).alias("gen1_except_gen2"),
+        F.sum(_surplus(_N2, _N1)).alias("gen2_except_gen1"),
     )
     return _finish(stats, group, EXCEPT_COLUMNS)
 
@@ -339,10 +366,11 @@ def diff_rows(
     expanded, so one hot duplicated value never lands in a single task.
 
     With ``method="digest"`` the differing row values are found by digest
-    first (a shuffle of ~24 bytes per row value); a second pass fetches only
-    rows whose digest differs (a join with the differing digests, which
-    adaptive execution broadcasts when that set is small) and reduces them
-    to one row per value. Two scans per side instead of one full shuffle.
+    first (a shuffle of ~24 bytes per row value); a second scan fetches the
+    rows whose digest may differ (a bit map of the differing digests, 4 MB
+    whatever the tables, is broadcast), reduces them to one row per value and
+    joins the counts. Beyond some ten million differing values the bit map
+    lets more and more other rows through; the result stays exact.
     """
     _check_method(method)
     pair = align(left, right, ignore, align_by)
@@ -352,30 +380,21 @@ def diff_rows(
     u = _tagged(pair.left, pair.right, pair.names)
     names = [quoted(n) for n in pair.names]
     if method == "exact":
-        g = _group_sizes(u, names).where(F.col("n1") != F.col("n2"))
+        g = _group_sizes(u, names).where(F.col(_N1) != F.col(_N2))
     else:
         types = {f.name: f.dataType for f in u.schema.fields}
         hu = u.select(*names, *_digest(u, pair.names, _H), _L, _R)
-        counts = _group_sizes(hu.select(*_H, _L, _R), [F.col(h) for h in _H]).where(F.col("n1") != F.col("n2"))
-        # second pass: rows whose digest differs, carrying their counts, reduced
-        # to one row per digest (partial aggregation first, so a hot value
-        # collapses on the map side)
-        g = (
-            hu.drop(_L, _R)
-            .join(counts, list(_H), "inner")
-            .groupBy(*_H)
-            .agg(
-                *[F.any_value(_normalised(quoted(n), types[n])).alias(n) for n in pair.names],
-                F.first("n1").alias("n1"),
-                F.first("n2").alias("n2"),
-            )
-            .drop(*_H)
-        )
-    n = F.abs(F.col("n1") - F.col("n2"))
+        counts = _group_sizes(hu.select(*_H, _L, _R), [F.col(h) for h in _H]).where(F.col(_N1) != F.col(_N2))
+        # second pass: a filter of bounded size drops nearly all other rows in the
+        # scan; copies of what is left collapse on the map side before the exchange
+        kept = _with_marked_digests(hu, counts).drop(_L, _R)
+        values = kept.groupBy(*_H).agg(*[F.any_value(_normalised(quoted(n), types[n])).alias(n) for n in pair.names])
+        g = values.join(counts, list(_H), "inner").drop(*_H)
+    n = F.abs(F.col(_N1) - F.col(_N2))
     d = (
-        g.withColumn(side_col, F.when(F.col("n1") > F.col("n2"), F.lit("left")).otherwise(F.lit("right")))
+        g.withColumn(side_col, F.when(F.col(_N1) > F.col(_N2), F.lit("left")).otherwise(F.lit("right")))
         .withColumn("__concord_n", n)
-        .withColumn("__concord_c", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("bigint"))))
+        .withColumn("__concord_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("__concord_n") - 1) / chunk).cast("bigint"))))
         .withColumn(
             "__concord_k",
             F.least(F.lit(chunk).cast("bigint"), F.col("__concord_n") - F.col("__concord_c") * chunk),
@@ -384,7 +403,7 @@ def diff_rows(
     hashable = [
         quoted(f.name)
         for f in d.schema.fields
-        if f.name in pair.names and not _contains_map(f.dataType)
+        if f.name in pair.names and not contains(f.dataType, T.MapType)
     ]
     # An explicit partition count: adaptive execution never coalesces such a
     # shuffle, which it would otherwise do from the (tiny) pre-expansion size.
@@ -393,27 +412,35 @@ def diff_rows(
     return d.select(*[quoted(n) for n in pair.names], F.col(side_col))
 
 
+_BUCKETS, _BITS = 1024, 32768  # bit maps of 4 KB each: 4 MB in all
+
+
+def _with_marked_digests(rows: DataFrame, digests: DataFrame) -> DataFrame:
+    """Rows whose digest is in ``digests``, and a few others: by a bit map of one hash."""
+
+    def place(df: DataFrame) -> DataFrame:
+        at = F.pmod(F.col(_H[0]), F.lit(_BUCKETS * _BITS))
+        return df.withColumns({"__concord_b": F.floor(at / _BITS).cast("int"), "__concord_o": (at % _BITS).cast("bigint")})
+
+    bits = place(digests).groupBy("__concord_b").agg(F.bitmap_construct_agg("__concord_o").alias("__concord_bits"))
+    byte = F.expr("cast(conv(hex(substring(__concord_bits, cast(__concord_o div 8 as int) + 1, 1)), 16, 10) as int)")
+    marked = F.expr("cast(__concord_o % 8 as int)")
+    hit = F.call_function("getbit", byte, marked) == 1
+    return place(rows).join(F.broadcast(bits), "__concord_b").where(hit).drop("__concord_b", "__concord_o", "__concord_bits")
+
+
 def _spread_partitions(df: DataFrame) -> int:
-    """One partition per task slot of the cluster: a single wave of tasks.
+    """The session's shuffle partitions, or one per task slot if there are more slots.
 
-    Not the shuffle partition count, which is sized for whole tables and
-    would launch that many mostly empty tasks for a small difference.
+    The slots alone won't do: under dynamic allocation they are those of the
+    executors that happen to be registered when the plan is built.
     """
     spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
-        return max(1, spark.sparkContext.defaultParallelism)
+        return max(partitions, spark.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 - no SparkContext on a remote session
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _contains_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.ArrayType):
-        return _contains_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_contains_map(f.dataType) for f in dtype.fields)
-    return False
+        return partitions
 
 
 def except_all(
