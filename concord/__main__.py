@@ -66,11 +66,12 @@ def main(argv=None) -> int:
             spark, manifest, profile, ledger_path=a.ledger, history=a.history,
             concurrency=a.concurrency, resume_on=a.resume_on,
         )
-        failed = out.where("except_validation = 'Failed' or count_validation = 'Failed'").count()
-        print(f"checked {out.count()} scopes, {failed} with differences; ledger: {a.ledger}")
+        checks = [c for c in out.columns if c.endswith("_validation")]
+        failed = out.where(" or ".join(f"{c} = 'Failed'" for c in checks)).count()
+        print(f"checked {out.count()} scopes, {failed} with a failed check; ledger: {a.ledger}")
     elif a.cmd == "sweep":
-        first = ledger.typed_counts(ledger.read(spark, a.ledger))
-        second = ledger.typed_counts(ledger.read(spark, a.second_ledger))
+        first = ledger.read(spark, a.ledger)
+        second = ledger.read(spark, a.second_ledger)
         _write(sweep.sweep_manifest(first, second, a.rules), a.out)
     elif a.cmd == "failures":
         _write(sweep.failure_report(ledger.read(spark, a.ledger), a.equal_sizes), a.out)

@@ -23,11 +23,6 @@ def baseline_path(env, path) -> Column:
     )
 
 
-def history_baseline_path(path) -> Column:
-    """Baseline of a history path: the literal marker removed, whatever the env."""
-    return F.replace(_c(path), F.lit(BASELINE_MARKER), F.lit(""))
-
-
 def table_name(path) -> Column:
     """Last non-empty path segment: ``/lake/db/orders`` and ``/lake/db/orders/`` -> ``orders``."""
     return F.substring_index(F.regexp_replace(_c(path), "/+$", ""), "/", -1)

@@ -7,7 +7,7 @@ whose partition value is NULL drop out. Two forms:
   On a partition column of a file source Catalyst turns it into a runtime
   partition filter, so only the last partition's files are read.
 * ``value=v``: a literal filter, for when the latest value is already known
-  from the file listing (see ``concord.sources.files.latest_partition_value``)
+  from the file listing (see :mod:`concord.sources.layout`)
   — then pruning happens at planning time and no data file is opened for
   the maximum at all.
 """

@@ -47,7 +47,9 @@ class Profile:
     ignore_data: tuple[str, ...] = DATA_AUDIT
     align_by: str = "name"
     latest_partition: bool = True
-    drop_partition_column: bool = False
+    # which partition is the latest: "column" (greatest value of the old side's first
+    # partition column, on each side) or "date" (each path's own latest key=date directory)
+    latest_by: str = "column"
     lineage: bool = False
     # "always" or "if_partitioned" (history pairs: NA when the table is not partitioned)
     history_data_check: str = "always"
@@ -69,7 +71,7 @@ CURRENT_HISTORY = Profile(
     "current_history",
     ignore_data=DISTINCT_AUDIT,
     align_by="position",
-    drop_partition_column=True,
+    latest_by="date",
     history_data_check="if_partitioned",
     baseline_rule="marker",
 )

@@ -12,26 +12,24 @@ ledger for a date, so a rerun after a lost driver continues where it was.
 from __future__ import annotations
 
 import uuid
-from collections import deque
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.plans.profiles import FINAL, Profile
 from concord.plans.sweep import resume_manifest
-from concord.plans.verdict import DELTA, FAILED, error_verdict, pair_verdicts
+from concord.plans.verdict import DELTA, FAILED, error_values, pair_verdicts
 from concord.sources import commit_log, ledger
 from concord.sources.ledger import LEDGER, LEDGER_COLUMNS
 
 
-def _error_row(spark, row, message, scope, history):
-    p1 = row.get("gen1_hist_path") if scope == "history" else row.get("gen1_path")
-    p2 = row.get("gen2_hist_path") if scope == "history" else row.get("gen2_path")
-    return error_verdict(
-        spark, env=row.get("env"), dag_id=row.get("dag_id"), gen1_path=p1, gen2_path=p2,
+def _error_row(row, message, scope) -> tuple:
+    old, new = ("gen1_hist_path", "gen2_hist_path") if scope == "history" else ("gen1_path", "gen2_path")
+    return error_values(
+        env=row.get("env"), dag_id=row.get("dag_id"), gen1_path=row.get(old), gen2_path=row.get(new),
         message=message, scope=scope,
-    ).first()
+    )
 
 
 def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history: bool = False) -> list:
@@ -45,7 +43,7 @@ def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history
     try:
         frames = pair_verdicts(spark, row, profile, history)
     except Exception as e:  # noqa: BLE001 - any failure of one pair is recorded, the sweep goes on
-        return [_error_row(spark, row, _message(e), s, history) for s in scopes]
+        return [_error_row(row, _message(e), s) for s in scopes]
     rows = []
     for scope, frame, fmt in frames:
         try:
@@ -54,13 +52,12 @@ def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history
                 r["source_job"] = commit_log.job_list(spark, r["gen2_path"])
             rows.append(tuple(r[c] for c in LEDGER_COLUMNS))
         except Exception as e:  # noqa: BLE001
-            rows.append(tuple(_error_row(spark, row, _message(e), scope, history)))
+            rows.append(_error_row(row, _message(e), scope))
     return rows
 
 
 def _message(e: Exception) -> str:
-    text = str(e).strip()
-    return text.splitlines()[0][:2000] if text else type(e).__name__
+    return str(e).strip() or type(e).__name__
 
 
 def reconcile(
@@ -86,10 +83,9 @@ def reconcile(
     """
     run_id = run_id or uuid.uuid4().hex
     if resume_on is not None and ledger_path is not None:
-        try:
-            manifest = resume_manifest(manifest, ledger.read(spark, ledger_path), resume_on)
-        except Exception:  # noqa: BLE001 - no ledger yet: nothing to skip
-            pass
+        logged = ledger.read_if_any(spark, ledger_path)  # an unreadable ledger raises: nothing is checked twice
+        if logged is not None:
+            manifest = resume_manifest(manifest, logged, resume_on)
     kept: list[tuple] = []
     pending: list[tuple] = []
     run_col = LEDGER_COLUMNS.index("run_id")
@@ -110,19 +106,25 @@ def reconcile(
         pending.clear()
 
     width = max(1, concurrency)
-    in_flight: deque = deque()
+    in_flight: set = set()
     with ThreadPoolExecutor(max_workers=width) as pool:
+
+        def drain(most: int) -> None:
+            # whichever ends first: one large pair holds back neither the pool nor finished verdicts
+            nonlocal in_flight
+            while len(in_flight) > most:
+                done, in_flight = wait(in_flight, return_when=FIRST_COMPLETED)
+                for f in done:
+                    collect(f.result())
+
         for r in manifest.toLocalIterator(prefetchPartitions=True):
-            in_flight.append(pool.submit(check_pair, spark, r.asDict(), profile, history))
-            while len(in_flight) >= 2 * width:
-                collect(in_flight.popleft().result())
-        while in_flight:
-            collect(in_flight.popleft().result())
+            in_flight.add(pool.submit(check_pair, spark, r.asDict(), profile, history))
+            drain(2 * width - 1)
+        drain(0)
     flush()
     if ledger_path is not None:
-        try:
-            out = ledger.read(spark, ledger_path)
-        except Exception:  # noqa: BLE001 - empty manifest: no ledger file yet
+        out = ledger.read_if_any(spark, ledger_path)
+        if out is None:  # empty manifest: no ledger yet
             return spark.createDataFrame([], LEDGER)
         return out.where(F.col("run_id") == run_id).select(*LEDGER_COLUMNS)
     return spark.createDataFrame(kept, LEDGER)

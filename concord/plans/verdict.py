@@ -11,18 +11,20 @@ written when a pair cannot be checked.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.operators.align import drop_columns
+from concord.operators.align import drop_columns, quoted
 from concord.operators.compare import FAILED, NA, PASSED, compare
 from concord.operators.partition import latest_partition, latest_value
 from concord.operators.schema import schema_check
 from concord.functions.paths import BASELINE_MARKER, DEV_BASELINE_PATTERN
 from concord.plans.profiles import FINAL, Profile
-from concord.sources import files as file_src
-from concord.sources.ledger import LEDGER_FIELDS
+from concord.sources import layout
+from concord.sources.ledger import LEDGER, LEDGER_COLUMNS
 from concord.sources.tables import DELTA, PARQUET, detect_format, first_partition_column, load_table
 
 
@@ -115,7 +117,13 @@ def error_verdict(
     scope: str = "current",
 ) -> DataFrame:
     """The row for a pair that could not be checked: counts 0, sizes -1, every status Failed."""
-    row = {n: None for n, _ in LEDGER_FIELDS}
+    values = error_values(env=env, dag_id=dag_id, gen1_path=gen1_path, gen2_path=gen2_path, message=message, scope=scope)
+    return spark.createDataFrame([values], LEDGER)
+
+
+def error_values(*, env=None, dag_id=None, gen1_path=None, gen2_path=None, message: str = "", scope: str = "current") -> tuple:
+    """The values of :func:`error_verdict` in the ledger's column order (no Spark job)."""
+    row = {n: None for n in LEDGER_COLUMNS}
     row.update(
         env=env,
         dag_id=dag_id,
@@ -136,9 +144,7 @@ def error_verdict(
         source_job=NA,
         scope=scope,
     )
-    from concord.sources.ledger import LEDGER
-
-    return spark.createDataFrame([tuple(row[n] for n, _ in LEDGER_FIELDS)], LEDGER)
+    return tuple(row[n] for n in LEDGER_COLUMNS)
 
 
 def baseline_path_text(env: str | None, path: str) -> str:
@@ -148,34 +154,53 @@ def baseline_path_text(env: str | None, path: str) -> str:
     return path.replace(BASELINE_MARKER, "")
 
 
-def _restricted(spark: SparkSession, path: str, fmt: str, part: str | None, info: dict | None,
-                profile: Profile) -> tuple[DataFrame, Column | None]:
-    """One side's frame, restricted to its latest partition when the profile asks.
+@dataclass(frozen=True)
+class Side:
+    """One input of a pair, ready to be read."""
+
+    df: DataFrame
+    partition: Column | None  # the latest partition value it was restricted to
+    read_path: str  # the directory that is read
+
 
-    Parquet: ``info`` is the side's listing summary; the data is read from
-    the latest partition directories only (``basePath`` keeps the partition
-    column), so old partitions are never listed again. Delta: the latest
-    value is a scalar subquery (a runtime partition filter).
+def _whole(spark: SparkSession, path: str, fmt: str) -> Side:
+    return Side(load_table(spark, path, fmt), None, path)
+
+
+def _by_column(spark: SparkSession, path: str, fmt: str, column: str) -> Side:
+    """``path`` at the greatest value of its partition column ``column``.
+
+    Parquet: the directory is chosen from the names below the root and only it
+    is listed and read (``basePath`` keeps the partition column). Delta: the
+    greatest value is a scalar subquery (a runtime partition filter).
     """
-    restrict = bool(part) and profile.latest_partition
-    partition = None
-    if fmt == PARQUET:
-        if restrict and info["dirs"]:
-            reader = spark.read.format(fmt).option("basePath", info["root"])
-            df = latest_partition(reader.load(info["dirs"]), part, info["latest"])
-            partition = F.lit(info["latest"])
-        else:
-            df = load_table(spark, path, fmt)
-            if restrict:  # partitioned layout, but no non-NULL partition value
-                df = df.where(F.lit(False))
-    else:
+    if fmt != PARQUET:
+        df = load_table(spark, path, fmt)
+        return Side(latest_partition(df, column), latest_value(df, column), path)
+    found = layout.partitions(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"path does not exist: {path}")
+    latest = layout.latest_by_value(found, column)
+    if latest is None:  # no value (or another layout): let the column decide, or its absence be reported
         df = load_table(spark, path, fmt)
-        if restrict:
-            partition = latest_value(df, part)
-            df = latest_partition(df, part)
-    if restrict and profile.drop_partition_column:
-        df = drop_columns(df, [part])
-    return df, partition
+        return Side(df.where(quoted(column).isNotNull()).where(F.lit(False)), None, path)
+    df = spark.read.format(fmt).option("basePath", path).load(latest.path)
+    value = df.select(quoted(column)).schema.fields[0].dataType
+    return Side(df, F.lit(unquote(latest.text)).cast(value), latest.path)
+
+
+def _by_date(spark: SparkSession, path: str, fmt: str) -> Side:
+    """``path`` at its own latest ``key=date`` directory, read by itself, or whole when it has none."""
+    found = layout.partitions(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"path does not exist: {path}")
+    latest = layout.latest_by_date(found)
+    if latest is None:
+        return _whole(spark, path, fmt)
+    if fmt == PARQUET:
+        return Side(load_table(spark, latest.path, fmt), F.lit(latest.text), latest.path)
+    df = load_table(spark, path, fmt).where(quoted(latest.key) == F.lit(latest.text).cast("date"))
+    return Side(drop_columns(df, [latest.key]), F.lit(latest.text), latest.path)
 
 
 def pair_verdicts(
@@ -186,11 +211,13 @@ def pair_verdicts(
 ) -> list[tuple[str, DataFrame, str]]:
     """Lazy verdicts for one manifest row: ``[(scope, frame, format), ...]``.
 
-    The old side's format and first partition column apply to every input
-    of the row. For Parquet, one listing per input and one metadata job over
-    all of them give the file counts, the partition column and the latest
-    partition directories. Raises on unreadable input; the runner turns
-    that into an error row.
+    The old side's format applies to every input of the row. With
+    ``profile.latest_by == "column"`` so does its first partition column, and
+    each input is restricted to its own greatest value of it; with ``"date"``
+    every path is resolved by itself to its latest ``key=date`` directory, if
+    it has one. Inputs are chosen from one directory level each, without a
+    job; the baseline is resolved alike and read for its schema only. Raises
+    on unreadable input; the runner turns that into an error row.
     """
     env, dag_id = row.get("env"), row.get("dag_id")
     scopes = [("current", row["gen1_path"], row["gen2_path"])]
@@ -203,56 +230,43 @@ def pair_verdicts(
             base_path = baseline_path_text(env, p1)
         else:
             base_path = p1.replace(BASELINE_MARKER, "")
-        paths = {"gen1": p1, "gen2": p2, "base": base_path}
-        infos = {k: None for k in paths}
-        if fmt == PARQUET:
-            listings = {}
-            for k, p in paths.items():
-                if k == "base" and p == p1:
-                    continue
-                listing = file_src.list_files(spark, p, glob=None)
-                if listing is None:
-                    raise FileNotFoundError(f"path does not exist: {p}")
-                listings[k] = listing
-            found = file_src.partition_columns(listings["gen1"])
-            part = found[0] if found else None
-            restrict = bool(part) and profile.latest_partition
-            if restrict or profile.check_files:  # otherwise no metadata job is needed
-                infos.update(file_src.listing_summaries(listings, part if restrict else None))
-        else:
-            part = first_partition_column(spark, p1, fmt)
-        gen1_df, gen1_part = _restricted(spark, p1, fmt, part, infos["gen1"], profile)
-        gen2_df, gen2_part = _restricted(spark, p2, fmt, part, infos["gen2"], profile)
-        # the baseline is read for its schema only (restricted like the old
-        # side, so only its latest partition is listed); never scanned
-        base = gen1_df if base_path == p1 else _restricted(spark, base_path, fmt, part, infos["base"], profile)[0]
+        by_date = profile.latest_by == "date"
+        column = None if by_date else first_partition_column(spark, p1, fmt)
+
+        def side(path: str) -> Side:
+            if profile.latest_partition and by_date:
+                return _by_date(spark, path, fmt)
+            if profile.latest_partition and column:
+                return _by_column(spark, path, fmt, column)
+            return _whole(spark, path, fmt)
+
+        gen1, gen2 = side(p1), side(p2)
+        base = gen1 if base_path == p1 else side(base_path)
         files_status = NA
         if profile.check_files:
-            if fmt == PARQUET:
-                both = infos["gen1"]["files"] > 0 and infos["gen2"]["files"] > 0
-                files_status = PASSED if both else FAILED
-            else:
-                files_status = file_src.files_check(spark, p1, p2).first()["files_validation"]
+            both = layout.has_data_file(spark, gen1.read_path) and layout.has_data_file(spark, gen2.read_path)
+            files_status = PASSED if both else FAILED
         data_check = True
         if scope == "history" and profile.history_data_check == "if_partitioned":
-            data_check = part is not None
+            # the resolved path tells, so a history path that is a partition directory counts as well
+            data_check = "=" in gen1.read_path
         frame = verdict_frame(
-            gen1_df,
-            gen2_df,
+            gen1.df,
+            gen2.df,
             profile=profile,
             env=env,
             dag_id=dag_id,
             gen1_path=p1,
             gen2_path=p2,
-            baseline=base,
+            baseline=base.df,
             files_validation=files_status,
             data_check=data_check,
             scope=scope,
-            gen1_partition=gen1_part,
-            gen2_partition=gen2_part,
+            gen1_partition=gen1.partition,
+            gen2_partition=gen2.partition,
         )
         out.append((scope, frame, fmt))  # already in ledger columns and types
     return out
 
 
-__all__ = ["DELTA", "PASSED", "FAILED", "NA", "error_verdict", "pair_verdicts", "verdict_frame"]
+__all__ = ["DELTA", "PASSED", "FAILED", "NA", "error_values", "error_verdict", "pair_verdicts", "verdict_frame"]

@@ -6,7 +6,8 @@ actions. Two are used:
 * ``commitInfo.job.jobName`` — the job that wrote the commit. Writer jobs of
   a table are the distinct names, without a few maintenance jobs.
 * ``metaData.partitionColumns`` — the last ``metaData`` action (by version,
-  i.e. file name) holds the current partition columns.
+  i.e. file name) holds the current partition columns; checkpoints keep it
+  when the commit itself has been cleaned up.
 
 The log is scanned with an explicit schema (no inference pass), many tables
 in one scan, with the table taken from each row's file path. Log files the
@@ -15,11 +16,12 @@ table has already cleaned up are out of reach, as with any history command.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from concord.sources import layout
+
 # Jobs that maintain tables without changing their data; they
 # are never reported as writers. Seed row of the multi-table form.
 EXCLUDED_JOBS = ("Cloud Migration", "Optimize_nzdata", "my spark task")
@@ -65,16 +67,16 @@ def read_commits(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def job_filter(job: Column) -> Column:
+def job_filter(job: Column, excluded=EXCLUDED_JOBS) -> Column:
     """Job set, not NULL and not one of the maintenance jobs."""
-    return job.isNotNull() & ~job.isin(*EXCLUDED_JOBS)
+    return job.isNotNull() & ~job.isin(*excluded)
 
 
-def writer_jobs(commits: DataFrame, by_table: bool = True) -> DataFrame:
+def writer_jobs(commits: DataFrame, by_table: bool = True, excluded=EXCLUDED_JOBS) -> DataFrame:
     """Distinct writer jobs (``table, job_name`` or ``job_name``) of a commit frame."""
     job = F.col("commitInfo.job.jobName")
     keys = ["table"] if by_table else []
-    return commits.where(job_filter(job)).select(*keys, job.alias("job_name")).distinct()
+    return commits.where(job_filter(job, excluded)).select(*keys, job.alias("job_name")).distinct()
 
 
 def writer_jobs_many(commits: DataFrame, seed: str = SEED_JOB) -> DataFrame:
@@ -95,14 +97,26 @@ def job_list(spark: SparkSession, path: str) -> str:
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """``partitionColumns`` of the last ``metaData`` action, or [] when there is none."""
-    try:
+    """``partitionColumns`` of the last ``metaData`` action, or [] when there is none.
+
+    Checkpoints hold the metadata of commits that the table has cleaned up,
+    so they are read as well as the JSON commits that are left.
+    """
+    log = path.rstrip("/") + "/_delta_log/"
+    frames = []
+    if layout.matches(spark, log_glob(path)):
         commits = read_commits(spark, path)
-    except AnalysisException:
+        frames.append(commits.select("metaData", "version_file"))
+    if layout.matches(spark, log + "*.checkpoint*.parquet"):
+        schema = T.StructType([COMMIT_SCHEMA["metaData"]])
+        kept = spark.read.schema(schema).parquet(log + "*.checkpoint*.parquet")
+        frames.append(kept.select("metaData", F.col("_metadata.file_name").alias("version_file")))
+    if not frames:
         return []
+    found = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
     row = (
-        commits.where(F.col("metaData").isNotNull())
-        .agg(F.max_by("metaData.partitionColumns", "version_file").alias("cols"))
+        found.where(F.col("metaData.partitionColumns").isNotNull())
+        .agg(F.max_by("metaData.partitionColumns", F.substring_index("version_file", ".", 1)).alias("cols"))
         .first()
     )
     return list(row["cols"] or []) if row is not None else []

@@ -6,13 +6,12 @@ bytes when ``content`` is pruned). Listing goes through Spark's partition
 discovery, which gives the partition columns of a hive-style layout
 (``key=value`` directories) as typed columns of the listing itself: the
 latest partition can then be found from the listing alone, without opening
-one data file.
+one data file. The runner looks at one directory level only, without a job
+(:mod:`concord.sources.layout`); the functions here are for listings as tables.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 
 from concord.operators.align import quoted
 from concord.operators.compare import status
+from concord.sources import layout
 
 _LISTING_COLUMNS = ("path", "modificationTime", "length", "content")
 
@@ -61,109 +61,34 @@ def files_check(spark: SparkSession, gen1_path: str, gen2_path: str, glob: str =
     A missing directory counts as zero files. One job over both listings.
     """
     sides = []
-    for tag, p in ((1, gen1_path), (2, gen2_path)):
+    for tag, p in (("gen1", gen1_path), ("gen2", gen2_path)):
         listing = list_files(spark, p, glob, recursive=True)
         if listing is None:
             listing = spark.createDataFrame([], LISTING)
-        sides.append(listing.select(F.lit(tag).alias("side")))
-    stats = sides[0].unionByName(sides[1]).agg(
-        F.count_if(F.col("side") == 1).alias("gen1_files"),
-        F.count_if(F.col("side") == 2).alias("gen2_files"),
-    )
-    return stats.withColumn(
-        "files_validation", status((F.col("gen1_files") > 0) & (F.col("gen2_files") > 0))
-    )
+        sides.append(listing.select(F.lit("").alias("table"), F.lit(tag).alias("side"), "path"))
+    tables = spark.createDataFrame([("",)], "table string")
+    return files_verdict(tables, sides[0].unionByName(sides[1])).drop("table")
 
 
-def listing_summary(listing: DataFrame, column: str | None) -> dict:
-    """One job over a listing: data-file count, latest value of ``column`` and its directories.
+def files_verdict(tables: DataFrame, listing: DataFrame, suffix: str = ".parquet") -> DataFrame:
+    """``table, gen1_files, gen2_files, files_validation`` for every row of ``tables(table)``.
 
-    Returns ``files`` (``*.parquet`` files), ``latest`` (max partition value,
-    NULL partitions ignored), ``dirs`` (the first-level ``column=value``
-    directories holding that value — normally one) and ``root`` (the table
-    directory, for ``basePath``). The result is one row however large the
-    table is; per-value rows exist only inside the aggregate.
-    """
-    is_data = F.col("path").endswith(".parquet")
-    if column is None:
-        row = listing.agg(F.count_if(is_data).alias("files")).first()
-        return {"files": row["files"], "latest": None, "dirs": [], "root": None}
-    seg = re.escape(column)
-    dir_ = F.regexp_extract(F.col("path"), rf"^(.*?/{seg}=[^/]*)/", 1)
-    root = F.regexp_extract(F.col("path"), rf"^(.*?)/{seg}=", 1)
-    per_value = listing.groupBy(quoted(column)).agg(
-        F.collect_set(dir_).alias("dirs"), F.first(root).alias("root"), F.count_if(is_data).alias("files")
-    )
-    row = per_value.agg(
-        F.sum("files").alias("files"),
-        F.max(quoted(column)).alias("latest"),
-        F.max_by("dirs", quoted(column)).alias("dirs"),
-        F.max_by("root", quoted(column)).alias("root"),
-    ).first()
-    return {
-        "files": row["files"] or 0,
-        "latest": row["latest"],
-        "dirs": sorted(row["dirs"] or []),
-        "root": row["root"],
-    }
-
-
-def listing_summaries(listings: dict, column: str | None) -> dict:
-    """:func:`listing_summary` of several listings (``{label: listing}``) in one job.
-
-    Returns ``{label: {files, latest, dirs, root}}``; a label whose listing
-    holds no file gets zero files and no latest value.
+    ``listing(table, side, path)`` holds the listed entries of many tables,
+    ``side`` being ``gen1`` or ``gen2``; entries that do not end in ``suffix``
+    are no data files. A table without any entry counts zero on both sides.
     """
-    is_data = F.col("path").endswith(".parquet").cast("int")
-    empty = {"files": 0, "latest": None, "dirs": [], "root": None}
-    if not listings:
-        return {}
-    if column is None:
-        parts = [lst.select(F.lit(label).alias("side"), is_data.alias("d")) for label, lst in listings.items()]
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        got = {r["side"]: r["files"] for r in u.groupBy("side").agg(F.sum("d").alias("files")).collect()}
-        return {label: dict(empty, files=got.get(label) or 0) for label in listings}
-    seg = re.escape(column)
-    parts = [
-        lst.select(
-            F.lit(label).alias("side"),
-            quoted(column).alias("value"),
-            F.regexp_extract(F.col("path"), rf"^(.*?/{seg}=[^/]*)/", 1).alias("dir"),
-            F.regexp_extract(F.col("path"), rf"^(.*?)/{seg}=", 1).alias("root"),
-            is_data.alias("d"),
-        )
-        for label, lst in listings.items()
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    per_value = u.groupBy("side", "value").agg(
-        F.collect_set("dir").alias("dirs"), F.first("root").alias("root"), F.sum("d").alias("files")
+    data = listing.where(F.col("path").endswith(suffix))
+    counts = data.groupBy("table").agg(
+        F.count_if(F.col("side") == "gen1").alias("gen1_files"), F.count_if(F.col("side") == "gen2").alias("gen2_files")
     )
-    rows = per_value.groupBy("side").agg(
-        F.sum("files").alias("files"),
-        F.max("value").alias("latest"),
-        F.max_by("dirs", "value").alias("dirs"),
-        F.max_by("root", "value").alias("root"),
-    ).collect()
-    got = {
-        r["side"]: {"files": r["files"] or 0, "latest": r["latest"], "dirs": sorted(r["dirs"] or []), "root": r["root"]}
-        for r in rows
-    }
-    return {label: got.get(label, dict(empty)) for label in listings}
-
-
-def latest_partition_value(listing: DataFrame, column: str):
-    """``max(column)`` over a listing: the latest partition value, read from metadata only."""
-    return listing.agg(F.max(quoted(column))).first()[0]
+    both = tables.join(counts, "table", "left").fillna(0, ["gen1_files", "gen2_files"])
+    return both.withColumn("files_validation", status((F.col("gen1_files") > 0) & (F.col("gen2_files") > 0)))
 
 
 def _partition_child(listing: DataFrame, root_col: str, path_col: str) -> DataFrame:
     """``root, child, partition_date`` for every listed file (child NULL when not under a ``key=value`` dir)."""
     root = F.col(root_col)
-    rel = F.substring(F.col(path_col), F.length(root) + 2, 1 << 30)
+    rel = F.substring(F.col(path_col), F.length(root) + 2, F.length(F.col(path_col)))
     first = F.substring_index(rel, "/", 1)
     is_part = F.col(path_col).startswith(F.concat(root, F.lit("/"))) & first.contains("=") & (first != rel)
     child = F.when(is_part, F.concat_ws("/", root, first))
@@ -197,12 +122,9 @@ def latest_partition_dirs(listing: DataFrame, root_col: str = "root", path_col:
 
 
 def latest_partition_path(spark: SparkSession, path: str) -> str:
-    """The directory to read for ``path``: its latest ``key=yyyy-MM-dd`` child, or ``path`` itself."""
-    listing = list_files(spark, path, glob=None, recursive=True)
-    if listing is None:
-        raise FileNotFoundError(path)
-    root = path.rstrip("/")
-    row = latest_partition_dirs(
-        listing.select(F.regexp_replace("path", r"^file:", "").alias("path")).withColumn("root", F.lit(root))
-    ).first()
-    return root if row is None else row["partition_path"]
+    """The directory to read for ``path``: its latest ``key=yyyy-MM-dd`` child, or ``path`` itself. No job."""
+    found = layout.partitions(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"path does not exist: {path}")
+    latest = layout.latest_by_date(found)
+    return path.rstrip("/") if latest is None else latest.path

@@ -9,12 +9,17 @@ Older ledgers with the counts stored as text are read with
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from concord.sources import layout
+
 _S, _L = T.StringType(), T.LongType()
 
+# The ledger's column names.
 LEDGER_FIELDS = (
     ("env", _S),
     ("dag_id", _S),
@@ -75,15 +80,43 @@ def append(verdicts: DataFrame, path: str) -> None:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger, with columns merged across files written at different times."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The ledger, with columns merged across files written at different times and counts as ``bigint``.
+
+    A directory may mix files with counts as text and as numbers, which a
+    merged schema cannot hold: then each kind of file is read by itself, typed
+    and unioned.
+    """
+    try:
+        return typed_counts(spark.read.option("mergeSchema", "true").parquet(path))
+    except (PySparkException, Py4JJavaError) as e:  # footers are merged by a job, whose errors come as they are
+        if "CANNOT_MERGE_" not in str(e):
+            raise
+    kinds: dict[tuple, list[str]] = {}
+    for name in layout.child_names(spark, path) or []:
+        if not name.startswith(("_", ".")):
+            file = f"{path.rstrip('/')}/{name}"
+            fields = spark.read.parquet(file).schema.fields
+            kinds.setdefault(tuple((f.name, f.dataType.simpleString()) for f in fields), []).append(file)
+    frames = [typed_counts(spark.read.parquet(*files)) for files in kinds.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """:func:`read`, or None where no ledger has been written yet; any other failure raises."""
+    names = layout.child_names(spark, path)
+    if not [n for n in names or [] if not n.startswith(("_", "."))]:
+        return None
+    return read(spark, path)
 
 
 def typed_counts(ledger: DataFrame) -> DataFrame:
     """Counts stored as text (older ledgers) as ``bigint``; non-numbers become NULL."""
     out = ledger
     for c in COUNT_FIELDS:
-        if c in ledger.columns:
+        if c in ledger.columns and ledger.schema[c].dataType != _L:
             out = out.withColumn(c, F.col(c).try_cast("bigint"))
     return out
 

@@ -6,9 +6,9 @@ manifest row, as in the original sweep. Delta data is read through
 ``format("delta")`` when the connector is on the classpath; without it the
 load raises and the pair gets an error verdict.
 
-Delta partition columns come from the last ``metaData`` action of the
-commit log (a JSON scan, see :mod:`concord.sources.commit_log`); Parquet
-partition columns from partition discovery over the file listing.
+Delta partition columns come from the last ``metaData`` action of the log
+(see :mod:`concord.sources.commit_log`); Parquet partition columns from the
+names of the root's ``key=value`` directories.
 """
 
 from __future__ import annotations
@@ -16,19 +16,17 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from concord.sources import commit_log
-from concord.sources.files import list_files, partition_columns
+from concord.sources import commit_log, layout
 
 DELTA = "delta"
 PARQUET = "parquet"
 
 
 def detect_format(spark: SparkSession, path: str) -> str:
-    """``"delta"`` when ``path/_delta_log`` has JSON commits, else ``"parquet"``."""
-    log = list_files(spark, commit_log.log_glob(path), glob=None)
-    if log is None:
-        return PARQUET
-    return DELTA if log.select("path").limit(1).count() > 0 else PARQUET
+    """``"delta"`` when ``path/_delta_log`` has JSON commits or checkpoints, else ``"parquet"``. No job."""
+    log = path.rstrip("/") + "/_delta_log/"
+    found = layout.matches(spark, commit_log.log_glob(path)) or layout.matches(spark, log + "*.checkpoint*.parquet")
+    return DELTA if found else PARQUET
 
 
 def load_table(spark: SparkSession, path: str, fmt: str = PARQUET) -> DataFrame:
@@ -45,7 +43,7 @@ def first_partition_column(spark: SparkSession, path: str, fmt: str) -> str | No
     """The table's first partition column, or None when it is not partitioned."""
     if fmt == DELTA:
         cols = commit_log.partition_columns(spark, path)
+        first = cols[0] if cols else None
     else:
-        cols = partition_columns(list_files(spark, path, glob=None))
-    first = cols[0] if cols else None
+        first = layout.first_column(layout.partitions(spark, path))
     return first if first is not None and first.strip() else None

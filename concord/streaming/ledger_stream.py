@@ -6,21 +6,17 @@ The stream keeps the failed pairs (data check Failed, old side non-empty)
 and emits each ``gen2_path`` once; the de-duplication state holds one entry
 per failing table, bounded by the number of tables, not by the number of
 verdicts. Run with ``availableNow`` after a sweep, or continuously next to
-one; progress lives in a checkpoint under the cluster's shared
-``spark.checkpoint.dir``, so a restarted driver resumes where it stopped.
+one; progress lives in a checkpoint beside the report, so any later run, by a
+restarted driver or a new one, goes on where the last one stopped.
 """
 
 from __future__ import annotations
 
-import hashlib
-import posixpath
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.operators.compare import FAILED
-from concord.session import ensure_checkpoint_dir
 from concord.sources.ledger import LEDGER
 
 LEDGER_WITH_TS = T.StructType(LEDGER.fields + [T.StructField("ts", T.TimestampType(), True)])
@@ -48,9 +44,7 @@ def run_failure_report(
 ) -> None:
     """Append newly failing pairs to ``report_path`` (Parquet), processing all ledger files available now."""
     if checkpoint is None:
-        # one checkpoint per report, under the cluster's shared checkpoint folder
-        key = hashlib.sha1(report_path.encode()).hexdigest()[:16]
-        checkpoint = posixpath.join(ensure_checkpoint_dir(spark), f"concord-failure-report-{key}")
+        checkpoint = report_path.rstrip("/") + ".checkpoint"
     query = (
         failure_stream(spark, ledger_path, equal_sizes)
         .writeStream.format("parquet")

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from concord import latest_partition
-from concord.sources import files
+from concord.sources import files, layout
 from concord.sources.tables import PARQUET, detect_format, first_partition_column
 from conftest import SF001, one
 
@@ -26,8 +26,7 @@ def test_latest_partition_scalar_subquery_and_listing(spark, tmp_path):
     assert first_partition_column(spark, path, PARQUET) == "load_date"
     by_subquery = latest_partition(df, "load_date")
     assert by_subquery.select("load_date").distinct().collect()[0][0] == dt.date(2024, 1, 3)
-    listing = files.list_files(spark, path, glob=None)
-    assert files.latest_partition_value(listing, "load_date") == dt.date(2024, 1, 3)
+    assert layout.latest_by_value(layout.partitions(spark, path), "load_date").text == "2024-01-03"
     assert latest_partition(df, "load_date", dt.date(2024, 1, 3)).count() == 50
     plan = latest_partition(df, "load_date", dt.date(2024, 1, 3))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-03" in plan

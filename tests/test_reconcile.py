@@ -94,21 +94,14 @@ def test_manifest_lines(spark):
 
 
 def test_side_lists_only_latest_partition(spark, tmp_path):
-    from concord.plans.verdict import _restricted
-    from concord.sources import files as file_src
+    from concord.plans.verdict import _by_column
 
     root = str(tmp_path)
     _lake(spark, root)
-    path = f"{root}/lake1/orders"
-    listing = file_src.list_files(spark, path, glob=None)
-    assert file_src.partition_columns(listing) == ["load_date"]
-    info = file_src.listing_summaries({"gen1": listing}, "load_date")["gen1"]
-    assert info["files"] >= 2 and len(info["dirs"]) == 1
-    df, _ = _restricted(spark, path, "parquet", "load_date", info, FINAL)
-    files = df.inputFiles()
+    side = _by_column(spark, f"{root}/lake1/orders", "parquet", "load_date")
+    files = side.df.inputFiles()
     assert files and all("load_date=2024-01-02" in f for f in files)
-    assert "load_date" in df.columns
-    assert df.count() == 750
+    assert "load_date" in side.df.columns and side.df.count() == 750
 
 
 def test_command_line_round_trip(spark):

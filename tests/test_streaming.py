@@ -29,16 +29,11 @@ def test_incremental_failure_report(spark, tmp_path):
     assert spark.read.parquet(out).where(F.col("gen2_path") == "/l2/a").count() == 1
 
 
-def test_default_checkpoint_is_per_report_under_checkpoint_dir(spark, tmp_path):
-    import hashlib
-    import os
-
-    from concord.session import ensure_checkpoint_dir
-
+def test_default_checkpoint_lies_beside_the_report(spark, tmp_path):
     led, out = str(tmp_path / "ledger"), str(tmp_path / "report")
     ledger.append(_verdicts(spark, [("/l2/x", "x_daily", 2, 1, 1, "Failed")]), led)
     run_failure_report(spark, led, out)
-    key = hashlib.sha1(out.encode()).hexdigest()[:16]
-    base = ensure_checkpoint_dir(spark).removeprefix("file:")
-    assert os.path.isdir(os.path.join(base, f"concord-failure-report-{key}"))
-    assert [r[0] for r in spark.read.parquet(out).select("gen2_path").collect()] == ["/l2/x"]
+    assert (tmp_path / "report.checkpoint").is_dir()
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    run_failure_report(spark, led, out)  # a later run, also of another process, repeats nothing
+    assert spark.read.parquet(out).count() == 1 and spark.conf.get("spark.checkpoint.dir", None) == before
