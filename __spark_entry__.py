@@ -153,7 +153,7 @@ MANIFEST_SQL = """m as (
         when '3-MEDIUM' then 'weekly' when '4-NOT SPECIFIED' then 'monthly_weekly'
         else 'lowdaily' end as dag_id,
     '/lake1' || case when o_orderstatus = 'P'
-        then '_test/priority2/' || lpad(cast(o_custkey as varchar), 3, '0') else '' end
+        then '_test/priority2/' || printf('%03d', o_custkey % 1000) else '' end
       || '/orders/' || cast(o_orderkey as varchar) as gen1_path,
     '/lake2/orders/' || cast(o_orderkey as varchar) as gen2_path,
     cast(o_orderdate as timestamp) as ts
@@ -243,6 +243,54 @@ from (select (select count(*) from {t}) as c, (select count(*) from (select dist
     return "\nunion all\n".join(parts)
 
 
+def _schema_diff_sql() -> str:
+    """First column as text, last one gone, one more: from the engine's own description of every table."""
+    parts = []
+    for t in workload.TABLES:
+        parts.append(f"""select '{t}' as "table", column_name, column_type,
+  row_number() over () as k, count(*) over () as n from (describe {t})""")
+    return f"""with d as ({" union all ".join(parts)}),
+t as (
+  select "table", column_name as "column", k, n, case column_type
+    when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' when 'VARCHAR' then 'string'
+    when 'TIMESTAMP' then 'timestamp_ntz' when 'FLOAT[]' then 'array<float>' else column_type end as left_type
+  from d)
+select "table", "column", left_type, true as left_nullable, 'string' as right_type, true as right_nullable
+from t where k = 1 and left_type <> 'string'
+union all
+select "table", "column", left_type, true, null, null from t where k = n
+union all
+select distinct "table", 'zz_extra', cast(null as varchar), cast(null as boolean), 'string', false from t"""
+
+
+def _lake_rows_sql() -> str:
+    """The verdicts of ``reconcile_lake`` as separate queries."""
+    six_o = _six("o", "p", ORDERS_COLS)
+    six_l = _six("lineitem", "b_lineitem", LINEITEM_COLS)
+    six_e = _six("ea", "eb", EVENTS_COLS)
+
+    def row(six, dag, scope, schema, diff, p1, p2):
+        same = "NA" if p1 == "null" else "Passed"
+        return f"""select 'prod' as env, '{dag}' as dag_id, gen1_count, gen2_count, gen1_distinct_count, gen2_distinct_count,
+  gen1_except_gen2, gen2_except_gen1, 'Passed' as files_validation, count_validation, dis_count_validation, except_validation,
+  '{schema}' as schema_validation, cast({diff} as varchar) as schema_diff, cast(null as varchar) as error_msg, 'NA' as source_job,
+  '{scope}' as scope, cast({p1} as varchar) as gen1_partition, cast({p2} as varchar) as gen2_partition,
+  '{same}' as partition_validation from ({six}) s"""
+
+    year = "(select max(year(o_orderdate)) from orders)"
+    day = "(select cast(max(cast(ts as date)) as varchar) from events)"
+    return f"""with {B_ORDERS}, {B_LINEITEM},
+o as (select * from orders where year(o_orderdate) = {year}),
+p as (select * from b_orders where year(o_orderdate) = (select max(year(o_orderdate)) from b_orders)),
+ea as (select * from events where cast(ts as date) = (select max(cast(ts as date)) from events)),
+eb as (select * from events where event_id % 7 <> 0 and cast(ts as date) = (select max(cast(ts as date)) from events where event_id % 7 <> 0))
+{row(six_o, 'orders_daily', 'current', 'Failed', "'o_orderpriority: string/true -> absent'", year, year)}
+union all {row(six_l, 'lineitem_daily', 'current', 'Passed', 'null', 'null', 'null')}
+union all {row(six_l, 'lineitem4_daily', 'current', 'Passed', 'null', 'null', 'null')}
+union all {row(six_l, 'events_daily', 'current', 'Passed', 'null', 'null', 'null')}
+union all {row(six_e, 'events_daily', 'history', 'Passed', 'null', day, day)}"""
+
+
 def oracle_sql() -> dict[str, str]:
     lineitem_kept = (
         "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -250,6 +298,10 @@ def oracle_sql() -> dict[str, str]:
     )
     orders_no_price = "o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority"
     ledgers = _ledger_ctes()
+    swapped = LINEITEM_COLS.replace("l_partkey, l_suppkey", "l_suppkey, l_partkey")
+    nested = f"""with n as (select event_id, ts as at_ts, event_type, props from events),
+m as (select event_id, case when event_id % 5 = 0 then ts + interval 1 microsecond else ts end as at_ts, event_type, props from events)
+{_six('n', 'm', 'event_id, at_ts, event_type, props')}"""
     sql = {
         "row_count_check": f"""with {B_ORDERS}
 select cast(c1 as bigint) as gen1_count, cast(c2 as bigint) as gen2_count,
@@ -270,8 +322,11 @@ from (select (select count(*) from (select * from orders except all select * fro
         "diff_positional": f"""select cast(e1 as bigint) as gen1_except_gen2, cast(e2 as bigint) as gen2_except_gen1,
   {_status('e1 + e2 = 0')} as except_validation
 from (select
-  (select count(*) from (select l_partkey, l_suppkey from lineitem except all select l_suppkey, l_partkey from lineitem)) as e1,
-  (select count(*) from (select l_suppkey, l_partkey from lineitem except all select l_partkey, l_suppkey from lineitem)) as e2) s""",
+  (select count(*) from (select {LINEITEM_COLS} from lineitem except all select {swapped} from lineitem)) as e1,
+  (select count(*) from (select {swapped} from lineitem except all select {LINEITEM_COLS} from lineitem)) as e2) s""",
+        "compare_positional_two_lists": f"with {B_LINEITEM} {_six('lineitem', 'b_lineitem', LINEITEM_COLS, LINEITEM_COLS.replace('l_tax, ', ''))}",
+        "compare_nested_micros": nested,
+        "compare_nested_micros_digest": nested,
         "diff_ignoring_audit": f"""with {B_LINEITEM}
 select cast(e1 as bigint) as gen1_except_gen2, cast(e2 as bigint) as gen2_except_gen1,
   {_status('e1 + e2 = 0')} as except_validation
@@ -298,11 +353,7 @@ select * from verdicts""",
         "compare_conversations_by_conv": f"""with {B_CONV},
 {_six_by('conversations', 'b_conv', 'conv_id', CONV_COLS)}
 select * from verdicts""",
-        "schema_diff": """select * from (values
-  ('o_comment', cast(null as varchar), cast(null as boolean), 'string', false),
-  ('o_orderpriority', 'string', true, cast(null as varchar), cast(null as boolean)),
-  ('o_totalprice', 'double', true, 'decimal(12,2)', true)
-) as t("column", left_type, left_nullable, right_type, right_nullable)""",
+        "schema_diff": _schema_diff_sql(),
         "latest_partition_rows": f"""with {B_EVENTS}
 select {EVENTS_COLS}, 'gen1' as side from {_latest_day('events')} a
 union all
@@ -332,6 +383,23 @@ from m""",
         "job_id_normalize_literal": f"with {MANIFEST_SQL} select dag_id, {_normalize('dag_id', '_monthly')} as job_id from m",
         "manifest_text": f"with {MANIFEST_SQL} select concat_ws(',', env, dag_id, gen1_path, gen2_path) as line from m",
         "reconcile_tables": _reconcile_tables_sql(),
+        "reconcile_lake": _lake_rows_sql(),
+        "files_check": """with t as (select distinct user_id from events),
+f as (
+  select user_id, count(*) filter (where user_id % 7 <> 0) as a, count(*) filter (where user_id % 11 <> 0) as b
+  from events where not (value < 5) or value is null group by user_id)
+select '/w/' || cast(t.user_id as varchar) as "table", cast(coalesce(a, 0) as bigint) as gen1_files,
+  cast(coalesce(b, 0) as bigint) as gen2_files,
+  case when coalesce(a, 0) > 0 and coalesce(b, 0) > 0 then 'Passed' else 'Failed' end as files_validation
+from t left join f on f.user_id = t.user_id""",
+        "latest_partition_named": f"""select {EVENTS_COLS}, cast(ts as date) as load_date from events
+where cast(ts as date) = (select max(cast(ts as date)) from events)""",
+        "manifest_parse": f"""with {MANIFEST_SQL} select env, dag_id, gen1_path, gen2_path,
+  gen1_path || '_hist' as gen1_hist_path, gen2_path || '_hist' as gen2_hist_path from m where o_orderkey % 9 <> 0""",
+        "typed_ledger_sweep": f"""{ledgers.replace("l1 as (", "l1_all as (").replace("l2 as (", "l2_all as (")},
+l1 as (select * from l1_all where cast(regexp_extract(gen2_path, '([0-9]+)$', 1) as bigint) % 50 <> 0),
+l2 as (select * from l2_all where cast(regexp_extract(gen2_path, '([0-9]+)$', 1) as bigint) % 50 <> 0)
+{_sweep('_weekly')}""",
         "order_ledger": f"{ledgers} select * exclude (ts) from l1",
         "sweep_manifest": f"{ledgers} {_sweep('_weekly')}",
         "sweep_manifest_literal": f"{ledgers} {_sweep('_monthly')}",

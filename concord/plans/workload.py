@@ -10,6 +10,7 @@ order, so the ledger queries run over as many pairs as there are orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +28,13 @@ from concord.operators.compare import (
 from concord.operators.partition import latest_partition
 from concord.operators.schema import schema_diff
 from concord.plans import sweep
-from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, Profile
+from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, PHASE4, Profile
 from concord.plans.reconcile import reconcile
 from concord.plans.verdict import verdict_frame
 from concord.sources import commit_log, files
-from concord.sources.ledger import conform
-from concord.sources.manifest import manifest_frame, manifest_text
+from concord.session import ensure_checkpoint_dir
+from concord.sources.ledger import conform, typed_counts
+from concord.sources.manifest import HISTORY_MANIFEST, manifest_frame, manifest_text, parse_manifest_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,7 +120,7 @@ def order_manifest(orders: DataFrame) -> DataFrame:
     cust = F.col("o_custkey").cast("string")
     key = F.col("o_orderkey").cast("string")
     test_dir = F.when(
-        F.col("o_orderstatus") == "P", F.concat(F.lit("_test/priority2/"), F.lpad(cust, 3, "0"))
+        F.col("o_orderstatus") == "P", F.concat(F.lit("_test/priority2/"), F.format_string("%03d", F.col("o_custkey") % 1000))
     ).otherwise(F.lit(""))
     return orders.select(
         "o_orderkey",
@@ -174,11 +176,38 @@ def q_diff_counts(spark, sf):
     return diff_counts(o, orders_b(o))
 
 
+def _swapped(df: DataFrame, a: str, b: str) -> DataFrame:
+    """``df`` with two columns in each other's place."""
+    return df.select(*[{a: b, b: a}.get(c, c) for c in df.columns])
+
+
 def q_diff_positional(spark, sf):
     li = table(spark, sf, "lineitem")
-    return diff_counts(
-        li.select("l_partkey", "l_suppkey"), li.select("l_suppkey", "l_partkey"), align_by="position"
-    )
+    return diff_counts(li, _swapped(li, "l_partkey", "l_suppkey"), align_by="position")
+
+
+def q_compare_positional_two_lists(spark, sf):
+    """By position, the two lists pair columns differently: only the data list leaves out the moved one."""
+    li = table(spark, sf, "lineitem")
+    right = _swapped(lineitem_b(li), "l_discount", "l_tax")
+    return compare(li, right, ignore=["l_tax"], ignore_distinct=[], align_by="position")
+
+
+def _nested_events(events: DataFrame, shift: bool) -> DataFrame:
+    ts = F.col("ts")
+    if shift:
+        ts = F.when(F.col("event_id") % 5 == 0, ts + F.expr("interval 1 microsecond")).otherwise(ts)
+    return events.select("event_id", F.struct(ts.alias("at"), F.array("event_type", "props").alias("tags")).alias("what"))
+
+
+def q_compare_nested_micros(spark, sf):
+    ev = table(spark, sf, "events")
+    return compare(_nested_events(ev, False), _nested_events(ev, True))
+
+
+def q_compare_nested_micros_digest(spark, sf):
+    ev = table(spark, sf, "events")
+    return compare(_nested_events(ev, False), _nested_events(ev, True), method="digest")
 
 
 def q_diff_ignoring_audit(spark, sf):
@@ -237,15 +266,15 @@ def q_compare_conversations_by_conv(spark, sf):
 
 
 def q_schema_diff(spark, sf):
-    o = table(spark, sf, "orders")
-    changed = (
-        orders_b(o)
-        .withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
-        .withColumnRenamed("o_custkey", "O_CUSTKEY")
-        .drop("o_orderpriority")
-        .withColumn("o_comment", F.lit("x"))
-    )
-    return schema_diff(o, changed)
+    """Every given table against a copy with its first column as text, its last one gone, one renamed in case, one more."""
+    out = None
+    for name in TABLES:
+        t = table(spark, sf, name)
+        first, last = t.columns[0], t.columns[-1]
+        changed = t.withColumn(first, F.col(first).cast("string")).drop(last).withColumnRenamed(first, first.upper())
+        diff = schema_diff(t, changed.withColumn("zz_extra", F.lit("x"))).select(F.lit(name).alias("table"), "*")
+        out = diff if out is None else out.unionByName(diff)
+    return out
 
 
 def q_latest_partition_rows(spark, sf):
@@ -287,8 +316,23 @@ def q_latest_partition_path(spark, sf):
 
 
 def q_files_check(spark, sf):
-    base = sf.rstrip("/")
-    return files.files_check(spark, f"{base}/orders.parquet", f"{base}/lineitem.parquet")
+    """One table per user: the files that its events would be on either side, markers and lost files included."""
+    ev, key = table(spark, sf, "events"), F.col("event_id")
+    name = F.concat(F.lit("/w/"), F.col("user_id").cast("string"))
+
+    def files_of(side: str, lost: int):
+        marker = F.when(F.col("value") < 5, F.lit("/_SUCCESS")).otherwise(F.concat(F.lit("/part-"), key.cast("string"), F.lit(".parquet")))
+        there = ev.where(F.col("user_id") % lost != 0)
+        return there.select(name.alias("table"), F.lit(side).alias("side"), F.concat(name, marker).alias("path"))
+
+    tables = ev.select(name.alias("table")).distinct()
+    return files.files_verdict(tables, files_of("gen1", 7).unionByName(files_of("gen2", 11)))
+
+
+def q_latest_partition_named(spark, sf):
+    """The latest partition by a column whose name is only known at run time."""
+    ev = table(spark, sf, "events").withColumn("load date", F.to_date("ts"))
+    return latest_partition(ev, ev.columns[-1]).withColumnRenamed("load date", "load_date")
 
 
 def q_baseline_path(spark, sf):
@@ -316,6 +360,15 @@ def q_manifest_text(spark, sf):
     return manifest_text(m)
 
 
+def q_manifest_parse(spark, sf):
+    """Six-field manifest lines, some without a separator, read back into columns."""
+    m = order_manifest(table(spark, sf, "orders"))
+    hist = [F.concat(c, F.lit("_hist")) for c in ("gen1_path", "gen2_path")]
+    line = F.concat_ws(",", "env", "dag_id", "gen1_path", "gen2_path", *hist)
+    lines = m.select(F.when(F.col("o_orderkey") % 9 == 0, F.col("dag_id")).otherwise(line).alias("value"))
+    return parse_manifest_lines(lines, HISTORY_MANIFEST)
+
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -330,6 +383,29 @@ def q_reconcile_tables(spark, sf):
     return verdicts.drop("gen1_path", "gen2_path", "run_id")
 
 
+def q_reconcile_lake(spark, sf):
+    """The path-level runner over pairs that differ: written copies, latest partitions, schema drift, history."""
+    root = f"{ensure_checkpoint_dir(spark)}/concord-lake-{uuid.uuid4().hex}"
+    o, li, ev = (table(spark, sf, t) for t in ("orders", "lineitem", "events"))
+    year, day = F.year("o_orderdate").alias("load_year"), F.to_date("ts").alias("load_date")
+    o.select("*", year).write.partitionBy("load_year").parquet(f"{root}/lake1_test/orders")
+    orders_b(o).select("*", year).write.partitionBy("load_year").parquet(f"{root}/lake2/orders")
+    o.select("*", year).drop("o_orderpriority").write.partitionBy("load_year").parquet(f"{root}/lake1/orders")
+    li.write.parquet(f"{root}/lake1/lineitem")
+    lineitem_b(li).write.parquet(f"{root}/lake2/lineitem")
+    ev.select("*", day).write.partitionBy("load_date").parquet(f"{root}/lake1/events")
+    ev.select("*", day).where("event_id % 7 <> 0").write.partitionBy("load_date").parquet(f"{root}/lake2/events")
+
+    def run(profile, *rows, history=False):
+        paths = [("prod", f"{a}_daily", *[f"{root}/{p}" for p in ps]) for a, ps in rows]
+        return reconcile(spark, manifest_frame(spark, paths, history=history), profile, history=history)
+
+    final = run(FINAL, ("orders", ("lake1_test/orders", "lake2/orders")), ("lineitem", ("lake1/lineitem", "lake2/lineitem")))
+    phase4 = run(PHASE4, ("lineitem4", ("lake1/lineitem", "lake2/lineitem")))
+    both = run(CURRENT_HISTORY, ("events", ("lake1/lineitem", "lake2/lineitem", "lake1/events", "lake2/events")), history=True)
+    return final.unionByName(phase4).unionByName(both).drop("gen1_path", "gen2_path", "run_id")
+
+
 def q_order_ledger(spark, sf):
     return order_ledger(spark, sf, 1).drop("ts")
 
@@ -338,6 +414,18 @@ def q_sweep_manifest(spark, sf):
     return sweep.sweep_manifest(order_ledger(spark, sf, 1), order_ledger(spark, sf, 2))
 
 
+def q_typed_ledger_sweep(spark, sf):
+    """The sweep over ledgers that hold counts as text, some of them no numbers."""
+
+    def as_text(ledger: DataFrame) -> DataFrame:
+        lost = F.regexp_extract("gen2_path", r"(\d+)$", 1).cast("bigint") % 50 == 0
+        text = {c: F.when(lost, F.lit("n/a")).otherwise(F.col(c).cast("string")) for c in ("gen1_count", "gen2_count")}
+        return ledger.withColumns(text)
+
+    first, second = (typed_counts(as_text(order_ledger(spark, sf, run))) for run in (1, 2))
+    return sweep.sweep_manifest(first, second)
+
+
 def q_sweep_manifest_literal(spark, sf):
     return sweep.sweep_manifest(order_ledger(spark, sf, 1), order_ledger(spark, sf, 2), rules="literal")
 
@@ -427,6 +515,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_right_only": q_diff_right_only,
     "diff_counts": q_diff_counts,
     "diff_positional": q_diff_positional,
+    "compare_positional_two_lists": q_compare_positional_two_lists,
+    "compare_nested_micros": q_compare_nested_micros,
+    "compare_nested_micros_digest": q_compare_nested_micros_digest,
     "diff_ignoring_audit": q_diff_ignoring_audit,
     "compare_fused": q_compare_fused,
     "compare_fused_two_lists": q_compare_fused_two_lists,
@@ -444,14 +535,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_partition_compare_same_day": q_latest_partition_compare_same_day,
     "latest_partition_path": q_latest_partition_path,
     "files_check": q_files_check,
+    "latest_partition_named": q_latest_partition_named,
     "baseline_path": q_baseline_path,
     "table_name": q_table_name,
     "job_id_normalize": q_job_id_normalize,
     "job_id_normalize_literal": q_job_id_normalize_literal,
     "manifest_text": q_manifest_text,
+    "manifest_parse": q_manifest_parse,
     "reconcile_tables": q_reconcile_tables,
+    "reconcile_lake": q_reconcile_lake,
     "order_ledger": q_order_ledger,
     "sweep_manifest": q_sweep_manifest,
+    "typed_ledger_sweep": q_typed_ledger_sweep,
     "sweep_manifest_literal": q_sweep_manifest_literal,
     "resume_manifest": q_resume_manifest,
     "failure_report": q_failure_report,
