@@ -22,10 +22,10 @@ one document's ids may span blocks and segments.
 
 from __future__ import annotations
 
+import re
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -235,6 +235,29 @@ class Reader:
 # ------------------------------------------------------------------ ids by the tokenizers library
 
 
+class _Pieces(dict):
+    """Ids of pieces of text as they stand after a space; a missing piece is encoded when it is looked up.
+
+    A mark behind a letter is a word of its own, so ``word,`` is ``word`` and ``,``.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes], longest: int):
+        super().__init__()
+        self.encode, self.older, self.longest = encode, older, longest
+        self.marks = {m: encode(m) for m in _MARKS}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece[-1:] in self.marks and piece[-2:-1].isalpha():
+                ids = self[piece[:-1]] + self.marks[piece[-1]]
+            else:
+                ids = self.encode(" " + piece)
+        if len(piece) <= self.longest:
+            self[piece] = ids
+        return ids
+
+
 class LibraryCodec:
     """Ids by the tokenizers library.
 
@@ -244,13 +267,9 @@ class LibraryCodec:
     and gives the same ids.
     """
 
-    KEPT, LONGEST = 1 << 19, 48
+    KEPT, LONGEST = 1 << 20, 48
 
     def __init__(self, vocabulary: str):
-        import os
-        import re
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -260,53 +279,23 @@ class LibraryCodec:
             raise ValueError("a special token that holds a space could be cut")
         self._joint = re.compile(r"\s (?!\S)").search
         self._apart = re.compile(r"(?<=\S) (?=\S)").split
-        self.known: dict[str, bytes] = {}  # pieces as they stand after a space
-        self.older: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 1 << 14):
-            some = self.tokenizer.encode_batch_fast(texts[at : at + (1 << 14)], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in some]
-        return out
+        self.known = _Pieces(self._ids, {}, self.LONGEST)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of ``" " + piece``; a mark behind a letter is a word of its own and is cut off first."""
-        bare, marked = [], []
-        for p in pieces:
-            if p[-1:] in _MARKS and p[-2:-1].isalpha():
-                marked.append(p)
-            else:
-                bare.append(p)
-        stems = {p[:-1] for p in marked} - self.known.keys()
-        stems.difference_update(bare)
-        asked = []
-        for p in [*bare, *stems]:
-            if (ids := self.older.get(p)) is None:
-                asked.append(p)
-            else:
-                self.known[p] = ids
-        self.known.update(zip(asked, self._library([" " + p for p in asked]), strict=True))
-        if len(self.marks) < len(_MARKS):
-            self.marks = dict(zip(_MARKS, self._library([*_MARKS]), strict=True))
-        for p in marked:
-            self.known[p] = self.known[p[:-1]] + self.marks[p[-1]]
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as packed little-endian 32-bit numbers."""
-        cut = [(self._apart(t) if self._joint(t) else t.split(" ")) if t else [""] for t in texts]
-        first = self._library([c[0] for c in cut])
-        rest = [c[1:] for c in cut]
         if len(self.known) >= self.KEPT:
-            self.known, self.older = {}, self.known
-        new = set(chain.from_iterable(rest)) - self.known.keys()
-        self._learn([*new])
-        long = [p for p in new if len(p) > self.LONGEST]
-        get = self.known.__getitem__
-        out = [a + b"".join(map(get, c)) for a, c in zip(first, rest, strict=True)]
-        for p in long:
-            del self.known[p]
+            self.known.older = {}
+            self.known = _Pieces(self._ids, self.known, self.LONGEST)
+        get, out = self.known.__getitem__, []
+        for text in texts:
+            if not text:
+                out.append(b"")
+                continue
+            first, *rest = self._apart(text) if self._joint(text) else text.split(" ")
+            out.append(self._ids(first) + b"".join(map(get, rest)))
         return out
 
 
