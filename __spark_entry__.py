@@ -404,7 +404,7 @@ l2 as (select * from l2_all where cast(regexp_extract(gen2_path, '([0-9]+)$', 1)
         "sweep_manifest": f"{ledgers} {_sweep('_weekly')}",
         "sweep_manifest_literal": f"{ledgers} {_sweep('_monthly')}",
         "resume_manifest": f"""{ledgers}, sm as ({_sweep('_weekly')}),
-done as (select distinct gen2_path from l1 where cast(ts as date) = date '{workload.RESUME_DAY}' and gen2_path is not null)
+done as (select distinct gen2_path from l1 where cast(date_trunc('year', ts) as date) = date '{workload.RESUME_DAY}' and gen2_path is not null)
 select * from sm where gen2_path not in (select gen2_path from done)""",
         "failure_report": f"{ledgers} select distinct gen2_path from l1 where except_validation = 'Failed' and gen1_count <> 0",
         "value_drift_report": f"""{ledgers} select distinct gen2_path from l1

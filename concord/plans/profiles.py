@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from concord.sources.commit_log import EXCLUDED_JOBS
+
 # Audit columns, ignored by the distinct and data checks.
 DISTINCT_AUDIT = ("load_date", "load_timestamp")
 DATA_AUDIT = (
@@ -59,6 +61,8 @@ class Profile:
     baseline_rule: str = "by_env"
     # "exact" (group by row values) or "digest" (group by a 128-bit row digest; for wide rows)
     method: str = "exact"
+    # jobs that are never reported as writers
+    excluded_jobs: tuple[str, ...] = EXCLUDED_JOBS
 
     def with_(self, **kw) -> "Profile":
         return replace(self, **kw)

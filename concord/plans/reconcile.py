@@ -49,7 +49,7 @@ def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history
         try:
             r = frame.first().asDict()
             if profile.lineage and fmt == DELTA and r["except_validation"] == FAILED:
-                r["source_job"] = commit_log.job_list(spark, r["gen2_path"])
+                r["source_job"] = commit_log.job_list(spark, r["gen2_path"], profile.excluded_jobs)
             rows.append(tuple(r[c] for c in LEDGER_COLUMNS))
         except Exception as e:  # noqa: BLE001
             rows.append(_error_row(row, _message(e), scope))

@@ -17,20 +17,31 @@ from concord.operators.compare import FAILED
 # Job ids and paths containing these are never swept, and only
 # jobs whose raw id ends in one of the schedules are.
 SWEEP_EXCLUDE = ("streaming", "test")
+SWEEP_EXCLUDE_PATHS = ("test",)
 SWEEP_SCHEDULES = ("daily", "weekly")
 SWEEP_ENV = "prod"
 
 
-def _sweepable(ledger: DataFrame) -> Column:
+def _sweepable(exclude, exclude_paths) -> Column:
     dag, p1, p2 = F.col("dag_id"), F.col("gen1_path"), F.col("gen2_path")
     keep = F.lit(True)
-    for word in SWEEP_EXCLUDE:
+    for word in exclude:
         keep = keep & ~dag.like(f"%{word}%")
-    keep = keep & ~p1.like("%test%") & ~p2.like("%test%")
+    for word in exclude_paths:
+        keep = keep & ~p1.like(f"%{word}%") & ~p2.like(f"%{word}%")
     return keep & (F.col("gen1_count") > 0) & (F.col("gen2_count") > 0)
 
 
-def sweep_manifest(ledger1: DataFrame, ledger2: DataFrame, rules: str = "corrected") -> DataFrame:
+def sweep_manifest(
+    ledger1: DataFrame,
+    ledger2: DataFrame,
+    rules: str = "corrected",
+    *,
+    exclude=SWEEP_EXCLUDE,
+    exclude_paths=SWEEP_EXCLUDE_PATHS,
+    schedules=SWEEP_SCHEDULES,
+    env: str = SWEEP_ENV,
+) -> DataFrame:
     """Manifest of pairs worth re-checking, from two ledgers.
 
     Both ledgers: drop streaming and test jobs and test paths, keep pairs
@@ -39,18 +50,19 @@ def sweep_manifest(ledger1: DataFrame, ledger2: DataFrame, rules: str = "correct
     kept and their ids normalised (:func:`normalize_job_id`).
     """
     cols = ["dag_id", "gen1_path", "gen2_path"]
-    a = ledger1.where(_sweepable(ledger1)).select(*cols)
-    b = ledger2.where(_sweepable(ledger2) & (F.col("env") == SWEEP_ENV)).select(*cols)
+    keep = _sweepable(exclude, exclude_paths)
+    a = ledger1.where(keep).select(*cols)
+    b = ledger2.where(keep & (F.col("env") == env)).select(*cols)
     dag = F.col("dag_id")
     scheduled = F.lit(False)
-    for schedule in SWEEP_SCHEDULES:
+    for schedule in schedules:
         scheduled = scheduled | dag.like(f"%{schedule}")
     return (
         a.union(b)
         .distinct()
         .where(scheduled)
         .select(
-            F.lit(SWEEP_ENV).alias("env"),
+            F.lit(env).alias("env"),
             normalize_job_id(dag, rules).alias("dag_id"),
             "gen1_path",
             "gen2_path",

@@ -430,12 +430,13 @@ def q_sweep_manifest_literal(spark, sf):
     return sweep.sweep_manifest(order_ledger(spark, sf, 1), order_ledger(spark, sf, 2), rules="literal")
 
 
-RESUME_DAY = "1996-09-17"
+RESUME_DAY = "1996-01-01"  # ledgers are stamped with the first day of the order's year: a day holds a seventh
 
 
 def q_resume_manifest(spark, sf):
-    manifest = sweep.sweep_manifest(order_ledger(spark, sf, 1), order_ledger(spark, sf, 2))
-    return sweep.resume_manifest(manifest, order_ledger(spark, sf, 1), RESUME_DAY)
+    first = order_ledger(spark, sf, 1).withColumn("ts", F.date_trunc("year", "ts"))
+    manifest = sweep.sweep_manifest(first, order_ledger(spark, sf, 2))
+    return sweep.resume_manifest(manifest, first, RESUME_DAY)
 
 
 def q_failure_report(spark, sf):

@@ -86,10 +86,10 @@ def writer_jobs_many(commits: DataFrame, seed: str = SEED_JOB) -> DataFrame:
     return seeded.unionByName(writer_jobs(commits, by_table=False)).distinct()
 
 
-def job_list(spark: SparkSession, path: str) -> str:
+def job_list(spark: SparkSession, path: str, excluded=EXCLUDED_JOBS) -> str:
     """Writer jobs of one table as display text ``[a, b]`` (sorted); ``[]`` when none."""
     names = (
-        writer_jobs(read_commits(spark, path), by_table=False)
+        writer_jobs(read_commits(spark, path), by_table=False, excluded=excluded)
         .agg(F.array_join(F.array_sort(F.collect_list("job_name")), ", ").alias("j"))
         .first()[0]
     )
