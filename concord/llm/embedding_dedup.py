@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from concord.llm.components import connected_components
 from concord.llm.simhash import union
 from concord.llm.store import import_path, written
-from concord.llm.tiles import Tile, finite, pack, per_unit
+from concord.llm.tiles import Tile, finite, pack, per_unit, tiles_for
 
 _EXACT = 1040  # 1040 * 127 * 127 < 2 ** 24
 
@@ -94,8 +94,10 @@ def tile_links(x: Codes, y: Codes, threshold: float, same: bool, stripe: int = 5
 
 def _unit(threshold: float):
     def work(rows: list[dict]) -> pa.Table:
+        same = rows[0]["i"] == rows[0]["j"]
+        if not same and len(rows) < 2:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("id", "links", "root")})
         tiles = [Tile(r) for r in rows]
-        same = len(tiles) == 1
         x = Codes(tiles[0])
         y = x if same else Codes(tiles[1])
         ids = tiles[0].ids if same else np.concatenate([tiles[0].ids, tiles[1].ids])
@@ -136,8 +138,8 @@ def near_vectors(
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     distinct = rows.where("usable").groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("extra"))
     distinct = written(distinct.select("id", "extra", "vector"), "vectors")
-    tiles = pack(distinct, tile_rows)
-    other = tiles.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    n = tiles_for(distinct.count(), tile_rows)
+    other = pack(distinct, n).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     units = other.withColumns({"i": F.least("tile", "o"), "j": F.greatest("tile", "o"), "side": (F.col("tile") > F.col("o")).cast("int")})
     found = written(per_unit(units, _unit(threshold), "id long, links long, root long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TILE = "dim int, tile int, tiles int, rows int, ids binary, extra binary, data binary"
+TILE = "dim int, tile int, rows int, ids binary, extra binary, data binary"
 
 
 def finite(col: Column) -> Column:
@@ -23,11 +23,17 @@ def finite(col: Column) -> Column:
     return F.coalesce(col.isNotNull() & good, F.lit(False))
 
 
-def pack(rows: DataFrame, size: int) -> DataFrame:
-    """``rows(id long, extra long, vector array<double>)`` as tiles of about ``size`` rows, by vector length."""
-    rows = rows.withColumn("dim", F.size("vector"))
-    counts = rows.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("tiles"))
-    cut = rows.join(counts, "dim").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+def tiles_for(rows: int, size: int) -> int:
+    """Number of tiles for so many rows."""
+    return max(1, -(-rows // size))
+
+
+def pack(rows: DataFrame, tiles: int) -> DataFrame:
+    """``rows(id long, extra long, vector array<double>)`` in ``tiles`` tiles for each vector length.
+
+    Tiles without rows are left out.
+    """
+    cut = rows.select("*", F.size("vector").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int").alias("tile"))
 
     def one(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
@@ -39,7 +45,6 @@ def pack(rows: DataFrame, size: int) -> DataFrame:
             {
                 "dim": pa.array([dim], pa.int32()),
                 "tile": pa.array([table.column("tile")[0].as_py()], pa.int32()),
-                "tiles": pa.array([table.column("tiles")[0].as_py()], pa.int32()),
                 "rows": pa.array([len(order)], pa.int32()),
                 "ids": [table.column("id").to_numpy()[order].astype("<i8").tobytes()],
                 "extra": [table.column("extra").to_numpy()[order].astype("<i8").tobytes()],
@@ -60,7 +65,10 @@ class Tile:
 
 
 def per_unit(units: DataFrame, work: Callable[[list[dict]], pa.Table], schema: str) -> DataFrame:
-    """``work`` on the one or two tile rows of each unit (``dim, i, j``); ``side`` orders the two."""
+    """``work`` on the one or two tile rows of each unit (``dim, i, j``); ``side`` orders the two.
+
+    A unit of two tiles has one row if the other tile is empty.
+    """
 
     def one(table: pa.Table) -> pa.Table:
         return work(sorted(table.to_pylist(), key=lambda r: r["side"]))

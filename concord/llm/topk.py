@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.llm.store import import_path
-from concord.llm.tiles import Tile, finite, pack, per_unit
+from concord.llm.tiles import Tile, finite, pack, per_unit, tiles_for
 
 _SAFE = 1 << 53
 
@@ -111,11 +111,11 @@ def top_k(
     rows = rows.where(F.col("id").isNotNull() & finite(F.col("vector")))
     rows = rows.groupBy("id").agg(F.max("vector").alias("vector"))
     rows = rows.select("id", F.lit(0).cast("long").alias("extra"), F.transform("vector", lambda x: F.floor(x * scale).cast("double")).alias("vector"))
-    lists, queries = pack(rows, tile_rows), pack(rows.where(is_query), query_rows)
-    partners = lists.groupBy("dim").agg(F.max("tiles").alias("n"))
-    asked = queries.groupBy("dim").agg(F.max("tiles").alias("n"))
-    left = queries.join(partners, "dim").withColumns({"i": F.col("tile"), "side": F.lit(0)}).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    right = lists.join(asked, "dim").withColumns({"j": F.col("tile"), "side": F.lit(1)}).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    asked = rows.where(is_query)
+    of_all, of_asked = tiles_for(rows.count(), tile_rows), tiles_for(asked.count(), query_rows)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = pack(asked, of_asked).withColumns({"i": F.col("tile"), "side": F.lit(0)}).withColumn("j", every(of_all))
+    right = pack(rows, of_all).withColumns({"j": F.col("tile"), "side": F.lit(1)}).withColumn("i", every(of_asked))
     found = per_unit(left.unionByName(right), _unit(k), "query_id long, vec_id long, score long")
     first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

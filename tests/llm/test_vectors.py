@@ -41,7 +41,8 @@ def test_bounds_hold_and_no_pair_is_missed(dim):
     assert sure <= got and all(cos[i, j] >= 0.9 - 1e-12 for i, j in got)
 
 
-def test_near_vectors_equals_brute_force(spark):
+@pytest.mark.parametrize("tile_rows", [1 << 13, 100, 3])  # with tiles of three rows some are empty
+def test_near_vectors_equals_brute_force(spark, tile_rows):
     rng = np.random.default_rng(4)
     x = vectors(rng)
     rows = [(1000 + k, v.tolist(), 0, "x") for k, v in enumerate(x)]
@@ -49,7 +50,7 @@ def test_near_vectors_equals_brute_force(spark):
     odd = [(5000, None, 0, "x"), (5001, [], 0, "x"), (5002, [0.0] * 16, 0, "x"), (5003, [float("nan")] * 16, 0, "x"), (5004, [None] + [1.0] * 15, 0, "x"),
            (5005, [float("inf")] * 16, 0, "x"), (5006, [1.0, 2.0], 0, "x"), (None, x[7].tolist(), 0, "x")]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, links int, kept string")
-    got = {r.id: r for r in embedding_dedup.near_vectors(df, tile_rows=100).collect()}
+    got = {r.id: r for r in embedding_dedup.near_vectors(df, tile_rows=tile_rows).collect()}
     assert len(got) == len(rows) + len(odd)
     ids, all_x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
     link = cosines(all_x) >= 0.9
