@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from concord.llm.store import import_path
+from concord.llm.store import python_workers
 
 # Fixed value: the pre-splitting pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -324,7 +324,7 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", out_col:
     row count, order and partitions stay.
     """
     spark = df.sparkSession
-    import_path(spark)
+    python_workers(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     df = _rest(df, out_col)
     passed = [f for f in df.schema.fields if keep_text or f.name != text_col]
@@ -358,7 +358,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", out_col: s
     array adds nothing. Other columns as in :func:`encode`.
     """
     spark = df.sparkSession
-    import_path(spark)
+    python_workers(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     df = _rest(df, out_col)
     names = df.columns

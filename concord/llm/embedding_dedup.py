@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from concord.llm.components import connected_components
 from concord.llm.simhash import union
-from concord.llm.store import import_path, written
+from concord.llm.store import python_workers, written
 from concord.llm.tiles import Tile, finite, pack, per_unit, tiles_for
 
 _EXACT = 1040  # 1040 * 127 * 127 < 2 ** 24
@@ -132,7 +132,7 @@ def near_vectors(
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    import_path(embeddings.sparkSession)
+    python_workers(embeddings.sparkSession)
     rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     usable = F.col("id").isNotNull() & finite(F.col("vector")) & F.exists("vector", lambda v: v != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))

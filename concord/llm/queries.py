@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
-from concord.llm.store import import_path, new_folder
+from concord.llm.store import python_workers, new_folder
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -17,7 +17,7 @@ BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    import_path(spark)
+    python_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

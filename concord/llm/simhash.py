@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.llm.components import connected_components
-from concord.llm.store import import_path, written
+from concord.llm.store import python_workers, written
 
 _PIECE = 1 << 20  # bytes of a text that are taken at a time
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -79,7 +79,7 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """``(id, fp)``: one row per row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
-    import_path(docs.sparkSession)
+    python_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +222,7 @@ def near_links(distinct: DataFrame, max_bits: int = 4, blocks: int = 6, chunk: i
     ``a`` and ``b`` (the smaller) are nodes whose fingerprints are connected by
     steps of at most ``max_bits`` bits; linked fingerprints end up connected.
     """
-    import_path(distinct.sparkSession)
+    python_workers(distinct.sparkSession)
     widths, tables = _tables(blocks, max_bits)
     depths = [sum(widths[k] for k in t) for t in tables]
     copies = [F.struct(F.lit(k).alias("t"), F.lit(64 - d).alias("rest"), _rearranged(F.col("fp"), widths, t).alias("bits")) for k, (t, d) in enumerate(zip(tables, depths, strict=True))]

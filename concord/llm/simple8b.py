@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.llm.bpe import _slices, read_vocabulary
-from concord.llm.store import import_path, new_folder, open_folder, written
+from concord.llm.store import python_workers, new_folder, open_folder, written
 
 MAGIC = b"CNCRD8B\x01"
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
@@ -333,7 +333,7 @@ def write(ordered: DataFrame, encoder: Callable[[], Encoder] | None = None, id_c
     only the files that the manifest names are read.
     """
     spark = ordered.sparkSession
-    import_path(spark)
+    python_workers(spark)
     folder = new_folder(spark, "token-ids")
     narrow = ordered.select(F.col(id_col).cast("long").alias("id"), F.col(value_col).cast("string" if encoder else "binary").alias("value"))
 
@@ -375,7 +375,7 @@ def read(manifest: DataFrame) -> DataFrame:
 
     ``start``: ids of all documents before it, over all files.
     """
-    import_path(manifest.sparkSession)
+    python_workers(manifest.sparkSession)
     schema = "id long, start long, n_tokens long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

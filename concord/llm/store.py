@@ -16,12 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def import_path(spark: SparkSession) -> None:
-    """Let Python workers import this package when it is used from a source tree.
+_DEFAULT_BATCH, _BATCH = "67108864b", "4m"
 
-    On a cluster the package is installed on the executors; from a checkout
-    the workers inherit only the driver's ``PYTHONPATH``, not its ``sys.path``.
+
+def python_workers(spark: SparkSession) -> None:
+    """Settings that the operators' Python workers need, made where they are not made yet.
+
+    Batches: Spark hands up to 64 MB of rows at a time to each Python worker
+    of a task, and holds as much beside its heap. Unless the session names
+    another size, 4 MB are taken, so that memory does not depend on how long
+    documents are.
+
+    Imports: on a cluster the package is installed on the executors; from a
+    checkout the workers inherit only the driver's ``PYTHONPATH``, not its
+    ``sys.path``.
     """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, _DEFAULT_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(key, _BATCH)
     env = spark.sparkContext.environment
     have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in have:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concord.llm.store import import_path
+from concord.llm.store import python_workers
 from concord.llm.tiles import Tile, finite, pack, per_unit, tiles_for
 
 _SAFE = 1 << 53
@@ -106,7 +106,7 @@ def top_k(
     rows that share an id the largest vector counts, so a repeated row counts
     once. Products that a double cannot hold exactly raise an error.
     """
-    import_path(vectors.sparkSession)
+    python_workers(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & finite(F.col("vector")))
     rows = rows.groupBy("id").agg(F.max("vector").alias("vector"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.llm.bpe import _slices
-from concord.llm.store import import_path, written
+from concord.llm.store import python_workers, written
 
 # Terms that name groups of people, by kind; a term is swapped for others of its kind.
 IDENTITY_TERMS = {
@@ -177,7 +177,7 @@ def train(
     its score is 1 or 0 (0 without labels).
     """
     spark = docs.sparkSession
-    import_path(spark)
+    python_workers(spark)
     terms = IDENTITY_TERMS if terms is None else terms
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     marked = marked.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
@@ -191,14 +191,14 @@ def train(
     sample = written(texts.join(F.broadcast(picked[0].unionByName(picked[1])), "id"), "toxicity-sample")
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.list_(pa.struct([("before", pa.list_(pa.string())), ("after", pa.list_(pa.string()))]))
+        of = lambda words_: sorted({f for w in words_ for f in word_features(w)})
         for batch in batches:
-            found = [sorted({f for w in words(t) for f in word_features(w)}) for t in batch.column("text").to_pylist()]
-            flip = []
-            for t in batch.column("text").to_pylist():
-                pairs = swaps(t, terms)
-                flip.append([{"before": sorted({f for w in a for f in word_features(w)}), "after": sorted({f for w in b for f in word_features(w)})} for a, b in pairs])
-            kinds = pa.list_(pa.struct([("before", pa.list_(pa.string())), ("after", pa.list_(pa.string()))]))
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.string())), pa.array(flip, kinds)], ["y", "found", "flip"])
+            for part in _slices(batch, "text", 1 << 19):
+                texts_ = part.column("text").to_pylist()
+                found = [of(words(t)) for t in texts_]
+                flip = [[{"before": of(a), "after": of(b)} for a, b in swaps(t, terms)] for t in texts_]
+                yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(found, pa.list_(pa.string())), pa.array(flip, kinds)], ["y", "found", "flip"])
 
     schema = "y int, found array<string>, flip array<struct<before: array<string>, after: array<string>>>"
     rows = written(sample.select("y", "text").mapInArrow(present, schema), "toxicity-features")
@@ -246,7 +246,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     replaced. Row count and partitions stay.
     """
     spark: SparkSession = docs.sparkSession
-    import_path(spark)
+    python_workers(spark)
     shared = spark.sparkContext.broadcast(model)  # bounded by the number of features
     docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() != out_col.lower()])
     names = docs.columns

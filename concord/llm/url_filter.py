@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.store import import_path
+from concord.llm.store import python_workers
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LAST = chr(0x10FFFF)
@@ -88,7 +88,7 @@ def judge(
     are judged each by itself; other columns are not looked at.
     """
     spark = pages.sparkSession
-    import_path(spark)
+    python_workers(spark)
     cells = cells or int(spark.conf.get("spark.sql.shuffle.partitions"))
     url = F.col(url_col).cast("string")
     seen = pages.select(F.col(id_col).alias("id"), host(url).alias("host"), path(url).alias("path"))

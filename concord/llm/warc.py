@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concord.llm.store import import_path, new_folder, open_folder, written
+from concord.llm.store import python_workers, new_folder, open_folder, written
 
 CHUNK = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -224,7 +224,7 @@ def write(table: DataFrame) -> DataFrame:
     of the attempts that succeeded; others are not read.
     """
     spark = table.sparkSession
-    import_path(spark)
+    python_workers(spark)
     folder = new_folder(spark, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +256,7 @@ def read(manifest: DataFrame, id_type: str = "long") -> DataFrame:
     full payload: counted over the chunks of a response, as its record says for
     a revisit. Payloads pass by in pieces and are not kept.
     """
-    import_path(manifest.sparkSession)
+    python_workers(manifest.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
