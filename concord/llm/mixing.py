@@ -75,7 +75,7 @@ def mix(
     block_bytes: int = 1 << 16,
     temperature: float = 0.5,
     period: int = PERIOD,
-    range_rows: int = 1 << 14,
+    range_rows: int = 1 << 12,
 ) -> DataFrame:
     """``docs`` with ``mix_block, mix_release, mix_deadline, mix_slot, mix_offset``.
 
@@ -101,7 +101,7 @@ def mix(
         F.xxhash64(F.col(text_col)).alias("__text"),
     )
     rows = docs.count()
-    bits = min(40, max(4, math.ceil(math.log2(max(rows, 1) / range_rows + 1))))
+    bits = min(40, max(8, math.ceil(math.log2(max(rows, 1) / range_rows + 1))))
     work = work.withColumn("__range", F.shiftright("__hash", 64 - bits))
     sums = work.groupBy("__source", "__range").agg(F.sum("__bytes").alias("__sum"))
     totals = sums.groupBy("__source").agg(F.sum("__sum").alias("bytes")).limit(period + 1).collect()
