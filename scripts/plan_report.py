@@ -1,4 +1,4 @@
-"""Physical-plan facts of every registered query, as a markdown table.
+"""Physical-plan facts of every registered query of the catalogue, as a markdown table.
 
     python scripts/plan_report.py [sf_dir] > PLANS_TABLE.md
 
@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from concord.plans import workload  # noqa: E402
 from concord.session import local_session  # noqa: E402
 
 
@@ -48,7 +48,7 @@ def main() -> None:
     spark = local_session(8)
     print("| query | hash shuffles | single-partition merges | spread repartitions | broadcasts | parquet scans | scans with pushed filters | map-side partial aggregation |")
     print("|---|---:|---:|---:|---:|---:|---:|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in workload.QUERIES.items():
         try:
             f = facts(plan_text(fn(spark, sf)))
         except Exception as e:  # noqa: BLE001
