@@ -22,7 +22,6 @@ one document's ids may span blocks and segments.
 
 from __future__ import annotations
 
-import re
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concord.llm.bpe import _slices, read_vocabulary
+from concord.llm.pieces import PieceCodec
 from concord.llm.store import python_workers, new_folder, open_folder, written
 
 MAGIC = b"CNCRD8B\x01"
@@ -235,39 +235,8 @@ class Reader:
 # ------------------------------------------------------------------ ids by the tokenizers library
 
 
-class _Pieces(dict):
-    """Ids of pieces of text as they stand after a space; a missing piece is encoded when it is looked up.
-
-    A mark behind a letter is a word of its own, so ``word,`` is ``word`` and ``,``.
-    """
-
-    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes], longest: int):
-        super().__init__()
-        self.encode, self.older, self.longest = encode, older, longest
-        self.marks = {m: encode(m) for m in _MARKS}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            if piece[-1:] in self.marks and piece[-2:-1].isalpha():
-                ids = self[piece[:-1]] + self.marks[piece[-1]]
-            else:
-                ids = self.encode(" " + piece)
-        if len(piece) <= self.longest:
-            self[piece] = ids
-        return ids
-
-
-class LibraryCodec:
-    """Ids by the tokenizers library.
-
-    A text is cut before each space between two other characters, where a word
-    begins; the library encodes each different piece once and the ids of short
-    pieces are kept, which is several times faster than encoding whole texts
-    and gives the same ids.
-    """
-
-    KEPT, LONGEST = 1 << 20, 48
+class LibraryCodec(PieceCodec):
+    """Ids by the tokenizers library, each different piece of text once (see :mod:`concord.llm.pieces`)."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -275,31 +244,13 @@ class LibraryCodec:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        if any(" " in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
-            raise ValueError("a special token that holds a space could be cut")
-        self._joint = re.compile(r"\s (?!\S)").search
-        self._apart = re.compile(r"(?<=\S) (?=\S)").split
-        self.known = _Pieces(self._ids, {}, self.LONGEST)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.start()
 
-    def _ids(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as packed little-endian 32-bit numbers."""
-        if len(self.known) >= self.KEPT:
-            self.known.older = {}
-            self.known = _Pieces(self._ids, self.known, self.LONGEST)
-        get, out = self.known.__getitem__, []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            first, *rest = self._apart(text) if self._joint(text) else text.split(" ")
-            out.append(self._ids(first) + b"".join(map(get, rest)))
-        return out
-
-
-_MARKS = ".,;:!?"
+
 _LIBRARY: dict[str, LibraryCodec] = {}
 Encoder = Callable[[list[str | None]], list[bytes]]
 
@@ -314,7 +265,7 @@ def library(spark: SparkSession, vocabulary_path: str, end_id: int | None = 0) -
             _LIBRARY.clear()
             _LIBRARY[vocabulary.value] = LibraryCodec(vocabulary.value)
         encode = _LIBRARY[vocabulary.value].encode
-        return lambda texts: [ids + end for ids in encode(texts)]
+        return lambda texts: [encode(t) + end for t in texts]
 
     return make
 
