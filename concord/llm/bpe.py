@@ -26,6 +26,7 @@ import gc
 import hashlib
 import json
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from concord.llm.pieces import PieceCodec
 from concord.llm.store import python_workers
 
 # Fixed value: the pre-splitting pattern of the byte-level vocabulary.
@@ -55,9 +57,7 @@ NEWER = [
 ]
 
 _NEVER = 1 << 60
-_TABLE = 1 << 19  # transitions kept
-_CHUNKS = 1 << 18  # chunks of text whose ids are kept
-_LONGEST = 48  # characters of a chunk that is kept
+_TABLE = 1 << 18  # transitions kept
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -211,20 +211,22 @@ class Decoder:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
 
-class Codec(Decoder):
+class Codec(Decoder, PieceCodec):
     """Vocabulary file, pre-splitting, special strings and the automaton together."""
 
+    KEPT = 1 << 17
+
     def __init__(self, vocabulary: str):
         import regex
 
         super().__init__(vocabulary)
         spec, special, labels = _spec(vocabulary)
-        model, vocab = spec["model"], spec["model"]["vocab"]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
-        self.automaton = MergeAutomaton(labels, merges)
-        self.special = special
-        self._specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len)[::-1]) + ")") if special else None
+        vocab = spec["model"]["vocab"]
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
+        self.automaton = MergeAutomaton(labels, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
+        self.special, self._id_of = [*special], special
+        longest = sorted(special, key=len)[::-1]
+        self._specials = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if special else None
         self._words = regex.compile(PATTERN).findall
         newer = "".join(f"{chr(a)}-{chr(b)}" for a, b in NEWER)
         self._newer = regex.compile(f"[{newer}]").search
@@ -232,55 +234,24 @@ class Codec(Decoder):
             "(?V1)" + PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{newer}]]")
             .replace(r" ?\p{L}", rf" ?[\p{{L}}--[{newer}]]").replace(r" ?\p{N}", rf" ?[\p{{N}}--[{newer}]]")
         ).findall
-        self._joint = regex.compile(r"\s (?!\S)").search
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self.start()
 
     def _split(self, text: str) -> list[str]:
         if text.isascii() or not self._newer(text):
             return self._words(text)
         return self._words_newer(text)
 
-    def _piece(self, text: str) -> bytes:
-        """Ids (as packed 32-bit integers) of a piece of text without special strings."""
-        known = self._known.get(text)
-        if known is not None:
-            return known
-        known = self._older.get(text)
-        if known is None:
-            encode = self.automaton.encode_word
-            ids = [i for w in self._split(text) for i in encode(w.encode())]
-            known = struct.pack(f"<{len(ids)}i", *ids)
-        if len(text) <= _LONGEST:
-            if len(self._known) >= _CHUNKS:
-                self._known, self._older = {}, self._known
-            self._known[text] = known
-        return known
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as packed little-endian 32-bit integers.
-
-        A word begins before each single space, so a text is cut there and the
-        ids of each cut-off chunk are kept. That does not hold for a space
-        inside or at the end of a run of white space; a text that has one, or
-        a special string, is taken as a whole.
-        """
-        if not text:
-            return b""
-        if self._specials is not None and any(s in text for s in self.special):
-            parts = self._specials.split(text)
-            return b"".join(
-                struct.pack("<i", self.special[p]) if k % 2 else self._piece(p)
-                for k, p in enumerate(parts)
-                if p
-            )
-        if self._joint(text):
-            return self._piece(text)
-        first, *rest = text.split(" ")
-        get, piece = self._known.get, self._piece
-        out = [piece(first)] if first else []
-        out += [get(c) or piece(c) for c in [" " + c for c in rest]]
-        return b"".join(out)
+    def ids(self, text: str) -> bytes:
+        """Ids of a piece of text, special strings included, as packed little-endian 32-bit numbers."""
+        parts = self._specials.split(text) if self._specials is not None and any(s in text for s in self.special) else [text]
+        out: list[int] = []
+        for k, part in enumerate(parts):
+            if k % 2:
+                out.append(self._id_of[part])
+            else:
+                for word in self._split(part):
+                    out += self.automaton.encode_word(word.encode())
+        return struct.pack(f"<{len(out)}i", *out)
 
 
 _MADE: dict[tuple[type, str], Decoder] = {}
@@ -296,10 +267,6 @@ def _once(kind: type, vocabulary: str):
     return _MADE[key]
 
 
-def codec(vocabulary: str) -> Codec:
-    return _once(Codec, vocabulary)
-
-
 def read_vocabulary(path: str) -> str:
     """The vocabulary file's text. It is read on the driver and broadcast: its size (about
     2 MB) depends on the vocabulary alone, and 64 MB is the limit."""
@@ -316,33 +283,42 @@ def _rest(df: DataFrame, *out: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
-def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", out_col: str = "ids", keep_text: bool = True) -> DataFrame:
+def encode(
+    df: DataFrame, vocabulary_path: str, text_col: str = "text", out_col: str = "ids", keep_text: bool = True, decoded_col: str | None = None
+) -> DataFrame:
     """``df`` with ``out_col array<int>``: the ids of each whole text.
 
     A null or empty text has no ids (an empty array). Every other column is
     passed on; one that has the name of ``out_col`` is replaced. No shuffle:
-    row count, order and partitions stay.
+    row count, order and partitions stay. With ``decoded_col`` the ids are
+    decoded again in the same pass, into a column of that name; the result is
+    that of :func:`decode`, without a second Python worker for each task.
     """
     spark = df.sparkSession
     python_workers(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    df = _rest(df, out_col)
+    df = _rest(df, out_col, *([decoded_col] if decoded_col else []))
     passed = [f for f in df.schema.fields if keep_text or f.name != text_col]
     names = [f.name for f in passed]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = codec(vocabulary.value).encode
+        book = _once(Codec, vocabulary.value)
         for batch in batches:
             for part in _slices(batch, text_col):
-                packed = [encode_text(s) if s else b"" for s in part.column(text_col).to_pylist()]
+                packed = [book.encode(s) for s in part.column(text_col).to_pylist()]
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed]).astype("<i4")
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [ids], names + [out_col])
+                made = [ids]
+                if decoded_col:
+                    made.append(pa.array([book.decode(array("i", p)) for p in packed], pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + made, names + added)
 
-    return df.mapInArrow(run, T.StructType(passed + [T.StructField(out_col, T.ArrayType(T.IntegerType()))]))
+    kinds = [T.StructField(out_col, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded_col, T.StringType())] if decoded_col else [])
+    added = [f.name for f in kinds]
+    return df.mapInArrow(run, T.StructType(passed + kinds))
 
 
-def _slices(batch: pa.RecordBatch, col: str, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, col: str, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``size`` bytes of ``col``, at least one row each."""
     if not batch.num_rows:
         return

@@ -23,8 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, BYTE_BPE, keep_text=False)
-    return bpe.decode(ids, BYTE_BPE).select(
+    return bpe.encode(docs, BYTE_BPE, keep_text=False, decoded_col="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

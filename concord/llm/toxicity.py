@@ -109,7 +109,7 @@ class Model:
     def _features(self, word: str) -> tuple[int, ...]:
         found = self._known.get(word)
         if found is None:
-            if len(self._known) >= 1 << 18:
+            if len(self._known) >= 1 << 16:
                 self._known.clear()
             found = self._known[word] = tuple(self._index[f] for f in word_features(word) if f in self._index)
         return found

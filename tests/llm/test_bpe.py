@@ -85,6 +85,9 @@ def test_odd_rows(spark):
     got = sorted(out.collect(), key=repr)
     assert [r.decoded for r in got] == [r.text or "" for r in got]
     assert [r.ids for r in got if not r.text] == [[], []]
+    fused = bpe.encode(df, BYTE_BPE, decoded_col="DECODED")
+    assert fused.columns == ["doc_id", "text", "ids", "DECODED"]
+    assert sorted((tuple(r) for r in fused.collect()), key=repr) == sorted((tuple(r) for r in got), key=repr)
     empty = bpe.encode(df.limit(0), BYTE_BPE, keep_text=False)
     assert empty.collect() == [] and empty.columns == ["doc_id", "decoded", "ids"]
     ids = spark.createDataFrame([(1, None), (2, []), (3, [64, None, 10**6, -1, 65])], "k int, ids array<int>")
