@@ -52,7 +52,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         )
     except AnalysisException:
         placed = docs.select(*kept, "text", F.lit(None).cast("string").alias("mix_file"), F.lit(None).cast("long").alias("mix_row"))
-    decoded = bpe.decode(bpe.encode(placed, BYTE_BPE, keep_text=False), BYTE_BPE)
+    decoded = bpe.encode(placed, BYTE_BPE, keep_text=False, decoded_col="decoded")
     digest = F.sha2("decoded", 256).alias("decoded_sha256")
     return decoded.select(*kept, "mix_file", "mix_row", F.size("ids").cast("long").alias("n_tokens"), "ids", digest)
 
