@@ -216,7 +216,7 @@ def _rearranged(fp: Column, widths: list[int], first: tuple[int, ...]) -> Column
     return out
 
 
-def near_links(distinct: DataFrame, max_bits: int = 4, blocks: int = 6, chunk: int = 1 << 13, batch_rows: int = 1 << 20) -> DataFrame:
+def near_links(distinct: DataFrame, max_bits: int = 4, blocks: int = 6, chunk: int = 1 << 13, batch_rows: int = 1 << 18) -> DataFrame:
     """Spanning links ``(a, b)`` of ``distinct(fp, node)``, one row per fingerprint.
 
     ``a`` and ``b`` (the smaller) are nodes whose fingerprints are connected by
