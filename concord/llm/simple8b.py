@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concord.llm.bpe import _slices, read_vocabulary
+from concord.llm.bpe import _slices, _spec, byte_alphabet, read_vocabulary
 from concord.llm.pieces import PieceCodec
 from concord.llm.store import python_workers, new_folder, open_folder, written
 
@@ -236,18 +236,30 @@ class Reader:
 
 
 class LibraryCodec(PieceCodec):
-    """Ids by the tokenizers library, each different piece of text once (see :mod:`concord.llm.pieces`)."""
+    """Ids by the tokenizers library, each different piece of text once (see :mod:`concord.llm.pieces`).
+
+    A piece of letters is one word, so it goes to the library's model at once,
+    in the characters that stand for its bytes; any other piece goes through
+    the library's whole chain. Byte-level BPE vocabularies only.
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
+        _spec(vocabulary)  # refuses other kinds
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        letters = {b: c for c, b in byte_alphabet().items()}
+        self.letters = [letters[b] for b in range(256)]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.start()
 
     def ids(self, text: str) -> bytes:
+        if text.removeprefix(" ").isalpha():
+            word = "".join(map(self.letters.__getitem__, text.encode()))
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 

@@ -98,6 +98,7 @@ def test_pieces_give_the_ids_of_whole_texts():
     rng = random.Random(4)
     parts = ["a", "the", "it's", ".", ",", "?!", "é,", "1.", "***", "'", "'s", "_", "|>", "\n", "\n", "\r\n", " ", " ", " ", " ", "  ", "\n", "\t", "'s", "é", "!!", "1", "漢", "<|endoftext|>", " ", "\x1c", "\x85"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(20000)]
+    texts += [" ".join("".join(rng.choice("abcdeéßñ漢Яطのthingeraion") for _ in range(rng.randint(1, 12))) for _ in range(8)) for _ in range(5000)]
     codec.KEPT = 900  # older generations are looked up as well
     for t in texts:
         ids = codec.encode(t)
