@@ -296,6 +296,8 @@ NESTED = [
     ("struct<m: map<string, decimal(20,10)>>", "named_struct('m', map('k', 1.0000000001BD))", "named_struct('m', map('k', 1.0000000002BD))"),
     ("map<string, map<string, int>>", "map('a', map('x', 1))", "map('a', map('x', null))"),
     ("struct<a: string, b: string>", "named_struct('a', null, 'b', 'x')", "named_struct('a', 'x', 'b', null)"),
+    ("array<int>", "array(0, null)", "array(null, 0)"),
+    ("array<bigint>", "array(0L, null, 1L)", "array(null, 0L, 1L)"),
     ("array<double>", "array(double('NaN'))", "array(double('inf'))"),
     ("struct<d: date>", "named_struct('d', date'2024-01-01')", "cast(null as struct<d: date>)"),
     ("array<int>", "array()", "cast(null as array<int>)"),
