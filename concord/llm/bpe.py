@@ -214,7 +214,7 @@ class Decoder:
 class Codec(Decoder, PieceCodec):
     """Vocabulary file, pre-splitting, special strings and the automaton together."""
 
-    KEPT = 1 << 17
+    KEPT = 1 << 18
 
     def __init__(self, vocabulary: str):
         import regex
