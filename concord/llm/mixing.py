@@ -7,10 +7,16 @@ each slot goes to the released block with the earliest deadline. So after any
 number ``t`` of slots every source has had ``t * w / period`` blocks, up to less
 than one.
 
-With whole weights the schedule repeats every ``period`` slots, so one period
-is laid out (``period`` rows, whatever the input) and every block's slot
-follows from its number by a lookup: nothing of the input passes through the
-driver but one total per source.
+The period grows with the input: it has as many slots as the sources take to
+end, so every weight is a share of the period rounded to a whole number and, at
+any time, a source has had its exact share up to less than two blocks. Beyond
+``MAX_PERIOD`` slots (1 TB of text in blocks of 64 KB) the schedule repeats; a
+share is then off by up to one slot in a period, ``t / period`` blocks after ``t``
+slots, and one that rounds to 0 has one slot.
+
+One period is laid out by one task, which holds a number per source, and every
+block's slot follows from its number by a lookup: nothing of the input passes
+through the driver but one total per source.
 
 Documents are numbered within a source by a running sum of bytes in the order
 of a hash of their id. A source is cut into ranges of that hash, summed up
@@ -20,47 +26,105 @@ first, so a source with a third of all rows is numbered by many tasks.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from concord.llm.store import python_workers
+
 PERIOD = 1000
+MAX_PERIOD = 1 << 24
+BROADCAST_SLOTS = 1 << 17  # a plan of up to so many rows is broadcast (some 10 MB)
 
 
-def whole_weights(shares: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Shares as whole numbers of at least 1 that add up to ``period`` (largest remainder)."""
-    shares = {s: x for s, x in shares.items() if x > 0}
-    if not shares:
-        return {}
-    if len(shares) > period:
-        raise ValueError(f"{len(shares)} sources do not fit a period of {period} slots")
-    total, spare = sum(shares.values()), period - len(shares)
-    exact = {s: spare * x / total for s, x in shares.items()}
-    out = {s: 1 + math.floor(x) for s, x in exact.items()}
-    for s in sorted(shares, key=lambda s: (math.floor(exact[s]) - exact[s], s))[: period - sum(out.values())]:
+def _largest_remainder(shares: Mapping[str, Fraction], period: int) -> dict[str, int]:
+    total = sum(shares.values())
+    exact = {s: period * x / total for s, x in shares.items()}
+    out = {s: math.floor(x) for s, x in exact.items()}
+    for s in sorted(shares, key=lambda s: (out[s] - exact[s], s))[: period - sum(out.values())]:
         out[s] += 1
     return out
 
 
-def schedule(weights: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of one period, by earliest deadline first."""
+def whole_weights(shares: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
+    """Shares as whole numbers that add up to ``period`` (largest remainder; 1 where a share rounds to 0)."""
+    rest = {s: Fraction(x) for s, x in shares.items() if x > 0}
+    if len(rest) > period:
+        raise ValueError(f"{len(rest)} sources do not fit a period of {period} slots")
+    ones: dict[str, int] = {}
+    while rest:
+        out = _largest_remainder(rest, period - len(ones))
+        none = [s for s, w in out.items() if w == 0]
+        if not none:
+            return out | ones
+        for s in none:
+            ones[s] = 1
+            del rest[s]
+    return ones
+
+
+def full_period(shares: Mapping[str, float], blocks: Mapping[str, int], period: int = PERIOD) -> int:
+    """The multiple of ``period`` with the slots in which every source ends its ``blocks``, or about ``MAX_PERIOD``.
+
+    Each share of it is at least the source's blocks (at least 1), so none rounds to 0.
+    """
+    shares = {s: Fraction(x) for s, x in shares.items() if x > 0}
+    total = sum(shares.values())
+    slots = max((math.ceil(max(blocks.get(s, 0), 1) * total / x) for s, x in shares.items()), default=1)
+    return period * -(-max(min(slots, MAX_PERIOD), len(shares)) // period)
+
+
+def slots_of(weights: Mapping[str, int], blocks: Mapping[str, int] | None = None) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of one period, by earliest deadline first.
+
+    With ``blocks`` only those below a source's number come, and the walk ends with the last of them.
+    """
     period = sum(weights.values())
+    left = {s: w if blocks is None else min(w, blocks.get(s, 0)) for s, w in weights.items()}
+    open_ = sum(left.values())
     window = lambda s, k: (k * period // weights[s], -(-(k + 1) * period // weights[s]))
     waiting = [(0, s, 0) for s in weights]  # (release, source, block)
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []  # (deadline, source, block)
-    out = []
     for slot in range(period):
+        if not open_:
+            return
         while waiting and waiting[0][0] <= slot:
             _, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (window(s, k)[1], s, k))
         deadline, s, k = heapq.heappop(ready)
-        out.append((s, k, window(s, k)[0], deadline, slot))
+        if k < left[s]:
+            open_ -= 1
+            yield s, k, window(s, k)[0], deadline, slot
         if k + 1 < weights[s]:
             heapq.heappush(waiting, (window(s, k + 1)[0], s, k + 1))
-    return out
+
+
+def schedule(weights: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of one period, by earliest deadline first."""
+    return list(slots_of(weights))
+
+
+def _plan(spark: SparkSession, weights: Mapping[str, int], blocks: Mapping[str, int]) -> DataFrame:
+    """The rows of :func:`slots_of`, written by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            pass
+        rows = slots_of(weights, blocks)
+        while part := list(itertools.islice(rows, 1 << 13)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*part))],
+                names=["__source", "__k", "__release", "__deadline", "__slot"],
+            )
+
+    start = spark.range(0, 1, 1, 1)
+    return start.mapInArrow(run, "__source string, __k long, __release long, __deadline long, __slot long")
 
 
 COLUMNS = ("mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_offset")
@@ -87,9 +151,11 @@ def mix(
     of their own. A text counts its bytes and 1, so null and empty texts have
     a place; a text longer than a block takes up the blocks that it covers and
     stands in its first. Rows that share an id are placed each by itself.
-    Columns named like an output column are replaced. Up to ``period`` sources.
+    Columns named like an output column are replaced. The schedule's period is
+    a multiple of ``period`` (:func:`full_period`), for any number of sources.
     """
     spark = docs.sparkSession
+    python_workers(spark)
     taken = {*COLUMNS}
     kept = [c for c in docs.columns if c.lower() not in taken]
     named = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
@@ -104,19 +170,21 @@ def mix(
     bits = min(40, max(8, math.ceil(math.log2(max(rows, 1) / range_rows + 1))))
     work = work.withColumn("__range", F.shiftright("__hash", 64 - bits))
     sums = work.groupBy("__source", "__range").agg(F.sum("__bytes").alias("__sum"))
-    totals = sums.groupBy("__source").agg(F.sum("__sum").alias("bytes")).limit(period + 1).collect()
+    totals = {r["__source"]: r["bytes"] for r in sums.groupBy("__source").agg(F.sum("__sum").alias("bytes")).collect()}
+    blocks = {s: -(-n // block_bytes) for s, n in totals.items()}
     if shares is None:
-        target = whole_weights({r["__source"]: float(r["bytes"]) ** temperature for r in totals}, period)
+        target = {s: float(n) ** temperature for s, n in totals.items()}
     else:
-        named_shares = {"n" if s is None else f"s{s}": x for s, x in shares.items()}
-        target = whole_weights(named_shares, period)
-    if len(totals) > period:
-        raise ValueError(f"more than {period} sources")
-    plan = [(s, k, release, deadline, slot, target[s]) for s, k, release, deadline, slot in schedule(target)]
-    plan = spark.createDataFrame(plan, "__source string, __k long, __release long, __deadline long, __slot long, __w long")
+        target = {"n" if s is None else f"s{s}": x for s, x in shares.items()}
+    period = full_period(target, blocks, period)
+    target = whole_weights(target, period)
+    plan = _plan(spark, target, blocks)
+    rows_of_plan = sum(min(w, blocks.get(s, 0)) for s, w in target.items())
+    # its size is known here alone: to Spark it is what came of one row
+    plan = F.broadcast(plan) if rows_of_plan <= BROADCAST_SLOTS else plan.hint("shuffle_merge")
     before = sums.withColumn("__before", F.sum("__sum").over(Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)))
     before = before.select("__source", "__range", F.coalesce("__before", F.lit(0)).alias("__before"))
-    weights = plan.select("__source", "__w").distinct()
+    weights = spark.createDataFrame(list(target.items()), "__source string, __w long")
     order = Window.partitionBy("__source", "__range").orderBy("__hash", id_col, "__text", "__bytes")
     inside = F.coalesce(F.sum("__bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = (
@@ -124,9 +192,9 @@ def mix(
         .join(before, ["__source", "__range"], "left")
         .withColumn("mix_offset", F.col("__before") + F.col("__inside"))
         .withColumn("mix_block", F.floor(F.col("mix_offset") / block_bytes))
-        .join(F.broadcast(weights), "__source", "left")  # period rows at most
-        .withColumn("__k", F.col("mix_block") % F.col("__w"))
-        .join(F.broadcast(plan.drop("__w")), ["__source", "__k"], "left")  # period rows
+        .join(F.broadcast(weights), "__source", "left")  # one row per source
+        .withColumn("__k", F.coalesce(F.col("mix_block") % F.col("__w"), F.col("mix_block")))
+        .join(plan, ["__source", "__k"], "left")
     )
     turn: Column = F.floor(F.col("mix_block") / F.col("__w")) * period
     return placed.select(

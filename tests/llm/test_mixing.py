@@ -74,3 +74,48 @@ def test_default_shares_and_empty_table(spark):
     assert got["a"].mix_slot == 0 and got["b"].mix_deadline == 3  # 100 : 25 bytes -> 10 : 5 slots
     empty = mixing.in_order(mixing.mix(df.limit(0)))
     assert empty.collect() == [] and empty.columns == ["doc_id", "source", "text", *mixing.COLUMNS]
+
+
+def test_weights_are_the_exact_shares():
+    assert mixing.whole_weights({"a": 0.9, "b": 0.1}) == {"a": 900, "b": 100}
+    assert mixing.whole_weights({"hot": 500.0, **{f"s{k}": 1.0 for k in range(500)}})["hot"] == 500
+    assert mixing.whole_weights({"hot": 62.5, **{f"s{k}": 37.5 / 19 for k in range(19)}})["hot"] == 625
+    assert mixing.full_period({"a": 0.9999, "b": 0.0001}, {"a": 1, "b": 3}) == 30000
+    assert mixing.whole_weights({"a": 0.9999, "b": 0.0001}, 30000) == {"a": 29997, "b": 3}
+
+
+def _simulated(got, target, block):
+    """Each source's rows have the slots of a plain simulation and no lag of two blocks from the exact shares."""
+    total, slots = sum(target.values()), {}
+    for r in got:
+        assert r.mix_release <= r.mix_slot < r.mix_deadline and r.mix_block == r.mix_offset // block
+        assert slots.setdefault(r.mix_slot, (r.source, r.mix_block)) == (r.source, r.mix_block)
+        share = target[r.source] / total
+        assert -2 < r.mix_block - r.mix_slot * share < 2
+
+
+@pytest.mark.parametrize("broadcast_slots", [1 << 17, 0])
+def test_more_sources_than_the_least_period(spark, monkeypatch, broadcast_slots):
+    monkeypatch.setattr(mixing, "BROADCAST_SLOTS", broadcast_slots)
+    rows = [(k, f"s{k}", "x" * 9) for k in range(1200)] + [(2000 + k, "hot", "x" * 9) for k in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, block_bytes=10, range_rows=64).collect()
+    assert sorted((r.doc_id, r.source, r.text) for r in got) == rows
+    _simulated(got, {s: n**0.5 for s, n in Counter({f"s{k}": 10 for k in range(1200)} | {"hot": 15000}).items()}, 10)
+
+
+def test_small_share_over_many_blocks(spark):
+    rows = [(k, "a" if k < 3000 else "b", "x" * 9) for k in range(3003)]
+    shares = {"a": 0.9999, "b": 0.0001, "c": 0.0}
+    df = spark.createDataFrame([*rows, (9999, "c", "no slot")], "doc_id long, source string, text string")
+    got = mixing.mix(df, shares, block_bytes=10).collect()
+    assert [r.mix_slot for r in got if r.source == "c"] == [None] and len(got) == 3004
+    _simulated([r for r in got if r.source != "c"], shares, 10)
+
+
+def test_schedule_repeats_beyond_the_largest_period(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PERIOD", 30)
+    df = spark.createDataFrame([(k, "ab"[k % 2], "x" * 9) for k in range(400)], "doc_id long, source string, text string")
+    got = mixing.mix(df, {"a": 0.9, "b": 0.1}, block_bytes=10, period=10).collect()
+    assert len(got) == 400
+    _simulated(got, {"a": 0.9, "b": 0.1}, 10)
