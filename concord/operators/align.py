@@ -17,7 +17,9 @@ drift is the schema check's job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,23 +80,109 @@ def contains(dtype: T.DataType, kind: type) -> bool:
     return False
 
 
-def _comparable(col: Column, dtype: T.DataType) -> Column:
-    """VARIANT values, which cannot be grouped on, as text: their types, then their JSON.
+# Variant primitives by their number in the encoding; integers of any width are one type.
+_PRIMITIVES = {
+    0: "VOID", 1: "BOOLEAN", 2: "BOOLEAN", 3: "BIGINT", 4: "BIGINT", 5: "BIGINT", 6: "BIGINT", 7: "DOUBLE",
+    8: "DECIMAL", 9: "DECIMAL", 10: "DECIMAL", 11: "DATE", 12: "TIMESTAMP", 13: "TIMESTAMP_NTZ", 14: "FLOAT",
+    15: "BINARY", 16: "STRING",
+}
 
-    The JSON alone is not enough: a date and a string look alike in it.
+
+def _types_udf(depth: int):
+    """The types of all leaves of a VARIANT within ``depth`` arrays.
+
+    The function has all that it needs within it, so workers need not import this package.
+    """
+    primitives = dict(_PRIMITIVES)
+
+    def variant_types(value: bytes) -> str:
+        """The types of all leaves of an encoded VARIANT in the order of its JSON, repeats as ``TYPE*n``."""
+        names: list[str] = []
+        places = [0]
+        while places:
+            at = places.pop()
+            basic, info = value[at] & 3, value[at] >> 2
+            if basic == 0:
+                names.append(primitives.get(info, f"T{info}"))
+            elif basic == 1:  # a short string
+                names.append("STRING")
+            else:
+                wide = info >> (4 if basic == 2 else 2) & 1
+                offset_bytes, id_bytes = (info & 3) + 1, (info >> 2 & 3) + 1 if basic == 2 else 0
+                first = at + 1 + (4 if wide else 1)
+                n = int.from_bytes(value[at + 1 : first], "little")
+                first += n * id_bytes
+                data = first + (n + 1) * offset_bytes
+                for k in reversed(range(n)):
+                    o = first + k * offset_bytes
+                    places.append(data + int.from_bytes(value[o : o + offset_bytes], "little"))
+        runs = ((name, sum(1 for _ in run)) for name, run in groupby(names))
+        return ",".join(name if n == 1 else f"{name}*{n}" for name, n in runs)
+
+    def types(v):
+        if v is None:
+            return None
+        return [types(x) for x in v] if isinstance(v, list) else variant_types(bytes(v.value))
+
+    dtype: T.DataType = T.StringType()
+    for _ in range(depth):
+        dtype = T.ArrayType(dtype)
+    return F.udf(types, dtype)
+
+
+def _variant_paths(dtype: T.DataType) -> list[tuple[int, Callable[[Column], Column]]]:
+    """The VARIANT leaves of ``dtype``: (depth, function to the leaf's values within so many arrays)."""
+    if isinstance(dtype, T.VariantType):
+        return [(0, lambda c: c)]
+    if isinstance(dtype, T.ArrayType):
+        return [(d + 1, lambda c, f=f: F.transform(c, lambda x: f(x))) for d, f in _variant_paths(dtype.elementType)]
+    if isinstance(dtype, T.MapType):
+        return [(d + 1, lambda c, f=f: F.transform(F.map_values(c), lambda x: f(x))) for d, f in _variant_paths(dtype.valueType)]
+    if isinstance(dtype, T.StructType):
+        return [(d, lambda c, f=f, n=x.name: f(c.getField(n))) for x in dtype.fields for d, f in _variant_paths(x.dataType)]
+    return []
+
+
+def _comparable(col: Column, dtype: T.DataType, types: list[Column]) -> Column:
+    """VARIANT values, which cannot be grouped on, as text: the types of their leaves, then their JSON.
+
+    The JSON alone is not enough: a date and a string look alike in it. Nor is
+    ``schema_of_variant``, which merges the types of an array's elements.
+    ``types`` has the types of each of :func:`_variant_paths`.
     """
-    if not contains(dtype, T.VariantType):
+    if not types:
         return col
     if isinstance(dtype, T.VariantType):
-        return F.concat(F.schema_of_variant(col), F.lit(" "), F.to_json(col))
+        return F.concat(types[0], F.lit(" "), F.to_json(col))
     if isinstance(dtype, T.ArrayType):
-        return F.transform(col, lambda x: _comparable(x, dtype.elementType))
+        return F.transform(col, lambda x, i: _comparable(x, dtype.elementType, [F.get(t, i) for t in types]))
     if isinstance(dtype, T.MapType):
-        return F.transform_values(col, lambda _, v: _comparable(v, dtype.valueType))
-    fields = [_comparable(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        value = lambda e, i: _comparable(e["value"], dtype.valueType, [F.get(t, i) for t in types])
+        return F.map_from_entries(F.transform(F.map_entries(col), lambda e, i: F.struct(e["key"], value(e, i))))
+    fields = []
+    for f in dtype.fields:
+        n = len(_variant_paths(f.dataType))
+        fields.append(_comparable(col.getField(f.name), f.dataType, types[:n]).alias(f.name))
+        types = types[n:]
     return F.when(col.isNotNull(), F.struct(*fields))
 
 
+def _select_comparable(df: DataFrame, pairs) -> DataFrame:
+    """The columns of ``df`` named first in ``pairs`` under the second names, VARIANT values as text."""
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
+    made: dict[str, Column] = {}
+    types: dict[str, list[Column]] = {}
+    for c, _ in pairs:
+        types[c] = []
+        for depth, path in _variant_paths(dtypes[c]):
+            name = f"__concord_v{len(made)}"
+            made[name] = _types_udf(depth)(path(quoted(c)))
+            types[c].append(F.col(name))
+    if made:
+        df = df.select(*[quoted(c) for c, _ in pairs], *[t.alias(n) for n, t in made.items()])
+    return df.select(*[_comparable(quoted(c), dtypes[c], types[c]).alias(n) for c, n in pairs])
+
+
 @dataclass(frozen=True)
 class Aligned:
     """A pair with identical column names, in the same order, on both sides."""
@@ -118,8 +206,6 @@ def align(left: DataFrame, right: DataFrame, ignore=(), how: str = "name") -> Al
     """Drop ``ignore`` from both sides and pair the remaining columns."""
     left = drop_columns(left, ignore)
     right = drop_columns(right, ignore)
-    ltypes = {f.name: f.dataType for f in left.schema.fields}
-    rtypes = {f.name: f.dataType for f in right.schema.fields}
 
     if how == "name":
         li = _lower_index(left, "left")
@@ -129,8 +215,8 @@ def align(left: DataFrame, right: DataFrame, ignore=(), how: str = "name") -> Al
         if only_l or only_r:
             raise AlignmentError(f"column sets differ: left only {only_l}, right only {only_r}")
         names = tuple(sorted(li))
-        lsel = [_comparable(quoted(li[n]), ltypes[li[n]]).alias(n) for n in names]
-        rsel = [_comparable(quoted(ri[n]), rtypes[ri[n]]).alias(n) for n in names]
+        lsel = [(li[n], n) for n in names]
+        rsel = [(ri[n], n) for n in names]
     elif how == "position":
         if len(left.columns) != len(right.columns):
             raise AlignmentError(
@@ -139,10 +225,8 @@ def align(left: DataFrame, right: DataFrame, ignore=(), how: str = "name") -> Al
         names = tuple(left.columns)
         if len({n.lower() for n in names}) != len(names):
             raise AlignmentError(f"left side has columns that differ only in case: {list(names)}")
-        lsel = [_comparable(quoted(n), ltypes[n]).alias(n) for n in names]
-        rsel = [
-            _comparable(quoted(r), rtypes[r]).alias(n) for n, r in zip(names, right.columns)
-        ]
+        lsel = [(n, n) for n in names]
+        rsel = list(zip(right.columns, names))
     else:
         raise ValueError(f"unknown alignment {how!r}; use 'name' or 'position'")
-    return Aligned(left.select(*lsel), right.select(*rsel), names)
+    return Aligned(_select_comparable(left, lsel), _select_comparable(right, rsel), names)

@@ -124,13 +124,11 @@ def _value_hash(col: Column, dtype: T.DataType, seed: Column) -> Column:
     key hashes, so the order of entries does not count.
     """
     if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.AtomicType):
-        # Elements with their places, in generated code (a lambda would not be): a
-        # NULL hashes its place alone. Places are hashed as another kind of number
-        # than the elements, so none can pass for the other.
-        as_int = (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
-        kind = "int" if isinstance(dtype.elementType, as_int) else "bigint"
-        places = F.sequence(F.lit(0).cast(kind), (F.size(col) - 1).cast(kind))
-        return F.xxhash64(seed, col.isNull(), F.size(col), F.when(F.size(col) > 0, F.arrays_zip(col, places)))
+        # Elements between their places, in generated code (a lambda would not be): a
+        # NULL hashes its place twice and nothing between. An element that hashes like
+        # its place gives it three times, so no value can pass for a NULL.
+        places = F.sequence(F.lit(0).cast("bigint"), (F.size(col) - 1).cast("bigint"))
+        return F.xxhash64(seed, col.isNull(), F.size(col), F.when(F.size(col) > 0, F.arrays_zip(places, col, places)))
     if isinstance(dtype, T.ArrayType):
         fold = F.aggregate(col, seed, lambda acc, x: F.xxhash64(acc, _value_hash(x, dtype.elementType, seed)))
         return F.xxhash64(seed, col.isNull(), F.size(col), fold)

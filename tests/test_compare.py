@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from concord import AlignmentError, compare, diff_counts, diff_rows, distinct_count_check, row_count_check
+from concord.operators.align import align
 from concord.operators.compare import except_all
 from conftest import one, rows
 
@@ -332,6 +333,54 @@ def test_variant_is_compared_with_its_type(spark, method):
         assert one(compare(left.select(c), left.select(c), method=method))["except_validation"] == "Passed"
 
 
+_MIXED = "to_variant_object(array(cast({} as variant), cast(1 as variant)))"
+_DATE, _TEXT = _MIXED.format("date'2024-01-01'"), _MIXED.format("'2024-01-01'")
+
+
+@pytest.mark.parametrize(
+    "form",
+    [
+        "{}",
+        "to_variant_object(named_struct('a', array({}, cast(null as variant)), 'b', 1))",
+        "array({}, null, cast(2 as variant))",
+        "map('k', named_struct('x', array({}), 'y', cast('t' as variant)))",
+        "array(named_struct('x', map(1, {}), 'y', 2), null)",
+        "named_struct('a', cast(1.50 as variant), 'b', {})",
+    ],
+)
+@pytest.mark.parametrize("method", ["exact", "digest"])
+def test_variant_array_of_mixed_types_is_compared_with_its_types(spark, form, method):
+    left = spark.sql(f"select 1 as k, {form.format(_DATE)} as v")
+    right = spark.sql(f"select 1 as k, {form.format(_TEXT)} as v")
+    for a, b, want in ((left, right, "Failed"), (left, left, "Passed"), (right, right, "Passed")):
+        assert one(compare(a, b, method=method))["except_validation"] == want
+        assert one(diff_counts(a, b, method=method, align_by="position"))["except_validation"] == want
+        assert diff_rows(a, b, method=method).count() == (2 if want == "Failed" else 0)
+
+
+def test_variant_types_of_wide_values(spark):
+    got = spark.sql(
+        "select parse_json(concat('{\"a\": [', array_join(sequence(1, 700), ','), '], \"b\": {\"c\": null, \"d\": \"', repeat('x', 99), '\", \"e\": 1.5, \"f\": true}}')) as v"
+    )
+    text = one(align(got, got).left)["v"]
+    assert text.startswith('BIGINT*700,VOID,STRING,DECIMAL,BOOLEAN {"a":[1,2,')
+    widths = [spark.sql(f"select cast(cast(1 as {t}) as variant) as v") for t in ("tinyint", "bigint")]
+    assert one(compare(*widths))["except_validation"] == "Passed"
+
+
+@pytest.mark.parametrize(
+    "dtype,a,b",
+    [
+        ("array<interval second>", "array(interval '0' second, null)", "array(null, interval '0' second)"),
+        ("array<string>", "array(cast(X'0000000000000000' as string), null)", "array(null, cast(X'0000000000000000' as string))"),
+    ],
+)
+def test_digest_tells_null_from_an_element_that_hashes_like_a_place(spark, dtype, a, b):
+    left, right = spark.sql(f"select {a} as v"), spark.sql(f"select {b} as v")
+    assert one(compare(left, right, method="digest"))["except_validation"] == "Failed"
+    assert one(compare(left, left, method="digest"))["except_validation"] == "Passed"
+
+
 NAMES = ["n1", "n2", "h1", "h2", "m1", "m2", "k1", "k2", "e1", "e2", "c1"]
 
 
