@@ -13,7 +13,9 @@ with *fail if it exists*. Only folders that a marker names are read. A batch
 that is applied again, by a retry or by two drivers at once, finds the marker
 and changes nothing; a driver lost before the marker leaves no trace in the
 totals. ``compact`` folds many batches into one base under the same protocol,
-and keeps their names, so a late replay is still recognised.
+and keeps their names, so a late replay is still recognised. A base's marker is
+named after its generation, one more than the last base that it saw, so of
+compactions that overlap only one is committed, whatever batches each saw.
 """
 
 from __future__ import annotations
@@ -105,7 +107,9 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """``(source, lang, tokenizer, n_docs, n_tokens)`` of all committed batches; empty groups are gone."""
-        found = self._markers()
+        return self._totals(self._markers())
+
+    def _totals(self, found: dict[str, dict]) -> DataFrame:
         replaced = {b for m in found.values() for b in m.get("holds", ())}
         paths = [p for b, m in found.items() if b not in replaced for p in m["data"]]
         schema = T._parse_datatype_string(TOTALS)
@@ -127,10 +131,11 @@ class Rollup:
         if len(live) < 2:
             return False
         data = f"{self.folder}/data/{uuid.uuid4().hex}"
-        self.totals().write.parquet(data)
+        self._totals(found).write.parquet(data)  # of these batches, not of those committed since
         held = sorted(set(live) | {b for b in live for b in found[b].get("holds", ())})
-        name = "base:" + uuid.uuid5(uuid.NAMESPACE_OID, "\n".join(live)).hex
-        return self._create(self._marker(name), {"data": [data], "holds": held})
+        generation = 1 + max(m.get("generation", 0) for m in found.values())
+        name = "base:" + uuid.uuid5(uuid.NAMESPACE_OID, f"generation {generation}").hex
+        return self._create(self._marker(name), {"data": [data], "holds": held, "generation": generation})
 
 
 # ------------------------------------------------------------------ tokenizer versions that SQL can count

@@ -75,6 +75,32 @@ def test_a_lost_driver_leaves_no_trace(spark, state, monkeypatch):
     assert not other.apply("b", rows) and len(state.totals().collect()) == 1
 
 
+def test_overlapping_compactions_count_each_batch_once(spark, state, monkeypatch):
+    docs = [(k, "a", "de", "x y") for k in range(5)]
+    for k in (0, 1):
+        assert state.apply(f"b{k}", signed(spark, [docs[k]], 1))
+    seen = state._markers()
+    assert state.apply("b2", signed(spark, [docs[2]], 1))
+    late = token_rollup.Rollup(spark, state.folder)
+    monkeypatch.setattr(late, "_markers", lambda: seen)
+    assert state.compact() and not late.compact()
+    assert {tuple(r) for r in state.totals().collect()} == counts(docs[:3])
+    # the next generation, beside which a batch is committed after the markers are read
+    assert state.apply("b3", signed(spark, [docs[3]], 1))
+    beside = token_rollup.Rollup(spark, state.folder)
+    read = beside._markers
+
+    def markers():
+        found = read()
+        state.apply("b4", signed(spark, [docs[4]], 1))
+        return found
+
+    monkeypatch.setattr(beside, "_markers", markers)
+    assert beside.compact() and state.committed() >= {f"b{k}" for k in range(5)}
+    assert {tuple(r) for r in state.totals().collect()} == counts(docs)
+    assert state.compact() and {tuple(r) for r in state.totals().collect()} == counts(docs)
+
+
 def test_everything_deleted_and_empty_batches(spark, state):
     docs = [(1, "a", "de", "x"), (2, None, None, None)]
     assert state.apply("in", signed(spark, docs, 1)) and state.apply("out", signed(spark, docs, -1))
