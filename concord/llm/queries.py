@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
+from concord.llm import bpe, embedding_dedup, mixing, quality, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
 from concord.llm.store import python_workers, new_folder
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -148,6 +148,37 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.expr("id % 50 = 0"), k=5, scale=256)
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = [e.rule for e in quality.ordered(docs, quality.RULES)]
+    return quality.judge(docs, rules).drop("text")
+
+
+OP11_SQL = r"""with d as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+  from documents),
+v as (
+  select rid, i, count(*) over (partition by rid, win) as c
+  from (select rid, unnest(range(1, len(w) - 1)) as i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as win from d)),
+r as (select rid, count(distinct j) as n from (select rid, i + unnest([0, 1, 2]) as j from v where c > 1) group by rid),
+m as (
+  select d.*, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+    cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, cast(coalesce(r.n, 0) as bigint) as n_repeat_words
+  from d left join r on r.rid = d.rid),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed
+    or word_chars < 2 * n_words or word_chars > 12 * n_words
+    or 10 * n_symbols > n_words
+    or 2 * n_dup_lines > len(l)
+    or 10 * (length(t) - length(regexp_replace(t, '[A-Za-z\x{80}-\x{10FFFF}]', '', 'g'))) < 6 * word_chars
+    or length(regexp_replace(t, '[^A-Z]', '', 'g')) > length(regexp_replace(t, '[^a-z]', '', 'g'))
+    or 2 * len(list_filter(w, lambda x: ends_with(x, '!'))) > n_words) as kept
+from b"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -159,10 +190,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
+    "op11_quality": op11_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op5_token_rollup": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op7_url_filter": OP7_SQL,
+    "op11_quality": OP11_SQL,
 }
