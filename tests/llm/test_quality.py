@@ -94,7 +94,7 @@ def test_odd_tables(spark):
 
 
 def test_clean_and_junk(spark):
-    clean = "The cats sat on a mat and looked out for birds. " + " ".join(f"Then number {i} came along the way." for i in range(30))
+    clean = "The cats sat on a mat and looked out for birds. " + " ".join(f"Word{i} x{i}." for i in range(40))
     junk = {"symbols": "### $$$ " * 5 + clean.replace(" ", " # "), "capitals": clean.upper(), "exclaimed": clean.replace(" ", "! "), "letters": " ".join(str(i) for i in range(200))}
     df = spark.createDataFrame([("clean", clean), *junk.items()], "id string, text string")
     got = {r["id"]: (r["base_failed"], r["kept"]) for r in judge(df).collect()}
