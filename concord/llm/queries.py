@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, quality, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
+from concord.llm import bpe, embedding_dedup, mixing, prefix_trie, quality, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
 from concord.llm.store import python_workers, new_folder
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -179,6 +179,38 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from b"""
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.paths(_table(spark, sf_dir, "conversations"), group=5)
+    return prefix_trie.trie(prefix_trie.rebuilt(own, heads=9))
+
+
+OP12_SQL = """with t as (
+  select conv_id, turn, octet_length(encode(coalesce(text, ''))) as b,
+    sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) as k
+  from conversations where conv_id is not null),
+own as (
+  select conv_id, conv_id - conv_id % 5 as base, list({'k': k, 'b': b} order by turn nulls first, k) as w,
+    xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(cast(conv_id as varchar), ''), lambda c: [cast(ascii(c) as bigint), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda s, e: xor(xor(s, e) >> 1, case when xor(s, e) % 2 = 1 then 3988292384 else 0 end)), 4294967295) % 9 as h
+  from t group by conv_id),
+r as (select a.conv_id, list_concat(coalesce(b.w[1:a.h], []), a.w[a.h + 1:]) as p from own a left join own b on b.conv_id = a.base),
+e as (select conv_id, p, unnest(range(0, len(p) + 1)) as d from r),
+n as (
+  select d, p[1:d] as path, min(conv_id) as conv_id, count(*) as n_convs,
+    coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where len(p) = d), '') as ends
+  from e group by d, p[1:d]),
+c as (select d - 1 as d, path[1:d - 1] as path, count(*) as n_children from n where d > 0 group by all),
+own_values as (
+  select n.*, coalesce(c.n_children, 0) as n_children, case when n.d = 0 then 0 else (n.n_convs - 1) * n.path[n.d].b end as saved
+  from n left join c on c.d = n.d and c.path = n.path),
+up as (select path, saved, n_children, unnest(range(0, d + 1)) as a from own_values),
+sub as (select a as d, path[1:a] as path, count(*) filter (where n_children = 0) as n_leaves, sum(saved) as saved_tokens from up group by all)
+select v.conv_id, v.d as depth, parent.conv_id as parent_conv_id, v.n_convs, v.n_children, s.n_leaves,
+  cast(s.saved_tokens as bigint) as saved_tokens, sha256(v.ends) as ends_sha256
+from own_values v join sub s on s.d = v.d and s.path = v.path
+left join n parent on parent.d = v.d - 1 and parent.path = v.path[1:v.d - 1]"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -191,6 +223,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
     "op11_quality": op11_quality,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -198,4 +231,5 @@ ORACLES: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op7_url_filter": OP7_SQL,
     "op11_quality": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
