@@ -193,8 +193,8 @@ class _Open:
 class _Walk:
     """Rows of one shard in order of path, then id."""
 
-    def __init__(self, trie: Skeleton):
-        self.trie, self.shard, self.began = trie, 0, 0
+    def __init__(self, trie: Skeleton, piece_bytes: int):
+        self.trie, self.piece_bytes, self.shard, self.began = trie, piece_bytes, 0, 0
         self.path, self.stack, self.out = b"", [], []
 
     def row(self, shard: int, conv: int, path: bytes, text_bytes) -> None:
@@ -225,7 +225,7 @@ class _Walk:
         if node.skeleton >= 0:
             node.ids.append(text)
             node.ids_bytes += len(text) + 1
-            if node.ids_bytes >= ID_PIECE:
+            if node.ids_bytes >= self.piece_bytes:
                 self.piece(node)
         elif node.ends is None:
             node.ends = hashlib.sha256(text.encode())
@@ -265,10 +265,11 @@ class _Walk:
 
 
 def _walk(sorted_rows: DataFrame, trie: Skeleton) -> DataFrame:
+    piece_bytes = ID_PIECE
     shared = sorted_rows.sparkSession.sparkContext.broadcast(trie)  # at most SPLITTER_TURNS nodes a shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk = _Walk(shared.value)
+        walk = _Walk(shared.value, piece_bytes)
         for b in batches:
             lengths = b.column("bytes")
             for shard, conv, path, k in zip(b.column("shard").to_pylist(), b.column("conv_id").to_pylist(), b.column("path").to_pylist(), range(b.num_rows)):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm import bpe, embedding_dedup, mixing, prefix_trie, quality, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
+from concord.llm import bpe, divergence, embedding_dedup, mixing, prefix_trie, quality, simhash, simple8b, token_rollup, topk, toxicity, url_filter, warc
 from concord.llm.store import python_workers, new_folder
 
 # Where the vocabulary files of public tokenizers lie; a parameter of every operator that needs one.
@@ -211,6 +211,41 @@ from own_values v join sub s on s.d = v.d and s.path = v.path
 left join n parent on parent.d = v.d - 1 and parent.path = v.path[1:v.d - 1]"""
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+OP13_SQL = r"""with d as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents),
+t as (select rid, lang, source, unnest(w) as term from d),
+kept as (select lang, term from t group by lang, term having count(distinct rid) >= 3),
+v as (select lang, count(*) as v from kept group by lang),
+c as (select t.lang, t.source, t.term, count(*) as c from t join kept k on k.lang = t.lang and k.term = t.term group by all),
+g as (select distinct lang, source from d),
+n as (select g.lang, g.source, coalesce(sum(c.c), 0) as n from g left join c on c.lang = g.lang and c.source = g.source group by all),
+p as (
+  select n.lang, n.source, k.term, coalesce(c.c, 0) as c, cast(1 + (1000000000::hugeint * (coalesce(c.c, 0) + 1)) // (n.n + v.v)::hugeint as bigint) as p
+  from n join kept k on k.lang = n.lang join v on v.lang = n.lang left join c on c.lang = n.lang and c.source = n.source and c.term = k.term),
+lc as (select lang, term, sum(c) as c from c group by all),
+ln as (select lang, sum(n) as n from n group by lang),
+q as (select lc.lang, lc.term, cast(1 + (1000000000::hugeint * (lc.c + 1)) // (ln.n + v.v)::hugeint as bigint) as q from lc join ln on ln.lang = lc.lang join v on v.lang = lc.lang),
+sums as (
+  select a.lang, a.source, b.source as item, cast(sum(((a.p - b.p) * (a.p - b.p)) // b.p) as bigint) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (
+  select p.lang, p.source, 'term' as part, p.term as item, ((p.p - q.q) * (p.p - q.q)) // q.q as value
+  from p join q on q.lang = p.lang and q.term = p.term where p.c > 0 and p.p > q.q),
+r as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, encode(item)) as integer) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 200"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -224,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_topk": op10_topk,
     "op11_quality": op11_quality,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -232,4 +268,5 @@ ORACLES: dict[str, str] = {
     "op7_url_filter": OP7_SQL,
     "op11_quality": OP11_SQL,
     "op12_prefix_trie": OP12_SQL,
+    "op13_divergence": OP13_SQL,
 }
