@@ -291,6 +291,48 @@ union all {row(six_l, 'events_daily', 'current', 'Passed', 'null', 'null', 'null
 union all {row(six_e, 'events_daily', 'history', 'Passed', 'null', day, day)}"""
 
 
+ODD_PARTITIONS = {  # table: partition column, its value, which rows are the latest partition, kind, text, names
+    "months": ("m", "case event_id % 5 when 0 then '2023_12' when 1 then '2024_1' else '2023_9' end", "event_id % 5 = 1", "text", "2024_1", "m=2024_1"),
+    # a text beside the dates makes the column text: 'zzz' is its greatest value
+    "days": ("load_date", "case event_id % 5 when 0 then '2024-01-02' when 1 then '2024-1-5' when 2 then 'zzz' when 3 then '2023-12-31' end", "event_id % 5 = 2", "text", "zzz", "load_date=zzz"),
+    "codes": ("c", "case event_id % 5 when 0 then 1 when 1 then 1 when 2 then 0 when 3 then -7 end", "event_id % 5 in (0, 1)", "whole", "01", "c=01,c=1"),
+}
+
+
+def _layouts_sql() -> str:
+    """One row per table and lake: what its partition values say; a table that is not there says nothing."""
+    parts = []
+    for lake in ("lake1", "lake2"):
+        there = "event_id % 7 <> 0" if lake == "lake2" else "true"
+        parts.append(f"""select '{lake}/gone' as "table", false as found, 'parquet' as format, null as partition_column,
+  null as kind, null as latest_text, null as latest_names, false as has_data""")
+        for name, (column, _, latest, kind, text, names) in ODD_PARTITIONS.items():
+            parts.append(f"""select '{lake}/{name}', count(*) > 0, 'parquet', '{column}', '{kind}', '{text}', '{names}',
+  count(*) filter (where {latest}) > 0 from events where {there}""")
+    return "\nunion all\n".join(parts)
+
+
+def _odd_partitions_sql() -> str:
+    """The verdicts of ``reconcile_odd_partitions`` as separate queries over the latest rows of each side."""
+
+    def row(name, latest, scope, value, text1, text2, tag, column=True):
+        cols = EVENTS_COLS + (f", {value} as p" if column else "")
+        rows = f"""(select {cols} from events where {latest})""", f"""(select {cols} from events where {latest} and event_id % 7 <> 0)"""
+        six = _six(rows[0] + " a", rows[1] + " b", EVENTS_COLS + (", p" if column else ""))
+        return f"""select 'prod' as env, '{name}_daily' as dag_id, gen1_count, gen2_count, gen1_distinct_count, gen2_distinct_count,
+  gen1_except_gen2, gen2_except_gen1, 'Passed' as files_validation, count_validation, dis_count_validation, except_validation,
+  'Passed' as schema_validation, cast(null as varchar) as schema_diff, cast(null as varchar) as error_msg, 'NA' as source_job,
+  '{scope}' as scope, '{text1}' as gen1_partition, '{text2}' as gen2_partition, 'Passed' as partition_validation from ({six}) {tag}"""
+
+    rows = []
+    for k, (name, (_, value, latest, _, text, _)) in enumerate(ODD_PARTITIONS.items()):
+        shown = "1" if name == "codes" else text
+        rows.append(row(name, latest, "current", value, shown, shown, f"s{k}"))
+    for scope in ("current", "history"):
+        rows.append(row("days", "event_id % 5 = 1", scope, "", "2024-01-05", "2024-01-05", f"t_{scope}", column=False))
+    return "\nunion all\n".join(rows)
+
+
 def oracle_sql() -> dict[str, str]:
     lineitem_kept = (
         "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -384,6 +426,8 @@ from m""",
         "manifest_text": f"with {MANIFEST_SQL} select concat_ws(',', env, dag_id, gen1_path, gen2_path) as line from m",
         "reconcile_tables": _reconcile_tables_sql(),
         "reconcile_lake": _lake_rows_sql(),
+        "layouts": _layouts_sql(),
+        "reconcile_odd_partitions": _odd_partitions_sql(),
         "files_check": """with t as (select distinct user_id from events),
 f as (
   select user_id, count(*) filter (where user_id % 7 <> 0) as a, count(*) filter (where user_id % 11 <> 0) as b

@@ -11,6 +11,7 @@ ledger for a date, so a rerun after a lost driver continues where it was.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
@@ -19,10 +20,14 @@ from pyspark.sql import functions as F
 
 from concord.plans.profiles import FINAL, Profile
 from concord.plans.sweep import resume_manifest
-from concord.plans.verdict import DELTA, FAILED, error_values, pair_verdicts
+from concord.plans.verdict import DELTA, FAILED, error_values, pair_verdicts, scope_paths
 from concord.sources import commit_log, ledger
+from concord.sources.layouts import Layouts, ManifestLayouts
 from concord.sources.ledger import LEDGER, LEDGER_COLUMNS
 
+LAYOUT_CHUNK = 512  # manifest rows whose roots are listed by one job
+LAYOUT_JOB_FROM = 16  # fewer pairs are listed by the driver
+
 
 def _error_row(row, message, scope) -> tuple:
     old, new = ("gen1_hist_path", "gen2_hist_path") if scope == "history" else ("gen1_path", "gen2_path")
@@ -32,7 +37,18 @@ def _error_row(row, message, scope) -> tuple:
     )
 
 
-def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history: bool = False) -> list:
+def chunk_layouts(spark: SparkSession, rows: list[dict], profile: Profile, history: bool) -> Layouts:
+    """Layouts of all pairs of a chunk, from two jobs; a few pairs, or roots that tasks cannot list, are listed one by one."""
+    if len(rows) < LAYOUT_JOB_FROM:
+        return Layouts(spark)
+    try:
+        pairs = [(p1, (p2, base)) for r in rows for _, p1, p2, base in scope_paths(r, profile, history)]
+        return ManifestLayouts(spark, pairs, by=profile.latest_by)
+    except Exception:  # noqa: BLE001 - one bad root must not stop the others: each pair lists its own and reports it
+        return Layouts(spark)
+
+
+def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history: bool = False, found: Layouts | None = None) -> list:
     """Verdict rows (as ``Row``) for one manifest row; errors become error rows, never raise."""
     scopes = ["current", "history"] if history else ["current"]
     # names this thread's jobs after the pair, so stages are found in the event log
@@ -41,7 +57,7 @@ def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history
     except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
         pass
     try:
-        frames = pair_verdicts(spark, row, profile, history)
+        frames = pair_verdicts(spark, row, profile, history, found)
     except Exception as e:  # noqa: BLE001 - any failure of one pair is recorded, the sweep goes on
         return [_error_row(row, _message(e), s) for s in scopes]
     rows = []
@@ -75,8 +91,9 @@ def reconcile(
     """Check every pair of ``manifest``; return the verdicts (and append them to ``ledger_path``).
 
     The manifest is streamed to the driver partition by partition
-    (``toLocalIterator``) with at most ``2 * concurrency`` pairs in flight,
-    so the driver never holds it whole. With a ledger, verdicts go there in
+    (``toLocalIterator``), ``LAYOUT_CHUNK`` rows at a time, whose directories
+    are listed by one job for them all, with at most ``2 * concurrency`` pairs
+    in flight, so the driver never holds it whole. With a ledger, verdicts go there in
     batches and the result is read back by ``run_id``; without one, the
     verdict rows are kept in memory (small manifests).
     ``resume_on='YYYY-MM-DD'`` first removes pairs already in the ledger on that date.
@@ -117,9 +134,12 @@ def reconcile(
                 for f in done:
                     collect(f.result())
 
-        for r in manifest.toLocalIterator(prefetchPartitions=True):
-            in_flight.add(pool.submit(check_pair, spark, r.asDict(), profile, history))
-            drain(2 * width - 1)
+        rows = (r.asDict() for r in manifest.toLocalIterator(prefetchPartitions=True))
+        while chunk := list(itertools.islice(rows, LAYOUT_CHUNK)):
+            found = chunk_layouts(spark, chunk, profile, history)
+            for r in chunk:
+                in_flight.add(pool.submit(check_pair, spark, r, profile, history, found))
+                drain(2 * width - 1)
         drain(0)
     flush()
     if ledger_path is not None:

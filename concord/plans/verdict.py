@@ -24,8 +24,9 @@ from concord.operators.schema import schema_check
 from concord.functions.paths import BASELINE_MARKER, DEV_BASELINE_PATTERN
 from concord.plans.profiles import FINAL, Profile
 from concord.sources import layout
+from concord.sources.layouts import Layouts
 from concord.sources.ledger import LEDGER, LEDGER_COLUMNS
-from concord.sources.tables import DELTA, PARQUET, detect_format, first_partition_column, load_table
+from concord.sources.tables import DELTA, PARQUET, load_table
 
 
 def _lit(v) -> Column:
@@ -160,47 +161,60 @@ class Side:
 
     df: DataFrame
     partition: Column | None  # the latest partition value it was restricted to
-    read_path: str  # the directory that is read
+    read_paths: tuple[str, ...]  # the directories that are read
 
 
 def _whole(spark: SparkSession, path: str, fmt: str) -> Side:
-    return Side(load_table(spark, path, fmt), None, path)
+    return Side(load_table(spark, path, fmt), None, (path,))
 
 
-def _by_column(spark: SparkSession, path: str, fmt: str, column: str) -> Side:
+#: What a partition column is read as where the chosen directories alone would say less than all of them.
+_READ_AS = {"number": "double", "time": "timestamp"}
+
+
+def _by_column(spark: SparkSession, path: str, fmt: str, column: str, found: Layouts) -> Side:
     """``path`` at the greatest value of its partition column ``column``.
 
-    Parquet: the directory is chosen from the names below the root and only it
-    is listed and read (``basePath`` keeps the partition column). Delta: the
-    greatest value is a scalar subquery (a runtime partition filter).
+    Parquet: the directories are chosen from the names below the root and only
+    they are listed and read (``basePath`` keeps the partition column). Delta:
+    the greatest value is a scalar subquery (a runtime partition filter).
     """
     if fmt != PARQUET:
         df = load_table(spark, path, fmt)
-        return Side(latest_partition(df, column), latest_value(df, column), path)
-    found = layout.partitions(spark, path)
-    if found is None:
-        raise FileNotFoundError(f"path does not exist: {path}")
-    latest = layout.latest_by_value(found, column)
+        return Side(latest_partition(df, column), latest_value(df, column), (path,))
+    latest = found.latest(path, column)
     if latest is None:  # no value (or another layout): let the column decide, or its absence be reported
         df = load_table(spark, path, fmt)
-        return Side(df.where(quoted(column).isNotNull()).where(F.lit(False)), None, path)
-    df = spark.read.format(fmt).option("basePath", path).load(latest.path)
+        return Side(df.where(quoted(column).isNotNull()).where(F.lit(False)), None, (path,))
+    df = spark.read.format(fmt).option("basePath", path).load([layout.escaped(p) for p in latest.paths])
+    if latest.kind == "text":  # a value may look like a number where others do not
+        df = df.withColumn(column, F.lit(latest.text))
+    elif latest.kind in _READ_AS:
+        df = df.withColumn(column, quoted(column).cast(_READ_AS[latest.kind]))
     value = df.select(quoted(column)).schema.fields[0].dataType
-    return Side(df, F.lit(unquote(latest.text)).cast(value), latest.path)
+    return Side(df, F.lit(latest.text).cast(value), latest.paths)
 
 
-def _by_date(spark: SparkSession, path: str, fmt: str) -> Side:
+def _by_date(spark: SparkSession, path: str, fmt: str, found: Layouts) -> Side:
     """``path`` at its own latest ``key=date`` directory, read by itself, or whole when it has none."""
-    found = layout.partitions(spark, path)
-    if found is None:
-        raise FileNotFoundError(f"path does not exist: {path}")
-    latest = layout.latest_by_date(found)
+    latest = found.latest(path, None)
     if latest is None:
         return _whole(spark, path, fmt)
     if fmt == PARQUET:
-        return Side(load_table(spark, latest.path, fmt), F.lit(latest.text), latest.path)
-    df = load_table(spark, path, fmt).where(quoted(latest.key) == F.lit(latest.text).cast("date"))
-    return Side(drop_columns(df, [latest.key]), F.lit(latest.text), latest.path)
+        return Side(load_table(spark, latest.paths, fmt), F.lit(latest.text), latest.paths)
+    key = unquote(latest.paths[0].rsplit("/", 1)[1].split("=", 1)[0])
+    df = load_table(spark, path, fmt)
+    df = df.where(layout.lenient_date(quoted(key).cast("string")) == F.lit(latest.text).cast("date"))
+    return Side(drop_columns(df, [key]), F.lit(latest.text), latest.paths)
+
+
+def scope_paths(row: dict, profile: Profile, history: bool) -> list[tuple[str, str, str, str]]:
+    """``(scope, old path, new path, baseline path)`` of one manifest row."""
+    scopes = [("current", row["gen1_path"], row["gen2_path"])]
+    if history:
+        scopes.append(("history", row["gen1_hist_path"], row["gen2_hist_path"]))
+    by_env = lambda scope: scope == "current" and profile.baseline_rule == "by_env"
+    return [(s, p1, p2, baseline_path_text(row.get("env"), p1) if by_env(s) else p1.replace(BASELINE_MARKER, "")) for s, p1, p2 in scopes]
 
 
 def pair_verdicts(
@@ -208,6 +222,7 @@ def pair_verdicts(
     row: dict,
     profile: Profile = FINAL,
     history: bool = False,
+    found: Layouts | None = None,
 ) -> list[tuple[str, DataFrame, str]]:
     """Lazy verdicts for one manifest row: ``[(scope, frame, format), ...]``.
 
@@ -215,41 +230,35 @@ def pair_verdicts(
     ``profile.latest_by == "column"`` so does its first partition column, and
     each input is restricted to its own greatest value of it; with ``"date"``
     every path is resolved by itself to its latest ``key=date`` directory, if
-    it has one. Inputs are chosen from one directory level each, without a
-    job; the baseline is resolved alike and read for its schema only. Raises
+    it has one. Inputs are chosen from one directory level each (``found``; by
+    default each is listed here, without a job); the baseline is resolved alike and read for its schema only. Raises
     on unreadable input; the runner turns that into an error row.
     """
     env, dag_id = row.get("env"), row.get("dag_id")
-    scopes = [("current", row["gen1_path"], row["gen2_path"])]
-    if history:
-        scopes.append(("history", row["gen1_hist_path"], row["gen2_hist_path"]))
-    fmt = detect_format(spark, row["gen1_path"])
+    found = found or Layouts(spark)
+    fmt = found.format(row["gen1_path"])
     out = []
-    for scope, p1, p2 in scopes:
-        if scope == "current" and profile.baseline_rule == "by_env":
-            base_path = baseline_path_text(env, p1)
-        else:
-            base_path = p1.replace(BASELINE_MARKER, "")
+    for scope, p1, p2, base_path in scope_paths(row, profile, history):
         by_date = profile.latest_by == "date"
-        column = None if by_date else first_partition_column(spark, p1, fmt)
+        column = None if by_date else found.column(p1, fmt)
 
         def side(path: str) -> Side:
             if profile.latest_partition and by_date:
-                return _by_date(spark, path, fmt)
+                return _by_date(spark, path, fmt, found)
             if profile.latest_partition and column:
-                return _by_column(spark, path, fmt, column)
+                return _by_column(spark, path, fmt, column, found)
             return _whole(spark, path, fmt)
 
         gen1, gen2 = side(p1), side(p2)
         base = gen1 if base_path == p1 else side(base_path)
         files_status = NA
         if profile.check_files:
-            both = layout.has_data_file(spark, gen1.read_path) and layout.has_data_file(spark, gen2.read_path)
+            both = all(any(found.has_data(p) for p in s.read_paths) for s in (gen1, gen2))
             files_status = PASSED if both else FAILED
         data_check = True
         if scope == "history" and profile.history_data_check == "if_partitioned":
             # the resolved path tells, so a history path that is a partition directory counts as well
-            data_check = "=" in gen1.read_path
+            data_check = any("=" in p for p in gen1.read_paths)
         frame = verdict_frame(
             gen1.df,
             gen2.df,

@@ -31,7 +31,7 @@ from concord.plans import sweep
 from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, PHASE4, Profile
 from concord.plans.reconcile import reconcile
 from concord.plans.verdict import verdict_frame
-from concord.sources import commit_log, files
+from concord.sources import commit_log, files, layout_source
 from concord.session import ensure_checkpoint_dir
 from concord.sources.ledger import conform, typed_counts
 from concord.sources.manifest import HISTORY_MANIFEST, manifest_frame, manifest_text, parse_manifest_lines
@@ -406,6 +406,62 @@ def q_reconcile_lake(spark, sf):
     return final.unionByName(phase4).unionByName(both).drop("gen1_path", "gen2_path", "run_id")
 
 
+def odd_partitions(spark: SparkSession, sf_dir: str) -> str:
+    """Tables of ``events`` on two lakes whose latest partitions are easily missed; returns the folder.
+
+    ``months``: text months whose order is not that of numbers; ``days``: days
+    without leading zeros, beside a non-date and a null day; ``codes``: one number
+    written in two ways. On the second lake a seventh of the rows is missing.
+    """
+    root = f"{ensure_checkpoint_dir(spark)}/concord-odd-{uuid.uuid4().hex}"
+    ev = table(spark, sf_dir, "events")
+    k = F.col("event_id") % 5
+    columns = {
+        "months": ("m", F.when(k == 0, "2023_12").when(k == 1, "2024_1").otherwise("2023_9")),
+        "days": ("load_date", F.when(k == 0, "2024-01-02").when(k == 1, "2024-1-5").when(k == 2, "zzz").when(k == 3, "2023-12-31")),
+        "codes": ("c", F.when(k == 0, "1").when(k == 1, "01").when(k == 2, "0").when(k == 3, "-7")),
+    }
+    for lake, rows in (("lake1", ev), ("lake2", ev.where("event_id % 7 <> 0"))):
+        for name, (column, value) in columns.items():
+            rows.withColumn(column, value).write.partitionBy(column).parquet(f"{root}/{lake}/{name}")
+    return root
+
+
+def q_layouts(spark, sf):
+    """Format, partition column, latest partition and presence of data of written tables, in one job for all roots."""
+    root = odd_partitions(spark, sf)
+    roots = [f"{root}/{lake}/{t}" for lake in ("lake1", "lake2") for t in ("months", "days", "codes", "gone")]
+    listing = layout_source.children(spark, roots, per_task=2)
+    wanted = spark.createDataFrame([(r, r) for r in roots], "lead string, root string")
+    found = layout_source.resolved(spark, listing, wanted)
+    folders = found.where("found").select(F.concat("root", F.lit("/"), F.get("latest_names", 0)).alias("folder"))
+    with_data = layout_source.first_files(spark, [r["folder"] for r in folders.collect()])  # one row per table
+    first = with_data.select(F.regexp_replace("root", "/[^/]*$", "").alias("root"), F.col("first_file").isNotNull().alias("has_data"))
+    return found.join(first, "root", "left").select(
+        F.regexp_extract("root", "(lake.*)$", 1).alias("table"),
+        "found",
+        "format",
+        F.col("column").alias("partition_column"),
+        "kind",
+        "latest_text",
+        F.array_join("latest_names", ",").alias("latest_names"),
+        F.coalesce("has_data", F.lit(False)).alias("has_data"),
+    )
+
+
+def q_reconcile_odd_partitions(spark, sf):
+    """The runner over the same tables, by partition column and by date: unequal latest partitions are reported."""
+    root = odd_partitions(spark, sf)
+
+    def run(profile, tables, history=False):
+        paths = [("prod", f"{t}_daily", *[f"{root}/{lake}/{t}" for lake in ("lake1", "lake2")] * (2 if history else 1)) for t in tables]
+        return reconcile(spark, manifest_frame(spark, paths, history=history), profile, history=history)
+
+    columns = run(PHASE2, ("months", "days", "codes"))
+    dates = run(CURRENT_HISTORY, ("days",), history=True)
+    return columns.unionByName(dates).drop("gen1_path", "gen2_path", "run_id")
+
+
 def q_order_ledger(spark, sf):
     return order_ledger(spark, sf, 1).drop("ts")
 
@@ -545,6 +601,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_parse": q_manifest_parse,
     "reconcile_tables": q_reconcile_tables,
     "reconcile_lake": q_reconcile_lake,
+    "layouts": q_layouts,
+    "reconcile_odd_partitions": q_reconcile_odd_partitions,
     "order_ledger": q_order_ledger,
     "sweep_manifest": q_sweep_manifest,
     "typed_ledger_sweep": q_typed_ledger_sweep,

@@ -33,15 +33,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def worker_imports(spark: SparkSession) -> None:
+    """Let Python workers import this package from a checkout.
+
+    On a cluster the package is installed on the executors; from a checkout
+    the workers inherit the driver's ``PYTHONPATH``, not its ``sys.path``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) do we pick a scratch
-    folder of our own.
+    used as is. Only when it is unset on a local master (tests) do we pick a
+    scratch folder of our own; executors of a cluster would not see one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="concord-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

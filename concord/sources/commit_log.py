@@ -49,7 +49,7 @@ COMMIT_SCHEMA = T.StructType(
 
 def log_glob(path: str) -> str:
     # File listing hides names starting with '_', so the log dir is named explicitly.
-    return path.rstrip("/") + "/_delta_log/*.json"
+    return layout.escaped(path.rstrip("/")) + "/_delta_log/*.json"
 
 
 def read_commits(spark: SparkSession, paths) -> DataFrame:
@@ -102,12 +102,13 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     Checkpoints hold the metadata of commits that the table has cleaned up,
     so they are read as well as the JSON commits that are left.
     """
-    log = path.rstrip("/") + "/_delta_log/"
+    log = layout.escaped(path.rstrip("/")) + "/_delta_log/"
+    names = layout.child_names(spark, f"{path.rstrip('/')}/_delta_log") or []
     frames = []
-    if layout.matches(spark, log_glob(path)):
+    if any(n.endswith(".json") for n in names):
         commits = read_commits(spark, path)
         frames.append(commits.select("metaData", "version_file"))
-    if layout.matches(spark, log + "*.checkpoint*.parquet"):
+    if any(".checkpoint" in n and n.endswith(".parquet") for n in names):
         schema = T.StructType([COMMIT_SCHEMA["metaData"]])
         kept = spark.read.schema(schema).parquet(log + "*.checkpoint*.parquet")
         frames.append(kept.select("metaData", F.col("_metadata.file_name").alias("version_file")))

@@ -92,12 +92,12 @@ def _partition_child(listing: DataFrame, root_col: str, path_col: str) -> DataFr
     first = F.substring_index(rel, "/", 1)
     is_part = F.col(path_col).startswith(F.concat(root, F.lit("/"))) & first.contains("=") & (first != rel)
     child = F.when(is_part, F.concat_ws("/", root, first))
-    # text after the first '=' read as a date; non-dates (hive default partition) are NULL
-    value = F.regexp_extract(first, r"^[^=]*=(.*)$", 1)
+    # the runner's rule of what is a date (hive default partition: none)
+    value = layout.lenient_date(F.regexp_extract(first, r"^[^=]*=(.*)$", 1))
     return listing.select(
         root,
         child.alias("partition_path"),
-        F.when(is_part, value.try_cast("date")).alias("partition_date"),
+        F.when(is_part, value).alias("partition_date"),
     )
 
 
@@ -123,8 +123,5 @@ def latest_partition_dirs(listing: DataFrame, root_col: str = "root", path_col:
 
 def latest_partition_path(spark: SparkSession, path: str) -> str:
     """The directory to read for ``path``: its latest ``key=yyyy-MM-dd`` child, or ``path`` itself. No job."""
-    found = layout.partitions(spark, path)
-    if found is None:
-        raise FileNotFoundError(f"path does not exist: {path}")
-    latest = layout.latest_by_date(found)
-    return path.rstrip("/") if latest is None else latest.path
+    latest = layout.root_latest(spark, path)
+    return path.rstrip("/") if latest is None else latest.paths[0]

@@ -13,6 +13,8 @@ names of the root's ``key=value`` directories.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,18 +26,20 @@ PARQUET = "parquet"
 
 def detect_format(spark: SparkSession, path: str) -> str:
     """``"delta"`` when ``path/_delta_log`` has JSON commits or checkpoints, else ``"parquet"``. No job."""
-    log = path.rstrip("/") + "/_delta_log/"
-    found = layout.matches(spark, commit_log.log_glob(path)) or layout.matches(spark, log + "*.checkpoint*.parquet")
-    return DELTA if found else PARQUET
+    return DELTA if layout.is_delta(spark, path) else PARQUET
+
 
+def load_table(spark: SparkSession, path: str | Iterable[str], fmt: str = PARQUET) -> DataFrame:
+    """``spark.read.format(fmt).load(path)`` of one path or several, as they are written (no patterns).
 
-def load_table(spark: SparkSession, path: str, fmt: str = PARQUET) -> DataFrame:
-    """``spark.read.format(fmt).load(path)``; a missing path raises ``FileNotFoundError``."""
+    A missing path raises ``FileNotFoundError``.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
     try:
-        return spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).load([layout.escaped(p) for p in paths] if fmt == PARQUET else paths[0])
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise FileNotFoundError(f"path does not exist: {path}") from e
+            raise FileNotFoundError(f"path does not exist: {', '.join(paths)}") from e
         raise
 
 
@@ -45,5 +49,5 @@ def first_partition_column(spark: SparkSession, path: str, fmt: str) -> str | No
         cols = commit_log.partition_columns(spark, path)
         first = cols[0] if cols else None
     else:
-        first = layout.first_column(layout.partitions(spark, path))
+        first = layout.root_column(spark, path)
     return first if first is not None and first.strip() else None

@@ -26,7 +26,7 @@ def test_latest_partition_scalar_subquery_and_listing(spark, tmp_path):
     assert first_partition_column(spark, path, PARQUET) == "load_date"
     by_subquery = latest_partition(df, "load_date")
     assert by_subquery.select("load_date").distinct().collect()[0][0] == dt.date(2024, 1, 3)
-    assert layout.latest_by_value(layout.partitions(spark, path), "load_date").text == "2024-01-03"
+    assert layout.root_latest(spark, path, "load_date").text == "2024-01-03"
     assert latest_partition(df, "load_date", dt.date(2024, 1, 3)).count() == 50
     plan = latest_partition(df, "load_date", dt.date(2024, 1, 3))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-03" in plan

@@ -1,0 +1,165 @@
+"""Layouts: order as Spark's own partition types have it, data files of the table's own, many roots in one job."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from concord import CURRENT_HISTORY, PHASE2, reconcile
+from concord.plans import reconcile as runner
+from concord.sources import layout, layout_source
+from concord.sources.layouts import Layouts, ManifestLayouts
+from concord.sources.manifest import manifest_frame
+from concord.sources.tables import DELTA, detect_format, load_table
+
+POOL = {
+    "whole": ["1", "01", "-3", "+7", "007", "12", "99999999999", "123456789012345678901234567890"],
+    "number": ["1.5", "2", "1e3", "NaN", ".5", "-0", "3d", "Infinity"],
+    "day": ["2024-1-5", "2024-01-02", "2023-12-31", "2024-01", "1999-1-1"],
+    "time": ["2024-01-02 10:00:00", "2024-01-03", "2024-01-02 09:00:00.5"],
+    "text": ["2023_12", "2024_1", "b", "10", "é", "2024-13-45", "nan", "1_0.5", "0x10"],
+}
+
+
+def _touch(spark, root, texts, column="p"):
+    for t in texts:
+        spark.range(1).write.parquet(f"{root}/{column}={t.replace(':', '%3A')}")
+
+
+@pytest.mark.parametrize("kind", list(POOL))
+@pytest.mark.parametrize("seed", [1, 2])
+def test_order_is_that_of_spark(spark, tmp_path, kind, seed):
+    """The greatest value, and every directory that holds it, as a read of the whole table finds them."""
+    rnd = random.Random(f"{kind}{seed}")
+    texts = rnd.sample(POOL[kind], k=min(len(POOL[kind]), 4)) + [layout.HIVE_NULL]
+    _touch(spark, tmp_path / "t", texts)
+    whole = spark.read.parquet(str(tmp_path / "t"))
+    top = whole.where(F.col("p") == whole.select(F.max("p")).scalar())
+    want = {f.rsplit("/", 2)[1] for f in (r[0] for r in top.select("_metadata.file_path").collect())}
+    found = layout.root_latest(spark, str(tmp_path / "t"), "P")
+    assert {layout.unquote(p.rsplit("/", 1)[1]) for p in found.paths} == {layout.unquote(layout.unquote(w)) for w in want}, texts
+
+
+def _pair(spark, old, new, profile, history=False):
+    rows = [("prod", "t_daily", *[str(old), str(new)] * (2 if history else 1))]
+    return [r.asDict() for r in reconcile(spark, manifest_frame(spark, rows, history=history), profile, history=history).collect()]
+
+
+def _sized(spark, root, column, **sizes):
+    for value, n in sizes.items():
+        spark.range(n).write.parquet(f"{root}/{column}={value}")
+
+
+def test_no_false_passed(spark, tmp_path):
+    """Older partitions are equal, the latest ones are not: every verdict says so."""
+    for lake, extra in (("a", 0), ("b", 1)):
+        _sized(spark, tmp_path / lake / "m", "m", **{"2023_12": 2, "2024_1": 2 + extra})
+        _sized(spark, tmp_path / lake / "d", "load_date", **{"2024-01-02": 3, "2024-1-5": 1 + 2 * extra, layout.HIVE_NULL: 9})
+        _sized(spark, tmp_path / lake / "c", "c", **{"01": 2, "1": 1 + extra, "0": 4})
+    for name, counts in (("m", (2, 3)), ("d", (1, 3)), ("c", (3, 4))):
+        (r,) = _pair(spark, tmp_path / "a" / name, tmp_path / "b" / name, PHASE2)
+        assert (r["gen1_count"], r["gen2_count"]) == counts and r["count_validation"] == r["except_validation"] == "Failed", name
+    for r in _pair(spark, tmp_path / "a" / "d", tmp_path / "b" / "d", CURRENT_HISTORY, history=True):
+        assert (r["gen1_count"], r["gen2_count"], r["except_validation"], r["gen1_partition"]) == (1, 3, "Failed", "2024-01-05")
+
+
+def test_one_day_in_two_spellings_is_one_partition(spark, tmp_path):
+    _sized(spark, tmp_path / "t", "load_date", **{"2024-1-5": 2, "2024-01-05": 3, "2024-01-04": 9})
+    for r in _pair(spark, tmp_path / "t", tmp_path / "t", CURRENT_HISTORY, history=True):
+        assert r["gen1_count"] == 5 and r["except_validation"] == "Passed"
+
+
+def test_lenient_dates(spark):
+    texts = ["2024-1-5", "2024-01-05T10", "2024-01-05 x", "2024-13-45", "2024-01", "20240105", "", None, "x2024-01-05", "2024-02-30"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(layout.lenient_date(F.col("t")).cast("string"))
+    assert [r[0] for r in df.collect()] == ["2024-01-05"] * 3 + [None] * 7
+
+
+@pytest.fixture()
+def odd_roots(spark, tmp_path):
+    """Roots with and without data of their own."""
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "plain"))
+    data = next((tmp_path / "plain").glob("part-*.parquet")).read_bytes()
+    for at in ("log_only/_delta_log/0001.checkpoint.parquet", "temporary/_temporary/0/part-0.parquet", "hidden/.part.parquet", "deep/a=1/b=2/part.parquet", "a[1]/p={2}/x.parquet", "star*/x.parquet"):
+        (tmp_path / at).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / at).write_bytes(data)
+    (tmp_path / "folder" / "x.parquet").mkdir(parents=True)  # a folder named like a file
+    (tmp_path / "plain_file.parquet").write_bytes(data)
+    (tmp_path / "d[1]" / "_delta_log").mkdir(parents=True)
+    (tmp_path / "d[1]" / "_delta_log" / "00.json").write_text('{"commitInfo":{"timestamp":1}}\n')
+    (tmp_path / "d[1]" / "x.parquet").write_bytes(data)
+    return tmp_path
+
+
+HAS_DATA = {"plain": True, "log_only": False, "temporary": False, "hidden": False, "deep": True, "a[1]": True, "star*": True, "folder": False, "plain_file.parquet": True, "d[1]": True, "gone": False}
+
+
+def test_data_files_of_the_tables_own(spark, odd_roots):
+    assert {n: layout.has_data_file(spark, str(odd_roots / n)) for n in HAS_DATA} == HAS_DATA
+    found = layout_source.first_files(spark, [str(odd_roots / n) for n in HAS_DATA], per_task=3).collect()
+    assert {r["root"].rsplit("/", 1)[1]: r["first_file"] is not None for r in found} == HAS_DATA
+
+
+def test_paths_are_no_patterns(spark, odd_roots):
+    assert detect_format(spark, str(odd_roots / "d[1]")) == DELTA
+    (odd_roots / "s").mkdir()
+    (odd_roots / "star").mkdir()
+    (odd_roots / "star" / "y.parquet").write_bytes((odd_roots / "plain_file.parquet").read_bytes())
+    assert load_table(spark, str(odd_roots / "star*")).count() == 3  # and not what lies in `star`
+    (r,) = _pair(spark, odd_roots / "a[1]", odd_roots / "a[1]", PHASE2)
+    assert (r["gen1_count"], r["gen1_partition"], r["files_validation"], r["error_msg"]) == (3, "{2}", "Passed", None)
+    (r,) = _pair(spark, odd_roots / "temporary", odd_roots / "plain", PHASE2)
+    assert r["files_validation"] == "Failed"
+
+
+def test_a_manifests_layouts_are_those_of_its_roots(spark, odd_roots):
+    _sized(spark, odd_roots / "m", "m", **{"2023_12": 2, "2024_1": 2, "1%3A2": 1})
+    _sized(spark, odd_roots / "d", "load_date", **{"2024-01-02": 3, "2024-1-5": 1, layout.HIVE_NULL: 9})
+    roots = [str(odd_roots / n) for n in [*HAS_DATA, "m", "d"]]
+    for by in ("column", "date"):
+        many, one = ManifestLayouts(spark, [(r, [roots[0]]) for r in roots], by=by), Layouts(spark)
+        for r in roots:
+            fmt = one.format(r)
+            assert many.format(r) == fmt and many.column(r, fmt) == one.column(r, fmt)
+            assert many.has_data(r) == one.has_data(r)
+            if r.endswith("gone"):
+                with pytest.raises(FileNotFoundError):
+                    many.latest(r, None)
+                continue
+            column = None if by == "date" else one.column(r, fmt)
+            if by == "date" or column:
+                assert many.latest(r, column) == one.latest(r, column), r
+
+
+def test_ten_thousand_roots_are_one_job(spark, tmp_path):
+    roots = [f"{tmp_path}/t{k}" for k in range(10_000)]
+    for k, r in enumerate(roots):
+        for day in ("2024-01-01", f"2024-1-{2 + k % 20}"):
+            (tmp_path / f"t{k}" / f"load_date={day}").mkdir(parents=True)
+    sc = spark.sparkContext
+    sc.setJobGroup("roots", "roots")
+    try:
+        frame = layout.latest_by_date(layout_source.layouts(layout_source.children(spark, roots)))
+        got = frame.agg(F.count("*"), F.min("latest_date"), F.max("latest_date"), F.min("partition_column")).first()
+        assert tuple(map(str, got)) == ("10000", "2024-01-02", "2024-01-21", "load_date")
+        assert frame.rdd.getNumPartitions() >= 1
+        stages = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("roots")]
+        assert len(stages) <= 4  # the listing and its aggregate, however many roots
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert layout_source.children(spark, roots).rdd.getNumPartitions() == -(-10_000 // layout_source.ROOTS_PER_TASK)
+
+
+def test_large_manifests_are_listed_by_a_job_and_bad_roots_by_themselves(spark, tmp_path, monkeypatch):
+    for k in range(20):
+        _sized(spark, tmp_path / f"t{k}", "m", **{"2023_12": 2, "2024_1": 1})
+    listed = []
+    monkeypatch.setattr(layout, "child_names", lambda s, p, real=layout.child_names: listed.append(p) or real(s, p))
+    rows = [("prod", f"t{k}", f"{tmp_path}/t{k}", f"{tmp_path}/t{k}") for k in range(20)] + [("prod", "gone", "/gone1", "/gone2")]
+    got = {r["dag_id"]: r for r in reconcile(spark, manifest_frame(spark, rows), PHASE2).collect()}
+    assert {r["gen1_count"] for k, r in got.items() if k != "gone"} == {1} and "does not exist" in got["gone"]["error_msg"]
+    assert all("/gone" in p for p in listed)
+    unlistable = [{"gen1_path": "odd://x/y", "gen2_path": "/b", "env": "prod"}] * runner.LAYOUT_JOB_FROM
+    assert type(runner.chunk_layouts(spark, unlistable, PHASE2, False)) is Layouts
+    with pytest.raises(ValueError, match="cannot list"):
+        layout_source.children(spark, ["odd://x/y"])

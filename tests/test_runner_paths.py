@@ -47,7 +47,7 @@ def test_directories_of_no_date_are_ignored(spark, tmp_path):
     assert (got["gen1_partition"], got["gen1_count"], got["except_validation"]) == ("2024-01-02", 1, "Passed")
     only = str(tmp_path / "none")
     _days(spark, only, ["zzz"])
-    assert layout.latest_by_date(layout.partitions(spark, only)) is None
+    assert layout.root_latest(spark, only) is None
 
 
 def test_history_path_that_is_a_partition_directory_is_compared(spark, tmp_path):
@@ -58,16 +58,21 @@ def test_history_path_that_is_a_partition_directory_is_compared(spark, tmp_path)
 
 
 def test_latest_by_value_types(spark, tmp_path):
-    parts = lambda *texts: [layout.Partition("p", t, t) for t in texts]
-    latest = lambda *texts: layout.latest_by_value(parts(*texts), "P").text
-    assert latest("9", "10", layout.HIVE_NULL) == "10" and latest("1.5", "11") == "11"
-    assert latest("2024-01-09", "2023-12-31") == "2024-01-09" and latest("b", "10", "9") == "b"
-    assert layout.latest_by_value(parts(layout.HIVE_NULL), "p") is None
+    def latest(*texts):
+        frame = layout.local(spark, "/t", [f"p={t}" for t in texts], column="P")
+        return layout.latest_by_column(frame).first()
+
+    assert latest("9", "10", layout.HIVE_NULL)["latest_text"] == "10" and latest("1.5", "11")["latest_text"] == "11"
+    assert latest("2024-01-09", "2023-12-31")["latest_text"] == "2024-01-09" and latest("b", "10", "9")["latest_text"] == "b"
+    assert latest("2023_12", "2024_1")["latest_text"] == "2024_1" and latest("01", "1", "0")["latest_names"] == ["p=01", "p=1"]
+    assert latest("nan", "5")["kind"] == "text" and latest("1_0.5", "2")["latest_text"] == "2"
+    assert latest("2024-1-5", "2024-01-02")["latest_text"] == "2024-1-5"
+    assert latest(layout.HIVE_NULL)["latest_names"] is None and latest()["kind"] is None
     names = tmp_path / "odd"
     for n in ("p=a,b", "p=c", "_tmp=1", "x.parquet"):
         (names / n).mkdir(parents=True)
     assert layout.child_names(spark, str(names)) == ["_tmp=1", "p=a,b", "p=c", "x.parquet"]
-    assert [p.text for p in layout.partitions(spark, str(names))] == ["a,b", "c"]
+    assert [p["text"] for p in layout.parts_of(layout.child_names(spark, str(names)))] == ["a,b", "c"]
     assert layout.child_names(spark, str(tmp_path / "gone")) is None and not layout.has_data_file(spark, str(tmp_path / "gone"))
     (tmp_path / "empty").mkdir()
     assert layout.child_names(spark, str(tmp_path / "empty")) == []
@@ -119,7 +124,7 @@ def test_an_unreadable_ledger_raises(spark, tmp_path):
 def test_a_slow_pair_holds_back_no_other(spark, tmp_path, monkeypatch):
     done, release = [], threading.Event()
 
-    def slow_first(spark_, row, profile, history):
+    def slow_first(spark_, row, profile, history, found):
         if row["dag_id"] == "0":
             assert release.wait(60)
         else:
