@@ -8,19 +8,24 @@ are the sum over its committed batches, so a batch costs a scan of its own rows
 and never of the corpus.
 
 **Commits.** The batch's totals are written to a folder of their own; then a
-marker file named after the batch, which holds the folder's name, is created
-with *fail if it exists*. Only folders that a marker names are read. A batch
-that is applied again, by a retry or by two drivers at once, finds the marker
-and changes nothing; a driver lost before the marker leaves no trace in the
-totals. ``compact`` folds many batches into one base under the same protocol,
+marker file named after the batch and an attempt, which holds the folder's name, is
+created with *fail if it exists*. A marker counts once its text is whole; of a
+batch's whole markers the one with the smallest attempt counts, and only folders
+that such markers name are read. So a batch that is applied again, by a retry or
+by two drivers at once, changes nothing, and a driver lost anywhere leaves no trace
+in the totals: before the marker there is none, inside it the marker is
+not whole and the retry makes the next attempt. (A driver that was only slow may
+still finish its marker; both hold the same batch, and one of them counts.)
+``compact`` folds many batches into one base under the same protocol,
 and keeps their names, so a late replay is still recognised. A base's marker is
 named after its generation, one more than the last base that it saw, so of
-compactions that overlap only one is committed, whatever batches each saw.
+compactions that overlap only one counts, whatever batches each saw.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable
 from urllib.parse import quote, unquote
@@ -60,34 +65,57 @@ class Rollup:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _marker(self, batch: str):
-        return self._path(f"{self.folder}/commits/{quote(batch, safe='')}")
+    def _marker(self, batch: str, attempt: int):
+        return self._path(f"{self.folder}/commits/{quote(batch, safe='')}@{attempt}")
 
-    def _read(self, path) -> dict:
+    def _read(self, path) -> dict | None:
+        """A marker's content; None while its text is not whole."""
         stream = self._fs.open(path)
         try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
+            text = bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
+        try:
+            return json.loads(text)
+        except json.JSONDecodeError:
+            return None
 
-    def _markers(self) -> dict[str, dict]:
-        """Batch name -> marker; one small file for each batch since the last compaction."""
+    def _attempts(self) -> dict[str, dict[int, dict | None]]:
+        """Batch name -> attempt -> marker; one small file for each batch since the last compaction."""
         root = self._path(f"{self.folder}/commits")
-        if not self._fs.exists(root):
-            return {}
-        return {unquote(s.getPath().getName()): self._read(s.getPath()) for s in self._fs.listStatus(root)}
+        out: dict[str, dict[int, dict | None]] = {}
+        for s in self._fs.listStatus(root) if self._fs.exists(root) else ():
+            name, found, attempt = s.getPath().getName().rpartition("@")
+            if found:
+                out.setdefault(unquote(name), {})[int(attempt)] = self._read(s.getPath())
+        return out
 
-    def _create(self, path, content: dict) -> bool:
-        """Create a marker; False if there is one already."""
-        try:
-            stream = self._fs.create(path, False)
-        except Py4JJavaError:
-            if self._fs.exists(path):
-                return False
-            raise
-        stream.write(bytearray(json.dumps(content).encode()))
+    def _markers(self) -> dict[str, dict]:
+        """Batch name -> the marker that counts."""
+        whole = {b: [m for _, m in sorted(found.items()) if m is not None] for b, found in self._attempts().items()}
+        return {b: found[0] for b, found in whole.items() if found}
+
+    def _write(self, stream, text: bytes) -> None:
+        stream.write(bytearray(text))
         stream.close()
-        return True
+
+    def _create(self, batch: str, content: dict) -> bool:
+        """Make a marker for ``batch``; False if another one counts."""
+        while True:
+            found = self._attempts().get(batch, {})
+            if any(m is not None for m in found.values()):
+                return False
+            path = self._marker(batch, max(found, default=-1) + 1)
+            try:
+                stream = self._fs.create(path, False)
+            except Py4JJavaError:
+                if self._fs.exists(path):  # another driver was first
+                    if self._read(path) is None:
+                        time.sleep(0.05)
+                    continue
+                raise
+            self._write(stream, json.dumps(content).encode())
+            return self._markers().get(batch) == content
 
     def committed(self) -> set[str]:
         """Names of the batches that the totals hold."""
@@ -103,7 +131,7 @@ class Rollup:
         data = f"{self.folder}/data/{uuid.uuid4().hex}"
         delta = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         delta.where("n_docs <> 0 or n_tokens <> 0").write.parquet(data)
-        return self._create(self._marker(batch), {"data": [data]})
+        return self._create(batch, {"data": [data]})
 
     def totals(self) -> DataFrame:
         """``(source, lang, tokenizer, n_docs, n_tokens)`` of all committed batches; empty groups are gone."""
@@ -135,7 +163,7 @@ class Rollup:
         held = sorted(set(live) | {b for b in live for b in found[b].get("holds", ())})
         generation = 1 + max(m.get("generation", 0) for m in found.values())
         name = "base:" + uuid.uuid5(uuid.NAMESPACE_OID, f"generation {generation}").hex
-        return self._create(self._marker(name), {"data": [data], "holds": held, "generation": generation})
+        return self._create(name, {"data": [data], "holds": held, "generation": generation})
 
 
 # ------------------------------------------------------------------ tokenizer versions that SQL can count

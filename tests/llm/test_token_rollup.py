@@ -75,6 +75,49 @@ def test_a_lost_driver_leaves_no_trace(spark, state, monkeypatch):
     assert not other.apply("b", rows) and len(state.totals().collect()) == 1
 
 
+@pytest.mark.parametrize("written", [0, 1, 20, None])
+@pytest.mark.parametrize("step", ["apply", "compact"])
+def test_a_driver_lost_inside_the_marker(spark, state, monkeypatch, step, written):
+    """The marker is there, with none, some or all of its text; None: lost before it."""
+    docs = [(k, "a", "de", "x y") for k in range(3)]
+    assert state.apply("b0", signed(spark, docs[:1], 1)) and state.apply("b1", signed(spark, docs[1:2], 1))
+    run = state.compact if step == "compact" else lambda: state.apply("b2", signed(spark, docs[2:], 1))
+    there = docs[:2]
+
+    def lost(stream, text):
+        stream.write(bytearray(text[:written]))
+        stream.close()
+        raise RuntimeError("lost")
+
+    def lost_before(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(state, *(("_create", lost_before) if written is None else ("_write", lost)))
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    again = token_rollup.Rollup(spark, state.folder)  # another driver
+    assert {tuple(r) for r in again.totals().collect()} == counts(there) and again.committed() == {"b0", "b1"}
+    assert (again.compact() if step == "compact" else again.apply("b2", signed(spark, docs[2:], 1)))
+    done = docs if step == "apply" else there
+    assert {tuple(r) for r in again.totals().collect()} == counts(done)
+    assert not again.apply("b0", signed(spark, docs[:1], 1))
+    assert again.apply("b3", signed(spark, docs[2:], 1)) and again.compact()
+    assert {tuple(r) for r in again.totals().collect()} == counts([*done, docs[2]])
+
+
+def test_a_slow_driver_and_its_retry_count_once(spark, state, monkeypatch):
+    rows = signed(spark, [(1, "a", "de", "x y")], 1)
+    held = []
+    with monkeypatch.context() as m:
+        m.setattr(state, "_write", lambda stream, text: held.append((stream, text)))
+        assert not state.apply("b", rows)  # its marker is open, not whole
+    retry = token_rollup.Rollup(spark, state.folder)
+    assert retry.apply("b", rows)
+    state._write(*held[0])  # it was only slow
+    assert [tuple(r) for r in state.totals().collect()] == [("a", "de", "words-1", 1, 2)] and not state.apply("b", rows)
+
+
 def test_overlapping_compactions_count_each_batch_once(spark, state, monkeypatch):
     docs = [(k, "a", "de", "x y") for k in range(5)]
     for k in (0, 1):
