@@ -104,6 +104,30 @@ def test_top_k_equals_brute_force(spark, tile_rows, query_rows):
     assert topk.top_k(df.limit(0), F.expr("id % 50 = 0")).collect() == []
 
 
+@pytest.mark.parametrize("tile_rows", [1 << 14, 40])
+def test_top_k_with_large_components(spark, tile_rows):
+    """Products beyond 2^53, and beyond a long, are in exact order; a long at its limit is what is returned."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 64))
+    x[3] *= 1e6
+    x[50] *= 1e6  # a query
+    x[51] = 1e6
+    x[52] = np.where(np.arange(64) == 0, 1e6 + 2.0**-8, 1e6)  # differs from the row before in the last digits
+    x[100] = 1e9
+    x[101] = 2e9
+    x[102] = 1e300
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.expr("id % 50 = 0"), k=5, tile_rows=tile_rows)
+    codes = [[int(np.floor(256 * v)) if abs(v) < 2.0**45 else int(v) * 256 for v in row] for row in x]
+    want = []
+    for q in (0, 50, 100):
+        scores = sorted((-sum(a * b for a, b in zip(codes[q], c, strict=True)), i) for i, c in enumerate(codes) if i != q)[:5]
+        want += [(q, k + 1, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for k, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_reading_stops_early():
     rng = np.random.default_rng(6)
     x = rng.normal(scale=0.01, size=(20000, 4))
