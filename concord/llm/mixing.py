@@ -1,25 +1,20 @@
 """Mixing sources to target weights by a Pfair schedule.
 
-Each source is cut into blocks of about ``block_bytes`` of text. With weight
-``w`` (all weights add up to ``period``) block ``k`` of a source is released at
-slot ``floor(k * period / w)`` and has its deadline at ``ceil((k + 1) * period / w)``;
-each slot goes to the released block with the earliest deadline. So after any
-number ``t`` of slots every source has had ``t * w / period`` blocks, up to less
-than one.
-
-The period grows with the input: it has as many slots as the sources take to
-end, so every weight is a share of the period rounded to a whole number and, at
-any time, a source has had its exact share up to less than two blocks. Beyond
-``MAX_PERIOD`` slots (1 TB of text in blocks of 64 KB) the schedule repeats; a
-share is then off by up to one slot in a period, ``t / period`` blocks after ``t``
-slots, and one that rounds to 0 has one slot.
-
-One period is laid out by one task, which holds a number per source, and every
-block's slot follows from its number by a lookup: nothing of the input passes
-through the driver but one total per source.
+Each source is cut into blocks of about ``block_bytes`` of text. With its exact
+share ``w`` of all weights, a fraction of whole numbers, block ``k`` of a source
+is released at slot ``floor(k / w)`` and has its deadline at ``ceil((k + 1) / w)``;
+each slot goes to the released block with the earliest deadline. As the shares
+add up to one, no deadline is missed: after any number ``t`` of slots every
+source has had ``floor(t * w)`` or ``ceil(t * w)`` blocks, so it is less than one
+block off its exact share, at any time and for any number of blocks. Nothing
+is rounded and nothing repeats.
+
+The schedule is laid out by one task as a stream, which holds a few numbers per
+source and writes a row per block; every block's slot follows by a lookup. Nothing of the
+input passes through the driver but one total per source.
 
 Documents are numbered within a source by a running sum of bytes in the order
-of a hash of their id. A source is cut into ranges of that hash, summed up
+of a hash of their id (of their text, where they have none). A source is cut into ranges of that hash, summed up
 first, so a source with a third of all rows is numbered by many tasks.
 """
 
@@ -32,99 +27,65 @@ from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concord.llm.store import python_workers
+from concord.llm.store import python_workers, written
 
-PERIOD = 1000
-MAX_PERIOD = 1 << 24
 BROADCAST_SLOTS = 1 << 17  # a plan of up to so many rows is broadcast (some 10 MB)
 
 
-def _largest_remainder(shares: Mapping[str, Fraction], period: int) -> dict[str, int]:
-    total = sum(shares.values())
-    exact = {s: period * x / total for s, x in shares.items()}
-    out = {s: math.floor(x) for s, x in exact.items()}
-    for s in sorted(shares, key=lambda s: (out[s] - exact[s], s))[: period - sum(out.values())]:
-        out[s] += 1
-    return out
-
-
-def whole_weights(shares: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Shares as whole numbers that add up to ``period`` (largest remainder; 1 where a share rounds to 0)."""
-    rest = {s: Fraction(x) for s, x in shares.items() if x > 0}
-    if len(rest) > period:
-        raise ValueError(f"{len(rest)} sources do not fit a period of {period} slots")
-    ones: dict[str, int] = {}
-    while rest:
-        out = _largest_remainder(rest, period - len(ones))
-        none = [s for s, w in out.items() if w == 0]
-        if not none:
-            return out | ones
-        for s in none:
-            ones[s] = 1
-            del rest[s]
-    return ones
-
-
-def full_period(shares: Mapping[str, float], blocks: Mapping[str, int], period: int = PERIOD) -> int:
-    """The multiple of ``period`` with the slots in which every source ends its ``blocks``, or about ``MAX_PERIOD``.
-
-    Each share of it is at least the source's blocks (at least 1), so none rounds to 0.
-    """
-    shares = {s: Fraction(x) for s, x in shares.items() if x > 0}
-    total = sum(shares.values())
-    slots = max((math.ceil(max(blocks.get(s, 0), 1) * total / x) for s, x in shares.items()), default=1)
-    return period * -(-max(min(slots, MAX_PERIOD), len(shares)) // period)
+def exact_shares(weights: Mapping[str, float | Fraction]) -> dict[str, Fraction]:
+    """Each source's share of all weights, as a fraction; sources without weight are left out."""
+    there = {s: Fraction(x) for s, x in weights.items() if x > 0}
+    total = sum(there.values())
+    return {s: x / total for s, x in there.items()}
+
+
+def window(share: Fraction, k: int) -> tuple[int, int]:
+    """(release, deadline) of a source's block ``k``."""
+    return k * share.denominator // share.numerator, -(-(k + 1) * share.denominator // share.numerator)
 
 
-def slots_of(weights: Mapping[str, int], blocks: Mapping[str, int] | None = None) -> Iterator[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of one period, by earliest deadline first.
+def slots_of(shares: Mapping[str, Fraction], blocks: Mapping[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) by earliest deadline first, ties by name.
 
-    With ``blocks`` only those below a source's number come, and the walk ends with the last of them.
+    Every source keeps its share to the end; what comes are its blocks below
+    its number, and the walk ends with the last of them, after the largest
+    number of blocks by share among the sources.
     """
-    period = sum(weights.values())
-    left = {s: w if blocks is None else min(w, blocks.get(s, 0)) for s, w in weights.items()}
-    open_ = sum(left.values())
-    window = lambda s, k: (k * period // weights[s], -(-(k + 1) * period // weights[s]))
-    waiting = [(0, s, 0) for s in weights]  # (release, source, block)
+    open_ = sum(blocks.get(s, 0) for s in shares)
+    waiting = [(0, s, 0) for s in shares]  # (release, source, block)
     heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []  # (deadline, source, block)
-    for slot in range(period):
-        if not open_:
-            return
+    ready: list[tuple[int, str, int, int]] = []  # (deadline, source, block, release)
+    slot = 0
+    while open_:
         while waiting and waiting[0][0] <= slot:
-            _, s, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, k)[1], s, k))
-        deadline, s, k = heapq.heappop(ready)
-        if k < left[s]:
+            release, s, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (window(shares[s], k)[1], s, k, release))
+        deadline, s, k, release = heapq.heappop(ready)
+        if k < blocks.get(s, 0):
             open_ -= 1
-            yield s, k, window(s, k)[0], deadline, slot
-        if k + 1 < weights[s]:
-            heapq.heappush(waiting, (window(s, k + 1)[0], s, k + 1))
+            yield s, k, release, deadline, slot
+        heapq.heappush(waiting, (window(shares[s], k + 1)[0], s, k + 1))
+        slot += 1
 
 
-def schedule(weights: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of one period, by earliest deadline first."""
-    return list(slots_of(weights))
-
-
-def _plan(spark: SparkSession, weights: Mapping[str, int], blocks: Mapping[str, int]) -> DataFrame:
+def _plan(spark: SparkSession, shares: Mapping[str, Fraction], blocks: Mapping[str, int]) -> DataFrame:
     """The rows of :func:`slots_of`, written by one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
             pass
-        rows = slots_of(weights, blocks)
+        rows = slots_of(shares, blocks)
         while part := list(itertools.islice(rows, 1 << 13)):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*part))],
-                names=["__source", "__k", "__release", "__deadline", "__slot"],
+                names=["source", "block", "release", "deadline", "slot"],
             )
 
     start = spark.range(0, 1, 1, 1)
-    return start.mapInArrow(run, "__source string, __k long, __release long, __deadline long, __slot long")
+    return start.mapInArrow(run, "source string, block long, release long, deadline long, slot long")
 
 
 COLUMNS = ("mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_offset")
@@ -138,7 +99,6 @@ def mix(
     text_col: str = "text",
     block_bytes: int = 1 << 16,
     temperature: float = 0.5,
-    period: int = PERIOD,
     range_rows: int = 1 << 12,
 ) -> DataFrame:
     """``docs`` with ``mix_block, mix_release, mix_deadline, mix_slot, mix_offset``.
@@ -151,70 +111,62 @@ def mix(
     of their own. A text counts its bytes and 1, so null and empty texts have
     a place; a text longer than a block takes up the blocks that it covers and
     stands in its first. Rows that share an id are placed each by itself.
-    Columns named like an output column are replaced. The schedule's period is
-    a multiple of ``period`` (:func:`full_period`), for any number of sources.
+    Columns named like an output column are replaced; any other name may occur.
     """
     spark = docs.sparkSession
     python_workers(spark)
-    taken = {*COLUMNS}
-    kept = [c for c in docs.columns if c.lower() not in taken]
-    named = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
+    kept = [c for c in docs.columns if c.lower() not in COLUMNS]
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     work = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
-        named.alias("__source"),
-        (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 1).cast("long").alias("__bytes"),
-        F.xxhash64(F.col(id_col)).alias("__hash"),
-        F.xxhash64(F.col(text_col)).alias("__text"),
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"),
+        F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("n")).alias("source"),
+        (F.coalesce(F.octet_length(text.cast("string")), F.lit(0)) + 1).cast("long").alias("bytes"),
+        F.when(own.isNull(), F.xxhash64(text, F.lit(0))).otherwise(F.xxhash64(own)).alias("hash"),
+        own.alias("id"),
+        F.xxhash64(text).alias("text"),
     )
     rows = docs.count()
     bits = min(40, max(8, math.ceil(math.log2(max(rows, 1) / range_rows + 1))))
-    work = work.withColumn("__range", F.shiftright("__hash", 64 - bits))
-    sums = work.groupBy("__source", "__range").agg(F.sum("__bytes").alias("__sum"))
-    totals = {r["__source"]: r["bytes"] for r in sums.groupBy("__source").agg(F.sum("__sum").alias("bytes")).collect()}
+    work = work.withColumn("range", F.shiftright("hash", 64 - bits))
+    sums = written(work.groupBy("source", "range").agg(F.sum("bytes").alias("sum")), "mixing-sums")
+    totals = {r["source"]: r["bytes"] for r in sums.groupBy("source").agg(F.sum("sum").alias("bytes")).collect()}
     blocks = {s: -(-n // block_bytes) for s, n in totals.items()}
     if shares is None:
-        target = {s: float(n) ** temperature for s, n in totals.items()}
+        target = exact_shares({s: float(n) ** temperature for s, n in totals.items()})
     else:
-        target = {"n" if s is None else f"s{s}": x for s, x in shares.items()}
-    period = full_period(target, blocks, period)
-    target = whole_weights(target, period)
+        target = exact_shares({"n" if s is None else f"s{s}": x for s, x in shares.items()})
     plan = _plan(spark, target, blocks)
-    rows_of_plan = sum(min(w, blocks.get(s, 0)) for s, w in target.items())
     # its size is known here alone: to Spark it is what came of one row
-    plan = F.broadcast(plan) if rows_of_plan <= BROADCAST_SLOTS else plan.hint("shuffle_merge")
-    before = sums.withColumn("__before", F.sum("__sum").over(Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.select("__source", "__range", F.coalesce("__before", F.lit(0)).alias("__before"))
-    weights = spark.createDataFrame(list(target.items()), "__source string, __w long")
-    order = Window.partitionBy("__source", "__range").orderBy("__hash", id_col, "__text", "__bytes")
-    inside = F.coalesce(F.sum("__bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    small = sum(blocks.get(s, 0) for s in target) <= BROADCAST_SLOTS
+    plan = F.broadcast(plan) if small else plan.hint("shuffle_merge")
+    before = F.sum("sum").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    before = sums.select("source", "range", F.coalesce(before, F.lit(0)).alias("before"))
+    order = Window.partitionBy("source", "range").orderBy("hash", "id", "text", "bytes")
+    inside = F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = (
-        work.withColumn("__inside", inside)
-        .join(before, ["__source", "__range"], "left")
-        .withColumn("mix_offset", F.col("__before") + F.col("__inside"))
-        .withColumn("mix_block", F.floor(F.col("mix_offset") / block_bytes))
-        .join(F.broadcast(weights), "__source", "left")  # one row per source
-        .withColumn("__k", F.coalesce(F.col("mix_block") % F.col("__w"), F.col("mix_block")))
-        .join(plan, ["__source", "__k"], "left")
-    )
-    turn: Column = F.floor(F.col("mix_block") / F.col("__w")) * period
-    return placed.select(
-        *[F.col(f"`{c}`") for c in kept],
-        "mix_block",
-        (turn + F.col("__release")).alias("mix_release"),
-        (turn + F.col("__deadline")).alias("mix_deadline"),
-        (turn + F.col("__slot")).alias("mix_slot"),
-        "mix_offset",
+        work.withColumn("inside", inside)
+        .join(before, ["source", "range"], "left")
+        .withColumn("offset", F.col("before") + F.col("inside"))
+        .withColumn("block", F.floor(F.col("offset") / block_bytes))
+        .join(plan, ["source", "block"], "left")
     )
+    named = {"mix_block": "block", "mix_release": "release", "mix_deadline": "deadline", "mix_slot": "slot", "mix_offset": "offset"}
+    return placed.select(*[F.col("doc")[c].alias(c) for c in kept], *[F.col(named[c]).alias(c) for c in COLUMNS])
 
 
 def in_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
     """``mixed`` in training order, partition after partition, without a sampling pass.
 
-    Each partition has an equal share of the slots; rows without a slot come last.
+    Each partition has an equal share of the slots; rows without a slot come
+    last, in partitions of their own, as many as their share of the rows.
     """
     spark = mixed.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    last = mixed.agg(F.max("mix_slot")).first()[0]
-    width = (0 if last is None else last) + 1
-    part = F.least(F.floor(F.coalesce("mix_slot", F.lit(width)) * partitions / width), F.lit(partitions - 1)).cast("int")
-    return mixed.repartitionById(partitions, part).sortWithinPartitions(F.col("mix_slot").asc_nulls_last(), "mix_offset")
+    slot, offset = F.col("mix_slot"), F.col("mix_offset")
+    seen = mixed.agg(F.max(slot).alias("last"), F.count("*").alias("n"), F.count_if(slot.isNull()).alias("none"), F.max(F.when(slot.isNull(), offset)).alias("far")).first()
+    apart = min(partitions - 1, -(-partitions * seen["none"] // seen["n"])) if seen["none"] and seen["last"] is not None else 0
+    first = partitions - apart
+    part = F.least(F.floor(F.coalesce(slot, F.lit(0)) * first / ((seen["last"] or 0) + 1)), F.lit(first - 1))
+    if apart:
+        part = F.when(slot.isNull(), first + F.least(F.floor(offset * apart / (seen["far"] + 1)), F.lit(apart - 1))).otherwise(part)
+    return mixed.repartitionById(partitions, part.cast("int")).sortWithinPartitions(slot.asc_nulls_last(), "mix_offset")

@@ -1,32 +1,41 @@
 """The Pfair mix against a plain simulation, and its deviation bound."""
 
+import itertools
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 
 from concord.llm import mixing
 
 
-@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 1, "c": 1}, {"a": 333, "b": 667}, {"a": 1, "b": 2, "c": 3, "d": 94}, {f"s{k}": 1 + k * k for k in range(20)}])
-def test_schedule_keeps_every_source_within_one_block(weights):
-    period = sum(weights.values())
-    had = Counter()
-    plan = mixing.schedule(weights)
-    assert sorted((s, k) for s, k, *_ in plan) == sorted((s, k) for s, w in weights.items() for k in range(w))
-    for slot, (s, k, release, deadline, at) in enumerate(plan):
-        assert at == slot and release <= slot < deadline and k == had[s]
+@pytest.mark.parametrize("seed", range(25))
+def test_every_source_is_less_than_one_block_off_its_exact_share(seed):
+    """At every slot of a random mix, against the shares themselves: the bound of the method, for any number of slots."""
+    rng = random.Random(seed)
+    weights = {f"s{k}": rng.choice([rng.random(), rng.random() ** 8, rng.randint(1, 9), 1e-4]) for k in range(rng.randint(1, 12))}
+    shares = mixing.exact_shares(weights)
+    assert sum(shares.values()) == 1 and all(shares[s] == Fraction(x) / sum(map(Fraction, weights.values())) for s, x in weights.items())
+    blocks = {s: rng.randint(0, int(2900 * x)) for s, x in shares.items()}
+    had, at = Counter(), 0
+    for s, k, release, deadline, slot in mixing.slots_of(shares, dict.fromkeys(shares, 10**9)):
+        assert slot == at and k == had[s] and release <= slot < deadline and (release, deadline) == mixing.window(shares[s], k)
         had[s] += 1
-        for x, w in weights.items():
-            assert abs(had[x] - (slot + 1) * w / period) < 1
+        at += 1
+        assert all(abs(had[x] - at * w) < 1 for x, w in shares.items())
+        if at == 3000:
+            break
+    # sources that end leave their slots to nobody: the blocks that there are have the same slots
+    plan = {(s, k): slot for s, k, _, _, slot in itertools.islice(mixing.slots_of(shares, dict.fromkeys(shares, 10**9)), 3000)}
+    placed = [(s, k, slot) for s, k, _, _, slot in mixing.slots_of(shares, blocks)]
+    assert len(placed) == sum(blocks.values()) and all(k < blocks[s] and plan[s, k] == slot for s, k, slot in placed)
 
 
-def test_whole_weights():
-    got = mixing.whole_weights({"a": 1.0, "b": 1.0, "c": 1e-9, "d": 0.0}, 10)
-    assert sum(got.values()) == 10 and got["c"] == 1 and "d" not in got and {got["a"], got["b"]} == {4, 5}
-    assert mixing.whole_weights({}) == {}
-    with pytest.raises(ValueError):
-        mixing.whole_weights(dict.fromkeys("abc", 1.0), 2)
+def test_exact_shares():
+    assert mixing.exact_shares({"a": 0.5, "b": 0.25, "c": 0.0, "d": -1.0}) == {"a": Fraction(2, 3), "b": Fraction(1, 3)}
+    assert mixing.exact_shares({}) == {} and list(mixing.slots_of({}, {"a": 3})) == []
 
 
 def test_mix_equals_simulation(spark):
@@ -35,12 +44,11 @@ def test_mix_equals_simulation(spark):
     rows += [(1000, "y", None, 0), (None, "y", "no id", 0), (5, "x", "again", 0), (5, "x", "again", 0)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string, MIX_SLOT int")
     shares = {"x": 0.2, "y": 0.3, None: 0.5}
-    mixed = mixing.mix(df, shares, block_bytes=64, period=10, range_rows=20)
+    mixed = mixing.mix(df, shares, block_bytes=64, range_rows=20)
     assert mixed.columns == ["doc_id", "source", "text", *mixing.COLUMNS]
     got = mixed.collect()
     assert len(got) == len(rows)
-    target = {"x": 2, "y": 3, None: 5}
-    assert {"s" + s if s else "n": w for s, w in target.items()} == mixing.whole_weights({"sx": 0.2, "sy": 0.3, "n": 0.5}, 10)
+    target = {s: Fraction(w) / sum(map(Fraction, shares.values())) for s, w in shares.items()}
     by = defaultdict(list)
     for r in got:
         by[r.source].append(r)
@@ -48,7 +56,7 @@ def test_mix_equals_simulation(spark):
     slots = {}
     done = Counter()
     for slot in range(5000):
-        open_ = [(-(-(done[s] + 1) * 10 // w), "s" + s if s else "n", s) for s, w in target.items() if done[s] * 10 // w <= slot]
+        open_ = [(math.ceil((done[s] + 1) / w), "s" + s if s else "n", s) for s, w in target.items() if math.floor(done[s] / w) <= slot]
         _, _, s = min(open_)
         slots[s, done[s]] = slot
         done[s] += 1
@@ -70,28 +78,20 @@ def test_mix_equals_simulation(spark):
 
 def test_default_shares_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a", "x" * 99), (2, "b", "x" * 24)], "doc_id long, source string, text string")
-    got = {r.source: r for r in mixing.mix(df, block_bytes=10, period=15).collect()}
-    assert got["a"].mix_slot == 0 and got["b"].mix_deadline == 3  # 100 : 25 bytes -> 10 : 5 slots
+    got = {r.source: r for r in mixing.mix(df, block_bytes=10).collect()}
+    assert got["a"].mix_slot == 0 and got["b"].mix_deadline == 3  # 100 : 25 bytes -> 2 : 1
     empty = mixing.in_order(mixing.mix(df.limit(0)))
     assert empty.collect() == [] and empty.columns == ["doc_id", "source", "text", *mixing.COLUMNS]
 
 
-def test_weights_are_the_exact_shares():
-    assert mixing.whole_weights({"a": 0.9, "b": 0.1}) == {"a": 900, "b": 100}
-    assert mixing.whole_weights({"hot": 500.0, **{f"s{k}": 1.0 for k in range(500)}})["hot"] == 500
-    assert mixing.whole_weights({"hot": 62.5, **{f"s{k}": 37.5 / 19 for k in range(19)}})["hot"] == 625
-    assert mixing.full_period({"a": 0.9999, "b": 0.0001}, {"a": 1, "b": 3}) == 30000
-    assert mixing.whole_weights({"a": 0.9999, "b": 0.0001}, 30000) == {"a": 29997, "b": 3}
-
-
 def _simulated(got, target, block):
-    """Each source's rows have the slots of a plain simulation and no lag of two blocks from the exact shares."""
+    """One block a slot, within its window, and no source a block off its exact share."""
     total, slots = sum(target.values()), {}
     for r in got:
         assert r.mix_release <= r.mix_slot < r.mix_deadline and r.mix_block == r.mix_offset // block
         assert slots.setdefault(r.mix_slot, (r.source, r.mix_block)) == (r.source, r.mix_block)
         share = target[r.source] / total
-        assert -2 < r.mix_block - r.mix_slot * share < 2
+        assert -1 < r.mix_block - r.mix_slot * share < 1
 
 
 @pytest.mark.parametrize("broadcast_slots", [1 << 17, 0])
@@ -113,9 +113,18 @@ def test_small_share_over_many_blocks(spark):
     _simulated([r for r in got if r.source != "c"], shares, 10)
 
 
-def test_schedule_repeats_beyond_the_largest_period(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_PERIOD", 30)
-    df = spark.createDataFrame([(k, "ab"[k % 2], "x" * 9) for k in range(400)], "doc_id long, source string, text string")
-    got = mixing.mix(df, {"a": 0.9, "b": 0.1}, block_bytes=10, period=10).collect()
-    assert len(got) == 400
-    _simulated(got, {"a": 0.9, "b": 0.1}, 10)
+def test_null_ids_and_rows_without_a_slot_are_spread(spark):
+    df = spark.createDataFrame([(None, "ab"[k % 2], f"text {k}") for k in range(2000)], "doc_id long, source string, text string")
+    mixed = mixing.mix(df, {"a": 1.0}, range_rows=50)
+    sizes = [len(p) for p in mixing.in_order(mixed, 8).rdd.glom().collect()]
+    assert sum(sizes) == 2000 and max(sizes[4:]) < 400 and [r.mix_slot for r in mixed.collect()].count(None) == 1000
+    ranges = mixed.select("source", "text", "mix_offset").where("source = 'b'").collect()
+    assert len({r.mix_offset for r in ranges}) == 1000
+
+
+def test_any_column_names(spark):
+    names = ["__source", "__hash", "__bytes", "__text", "__range", "__k", "__w", "doc", "range", "block", "slot", "hash", "bytes", "id", "before", "a.b"]
+    df = spark.createDataFrame([(1, "a", "x", *range(16)), (2, None, None, *range(16))], ["doc_id", "source", "text", *names])
+    got = mixing.in_order(mixing.mix(df), 2)
+    assert got.columns == ["doc_id", "source", "text", *names, *mixing.COLUMNS]
+    assert {r[0]: tuple(r[3:19]) for r in got.collect()} == {1: tuple(range(16)), 2: tuple(range(16))}

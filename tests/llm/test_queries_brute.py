@@ -1,6 +1,8 @@
 """The registered queries that SQL cannot express, with their own parameters, against brute force: all columns."""
 
+import math
 import zlib
+from fractions import Fraction
 from hashlib import sha256
 
 import numpy as np
@@ -82,18 +84,17 @@ def test_op9_mixing(spark):
         at = total.setdefault(r.source, 0)
         placed.append((r.doc_id, r.source, at // 65536, at))
         total[r.source] = at + len(r.text.encode()) + 1
-    share = {s: n**0.5 for s, n in total.items()}
-    slots = max(-(-n // 65536) * sum(share.values()) / share[s] for s, n in total.items())
-    period = 1000 * -(-int(np.ceil(slots)) // 1000)
-    weight = {s: period * x / sum(share.values()) for s, x in share.items()}
-    whole = mixing.whole_weights(share, period)
-    assert all(abs(whole[s] - w) < 1 for s, w in weight.items()) and sum(whole.values()) == period
-    slot, done = {}, dict.fromkeys(share, 0)
-    for t in range(period):
-        _, s = min((-(-(k + 1) * period // whole[s]), s) for s, k in done.items() if k < whole[s] and k * period // whole[s] <= t)
+    weight = {s: Fraction(float(n) ** 0.5) for s, n in total.items()}
+    share = {s: w / sum(weight.values()) for s, w in weight.items()}
+    blocks = {s: -(-n // 65536) for s, n in total.items()}
+    slot, done, t = {}, dict.fromkeys(share, 0), 0
+    while any(done[s] < n for s, n in blocks.items()):
+        _, s = min((math.ceil((k + 1) / share[s]), s) for s, k in done.items() if math.floor(k / share[s]) <= t)
         slot[s, done[s]] = t
         done[s] += 1
-    want = [(i, s, k, k * period // whole[s], -(-(k + 1) * period // whole[s]), slot[s, k], at) for i, s, k, at in placed]
+        t += 1
+        assert all(abs(done[s] - t * w) < 1 for s, w in share.items())
+    want = [(i, s, k, math.floor(k / share[s]), math.ceil((k + 1) / share[s]), slot[s, k], at) for i, s, k, at in placed]
     assert result(spark, "op9_mixing", ["doc_id", "source", *mixing.COLUMNS]) == sorted(want)
 
 
