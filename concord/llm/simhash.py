@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -77,17 +77,18 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return sum(1 << k for k in np.flatnonzero(2 * votes > n).tolist())
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """``(id, fp)``: one row per row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, more: Sequence[str] = ()) -> DataFrame:
+    """``(id, fp)`` and the columns ``more``: one row per row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
     python_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8")), *batch.columns[2:]], ["id", "fp", *more])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "id long, fp long")
+    narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), *more)
+    kept = "".join(f", {c} {narrow.schema[c].dataType.simpleString()}" for c in more)
+    return narrow.mapInArrow(run, f"id long, fp long{kept}")
 
 
 # ------------------------------------------------------------------ trie self-join
@@ -124,13 +125,13 @@ def _pairs(alo, ahi, blo, bhi) -> tuple[np.ndarray, np.ndarray]:
     return alo[which] + k // nb[which], blo[which] + k % nb[which]
 
 
-def trie_links(fps: np.ndarray, roots: tuple, depth: int, budget: int, small: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_links(fps: np.ndarray, roots: tuple, depth: int, budget: int, small: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of sorted unsigned ``fps`` that differ in at most ``budget`` bits, some at a time.
 
     ``roots``: node pairs (alo, ahi, blo, bhi) at ``depth``, where both sides
     of a pair agree on the bits above; a pair of a node with itself gives each
-    pair of members once. Node pairs of up to ``small`` member pairs are
-    compared directly.
+    pair of members once. A pair of leaves (of up to ``small`` member pairs) is
+    compared in all the bits that are left at once.
     """
     stack = [(depth, *[np.asarray(x) for x in roots], np.zeros(len(roots[0]), np.int64))]
     while stack:
@@ -276,6 +277,18 @@ def _same_bucket(before: pa.RecordBatch, batch: pa.RecordBatch) -> int:
     return batch.num_rows if same.all() else int(np.argmin(same))
 
 
+def _components(fps: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """``(fp, label, component)`` for the fingerprints of ``fps(id, fp)``: the smallest id of those that links reach (null: no id).
+
+    ``label``: the smallest of those fingerprints. The nodes are the fingerprints themselves: rows that share an id but not a fingerprint are not linked by it.
+    """
+    distinct = fps.groupBy("fp").agg(F.min("id").alias("low"))
+    parts = connected_components(near_links(distinct.select("fp", F.col("fp").alias("node")), max_bits, blocks))
+    own = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("label"))
+    lows = own.groupBy("label").agg(F.min("low").alias("component"))
+    return own.join(lows, "label").select("fp", "label", "component")
+
+
 def groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 6
 ) -> DataFrame:
@@ -285,23 +298,40 @@ def groups(
     that is reachable by links of at most ``max_bits`` differing bits, a row's
     own included. Null, empty and short texts have defined fingerprints (see
     :func:`fingerprint`) and link like any other. Repeated rows have one
-    component. A row without id takes the component of its fingerprint (null
+    component; rows that share an id but not their text link by their own
+    texts. A row without id takes the component of its fingerprint (null
     if only such rows have it) and is never its smallest id. Columns besides
     the two named ones are not looked at; an empty table gives no rows.
     """
     fps = written(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    distinct = fps.groupBy("fp").agg(F.min("id").alias("node")).where("node is not null")
-    parts = connected_components(near_links(distinct, max_bits, blocks))
-    own = distinct.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
+    own = _components(fps, max_bits, blocks).select("fp", "component")
     return fps.join(own, "fp", "left").select("id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the document with the smallest id.
+def _text_key(text_col: str) -> Column:
+    """128 bits of a text, by which a row's text is known without it; null counts as empty."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 6) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group of linked texts, that with the smallest id.
+
+    A row goes only if its own text is linked or equal to that of a row that
+    stays: rows that share an id but hold unlike texts are groups of their own.
+    Of rows with the smallest id of a group that with the smallest text key stays,
+    of wholly repeated rows one. Rows without an id cannot be told apart and stay all.
 
-    Rows that share an id are one document, of which one row stays; rows
-    without an id cannot be told apart and stay all.
+    What stays is decided on ids and keys; whole rows are then filtered once.
     """
-    kept = groups(docs, id_col, text_col, shingle, max_bits).where("id = component").select(F.col("id").alias("__kept")).distinct()
-    known = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col).cast("long") == F.col("__kept"), "left_semi")
-    return known.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    key = _text_key(text_col)
+    known = docs.where(F.col(f"`{id_col}`").isNotNull())
+    narrow = known.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), key.alias("key"))
+    fps = written(fingerprints(narrow, "id", "text", shingle, ["key"]), "simhash")
+    own = fps.join(_components(fps, max_bits, blocks).withColumnRenamed("fp", "fp_"), F.col("fp") == F.col("fp_"))
+    # the smallest id of one group may occur in another as well, so groups are told apart by their label
+    low = own.groupBy("label").agg(F.min(F.struct("id", "key")).alias("first"))
+    first = low.select(F.col("first.id").alias("kept_id"), F.col("first.key").alias("kept_key")).distinct()
+    rows = known.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").cast("long").alias("kept_id"), key.alias("kept_key"))
+    one = rows.join(first, ["kept_id", "kept_key"], "left_semi").dropDuplicates(["kept_id", "kept_key"])
+    return one.select("doc.*").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -113,3 +113,65 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.groups(df).collect() == []
     assert simhash.keep_one(df).collect() == []
+
+
+def test_links_come_out_of_the_walk(monkeypatch):
+    """On the given documents every pair that is compared is one of leaves that the paired descent has reached."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    fps = np.unique(np.array([simhash.fingerprint(t) for t in texts], "<u8"))
+    widths, tables = simhash._tables(6, 4)
+    leaves, real = [], simhash._pairs
+
+    def seen(alo, ahi, blo, bhi):
+        leaves.append((ahi - alo) * (bhi - blo) == 1)  # a bucket's root has several members, so 4 pairs at least
+        return real(alo, ahi, blo, bhi)
+
+    monkeypatch.setattr(simhash, "_pairs", seen)
+    links = set()
+    for t in tables:
+        order = [*t, *(k for k in range(6) if k not in t)]
+        bits, at = np.zeros_like(fps), 64
+        for k in order:
+            at -= widths[k]
+            part = (fps >> np.uint64(64 - sum(widths[: k + 1]))) & np.uint64((1 << widths[k]) - 1)
+            bits |= part << np.uint64(at)
+        by = np.argsort(bits)
+        depth = sum(widths[k] for k in t)
+        top = bits[by] >> np.uint64(64 - depth)
+        lo = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]]))
+        hi = np.append(lo[1:], len(fps))
+        several = hi - lo > 1
+        if several.any():
+            for x, y in simhash.trie_links(bits[by], (lo[several], hi[several], lo[several], hi[several]), depth, 4):
+                links |= {tuple(sorted((int(a), int(b)))) for a, b in zip(by[x], by[y], strict=True)}
+    want = {(i, j) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= 4) + i + 1}
+    assert links == {(i, int(j)) for i, j in want} and len(links) >= 2
+    assert all(x.all() for x in leaves) and sum(map(len, leaves)) >= len(links)
+
+
+def test_rows_with_one_id_and_unlike_texts_stay(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in "abc")
+    rows = [(1, a), (1, b), (2, b), (3, a), (1, a), (4, c), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.keep_one(df).collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted([(1, a), (1, b), (4, c), (4, "")])
+    assert sorted((r.id, r.component) for r in simhash.groups(df).collect()) == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (1, 1), (4, 4), (4, 4), (5, 4)])
+
+
+def test_keep_one_with_clashing_names(spark):
+    names = ["__kept", "doc", "id", "fp", "key", "kept_id", "kept_key", "label", "a.b"]
+    df = spark.createDataFrame([(1, "x", *range(9)), (2, "x", *range(9)), (None, "x", *range(9))], ["doc_id", "text", *names])
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns and sorted((r[0] or 0, *r[2:]) for r in got.collect()) == [(0, *range(9)), (1, *range(9))]
+
+
+def test_rows_are_filtered_by_one_shuffle(spark):
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simhash.keep_one(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("Exchange hashpartitioning" in line and "doc#" in plan.splitlines()[k + 1] for k, line in enumerate(plan.splitlines()[:-1])) <= 1
