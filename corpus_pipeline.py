@@ -6,7 +6,8 @@ the next one's ``docs``. All but the last return the columns of ``documents``.
 
 1. ``toxicity``: documents with a score of ``TOXIC_FROM`` or more go. The model
    is trained on the labelled documents of the stage's input.
-2. ``simhash``: of each group of near-duplicates the smallest doc_id stays.
+2. ``simhash``: of each group of near-duplicates the smallest doc_id stays;
+   rows that share an id but not their text are documents each.
 3. ``mixing``: every document stays; the files hold them in the order that
    gives each source its target weight.
 4. ``bpe``: token ids of whole texts, and the digest of what they decode to.
@@ -14,6 +15,7 @@ the next one's ``docs``. All but the last return the columns of ``documents``.
    left (null where the input is no Parquet table).
 
 Null and empty texts pass all stages; an empty table gives an empty result.
+Columns of any name pass the first three stages unchanged.
 """
 
 from __future__ import annotations
@@ -27,18 +29,33 @@ from concord.llm.queries import BYTE_BPE, TOXIC_FROM
 from concord.llm.store import python_workers, new_folder
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """``name``, or a longer one that ``docs`` has no column of."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _quoted(columns: list[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs, model, out_col="__toxicity")
-    return scored.where(F.col("__toxicity") < TOXIC_FROM).select(*docs.columns)
+    score = _free("toxicity", docs)
+    scored = toxicity.score(docs, model, out_col=score)
+    return scored.where(F.col(score) < TOXIC_FROM).select(*_quoted(docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, shingle=4, max_bits=4).select(*docs.columns)
+    return simhash.keep_one(docs, shingle=4, max_bits=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.in_order(mixing.mix(docs)).select(*docs.columns)
+    clash = {c: _free(f"{c}_", docs) for c in docs.columns if c.lower() in mixing.COLUMNS}
+    mixed = mixing.in_order(mixing.mix(docs.withColumnsRenamed(clash)))
+    return mixed.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
