@@ -72,6 +72,25 @@ def test_run_equals_the_stages_and_takes_empty_tables(spark):
         assert rows == []
 
 
+def test_columns_of_any_name_and_repeated_ids_pass(spark):
+    names = ["__toxicity", "toxicity", "__kept", "__source", "mix_slot", "mix_offset", "mix_slot_"]
+    rows = [(1, f"words {'abc '[k % 3]} {k}" * 9, "en", "s", 3, *range(7)) for k in range(6)] + [(1, "words a 0" * 9, "en", "s", 3, *range(7))]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, SF01)
+        assert out.columns == df.columns, name
+        got = out.collect()
+        assert {tuple(r[5:]) for r in got} == {tuple(range(7))} and len(got) >= 1
+        texts = {r.text for r in df.collect()}
+        assert {r.text for r in got} <= texts
+        if name == "mixing":
+            assert sorted(map(tuple, got)) == sorted(rows)
+        if name == "simhash":
+            fps = {t: brute_fingerprint(t) for t in texts}
+            kept = brute_components(list(fps.values()), list(range(len(fps))))
+            assert len(got) == len(set(kept.values()))
+
+
 def test_stage_input_that_is_no_file(spark):
     df = spark.createDataFrame([(1, "a b", "en", "s", 3, "x")], "doc_id long, text string, lang string, source string, n_chars long, mix_row string")
     got = corpus_pipeline.tokenize(spark, df, SF01).collect()
