@@ -361,6 +361,22 @@ select cast(e1 as bigint) as gen1_except_gen2, cast(e2 as bigint) as gen2_except
   {_status('e1 + e2 = 0')} as except_validation
 from (select (select count(*) from (select * from orders except all select * from b_orders)) as e1,
              (select count(*) from (select * from b_orders except all select * from orders)) as e2) s""",
+        "equality_orders": f"""with {B_ORDERS},
+same as ({_six('orders', 'orders', ORDERS_COLS)}),
+altered as ({_six('orders', 'b_orders', ORDERS_COLS)})
+select 'same' as pair, * exclude (gen1_distinct_count, gen2_distinct_count, dis_count_validation) from same
+union all
+select 'altered', * exclude (gen1_distinct_count, gen2_distinct_count, dis_count_validation) from altered""",
+        "equality_by_day": f"""with e as (select {EVENTS_COLS}, cast(ts as date) as day from events),
+b as (select * from e where ts < timestamp '2024-01-05 00:00:00'),
+{_six_by('e', 'b', 'day', EVENTS_COLS + ', day')}
+select * exclude (gen1_distinct_count, gen2_distinct_count, dis_count_validation) from verdicts""",
+        "diff_counts_fingerprint": f"""with {B_LINEITEM}, {C_LINEITEM}
+select gen1_except_gen2, gen2_except_gen1, except_validation from ({_six('lineitem', 'c_lineitem', LINEITEM_COLS.replace('l_tax, ', ''))}) s""",
+        "diff_lineitem_sketch": f"""with {B_LINEITEM}, {C_LINEITEM}
+select {LINEITEM_COLS}, 'left' as _side from (select {LINEITEM_COLS} from lineitem except all select {LINEITEM_COLS} from c_lineitem) l
+union all
+select {LINEITEM_COLS}, 'right' as _side from (select {LINEITEM_COLS} from c_lineitem except all select {LINEITEM_COLS} from lineitem) r""",
         "diff_positional": f"""select cast(e1 as bigint) as gen1_except_gen2, cast(e2 as bigint) as gen2_except_gen1,
   {_status('e1 + e2 = 0')} as except_validation
 from (select
@@ -386,6 +402,10 @@ select * from verdicts""",
         "diff_documents_digest": f"""with {B_DOCS}
 select {DOCS_COLS}, 'left' as _side from (select {DOCS_COLS} from documents except all select {DOCS_COLS} from b_docs) l
 union all
+select {DOCS_COLS}, 'right' as _side from (select {DOCS_COLS} from b_docs except all select {DOCS_COLS} from documents) r""",
+        "diff_documents_sketch": f"""with {B_DOCS}
+select {DOCS_COLS}, 'left' as _side from (select {DOCS_COLS} from documents except all select {DOCS_COLS} from b_docs) l
+union all
 select {DOCS_COLS}, 'right' as _side from (select {DOCS_COLS} from b_docs except all select {DOCS_COLS} from documents) r""",
         "compare_pages_digest": f"with {B_PAGES} {_six('pages', 'b_pages', PAGES_COLS)}",
         "compare_documents_by_source_digest": f"""with {B_DOCS},

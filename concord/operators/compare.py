@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from concord.operators import sketch
 from concord.operators.align import AlignmentError, align, aligned_pairs, contains, drop_columns, quoted
 
 PASSED = "Passed"
@@ -328,7 +329,14 @@ def distinct_count_check(
 def diff_counts(
     left: DataFrame, right: DataFrame, *, ignore=(), align_by: str = "name", by=None, method: str = "exact"
 ) -> DataFrame:
-    """Sizes of both multiset differences: ``gen1_except_gen2, gen2_except_gen1, except_validation``."""
+    """Sizes of both multiset differences: ``gen1_except_gen2, gen2_except_gen1, except_validation``.
+
+    With ``method="fingerprint"`` rows of equal buckets are not shuffled
+    (:func:`concord.operators.sketch.equality`).
+    """
+    if method == "fingerprint":
+        out = sketch.equality(left, right, ignore=ignore, align_by=align_by, by=by)
+        return out.drop(*COUNT_COLUMNS, "count_validation")
     _check_method(method)
     by = _by_names(by)
     _check_by(left, right, by)
@@ -377,8 +385,14 @@ def diff_rows(
     whatever the tables, is broadcast), reduces them to one row per value and
     joins the counts. Beyond some ten million differing values the bit map
     lets more and more other rows through; the result stays exact.
+
+    With ``method="sketch"`` the differing digests come out of an invertible
+    table whose size follows the difference (:mod:`concord.operators.sketch`), so
+    finding them shuffles no row and no digest; the rows are then fetched as above.
+    This runs its passes when it is called.
     """
-    _check_method(method)
+    if method != "sketch":
+        _check_method(method)
     pair = align(left, right, ignore, align_by)
     _check_internal(pair.names)
     if side_col in pair.names:
@@ -390,7 +404,12 @@ def diff_rows(
     else:
         types = {f.name: f.dataType for f in u.schema.fields}
         hu = u.select(*names, *_digest(u, pair.names, _H), _L, _R)
-        counts = _group_sizes(hu.select(*_H, _L, _R), [F.col(h) for h in _H]).where(F.col(_N1) != F.col(_N2))
+        if method == "sketch":
+            found = sketch.differing_digests(sketch.signed_digests(hu))
+            zero = F.lit(0).cast("bigint")
+            counts = found.select(*_H, F.greatest("c", zero).alias(_N1), F.greatest(-F.col("c"), zero).alias(_N2))
+        else:
+            counts = _group_sizes(hu.select(*_H, _L, _R), [F.col(h) for h in _H]).where(F.col(_N1) != F.col(_N2))
         # second pass: a filter of bounded size drops nearly all other rows in the
         # scan; copies of what is left collapse on the map side before the exchange
         kept = _with_marked_digests(hu, counts).drop(_L, _R)

@@ -27,6 +27,7 @@ from concord.operators.compare import (
 )
 from concord.operators.partition import latest_partition
 from concord.operators.schema import schema_diff
+from concord.operators.sketch import equality
 from concord.plans import sweep
 from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, PHASE4, Profile
 from concord.plans.reconcile import reconcile
@@ -181,6 +182,35 @@ def _swapped(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(*[{a: b, b: a}.get(c, c) for c in df.columns])
 
 
+def q_equality_orders(spark, sf):
+    """Two equal tables in another order, and two that differ, by their fingerprints."""
+    o = table(spark, sf, "orders")
+    same = equality(o, o.orderBy(F.desc("o_orderkey"))).withColumn("pair", F.lit("same"))
+    return same.unionByName(equality(o, orders_b(o)).withColumn("pair", F.lit("altered")))
+
+
+def q_equality_by_day(spark, sf):
+    """Per day of ``events``: the days that the copy lacks are the only ones that are compared in full."""
+    e = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    return equality(e, events_b(e), by="day")
+
+
+def q_diff_counts_fingerprint(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return diff_counts(li, lineitem_c(li), ignore=["l_tax"], method="fingerprint")
+
+
+def q_diff_lineitem_sketch(spark, sf):
+    """Both differences of ``lineitem`` from an invertible table sized by the difference."""
+    li = table(spark, sf, "lineitem")
+    return diff_rows(li, lineitem_c(li), method="sketch")
+
+
+def q_diff_documents_sketch(spark, sf):
+    d = table(spark, sf, "documents")
+    return diff_rows(d, documents_b(d), method="sketch")
+
+
 def q_diff_positional(spark, sf):
     li = table(spark, sf, "lineitem")
     return diff_counts(li, _swapped(li, "l_partkey", "l_suppkey"), align_by="position")
@@ -571,6 +601,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diff_left_only": q_diff_left_only,
     "diff_right_only": q_diff_right_only,
     "diff_counts": q_diff_counts,
+    "equality_orders": q_equality_orders,
+    "equality_by_day": q_equality_by_day,
+    "diff_counts_fingerprint": q_diff_counts_fingerprint,
+    "diff_lineitem_sketch": q_diff_lineitem_sketch,
+    "diff_documents_sketch": q_diff_documents_sketch,
     "diff_positional": q_diff_positional,
     "compare_positional_two_lists": q_compare_positional_two_lists,
     "compare_nested_micros": q_compare_nested_micros,
