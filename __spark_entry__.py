@@ -477,6 +477,15 @@ where except_validation = 'Failed' and gen1_count <> 0 and gen1_except_gen2 = ge
 from l1 where except_validation = 'Failed'""",
         "writer_jobs": f"""with {COMMITS}
 select distinct "table", job as job_name from commits where {WRITER_FILTER}""",
+        "partition_columns": """with m as (
+  select user_id, event_id, case when event_id % 5 = 0 then '' when event_id % 7 = 0 then ' ,b' else 'c' || cast(event_id % 11 as varchar) || ',day' end as cols
+  from events where event_id % 3 = 0)
+select '/lake2/users/' || cast(user_id as varchar) as "table", max(event_id) as version, arg_max(cols, event_id) as partition_columns,
+  case when arg_max(cols, event_id) like 'c%' then split_part(arg_max(cols, event_id), ',', 1) end as first_partition_column
+from m group by user_id""",
+        "job_list": f"""with {COMMITS}
+select "table", '[' || coalesce(string_agg(distinct job, ', ' order by job) filter (where {WRITER_FILTER}), '') || ']' as jobs
+from commits group by 1""",
         "writer_jobs_many": f"""with {COMMITS}
 select 'Cloud Migration' as job_name union select job as job_name from commits where {WRITER_FILTER}""",
         "pair_verdict": f"""with {B_ORDERS}

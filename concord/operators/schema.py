@@ -13,6 +13,8 @@ text for verdicts.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -76,6 +78,12 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return _spark(left).createDataFrame(schema_differences(left, right), SCHEMA_DIFF)
 
 
+def schema_diffs(spark: SparkSession, pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """:func:`schema_diff` of many named pairs as one frame, with the name as ``table``."""
+    rows = [(name, *d) for name, (left, right) in pairs.items() for d in schema_differences(left, right)]
+    return spark.createDataFrame(rows, T.StructType([T.StructField("table", T.StringType()), *SCHEMA_DIFF.fields]))
+
+
 def describe_differences(diff: list[tuple]) -> str:
     """Readable text of a diff, e.g. ``o_totalprice: double/true -> decimal(12,2)/true``."""
 

@@ -22,6 +22,7 @@ from concord.plans.profiles import FINAL, Profile
 from concord.plans.sweep import resume_manifest
 from concord.plans.verdict import DELTA, FAILED, error_values, pair_verdicts, scope_paths
 from concord.sources import commit_log, ledger
+from concord.session import ensure_checkpoint_dir
 from concord.sources.layouts import Layouts, ManifestLayouts
 from concord.sources.ledger import LEDGER, LEDGER_COLUMNS
 
@@ -72,6 +73,11 @@ def check_pair(spark: SparkSession, row: dict, profile: Profile = FINAL, history
     return rows
 
 
+def _batch_name(run_id: str, rows: list[tuple]) -> str:
+    """A name that the same verdicts of the same run have again."""
+    return f"{run_id}-{uuid.uuid5(uuid.NAMESPACE_OID, repr(sorted(rows, key=repr))).hex}"
+
+
 def _message(e: Exception) -> str:
     return str(e).strip() or type(e).__name__
 
@@ -93,17 +99,18 @@ def reconcile(
     The manifest is streamed to the driver partition by partition
     (``toLocalIterator``), ``LAYOUT_CHUNK`` rows at a time, whose directories
     are listed by one job for them all, with at most ``2 * concurrency`` pairs
-    in flight, so the driver never holds it whole. With a ledger, verdicts go there in
-    batches and the result is read back by ``run_id``; without one, the
-    verdict rows are kept in memory (small manifests).
+    in flight, so the driver never holds it whole. Verdicts go to the ledger in
+    batches (without ``ledger_path`` to one of this run, below the shared
+    checkpoint folder) and the result is read back by ``run_id``.
     ``resume_on='YYYY-MM-DD'`` first removes pairs already in the ledger on that date.
     """
     run_id = run_id or uuid.uuid4().hex
-    if resume_on is not None and ledger_path is not None:
+    given = ledger_path is not None
+    ledger_path = ledger_path or f"{ensure_checkpoint_dir(spark)}/concord-run-{run_id}"
+    if resume_on is not None and given:
         logged = ledger.read_if_any(spark, ledger_path)  # an unreadable ledger raises: nothing is checked twice
         if logged is not None:
             manifest = resume_manifest(manifest, logged, resume_on)
-    kept: list[tuple] = []
     pending: list[tuple] = []
     run_col = LEDGER_COLUMNS.index("run_id")
 
@@ -116,10 +123,8 @@ def reconcile(
             flush()
 
     def flush():
-        if ledger_path is not None and pending:
-            ledger.append(spark.createDataFrame(pending, LEDGER), ledger_path)
-        else:
-            kept.extend(pending)
+        if pending:
+            ledger.append(spark.createDataFrame(pending, LEDGER), ledger_path, _batch_name(run_id, pending))
         pending.clear()
 
     width = max(1, concurrency)
@@ -142,9 +147,7 @@ def reconcile(
                 drain(2 * width - 1)
         drain(0)
     flush()
-    if ledger_path is not None:
-        out = ledger.read_if_any(spark, ledger_path)
-        if out is None:  # empty manifest: no ledger yet
-            return spark.createDataFrame([], LEDGER)
-        return out.where(F.col("run_id") == run_id).select(*LEDGER_COLUMNS)
-    return spark.createDataFrame(kept, LEDGER)
+    out = ledger.read_if_any(spark, ledger_path)
+    if out is None:  # empty manifest: no ledger yet
+        return spark.createDataFrame([], LEDGER)
+    return out.where(F.col("run_id") == run_id).select(*LEDGER_COLUMNS)

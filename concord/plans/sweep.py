@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from concord.functions.job_ids import normalize_job_id
 from concord.operators.compare import FAILED
+from concord.sources.ledger import DAY
 
 # Job ids and paths containing these are never swept, and only
 # jobs whose raw id ends in one of the schedules are.
@@ -79,8 +80,9 @@ def _day(day) -> Column:
 
 def checked_on(ledger: DataFrame, day) -> DataFrame:
     """Distinct ``gen2_path`` logged on ``day`` (NULL paths removed)."""
+    on = F.col(DAY) if DAY in ledger.columns else F.to_date(F.col("ts"))  # a ledger by day is read at that day alone
     return (
-        ledger.where(F.to_date(F.col("ts")) == _day(day))
+        ledger.where(on == _day(day))
         .where(F.col("gen2_path").isNotNull())
         .select("gen2_path")
         .distinct()

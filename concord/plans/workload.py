@@ -26,13 +26,13 @@ from concord.operators.compare import (
     row_count_check,
 )
 from concord.operators.partition import latest_partition
-from concord.operators.schema import schema_diff
+from concord.operators.schema import schema_diffs
 from concord.operators.sketch import equality
 from concord.plans import sweep
 from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, PHASE4, Profile
 from concord.plans.reconcile import reconcile
 from concord.plans.verdict import verdict_frame
-from concord.sources import commit_log, files, layout_source
+from concord.sources import commit_log, files, layout_source, ledger
 from concord.session import ensure_checkpoint_dir
 from concord.sources.ledger import conform, typed_counts
 from concord.sources.manifest import HISTORY_MANIFEST, manifest_frame, manifest_text, parse_manifest_lines
@@ -297,14 +297,13 @@ def q_compare_conversations_by_conv(spark, sf):
 
 def q_schema_diff(spark, sf):
     """Every given table against a copy with its first column as text, its last one gone, one renamed in case, one more."""
-    out = None
+    pairs = {}
     for name in TABLES:
         t = table(spark, sf, name)
         first, last = t.columns[0], t.columns[-1]
         changed = t.withColumn(first, F.col(first).cast("string")).drop(last).withColumnRenamed(first, first.upper())
-        diff = schema_diff(t, changed.withColumn("zz_extra", F.lit("x"))).select(F.lit(name).alias("table"), "*")
-        out = diff if out is None else out.unionByName(diff)
-    return out
+        pairs[name] = (t, changed.withColumn("zz_extra", F.lit("x")))
+    return schema_diffs(spark, pairs)
 
 
 def q_latest_partition_rows(spark, sf):
@@ -520,7 +519,10 @@ RESUME_DAY = "1996-01-01"  # ledgers are stamped with the first day of the order
 
 
 def q_resume_manifest(spark, sf):
-    first = order_ledger(spark, sf, 1).withColumn("ts", F.date_trunc("year", "ts"))
+    """The sweep without the pairs of one day, over a ledger that is written by day and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/concord-by-day-{uuid.uuid4().hex}"
+    ledger.write_by_day(order_ledger(spark, sf, 1).withColumn("ts", F.date_trunc("year", "ts")), path)
+    first = ledger.read(spark, path)
     manifest = sweep.sweep_manifest(first, order_ledger(spark, sf, 2))
     return sweep.resume_manifest(manifest, first, RESUME_DAY)
 
@@ -561,6 +563,30 @@ def q_writer_jobs(spark, sf):
     return commit_log.writer_jobs(event_commits(table(spark, sf, "events")))
 
 
+def event_metadata(events: DataFrame) -> DataFrame:
+    """Log actions of one table per user: every third sets its partition columns, in commits and checkpoints of two parts."""
+    k = F.col("event_id")
+    name = F.format_string("%020d", k)
+    file = F.when(k % 2 == 0, F.concat(name, F.lit(".json"))).otherwise(F.concat(name, F.lit(".checkpoint.0000000001.0000000002.parquet")))
+    columns = F.when(k % 5 == 0, F.array().cast("array<string>")).when(k % 7 == 0, F.array(F.lit(" "), F.lit("b"))).otherwise(F.array(F.concat(F.lit("c"), (k % 11).cast("string")), F.lit("day")))
+    return events.select(
+        F.concat(F.lit("/lake2/users/"), F.col("user_id").cast("string")).alias("table"),
+        file.alias("version_file"),
+        F.when(k % 3 == 0, F.struct(columns.alias("partitionColumns"))).alias("metaData"),
+    )
+
+
+def q_partition_columns(spark, sf):
+    """Current partition columns of every table by one reduction over its log."""
+    found = commit_log.table_metadata(event_metadata(table(spark, sf, "events")))
+    return found.withColumn("partition_columns", F.array_join("partition_columns", ","))
+
+
+def q_job_list(spark, sf):
+    """Writer jobs of every table as text."""
+    return commit_log.job_lists(event_commits(table(spark, sf, "events")))
+
+
 def q_writer_jobs_many(spark, sf):
     return commit_log.writer_jobs_many(event_commits(table(spark, sf, "events")))
 
@@ -648,6 +674,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retry_manifest": q_retry_manifest,
     "writer_jobs": q_writer_jobs,
     "writer_jobs_many": q_writer_jobs_many,
+    "partition_columns": q_partition_columns,
+    "job_list": q_job_list,
     "pair_verdict": q_pair_verdict,
     "pair_verdict_history": q_pair_verdict_history,
 }

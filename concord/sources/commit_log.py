@@ -52,6 +52,12 @@ def log_glob(path: str) -> str:
     return layout.escaped(path.rstrip("/")) + "/_delta_log/*.json"
 
 
+def _table_of(file_path: Column) -> Column:
+    """The table whose log a file lies in, as its path is written (file paths come with escapes)."""
+    table = F.regexp_replace(F.regexp_extract(file_path, r"^(.*)/_delta_log/[^/]*$", 1), r"^file:(//)?", "")
+    return F.coalesce(F.try_url_decode(F.replace(table, F.lit("+"), F.lit("%2B"))), table)
+
+
 def read_commits(spark: SparkSession, paths) -> DataFrame:
     """All commit actions of the tables at ``paths``: ``table, version_file, commitInfo, metaData``."""
     if isinstance(paths, str):
@@ -60,7 +66,7 @@ def read_commits(spark: SparkSession, paths) -> DataFrame:
     df = spark.read.schema(COMMIT_SCHEMA).json(globs)
     file_path = F.col("_metadata.file_path")
     return df.select(
-        F.regexp_replace(F.regexp_extract(file_path, r"^(.*)/_delta_log/[^/]*$", 1), r"^file:", "").alias("table"),
+        _table_of(file_path).alias("table"),
         F.col("_metadata.file_name").alias("version_file"),
         "commitInfo",
         "metaData",
@@ -86,38 +92,59 @@ def writer_jobs_many(commits: DataFrame, seed: str = SEED_JOB) -> DataFrame:
     return seeded.unionByName(writer_jobs(commits, by_table=False)).distinct()
 
 
+def job_lists(commits: DataFrame, excluded=EXCLUDED_JOBS) -> DataFrame:
+    """``table, jobs``: writer jobs of every table as display text ``[a, b]`` (sorted); ``[]`` when none."""
+    job = F.col("commitInfo.job.jobName")
+    names = F.array_sort(F.collect_set(F.when(job_filter(job, excluded), job)))  # as many as a table has writers
+    return commits.groupBy("table").agg(F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]")).alias("jobs"))
+
+
 def job_list(spark: SparkSession, path: str, excluded=EXCLUDED_JOBS) -> str:
-    """Writer jobs of one table as display text ``[a, b]`` (sorted); ``[]`` when none."""
-    names = (
-        writer_jobs(read_commits(spark, path), by_table=False, excluded=excluded)
-        .agg(F.array_join(F.array_sort(F.collect_list("job_name")), ", ").alias("j"))
-        .first()[0]
-    )
-    return f"[{names or ''}]"
+    """:func:`job_lists` of one table."""
+    row = job_lists(read_commits(spark, path).withColumn("table", F.lit("")), excluded).first()
+    return row["jobs"] if row is not None else "[]"
 
 
-def partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """``partitionColumns`` of the last ``metaData`` action, or [] when there is none.
+def read_logs(spark: SparkSession, paths) -> DataFrame:
+    """``table, version_file, metaData`` of the commits and checkpoints of many tables: one scan of each kind of file.
 
-    Checkpoints hold the metadata of commits that the table has cleaned up,
-    so they are read as well as the JSON commits that are left.
+    Checkpoints (of one part or several) hold the metadata of commits that a
+    table has cleaned up. Tables without a log have no rows.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    names = {p: layout.child_names(spark, f"{p.rstrip('/')}/{layout.LOG_DIR}") or [] for p in paths}
+    logs = [p for p in paths if any(n.endswith(".json") for n in names[p])]
+    kept = [p for p in paths if any(".checkpoint" in n and n.endswith(".parquet") for n in names[p])]
+    out = None
+    if logs:
+        out = read_commits(spark, logs).select("table", "version_file", "metaData")
+    if kept:
+        globs = [f"{layout.escaped(p.rstrip('/'))}/{layout.LOG_DIR}/*.checkpoint*.parquet" for p in kept]
+        found = spark.read.schema(T.StructType([COMMIT_SCHEMA["metaData"]])).parquet(*globs)
+        found = found.select(_table_of(F.col("_metadata.file_path")).alias("table"), F.col("_metadata.file_name").alias("version_file"), "metaData")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([T.StructField("table", T.StringType()), T.StructField("version_file", T.StringType()), COMMIT_SCHEMA["metaData"]]))
+    return out
+
+
+def table_metadata(log: DataFrame) -> DataFrame:
+    """``table, version, partition_columns, first_partition_column`` from the last ``metaData`` action of every table.
+
+    One reduction for all tables; the version is the number that a file's name
+    begins with, so commits and checkpoints, of any number of parts, order
+    together. A blank first column counts as none. Tables without metadata have no row.
     """
-    log = layout.escaped(path.rstrip("/")) + "/_delta_log/"
-    names = layout.child_names(spark, f"{path.rstrip('/')}/_delta_log") or []
-    frames = []
-    if any(n.endswith(".json") for n in names):
-        commits = read_commits(spark, path)
-        frames.append(commits.select("metaData", "version_file"))
-    if any(".checkpoint" in n and n.endswith(".parquet") for n in names):
-        schema = T.StructType([COMMIT_SCHEMA["metaData"]])
-        kept = spark.read.schema(schema).parquet(log + "*.checkpoint*.parquet")
-        frames.append(kept.select("metaData", F.col("_metadata.file_name").alias("version_file")))
-    if not frames:
-        return []
-    found = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    row = (
-        found.where(F.col("metaData.partitionColumns").isNotNull())
-        .agg(F.max_by("metaData.partitionColumns", F.substring_index("version_file", ".", 1)).alias("cols"))
-        .first()
+    version = F.regexp_extract("version_file", r"^([0-9]+)", 1).try_cast("bigint")
+    columns = F.col("metaData.partitionColumns")
+    last = log.where(columns.isNotNull()).groupBy("table").agg(
+        F.max(version).alias("version"), F.max_by(columns, F.struct(version, columns)).alias("partition_columns")
     )
-    return list(row["cols"] or []) if row is not None else []
+    first = F.get("partition_columns", 0)
+    return last.withColumn("first_partition_column", F.when(F.trim(first) != "", first))
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """``partitionColumns`` of the last ``metaData`` action of one table, or [] when there is none."""
+    row = table_metadata(read_logs(spark, path).withColumn("table", F.lit(""))).first()
+    return list(row["partition_columns"]) if row is not None else []

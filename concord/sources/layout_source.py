@@ -34,7 +34,8 @@ def listable(path: str) -> bool:
     return "://" not in path and not path.startswith("file:") or path.split(":", 1)[0] in _SCHEMES
 
 
-def _open(path: str):
+def open_path(path: str):
+    """(file system, path) of a path inside a task."""
     from pyarrow import fs
 
     if path.startswith("file:"):
@@ -49,7 +50,7 @@ class _Folder:
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self.fs, self.at = _open(self.root)
+        self.fs, self.at = open_path(self.root)
 
     def _inside(self, path: str) -> str:
         return self.at + path[len(self.root) :]
