@@ -172,7 +172,7 @@ def _whole(spark: SparkSession, path: str, fmt: str) -> Side:
 _READ_AS = {"number": "double", "time": "timestamp"}
 
 
-def _by_column(spark: SparkSession, path: str, fmt: str, column: str, found: Layouts) -> Side:
+def _by_column(spark: SparkSession, path: str, fmt: str, column: str, found: Layouts | None = None) -> Side:
     """``path`` at the greatest value of its partition column ``column``.
 
     Parquet: the directories are chosen from the names below the root and only
@@ -182,7 +182,7 @@ def _by_column(spark: SparkSession, path: str, fmt: str, column: str, found: Lay
     if fmt != PARQUET:
         df = load_table(spark, path, fmt)
         return Side(latest_partition(df, column), latest_value(df, column), (path,))
-    latest = found.latest(path, column)
+    latest = (found or Layouts(spark)).latest(path, column)
     if latest is None:  # no value (or another layout): let the column decide, or its absence be reported
         df = load_table(spark, path, fmt)
         return Side(df.where(quoted(column).isNotNull()).where(F.lit(False)), None, (path,))
@@ -195,9 +195,9 @@ def _by_column(spark: SparkSession, path: str, fmt: str, column: str, found: Lay
     return Side(df, F.lit(latest.text).cast(value), latest.paths)
 
 
-def _by_date(spark: SparkSession, path: str, fmt: str, found: Layouts) -> Side:
+def _by_date(spark: SparkSession, path: str, fmt: str, found: Layouts | None = None) -> Side:
     """``path`` at its own latest ``key=date`` directory, read by itself, or whole when it has none."""
-    latest = found.latest(path, None)
+    latest = (found or Layouts(spark)).latest(path, None)
     if latest is None:
         return _whole(spark, path, fmt)
     if fmt == PARQUET:

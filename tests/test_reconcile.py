@@ -207,7 +207,7 @@ def test_lineage_on_failed_delta_pair(spark, tmp_path, monkeypatch):
     a = spark.createDataFrame([(1,), (2,)], "k int")
     b = spark.createDataFrame([(1,)], "k int")
 
-    def fake_pair_verdicts(spark_, row, profile, history):
+    def fake_pair_verdicts(spark_, row, profile, history, found=None):
         frame = verdict_frame(a, b, profile=profile, env=row["env"], dag_id=row["dag_id"],
                               gen1_path=row["gen1_path"], gen2_path=row["gen2_path"])
         return [("current", frame, "delta")]
