@@ -127,7 +127,7 @@ def _types_udf(depth: int):
     dtype: T.DataType = T.StringType()
     for _ in range(depth):
         dtype = T.ArrayType(dtype)
-    return F.udf(types, dtype)
+    return F.udf(types, dtype, useArrow=True)
 
 
 def _variant_paths(dtype: T.DataType) -> list[tuple[int, Callable[[Column], Column]]]:
