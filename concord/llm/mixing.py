@@ -118,7 +118,7 @@ def mix(
     kept = [c for c in docs.columns if c.lower() not in COLUMNS]
     own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     work = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"),
+        *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)],  # no struct: a column that is not asked for is not carried along
         F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("n")).alias("source"),
         (F.coalesce(F.octet_length(text.cast("string")), F.lit(0)) + 1).cast("long").alias("bytes"),
         F.when(own.isNull(), F.xxhash64(text, F.lit(0))).otherwise(F.xxhash64(own)).alias("hash"),
@@ -151,7 +151,7 @@ def mix(
         .join(plan, ["source", "block"], "left")
     )
     named = {"mix_block": "block", "mix_release": "release", "mix_deadline": "deadline", "mix_slot": "slot", "mix_offset": "offset"}
-    return placed.select(*[F.col("doc")[c].alias(c) for c in kept], *[F.col(named[c]).alias(c) for c in COLUMNS])
+    return placed.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)], *[F.col(named[c]).alias(c) for c in COLUMNS])
 
 
 def in_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:

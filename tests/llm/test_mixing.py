@@ -123,8 +123,15 @@ def test_null_ids_and_rows_without_a_slot_are_spread(spark):
 
 
 def test_any_column_names(spark):
-    names = ["__source", "__hash", "__bytes", "__text", "__range", "__k", "__w", "doc", "range", "block", "slot", "hash", "bytes", "id", "before", "a.b"]
+    names = ["__source", "__hash", "__bytes", "__text", "__range", "__k", "__w", "doc", "range", "block", "slot", "hash", "bytes", "id", "c0", "a.b"]
     df = spark.createDataFrame([(1, "a", "x", *range(16)), (2, None, None, *range(16))], ["doc_id", "source", "text", *names])
     got = mixing.in_order(mixing.mix(df), 2)
     assert got.columns == ["doc_id", "source", "text", *names, *mixing.COLUMNS]
     assert {r[0]: tuple(r[3:19]) for r in got.collect()} == {1: tuple(range(16)), 2: tuple(range(16))}
+
+
+def test_texts_that_are_not_asked_for_are_not_shuffled(spark, tmp_path):
+    spark.createDataFrame([(1, "a", "x")], "doc_id long, source string, text string").write.parquet(str(tmp_path / "t"))
+    mixed = mixing.mix(spark.read.parquet(str(tmp_path / "t"))).select("doc_id", "mix_slot")
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS c2" not in plan and "AS c0" in plan
