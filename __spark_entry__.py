@@ -333,6 +333,45 @@ def _odd_partitions_sql() -> str:
     return "\nunion all\n".join(rows)
 
 
+# Schemas of one table per user and day: e1/e2 its event types, t1/t2 the tables, per side.
+DRIFT_SQL = """
+c1 as (
+  select cast(user_id as varchar) || '/' || strftime(ts, '%Y-%m-%d') as pair, user_id, event_type as f from events),
+c2 as (
+  select cast(user_id as varchar) || '/' || strftime(ts, '%Y-%m-%d') as pair, user_id, case when event_id % 5 = 0 then 'rare' else event_type end as f
+  from events where event_id % 7 <> 0),
+e1 as (select pair, f, case when count(*) % 2 = 0 then 'bigint' else 'double' end as t, count(*) % 3 = 0 as nul from c1 group by all),
+e2 as (select pair, f, case when count(*) % 2 = 0 then 'bigint' else 'double' end as t, count(*) % 3 = 0 as nul from c2 group by all),
+t1 as (select pair, user_id, count(*) as n, case when count(*) % 2 = 0 then 'bigint' else 'int' end as t from c1 group by all),
+t2 as (select pair, user_id, count(*) as n, case when count(*) % 2 = 0 then 'bigint' else 'int' end as t from c2 group by all),
+s1 as (select pair, 'struct<' || string_agg(f || ':array<' || t || '>', ',' order by f) || '>' as t, list(f) as fs from e1 group by pair),
+s2 as (
+  select e2.pair, 'struct<' || case when any_value(t2.user_id) % 2 = 0 then string_agg(e2.f || ':array<' || e2.t || '>', ',' order by e2.f desc)
+    else string_agg(e2.f || ':array<' || e2.t || '>', ',' order by e2.f) end || '>' as t, list(e2.f) as fs
+  from e2 join t2 on t2.pair = e2.pair group by e2.pair),
+drift as (
+  select coalesce(e1.pair, e2.pair) as pair, 'seen.' || coalesce(e1.f, e2.f) || '[]' as path,
+    case when e1.f is null then 'added' when e2.f is null then 'removed'
+      else concat_ws(',', case when e1.t <> e2.t then 'type' end, case when e1.nul <> e2.nul then 'nullable' end) end as change,
+    e1.t as left_type, e1.nul as left_nullable, e2.t as right_type, e2.nul as right_nullable
+  from e1 full join e2 on e1.pair = e2.pair and e1.f = e2.f
+  where e1.f is null or e2.f is null or e1.t <> e2.t or e1.nul <> e2.nul
+  union all
+  select s1.pair, 'seen', 'order', s1.t, true, s2.t, true
+  from s1 join s2 on s1.pair = s2.pair join t1 on t1.pair = s1.pair
+  where t1.user_id % 2 = 0 and len(list_intersect(s1.fs, s2.fs)) > 1
+  union all
+  select t1.pair, 'days', 'type', 'map<date,struct<n:' || t1.t || '>>', true, 'string', true
+  from t1 join t2 on t1.pair = t2.pair where t2.n % 3 = 0
+  union all
+  select t1.pair, 'days{value}.n', 'type', t1.t, true, t2.t, true
+  from t1 join t2 on t1.pair = t2.pair where t2.n % 3 <> 0 and t1.t <> t2.t
+  union all
+  select t1.pair, x.path, 'removed', coalesce(x.t, t1.t), x.nul, null, null
+  from t1 left join t2 on t1.pair = t2.pair cross join (values ('user_id', 'bigint', true), ('days{key}', 'date', false), ('days{value}.n', null, true)) x(path, t, nul)
+  where t2.pair is null)"""
+
+
 def oracle_sql() -> dict[str, str]:
     lineitem_kept = (
         "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -416,6 +455,12 @@ select * from verdicts""",
 {_six_by('conversations', 'b_conv', 'conv_id', CONV_COLS)}
 select * from verdicts""",
         "schema_diff": _schema_diff_sql(),
+        "schema_drift": f"with {DRIFT_SQL} select * from drift",
+        "schema_drift_text": f"""with {DRIFT_SQL}, lines as (
+  select pair, path, path || ': ' || coalesce(left_type || '/' || left_nullable, 'absent') || ' -> '
+    || coalesce(right_type || '/' || right_nullable, 'absent') || case when change = 'order' then ' (order)' else '' end as line
+  from drift)
+select pair, string_agg(line, '; ' order by path) as schema_diff from lines group by pair""",
         "latest_partition_rows": f"""with {B_EVENTS}
 select {EVENTS_COLS}, 'gen1' as side from {_latest_day('events')} a
 union all
@@ -476,6 +521,8 @@ where except_validation = 'Failed' and gen1_count <> 0 and gen1_except_gen2 = ge
         "retry_manifest": f"""{ledgers} select distinct 'prod' as env, dag_id, gen1_path, gen2_path
 from l1 where except_validation = 'Failed'""",
         "writer_jobs": f"""with {COMMITS}
+select distinct "table", job as job_name from commits where {WRITER_FILTER}""",
+        "writer_jobs_stream": f"""with {COMMITS}
 select distinct "table", job as job_name from commits where {WRITER_FILTER}""",
         "partition_columns": """with m as (
   select user_id, event_id, case when event_id % 5 = 0 then '' when event_id % 7 = 0 then ' ,b' else 'c' || cast(event_id % 11 as varchar) || ',day' end as cols

@@ -1,8 +1,9 @@
 """The reconcile runner: every manifest row to one verdict row per scope, into the ledger.
 
 Each pair is its own Spark job (a fused compare); several pairs run at once
-from a thread pool on the one session, so small tables do not leave a large
-cluster idle, and a failing pair never stops the others. The driver holds
+on the one session, so small tables do not leave a large cluster idle, and a
+failing or hanging pair never stops the others (:mod:`concord.plans.supervise`:
+job tags, a deadline, scheduler pools). The driver holds
 the manifest and one verdict row per pair, nothing else. Verdicts are
 appended to the ledger in batches (few files, and an interrupted sweep
 keeps everything flushed so far); ``resume_on`` skips pairs already in the
@@ -13,12 +14,13 @@ from __future__ import annotations
 
 import itertools
 import uuid
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.plans.profiles import FINAL, Profile
+from concord.plans.supervise import supervise
 from concord.plans.sweep import resume_manifest
 from concord.plans.verdict import DELTA, FAILED, error_values, pair_verdicts, scope_paths
 from concord.sources import commit_log, ledger
@@ -93,16 +95,25 @@ def reconcile(
     batch_size: int = 32,
     resume_on: str | None = None,
     run_id: str | None = None,
+    deadline: float | None = None,
+    grace: float = 30.0,
+    pool_of: Callable[[dict], str | None] | None = None,
 ) -> DataFrame:
     """Check every pair of ``manifest``; return the verdicts (and append them to ``ledger_path``).
 
     The manifest is streamed to the driver partition by partition
     (``toLocalIterator``), ``LAYOUT_CHUNK`` rows at a time, whose directories
-    are listed by one job for them all, with at most ``2 * concurrency`` pairs
-    in flight, so the driver never holds it whole. Verdicts go to the ledger in
+    are listed by one job for them all, with ``concurrency`` pairs in flight, so
+    the driver never holds it whole. Verdicts go to the ledger in
     batches (without ``ledger_path`` to one of this run, below the shared
     checkpoint folder) and the result is read back by ``run_id``.
     ``resume_on='YYYY-MM-DD'`` first removes pairs already in the ledger on that date.
+
+    A pair that takes more than ``deadline`` seconds is cancelled and becomes an
+    error row (per scope); one that hangs outside Spark is left behind after ``grace``
+    more. ``pool_of(row)`` names the FAIR scheduler pool of a pair's jobs, e.g.
+    ``supervise.by_size("bytes")`` for a manifest with that column, so that small
+    pairs do not queue behind the tasks of a large one.
     """
     run_id = run_id or uuid.uuid4().hex
     given = ledger_path is not None
@@ -127,25 +138,22 @@ def reconcile(
             ledger.append(spark.createDataFrame(pending, LEDGER), ledger_path, _batch_name(run_id, pending))
         pending.clear()
 
-    width = max(1, concurrency)
-    in_flight: set = set()
-    with ThreadPoolExecutor(max_workers=width) as pool:
-
-        def drain(most: int) -> None:
-            # whichever ends first: one large pair holds back neither the pool nor finished verdicts
-            nonlocal in_flight
-            while len(in_flight) > most:
-                done, in_flight = wait(in_flight, return_when=FIRST_COMPLETED)
-                for f in done:
-                    collect(f.result())
-
+    def pairs():
         rows = (r.asDict() for r in manifest.toLocalIterator(prefetchPartitions=True))
         while chunk := list(itertools.islice(rows, LAYOUT_CHUNK)):
             found = chunk_layouts(spark, chunk, profile, history)
-            for r in chunk:
-                in_flight.add(pool.submit(check_pair, spark, r, profile, history, found))
-                drain(2 * width - 1)
-        drain(0)
+            yield from ((r, found) for r in chunk)
+
+    def late(pair):
+        scopes = ["current", "history"] if history else ["current"]
+        return [_error_row(pair[0], f"not done within {deadline:g} seconds", s) for s in scopes]
+
+    # whichever ends first: one large pair holds back neither the others nor finished verdicts
+    for verdicts in supervise(
+        spark, pairs(), lambda pair: check_pair(spark, pair[0], profile, history, pair[1]), late,
+        width=concurrency, deadline=deadline, grace=grace, pool_of=pool_of and (lambda pair: pool_of(pair[0])),
+    ):
+        collect(verdicts)
     flush()
     out = ledger.read_if_any(spark, ledger_path)
     if out is None:  # empty manifest: no ledger yet

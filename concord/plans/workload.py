@@ -27,6 +27,7 @@ from concord.operators.compare import (
 )
 from concord.operators.partition import latest_partition
 from concord.operators.schema import schema_diffs
+from concord.operators.schema_tree import drift_text, schema_drift
 from concord.operators.sketch import equality
 from concord.plans import sweep
 from concord.plans.profiles import CURRENT_HISTORY, FINAL, PHASE2, PHASE4, Profile
@@ -36,6 +37,7 @@ from concord.sources import commit_log, files, layout_source, ledger
 from concord.session import ensure_checkpoint_dir
 from concord.sources.ledger import conform, typed_counts
 from concord.sources.manifest import HISTORY_MANIFEST, manifest_frame, manifest_text, parse_manifest_lines
+from concord.streaming import lineage, run_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -306,6 +308,54 @@ def q_schema_diff(spark, sf):
     return schema_diffs(spark, pairs)
 
 
+def event_schemas(events: DataFrame, lake: str) -> DataFrame:
+    """``table, schema`` of one nested table per user and day, whose fields and types follow from the events of that day.
+
+    ``seen`` has one array per type of event, ``days`` counts them all; on ``lake2`` the
+    fields come in another order for even users, and where the count is a
+    multiple of three ``days`` is text.
+    """
+    name = F.concat_ws("/", F.lit(f"/{lake}"), F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd"))
+    n = F.col("n")
+    element = F.concat(
+        F.lit('{"name":"'), F.col("event_type"), F.lit('","type":{"type":"array","elementType":"'), F.when(n % 2 == 0, "long").otherwise("double"),
+        F.lit('","containsNull":'), (n % 3 == 0).cast("string"), F.lit('},"nullable":true,"metadata":{}}'),
+    )
+    per_type = events.groupBy(name.alias("table"), "user_id", "event_type").agg(F.count("*").alias("n"))
+    per_table = per_type.groupBy("table", "user_id").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(element)).alias("seen"))
+    seen = F.when((F.lit(lake) == "lake2") & (F.col("user_id") % 2 == 0), F.reverse("seen")).otherwise(F.col("seen"))
+    counted = F.concat(
+        F.lit('{"type":"map","keyType":"date","valueType":{"type":"struct","fields":[{"name":"n","type":"'),
+        F.when(n % 2 == 0, "long").otherwise("integer"), F.lit('","nullable":true,"metadata":{}}]},"valueContainsNull":true}'),
+    )
+    days = F.when((F.lit(lake) == "lake2") & (n % 3 == 0), '"string"').otherwise(counted)
+    field = lambda of, t: F.concat(F.lit(f'{{"name":"{of}","type":'), t, F.lit(',"nullable":true,"metadata":{}}'))
+    fields = [
+        field("USER_ID" if lake == "lake2" else "user_id", F.lit('"long"')),
+        field("seen", F.concat(F.lit('{"type":"struct","fields":['), F.array_join(seen, ","), F.lit("]}"))),
+        field("days", days),
+    ]
+    return per_table.select("table", F.concat(F.lit('{"type":"struct","fields":['), F.concat_ws(",", *fields), F.lit("]}")).alias("schema"))
+
+
+def event_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of every pair of such tables; a seventh of the events is missing on ``lake2``, and some have another type."""
+    ev = table(spark, sf_dir, "events")
+    changed = ev.where("event_id % 7 <> 0").withColumn("event_type", F.when(F.col("event_id") % 5 == 0, "rare").otherwise(F.col("event_type")))
+    name = F.concat_ws("/", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd"))
+    side = lambda lake: F.concat(F.lit(f"/{lake}/"), "pair")
+    pairs = ev.select(name.alias("pair")).distinct().select("pair", side("lake1").alias("left"), side("lake2").alias("right"))
+    return schema_drift(pairs, event_schemas(ev, "lake1").unionByName(event_schemas(changed, "lake2")))
+
+
+def q_schema_drift(spark, sf):
+    return event_drift(spark, sf).drop("left", "right")
+
+
+def q_schema_drift_text(spark, sf):
+    return drift_text(event_drift(spark, sf)).drop("left", "right")
+
+
 def q_latest_partition_rows(spark, sf):
     e = table(spark, sf, "events")
     day = F.to_date("ts")
@@ -591,6 +641,20 @@ def q_writer_jobs_many(spark, sf):
     return commit_log.writer_jobs_many(event_commits(table(spark, sf, "events")))
 
 
+def q_writer_jobs_stream(spark, sf):
+    """Writer jobs by the stream over written commit logs, which grow between its two runs."""
+    root = f"{ensure_checkpoint_dir(spark)}/concord-logs-{uuid.uuid4().hex}"
+    commits = event_commits(table(spark, sf, "events"))
+    tables = [r["table"] for r in commits.select("table").distinct().collect()]  # one per type of event
+    for part in (0, 1):
+        for t in tables:
+            own = commits.where((F.col("table") == t) & (F.col("commitInfo.timestamp") % 2 == part))
+            own.select("commitInfo").write.mode("append").json(f"{root}{t}/_delta_log")
+        run_lineage(spark, f"{root}/lake2/events/*", f"{root}/report")
+    found = lineage(spark, f"{root}/report")
+    return found.withColumn("table", F.regexp_extract("table", "(/lake2/.*)$", 1))
+
+
 def q_pair_verdict(spark, sf):
     o = table(spark, sf, "orders")
     return verdict_frame(
@@ -648,6 +712,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_embeddings": q_compare_embeddings,
     "compare_conversations_by_conv": q_compare_conversations_by_conv,
     "schema_diff": q_schema_diff,
+    "schema_drift": q_schema_drift,
+    "schema_drift_text": q_schema_drift_text,
     "latest_partition_rows": q_latest_partition_rows,
     "latest_partition_compare": q_latest_partition_compare,
     "latest_partition_compare_same_day": q_latest_partition_compare_same_day,
@@ -674,6 +740,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retry_manifest": q_retry_manifest,
     "writer_jobs": q_writer_jobs,
     "writer_jobs_many": q_writer_jobs_many,
+    "writer_jobs_stream": q_writer_jobs_stream,
     "partition_columns": q_partition_columns,
     "job_list": q_job_list,
     "pair_verdict": q_pair_verdict,

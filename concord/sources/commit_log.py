@@ -52,7 +52,7 @@ def log_glob(path: str) -> str:
     return layout.escaped(path.rstrip("/")) + "/_delta_log/*.json"
 
 
-def _table_of(file_path: Column) -> Column:
+def table_of(file_path: Column) -> Column:
     """The table whose log a file lies in, as its path is written (file paths come with escapes)."""
     table = F.regexp_replace(F.regexp_extract(file_path, r"^(.*)/_delta_log/[^/]*$", 1), r"^file:(//)?", "")
     return F.coalesce(F.try_url_decode(F.replace(table, F.lit("+"), F.lit("%2B"))), table)
@@ -66,7 +66,7 @@ def read_commits(spark: SparkSession, paths) -> DataFrame:
     df = spark.read.schema(COMMIT_SCHEMA).json(globs)
     file_path = F.col("_metadata.file_path")
     return df.select(
-        _table_of(file_path).alias("table"),
+        table_of(file_path).alias("table"),
         F.col("_metadata.file_name").alias("version_file"),
         "commitInfo",
         "metaData",
@@ -121,7 +121,7 @@ def read_logs(spark: SparkSession, paths) -> DataFrame:
     if kept:
         globs = [f"{layout.escaped(p.rstrip('/'))}/{layout.LOG_DIR}/*.checkpoint*.parquet" for p in kept]
         found = spark.read.schema(T.StructType([COMMIT_SCHEMA["metaData"]])).parquet(*globs)
-        found = found.select(_table_of(F.col("_metadata.file_path")).alias("table"), F.col("_metadata.file_name").alias("version_file"), "metaData")
+        found = found.select(table_of(F.col("_metadata.file_path")).alias("table"), F.col("_metadata.file_name").alias("version_file"), "metaData")
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], T.StructType([T.StructField("table", T.StringType()), T.StructField("version_file", T.StringType()), COMMIT_SCHEMA["metaData"]]))

@@ -149,6 +149,32 @@ def first_files(spark: SparkSession, folders: list[str], per_task: int = ROOTS_P
     return _read(spark, folders, "first_files", per_task).select("root", F.col("name").alias("first_file"))
 
 
+def _footer_schema(path: str) -> str:
+    """The Spark schema that the footer of one Parquet file states, as JSON text."""
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    fs, at = open_path(path)
+    found = pq.read_schema(at, filesystem=fs)
+    written = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+    return written.decode() if written else from_arrow_schema(found, prefer_timestamp_ntz=True).json()
+
+
+def footer_schemas(spark: SparkSession, folders: list[str], per_task: int = ROOTS_PER_TASK) -> DataFrame:
+    """``table, schema`` of each folder by the footer of its first data file; one job for all of them.
+
+    The schema is that of the file: without partition columns, nullability as
+    written. It is null where there is no data file; a file whose footer cannot be read raises.
+    """
+
+    def read(batches):
+        for batch in batches:
+            batch["schema"] = [None if f is None else _footer_schema(f) for f in batch["first_file"]]
+            yield batch.rename(columns={"root": "table"})[["table", "schema"]]
+
+    return first_files(spark, folders, per_task).mapInPandas(read, "table string, schema string")
+
+
 def layouts(listing: DataFrame) -> DataFrame:
     """``root, found, format, partition_column, n_files, parts`` per root of a listing ``(root, name, kind)``."""
     part = (F.col("kind") == "folder") & F.col("name").contains("=")
