@@ -4,14 +4,7 @@ import numpy as np
 import pytest
 
 from concord.llm import embedding_dedup, topk
-from concord.llm.embedding_dedup import Codes, tile_links
-from concord.llm.tiles import Tile
-
-
-def tile(data):
-    data = np.ascontiguousarray(data, "<f8")
-    ids = np.arange(len(data)).astype("<i8")
-    return Tile({"ids": ids.tobytes(), "extra": ids.tobytes(), "data": data.tobytes(), "rows": data.shape[0], "dim": data.shape[1]})
+from concord.llm.embedding_dedup import encode, open_links, tile_pairs
 
 
 def vectors(rng, n=300, dim=16):
@@ -30,13 +23,16 @@ def cosines(x):
 def test_bounds_hold_and_no_pair_is_missed(dim):
     rng = np.random.default_rng(dim)
     x = vectors(rng, 120, dim) if dim > 1 else rng.normal(size=(60, 1))
-    codes = Codes(tile(x))
+    codes = encode(np.ascontiguousarray(x))
     unit = codes.data / codes.norms[:, None]
     bound = np.outer(codes.scale, codes.scale) * (codes.codes.astype(float) @ codes.codes.T.astype(float))
     slack = codes.error[:, None] + codes.error[None, :] + np.outer(codes.error, codes.error)
     assert (np.abs(unit @ unit.T - bound) <= slack).all()
-    got = {(int(i), int(j)) for a, b in tile_links(codes, codes, 0.9, True, stripe=50) for i, j in zip(a, b, strict=True)}
     cos = cosines(x)
+    proved = {(int(i), int(j)) for a, b, s in tile_pairs(codes, codes, 0.9, True, products=5000) for i, j in zip(a[s], b[s], strict=True)}
+    checked = {(int(i), int(j)) for a, b in open_links(codes, codes, 0.9, True) for i, j in zip(a, b, strict=True)}
+    assert not proved & checked and all(cos[i, j] >= 0.9 for i, j in proved)
+    got = proved | checked
     sure = {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if cos[i, j] >= 0.9 + 1e-12}
     assert sure <= got and all(cos[i, j] >= 0.9 - 1e-12 for i, j in got)
 
