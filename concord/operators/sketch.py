@@ -21,6 +21,13 @@ fixed size, and the fullest one that empties says how many differ.
 The digests are dealt to as many tables of one size as the estimate asks for, and each
 is emptied by a task of its own; those that do not empty are built again, twice as large,
 from their own digests. What is shuffled grows with the difference, not with the tables.
+
+A task adds its rows to a table of its own, so a difference that is large beside a
+task's rows makes tables that are nearly empty and of which each row fills three cells. Where
+that would be more than the digests themselves (:func:`_sparse`), they are first added up
+one by one (a shuffle of about 24 bytes per digest) and only what is left of them
+goes into the tables: what is shuffled grows with the difference or with the
+digests, whichever is less.
 """
 
 from __future__ import annotations
@@ -40,6 +47,7 @@ BUCKETS = 4096  # rows of the fingerprint, and bound of what is broadcast
 THIRD = 512  # cells of a third of a table
 STRATA, STRATUM_THIRD = 40, 64
 FILL = 1.5  # digests expected in a third, as a part of its cells, is 1 / FILL
+CELL_COST = 4  # a cell has about four times the bytes of a digest with its count
 
 _PIECES = ((0, 22), (22, 21), (43, 21))  # (shift, bits)
 _SIGN = "__concord_sign"
@@ -190,6 +198,23 @@ def estimate(digests: DataFrame) -> int:
     return total
 
 
+def _sparse(digests: DataFrame, cells: int) -> bool:
+    """Whether the tables of all tasks, of ``cells`` cells each, would be more than the digests themselves."""
+    per_task = digests.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    filled = F.sum(F.least(3 * F.col("n"), F.lit(cells).cast("bigint")))
+    r = per_task.agg(filled.alias("filled"), F.sum("n").alias("n")).first()
+    return CELL_COST * (r["filled"] or 0) > (r["n"] or 0)
+
+
+def _added_up(digests: DataFrame, path: str) -> DataFrame:
+    """``(h1, h2, sign)`` with the sums of the signs that are not zero, kept below ``path``."""
+    from concord.operators.compare import _H
+
+    left = digests.groupBy(*_H).agg(F.sum(_SIGN).alias(_SIGN)).where(F.col(_SIGN) != 0)
+    left.write.parquet(path)
+    return digests.sparkSession.read.schema(left.schema).parquet(path)
+
+
 def differing_digests(digests: DataFrame, third: int = THIRD) -> DataFrame:
     """``(h1, h2, c)`` of the digests whose signed count ``c`` is not zero; ``digests(h1, h2, sign)`` by their column names."""
     from concord.operators.compare import _H
@@ -199,6 +224,8 @@ def differing_digests(digests: DataFrame, third: int = THIRD) -> DataFrame:
     parts = max(1, int(np.ceil(estimate(digests) * FILL / third)))
     part = F.pmod(F.xxhash64(*_H, F.lit(-2).cast("bigint")), F.lit(parts))
     folder = f"{ensure_checkpoint_dir(spark)}/concord-sketch-{uuid.uuid4().hex}"
+    if _sparse(digests, 3 * third * parts):
+        digests = _added_up(digests, f"{folder}/digests")
     todo: DataFrame | None = None
     salt, written = 1, []
     while True:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from concord import compare, diff_counts, diff_rows
 from concord.operators import sketch
-from concord.operators.compare import _H
+from concord.operators.compare import _H, _buckets_for
 from concord.operators.sketch import differing_digests, equality, estimate
 from conftest import rows
 
@@ -93,6 +93,24 @@ def test_what_is_shuffled_follows_the_difference(spark):
     assert cells(500) == cells(5000) <= 150
 
 
+def test_a_large_difference_is_added_up_before_it_fills_tables(spark, monkeypatch):
+    """Of tables larger than a task's rows only the digests that differ make cells; small ones need no such pass."""
+    filled = []
+    cells = sketch._cells
+    monkeypatch.setattr(sketch, "_cells", lambda df, part, third, salt: (filled.append(df.count()) if salt else None, cells(df, part, third, salt))[1])
+    data = [(k, -k) for k in range(4000)]
+    for gone, sparse in ((1000, True), (2, False)):
+        filled.clear()
+        df = _digests(spark, data + data[:10] * 20, data[gone:] + data[:10] * 20).repartition(4).localCheckpoint()
+        got = {(r[_H[0]], r[_H[1]]): r["c"] for r in differing_digests(df, third=16).collect()}
+        assert got == dict.fromkeys(data[:gone], 1)
+        assert filled[0] == (gone if sparse else df.count())
+
+
+def test_bit_map_grows_with_the_difference():
+    assert [_buckets_for(n) for n in (0, 1000, 3_000_000, 17_500_000, 10**10)] == [1024, 1024, 1465, 8545, 16384]
+
+
 def test_hash_is_that_of_spark(spark):
     pairs = [(0, 0), (-1, 1), (1 << 62, -(1 << 63)), (123456789, -987654321)]
     df = spark.createDataFrame(pairs, "a long, b long").select("a", "b", F.xxhash64("a", "b", F.lit(5).cast("bigint")).alias("h"))
