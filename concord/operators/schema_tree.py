@@ -11,8 +11,9 @@ laid out once as nodes:
   array, ``a{key}`` and ``a{value}`` those of a map. Names that are no words are
   put in back-quotes.
 
-The two sides of every pair meet by (pair, path) after one shuffle by pair.
-A path differs in one row, whose ``change`` names all that differs there:
+The schemas of a pair's sides meet as text after one shuffle by pair; pairs of one text
+are done with, of the others the nodes that differ are laid out beside each other by path.
+Each different pair of texts of a batch is laid out once. A path differs in one row, whose ``change`` names all that differs there:
 
 * ``added`` / ``removed``: a leaf on the right / left side only. Of a struct,
   array or map on one side only every leaf is reported.
@@ -32,18 +33,23 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PAIR = ("pair", "left", "right")
-NODES = (
-    "table string, path string, kind string, data_type string, nullable boolean, metadata string, "
-    "leaf boolean, above array<string>, fields array<string>"
-)
+NODE = {
+    "kind": pa.string(), "data_type": pa.string(), "nullable": pa.bool_(), "metadata": pa.string(),
+    "leaf": pa.bool_(), "above": pa.list_(pa.string()), "fields": pa.list_(pa.string()),
+}
+_NODE_DDL = "struct<kind:string,data_type:string,nullable:boolean,metadata:string,leaf:boolean,above:array<string>,fields:array<string>>"
+DIFFERING = f"array<struct<path:string,l:{_NODE_DDL},r:{_NODE_DDL}>>"
 
 
+@lru_cache(4096)
 def _word(name: str) -> str:
     return name if re.fullmatch(r"\w+", name) else "`" + name.replace("`", "``") + "`"
 
@@ -64,7 +70,7 @@ def _children(path: str, t: T.DataType) -> list[tuple]:
 
 
 def nodes_of(schema: T.StructType) -> Iterator[tuple]:
-    """The nodes of one schema, without the table's name (the columns of ``NODES``)."""
+    """The nodes of one schema: ``path`` and what ``NODE`` names."""
     columns = {f.name.lower(): f for f in schema.fields}
     todo = [(_word(n), f.dataType, f.nullable, "", []) for n, f in columns.items()]
     while todo:
@@ -82,23 +88,82 @@ def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame | T.StructTy
     return spark.createDataFrame([(name, of(x).json()) for name, x in tables.items()], "table string, schema string")
 
 
-def nodes(schemas: DataFrame) -> DataFrame:
-    """Every node of every schema (``NODES``); a null schema has none."""
+@lru_cache(4096)
+def _value_type(name: str) -> str:
+    return T._parse_datatype_json_value(name).simpleString()
+
+
+def nodes_of_text(text: str) -> dict[str, list]:
+    """``nodes_of`` a schema's JSON text by path, laid out from the text itself (types of Spark only, no collations of fields)."""
+    schema = json.loads(text)
+    if "__COLLATIONS" in text or '"udt"' in text:
+        return {path: node for path, *node in nodes_of(T.StructType.fromJson(schema))}
+    out: dict[str, list] = {}
+
+    def field(path, f, column, above):
+        # the metadata of columns does not count
+        metadata = "" if column or not f.get("metadata") else json.dumps(f["metadata"], sort_keys=True)
+        return lay_out(path, f["type"], f.get("nullable", True), metadata, above)
+
+    def lay_out(path, t, nullable, metadata, above) -> str:
+        """The type as text; its node and those below it go to ``out``."""
+        kind, leaf, names, below = "value", True, [], [*above, path]
+        if isinstance(t, str):
+            data_type = _value_type(t)
+        elif (kind := t["type"]) == "struct":
+            seen, parts = {}, []
+            for f in t["fields"]:
+                n = seen[f["name"]] = seen.get(f["name"], 0) + 1
+                names.append(_word(f["name"]) + (f"#{n}" if n > 1 else ""))
+                parts.append(f["name"] + ":" + field(f"{path}.{names[-1]}", f, False, below))
+            data_type, leaf = f"struct<{','.join(parts)}>", not names
+        elif kind == "array":
+            data_type, leaf = f"array<{lay_out(f'{path}[]', t['elementType'], t['containsNull'], '', below)}>", False
+        elif kind == "map":
+            key = lay_out(path + "{key}", t["keyType"], False, "", below)
+            value = lay_out(path + "{value}", t["valueType"], t["valueContainsNull"], "", below)
+            data_type, leaf = f"map<{key},{value}>", False
+        else:
+            raise ValueError(f"unknown type {kind!r} in a schema")
+        out[path] = [kind, data_type, nullable, metadata, leaf, above, names]
+        return data_type
+
+    for name, f in {f["name"].lower(): f for f in schema["fields"]}.items():
+        field(_word(name), f, True, [])
+    return out
 
-    def lay_out(batches):
-        import pandas as pd
 
-        names = [c.split(" ")[0] for c in NODES.split(", ")]
-        for batch in batches:
-            rows = [
-                (table, *node)
-                for table, text in zip(batch["table"], batch["schema"])
-                for node in nodes_of(T.StructType.fromJson(json.loads(text)))
-            ]
-            yield pd.DataFrame(rows, columns=names)
+def _differing(left: pa.Array, right: pa.Array) -> pa.Array:
+    """``path, l, r`` of the nodes that differ between two schemas each (lists of texts: of a table that is there twice, or not at all)."""
+    known: dict[str, dict] = {}
 
-    given = schemas.select("table", "schema").where("table is not null and schema is not null")
-    return given.mapInPandas(lay_out, NODES)
+    def side(texts) -> dict[str, list]:
+        found: dict[str, list] = {}
+        for t in texts or ():
+            if t not in known:
+                known[t] = nodes_of_text(t)
+            found = {**found, **known[t]} if found else known[t]
+        return found
+
+    pairs = [(tuple(a or ()), tuple(b or ())) for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True)]
+    place = {pair: i for i, pair in enumerate(dict.fromkeys(pairs))}
+    paths, nodes, ends = [], ([], []), [0]
+    for a, b in place:
+        l, r = side(a), side(b)
+        for path in [*l, *(p for p in r if p not in l)]:
+            x, y = l.get(path), r.get(path)
+            if x != y:
+                paths.append(path)
+                nodes[0].append(x)
+                nodes[1].append(y)
+        ends.append(len(paths))
+
+    def of(rows) -> pa.Array:
+        columns = [pa.array([n and n[k] for n in rows], t) for k, t in enumerate(NODE.values())]
+        return pa.StructArray.from_arrays(columns, names=list(NODE), mask=pa.array([n is None for n in rows], pa.bool_()))
+
+    differ = pa.StructArray.from_arrays([pa.array(paths, pa.string()), *map(of, nodes)], names=["path", "l", "r"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), differ).take(pa.array([place[p] for p in pairs], pa.int32()))
 
 
 def schema_drift(pairs: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -108,16 +173,21 @@ def schema_drift(pairs: DataFrame, schemas: DataFrame) -> DataFrame:
     """
     side = lambda name: F.struct(F.lit(name).alias("side"), F.col(name).alias("table"))
     sides = pairs.select(*PAIR).distinct().select(*PAIR, F.inline(F.array(side("left"), side("right"))))
-    node = F.struct("kind", "data_type", "nullable", "metadata", "leaf", "above", "fields")
+    given = schemas.select("table", "schema").where("table is not null and schema is not null")
+    texts = [F.array_sort(F.collect_set(F.when(F.col("side") == s, F.col("schema")))).alias(f"{s}_schema") for s in ("left", "right")]
     met = (
-        sides.join(nodes(schemas), "table")
-        .repartition(*PAIR)  # serves the meeting of the sides and the look at a pair's changed kinds
-        .groupBy(*PAIR, "path")
-        .agg(*[F.any_value(F.when(F.col("side") == s, node), ignoreNulls=True).alias(s[0]) for s in ("left", "right")])
+        sides.join(given, "table")
+        .repartition(*PAIR)  # serves the meeting of the sides; all that follows stays with the pair
+        .groupBy(*PAIR)
+        .agg(*texts)
+        .where("left_schema <> right_schema")
     )
+    met = met.select(*PAIR, F.arrow_udf(_differing, DIFFERING)("left_schema", "right_schema").alias("nodes"))
     both = F.col("l").isNotNull() & F.col("r").isNotNull()
     other_kind = both & (F.col("l.kind") != F.col("r.kind"))
-    met = met.withColumn("cut", F.collect_set(F.when(other_kind, F.col("path"))).over(Window.partitionBy(*PAIR)))
+    cut = F.transform(F.filter("nodes", lambda x: x["l"].isNotNull() & x["r"].isNotNull() & (x["l"]["kind"] != x["r"]["kind"])), lambda x: x["path"])
+    # outer, or Spark calls the function once more to ask whether there is anything to lay out
+    met = met.select(*PAIR, cut.alias("cut"), F.inline_outer("nodes"))
     differs = lambda f: F.col(f"l.{f}") != F.col(f"r.{f}")
     only = F.coalesce("l", "r")
     one_sided = only["leaf"] & ~F.arrays_overlap(only["above"], "cut")

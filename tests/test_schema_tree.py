@@ -1,11 +1,13 @@
 """Schema drift as a tree: every kind of change, agreement with schema_check, footers of many roots."""
 
+import json
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from concord import schema_check
-from concord.operators.schema_tree import drift_text, schema_drift, schema_rows
+from concord.operators.schema_tree import drift_text, nodes_of, nodes_of_text, schema_drift, schema_rows
 from concord.sources.layout_source import footer_schemas
 from conftest import rows
 
@@ -99,6 +101,36 @@ def test_a_manifest_is_shuffled_by_pair_once(spark):
     assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "path" in line]
 
 
+def test_only_pairs_of_unlike_texts_are_laid_out_and_only_once(spark):
+    """Schemas cross the shuffles as text; no node does, and equal texts never reach the function."""
+    pairs = spark.createDataFrame([("p", "a", "b")], "pair string, left string, right string")
+    lines = schema_drift(pairs, schema_rows(spark, {"a": T._parse_datatype_string("x int")}))._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = [i for i, line in enumerate(lines) if "ArrowEvalPython" in line]
+    assert len(at) == 1 and not [line for line in lines if "MapInPandas" in line]
+    assert "NOT (left_schema" in lines[at[0] + 1]
+    assert not [line for line in lines[: at[0]] if "Exchange" in line]
+
+
+def test_a_table_that_is_there_twice_has_the_paths_of_both(spark):
+    pairs = spark.createDataFrame([("p", "a", "b")], "pair string, left string, right string")
+    rows_of = [("a", "x int"), ("a", "y int"), ("a", "x int"), ("b", "x int")]
+    schemas = spark.createDataFrame([(t, T._parse_datatype_string(s).json()) for t, s in rows_of], "table string, schema string")
+    assert rows(schema_drift(pairs, schemas).select("path", "change")) == [("y", "removed")]
+
+
+@settings(max_examples=200, deadline=None)
+@given(_fields(_types))
+def test_nodes_of_a_text_are_those_of_its_schema(schema):
+    assert nodes_of_text(schema.json()) == {path: node for path, *node in nodes_of(schema)}
+
+
+def test_nodes_of_a_text_keep_metadata_and_collations():
+    nested = T.StructType([T.StructField("p", T.StringType("UNICODE"), False, {"b": 1, "a": "x"}), T.StructField("d", T.DayTimeIntervalType(0, 1)), T.StructField("p", T.VarcharType(3))])
+    schema = T.StructType([T.StructField("S", nested, True, {"comment": "of a column"}), T.StructField("c", T.StringType("UTF8_LCASE")), T.StructField("n", T.NullType())])
+    for s in (schema, T.StructType([T.StructField("s", T.StructType(nested.fields[1:]), True, {"comment": "x"}), *schema.fields[2:]])):
+        assert nodes_of_text(s.json()) == {path: node for path, *node in nodes_of(T.StructType.fromJson(json.loads(s.json())))}
+
+
 def test_schemas_of_many_roots_come_from_their_footers(spark, tmp_path):
     wide = spark.range(3).selectExpr("id", "named_struct('p', id, 'q', array(cast(id as string))) as s", "current_timestamp() as t")
     wide.write.parquet(f"{tmp_path}/a")
