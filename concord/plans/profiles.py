@@ -59,7 +59,7 @@ class Profile:
     # "by_env": env 'dev' removes the dev pattern, others the marker text;
     # "marker": always the marker text
     baseline_rule: str = "by_env"
-    # "exact" (group by row values) or "digest" (group by a 128-bit row digest; for wide rows)
+    # "exact" (group by row values, which the runner packs without loss) or "digest" (group by a 128-bit row digest; for wide rows)
     method: str = "exact"
     # jobs that are never reported as writers
     excluded_jobs: tuple[str, ...] = EXCLUDED_JOBS

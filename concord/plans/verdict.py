@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import partial
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -224,7 +225,7 @@ def pair_verdicts(
     history: bool = False,
     found: Layouts | None = None,
 ) -> list[tuple[str, DataFrame, str]]:
-    """Lazy verdicts for one manifest row: ``[(scope, frame, format), ...]``.
+    """Verdicts for one manifest row: ``[(scope, frame, format), ...]``.
 
     The old side's format applies to every input of the row. With
     ``profile.latest_by == "column"`` so does its first partition column, and
@@ -233,6 +234,9 @@ def pair_verdicts(
     it has one. Inputs are chosen from one directory level each (``found``; by
     default each is listed here, without a job); the baseline is resolved alike and read for its schema only. Raises
     on unreadable input; the runner turns that into an error row.
+
+    The frames are lazy; with the exact method the ranges by which row values are packed
+    (``compare(method="packed")``, as exact) are found here, by one pass over both sides.
     """
     env, dag_id = row.get("env"), row.get("dag_id")
     found = found or Layouts(spark)
@@ -259,10 +263,10 @@ def pair_verdicts(
         if scope == "history" and profile.history_data_check == "if_partitioned":
             # the resolved path tells, so a history path that is a partition directory counts as well
             data_check = any("=" in p for p in gen1.read_paths)
-        frame = verdict_frame(
+        verdict = partial(
+            verdict_frame,
             gen1.df,
             gen2.df,
-            profile=profile,
             env=env,
             dag_id=dag_id,
             gen1_path=p1,
@@ -274,6 +278,10 @@ def pair_verdicts(
             gen1_partition=gen1.partition,
             gen2_partition=gen2.partition,
         )
+        try:
+            frame = verdict(profile=profile.with_(method="packed") if profile.method == "exact" else profile)
+        except Exception:  # noqa: BLE001 - what is wrong is reported here, or in its own scope where the frame is run
+            frame = verdict(profile=profile)
         out.append((scope, frame, fmt))  # already in ledger columns and types
     return out
 
