@@ -225,7 +225,7 @@ def pair_verdicts(
     history: bool = False,
     found: Layouts | None = None,
 ) -> list[tuple[str, DataFrame, str]]:
-    """Verdicts for one manifest row: ``[(scope, frame, format), ...]``.
+    """Lazy verdicts for one manifest row: ``[(scope, frame, format), ...]``.
 
     The old side's format applies to every input of the row. With
     ``profile.latest_by == "column"`` so does its first partition column, and
@@ -235,8 +235,8 @@ def pair_verdicts(
     default each is listed here, without a job); the baseline is resolved alike and read for its schema only. Raises
     on unreadable input; the runner turns that into an error row.
 
-    The frames are lazy; with the exact method the ranges by which row values are packed
-    (``compare(method="packed")``, as exact) are found here, by one pass over both sides.
+    With the method ``"packed"`` (as exact; the runner's) the ranges by which row values are
+    packed are found here, by one pass over both sides.
     """
     env, dag_id = row.get("env"), row.get("dag_id")
     found = found or Layouts(spark)
@@ -279,9 +279,11 @@ def pair_verdicts(
             gen2_partition=gen2.partition,
         )
         try:
-            frame = verdict(profile=profile.with_(method="packed") if profile.method == "exact" else profile)
-        except Exception:  # noqa: BLE001 - what is wrong is reported here, or in its own scope where the frame is run
             frame = verdict(profile=profile)
+        except Exception:  # noqa: BLE001 - what is wrong is reported below, or in its own scope where the frame is run
+            if profile.method != "packed":
+                raise
+            frame = verdict(profile=profile.with_(method="exact"))
         out.append((scope, frame, fmt))  # already in ledger columns and types
     return out
 

@@ -10,7 +10,7 @@ from concord import compare
 from concord.operators.compare import diff_counts, diff_rows, distinct_count_check
 from concord.operators.packing import packed_keys
 from concord.plans.profiles import CURRENT_HISTORY, PHASE2
-from concord.plans.reconcile import reconcile
+from concord.plans.reconcile import packed, reconcile
 from concord.plans.verdict import pair_verdicts
 from concord.sources.manifest import manifest_frame
 from conftest import rows
@@ -69,14 +69,14 @@ def test_equal_keys_are_equal_values(spark):
         left, right = _sides(spark, CASES)
         both = left.unionByName(right)
         keys = [list(made.items()) for made in packed_keys(both, [[c] for c in both.columns], "p")]
-        packed = {i for i, ((name, _),) in enumerate(keys) if name.startswith("p")}
+        fit = {i for i, ((name, _),) in enumerate(keys) if name.startswith("p")}
         got = both.select("*", *[c.alias(f"k{i}") for i, ((_, c),) in enumerate(keys)]).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for i in packed:
+    for i in fit:
         values, numbers = {_plain(r[f"c{i}"]) for r in got}, {r[f"k{i}"] for r in got}
         assert len(values) == len(numbers) == len({(_plain(r[f"c{i}"]), r[f"k{i}"]) for r in got}), CASES[i]
-    kept = sorted(CASES[i][0] for i in range(len(CASES)) if i not in packed)
+    kept = sorted(CASES[i][0] for i in range(len(CASES)) if i not in fit)
     assert kept == sorted(["long", "decimal(18,4)", "decimal(30,4)", "array<int>", "float", "string", "string"] + 4 * ["double"])
 
 
@@ -125,7 +125,7 @@ def test_runner_ships_packed_rows(spark, tmp_path):
         F.lit("O").alias("l_linestatus"), F.expr("timestamp_ntz'1996-01-01 00:00:00' + make_dt_interval(int(id % 300))").alias("l_shipdate"),
     ).write.parquet(path)
     row = {"env": "prod", "dag_id": "lines_daily", "gen1_path": path, "gen2_path": path}
-    ((_, frame, _),) = pair_verdicts(spark, row, PHASE2)
+    ((_, frame, _),) = pair_verdicts(spark, row, packed(PHASE2))
     (shuffle,) = {line for line in plan(frame).splitlines() if "hashpartitioning(" in line}
     assert shuffle.count("__concord_p") == 2 and "l_" not in shuffle, shuffle
     got = frame.first()
